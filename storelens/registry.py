@@ -12,12 +12,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.oracles import views_sql
-from storelens.operators import views
-from storelens.params import FIXTURE_AS_OF
+from storelens.oracles import dash_sql, views_sql
+from storelens.operators import anomalies, dashboards, views
+from storelens.params import FIXTURE_AS_OF, FIXTURE_AUDIT_AS_OF
 from storelens.sources.retail import Retail
 
 AS_OF = FIXTURE_AS_OF
+AUDIT_AS_OF = FIXTURE_AUDIT_AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -61,6 +62,47 @@ register("daily_sales_summary", views_sql.daily_sales_summary(90))(
 register("executive_kpis", views_sql.executive_kpis(30))(lambda r: views.executive_kpis(r, AS_OF, 30))
 register("daily_revenue", views_sql.daily_revenue())(lambda r: views.daily_revenue(r))
 
+# ------------------------------------------------------- §2.4 anomaly rules
+HV = dict(k=1.5, base_days=30, scan_days=7)
+SP = dict(k=2.0, days=90, min_txn=5)
+SB = dict(rate=25.0, days=90, min_txn=10)
+
+register("anomaly_high_value", dash_sql.anomaly_high_value(**HV))(
+    lambda r: anomalies.anomaly_high_value(r, AS_OF, **HV))
+register("anomaly_store_pattern", dash_sql.anomaly_store_pattern(**SP))(
+    lambda r: anomalies.anomaly_store_pattern(r, AS_OF, **SP))
+register("anomaly_substitution", dash_sql.anomaly_substitution(**SB))(
+    lambda r: anomalies.anomaly_substitution(r, AS_OF, **SB))
+
+
+def fixture_anomalies(r: Retail):
+    """The anomalies table as one detection run with the fixture parameters."""
+    return anomalies.detected_anomalies(r, AS_OF, high_value=HV, store_pattern=SP, substitution=SB)
+
+
+register("detect_anomalies", None)(
+    lambda r: anomalies.detect_anomalies(r, AS_OF, existing=fixture_anomalies(r),
+                                         high_value=HV, store_pattern=SP, substitution=SB)[0])
+
+# ----------------------------------------------------------- §2.3 dashboards
+STORE_TIERS = (2500000, 1500000, 800000)
+VALUE_CUTS = (300000, 150000)
+
+register("executive_dashboard", dash_sql.executive_dashboard(HV, SP, SB))(
+    lambda r: dashboards.executive_dashboard(r, AS_OF, fixture_anomalies(r)))
+register("store_performance_dashboard", dash_sql.store_performance_dashboard(30, STORE_TIERS))(
+    lambda r: dashboards.store_performance_dashboard(r, AS_OF, 30, tiers=STORE_TIERS))
+register("customer_analytics", dash_sql.customer_analytics(30, VALUE_CUTS))(
+    lambda r: dashboards.customer_analytics(r, AS_OF, 30, value_cuts=VALUE_CUTS))
+register("system_health", dash_sql.system_health(HV, SP, SB))(
+    lambda r: dashboards.system_health(r, AS_OF, fixture_anomalies(r)))
+register("hourly_sales_patterns", dash_sql.hourly_sales_patterns(30))(
+    lambda r: dashboards.hourly_sales_patterns(r, AS_OF, 30))
+register("security_dashboard", dash_sql.security_dashboard(7))(
+    lambda r: dashboards.security_dashboard(r, AUDIT_AS_OF, 7))
+register("failed_access_attempts", dash_sql.failed_access_attempts(24, 5))(
+    lambda r: dashboards.failed_access_attempts(r, AUDIT_AS_OF, 24, 5))
+
 
 def queries() -> dict[str, Query]:
     return {k: v[0] for k, v in _REGISTRY.items()}
