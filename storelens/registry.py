@@ -12,8 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.oracles import dash_sql, views_sql
-from storelens.operators import anomalies, dashboards, views
+from storelens.oracles import dash_sql, proc_sql, views_sql
+from storelens.operators import anomalies, dashboards, procedures, views
 from storelens.params import FIXTURE_AS_OF, FIXTURE_AUDIT_AS_OF
 from storelens.sources.retail import Retail
 
@@ -102,6 +102,35 @@ register("security_dashboard", dash_sql.security_dashboard(7))(
     lambda r: dashboards.security_dashboard(r, AUDIT_AS_OF, 7))
 register("failed_access_attempts", dash_sql.failed_access_attempts(24, 5))(
     lambda r: dashboards.failed_access_attempts(r, AUDIT_AS_OF, 24, 5))
+register("table_volume_monitor", proc_sql.table_volume_monitor())(
+    lambda r: dashboards.table_volume_monitor(r, {"daily_sales": views.daily_sales(r, AS_OF, 90),
+                                                  "daily_sales_summary": views.daily_sales_summary(r, AS_OF, 90)}))
+
+# ------------------------------------------------ §2.4 functions, procedures
+SHARE_BRAND = "Brand#3"
+
+register("get_market_share", proc_sql.get_market_share(SHARE_BRAND, None, 30))(
+    lambda r: procedures.get_market_share(r, AS_OF, SHARE_BRAND, None, 30))
+register("get_market_share_all", proc_sql.get_market_share(None, None, 30))(
+    lambda r: procedures.get_market_share(r, AS_OF, None, None, 30))
+register("market_share_ranked", proc_sql.market_share_ranked(SHARE_BRAND, None, 30))(
+    lambda r: procedures.market_share_ranked(r, AS_OF, SHARE_BRAND, None, 30))
+register("market_share_by_region", proc_sql.market_share_by_region(90))(
+    lambda r: procedures.market_share_by_region(r, AS_OF, 90))
+register("customer_insights", proc_sql.customer_insights(30, RFM))(
+    lambda r: procedures.customer_insights(r, AS_OF, 30, RFM))
+register("flag_fmcg", proc_sql.flag_fmcg())(lambda r: procedures.flag_fmcg(r))
+register("purge_old_data", proc_sql.purge_old_data(12, AUDIT_AS_OF.date(), hv=HV, sp=SP, sb=SB))(
+    lambda r: procedures.purge_old_data(r, AS_OF, fixture_anomalies(r), 12, audit_as_of=AUDIT_AS_OF.date())[1])
+register("system_alerts", proc_sql.system_alerts(HV, SP, SB))(
+    lambda r: procedures.system_alerts(r, AS_OF, fixture_anomalies(r)))
+register("alert_payload", None)(
+    lambda r: procedures.alert_payload(procedures.system_alerts(r, AS_OF, fixture_anomalies(r)), AS_OF))
+register("security_alert", proc_sql.security_alert(168, 5, 10))(
+    lambda r: procedures.security_alert(r, AUDIT_AS_OF, 168, 5, 10))
+register("hash_sensitive", proc_sql.hash_sensitive())(
+    lambda r: r.interactions().select("interaction_id",
+                                      procedures.hash_sensitive("customer_id").alias("customer_hash")))
 
 
 def queries() -> dict[str, Query]:
