@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from storelens.oracles import dash_sql, proc_sql, views_sql
-from storelens.operators import anomalies, dashboards, procedures, views
+from storelens.oracles import access_sql, dash_sql, proc_sql, views_sql
+from storelens.operators import access, anomalies, dashboards, procedures, views
 from storelens.params import FIXTURE_AS_OF, FIXTURE_AUDIT_AS_OF
 from storelens.sources.retail import Retail
 
@@ -133,6 +136,75 @@ register("hash_sensitive", proc_sql.hash_sensitive())(
                                       procedures.hash_sensitive("customer_id").alias("customer_hash")))
 
 
+# ------------------------------------------------------ §2.5 access, audit
+MANAGER, MANAGER2 = 7, 9
+SI_COLS = ["interaction_id", "store_id", "customer_id", "transaction_date", "total_amount"]
+
+
+def _policy(r: Retail, table: str, role: str, cols: list[str], **kw):
+    df = r.interactions() if table == "sales_interactions" else r.table(table)
+    return access.apply_policy(df, table, role, r=r, as_of=kw.pop("as_of", AS_OF),
+                               grants=access.derived_grants(r), **kw).select(*cols)
+
+
+register("policy_sales_analyst", access_sql.policy_sales_analyst(22))(
+    lambda r: _policy(r, "sales_interactions", "data_analyst", SI_COLS, hour=22))
+register("policy_sales_analyst_in_hours", access_sql.policy_sales_analyst(10))(
+    lambda r: _policy(r, "sales_interactions", "data_analyst", SI_COLS, hour=10))
+register("policy_sales_analyst_restrictive", access_sql.policy_sales_analyst(10, "restrictive"))(
+    lambda r: _policy(r, "sales_interactions", "data_analyst", SI_COLS, hour=10, mode="restrictive"))
+register("policy_sales_manager", access_sql.policy_sales_manager(MANAGER, 22))(
+    lambda r: _policy(r, "sales_interactions", "store_manager", SI_COLS, hour=22, user_id=MANAGER))
+register("policy_sales_manager_strict", access_sql.policy_sales_manager(MANAGER, 10, "strict"))(
+    lambda r: _policy(r, "sales_interactions", "store_manager", SI_COLS, hour=10, user_id=MANAGER, mode="strict"))
+register("policy_items_analyst", access_sql.policy_items_analyst())(
+    lambda r: _policy(r, "transaction_items", "data_analyst", ["interaction_id", "product_id", "quantity"]))
+register("policy_stores_manager", access_sql.policy_stores_manager(MANAGER2))(
+    lambda r: _policy(r, "stores", "store_manager", ["id", "name", "region", "store_type"], user_id=MANAGER2))
+register("policy_devices_manager", access_sql.policy_devices_manager(MANAGER))(
+    lambda r: _policy(r, "device_master", "store_manager", ["device_id", "store_id", "status", "last_seen"],
+                      user_id=MANAGER))
+register("policy_audit_own", access_sql.policy_audit_own(MANAGER))(
+    lambda r: _policy(r, "audit_log", "dashboard_user", ["id", "user_id", "action", "audit_ts"], user_id=MANAGER,
+                      as_of=AUDIT_AS_OF))
+register("policy_audit_viewer", access_sql.policy_audit_viewer())(
+    lambda r: _policy(r, "audit_log", "audit_viewer", ["id", "user_id", "action", "audit_ts"], as_of=AUDIT_AS_OF))
+register("policy_brands_denied", access_sql.policy_denied("id, name, category", "brands"))(
+    lambda r: _policy(r, "brands", "data_analyst", ["id", "name", "category"]))
+register("expire_access", access_sql.expire_access(datetime.datetime.combine(AS_OF, datetime.time())))(
+    lambda r: access.expire_access(access.derived_grants(r), datetime.datetime.combine(AS_OF, datetime.time()))
+    .select("id", "user_id", "store_id", "access_level", "expires_at", "is_active"))
+register("grant_access", None)(
+    lambda r: access.grant_access(access.derived_grants(r), granting_user=0, user_id=MANAGER, store_id=3,
+                                  access_level="write", now=datetime.datetime(2001, 8, 1))[0])
+register("revoke_access", None)(
+    lambda r: access.revoke_access(access.derived_grants(r), revoking_user=0, user_id=MANAGER, store_id=3,
+                                   now=datetime.datetime(2001, 8, 1), caller_is_db_admin=True)[0])
+
+
+def modified_products(r: Retail) -> DataFrame:
+    """A later products snapshot derived from the current one: renamed to
+    NULL (id % 40 = 7), re-categorised (id % 25 = 0), re-priced (id % 10 = 0),
+    deleted (id % 50 = 1) and inserted copies (id % 100 = 3, id + 10^7)."""
+    p = r.products
+    i = F.col("id")
+    changed = p.where(i % 50 != 1).select(
+        "id", F.when(i % 40 == 7, F.lit(None).cast("string")).otherwise(F.col("name")).alias("name"),
+        "brand_id", F.when(i % 25 == 0, F.upper("category")).otherwise(F.col("category")).alias("category"),
+        "is_fmcg",
+        F.when(i % 10 == 0, F.col("unit_price") + 1).otherwise(F.col("unit_price")).cast("decimal(10,2)")
+        .alias("unit_price"))
+    inserted = p.where(i % 100 == 3).withColumn("id", i + 10_000_000)
+    return changed.unionByName(inserted)
+
+
+register("audit_changes", access_sql.audit_change_counts())(
+    lambda r: access.audit_changes(r.products, modified_products(r), "id", "products")
+    .groupBy("table_name", "action").agg(F.count(F.lit(1)).alias("change_count")))
+register("product_update_guard", access_sql.product_update_guard())(
+    lambda r: access.product_update_guard(r.products, modified_products(r)))
+
+
 def queries() -> dict[str, Query]:
     return {k: v[0] for k, v in _REGISTRY.items()}
 
