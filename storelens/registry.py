@@ -15,8 +15,8 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.oracles import access_sql, dash_sql, proc_sql, views_sql
-from storelens.operators import access, anomalies, dashboards, procedures, views
+from storelens.oracles import access_sql, dash_sql, metrics_sql, proc_sql, views_sql
+from storelens.operators import access, anomalies, dashboards, metrics, prep, procedures, views
 from storelens.params import FIXTURE_AS_OF, FIXTURE_AUDIT_AS_OF
 from storelens.sources.retail import Retail
 
@@ -205,6 +205,122 @@ register("product_update_guard", access_sql.product_update_guard())(
     lambda r: access.product_update_guard(r.products, modified_products(r)))
 
 
+# ------------------------------------------------- §2.6 spec / UI metrics
+KPI_FILTERS = dict(date_from=datetime.date(2001, 5, 1), date_to=datetime.date(2001, 7, 31),
+                   regions=("ASIA", "EUROPE", "AMERICA"), categories=None,
+                   brands=tuple(f"Brand#{i}" for i in range(1, 9)))
+KPI_FILTERS_CAT = dict(date_from=datetime.date(2001, 1, 1), date_to=datetime.date(2001, 8, 1), regions=None,
+                       categories=("STANDARD POLISHED TIN", "PROMO BRUSHED COPPER", "LARGE ANODIZED STEEL"),
+                       brands=None)
+SLICE_PARAMS = dict(store_tiers=STORE_TIERS, value_cuts=VALUE_CUTS, hv=HV, sp=SP, sb=SB, audit_as_of=AUDIT_AS_OF.date())
+DQ_NOW = datetime.datetime(2001, 8, 1, 23, 59, 59)
+
+register("kpi_cards", metrics_sql.kpi_cards(**KPI_FILTERS))(lambda r: metrics.kpi_cards(r, **KPI_FILTERS))
+register("kpi_cards_by_category", metrics_sql.kpi_cards(**KPI_FILTERS_CAT))(
+    lambda r: metrics.kpi_cards(r, **KPI_FILTERS_CAT))
+register("revenue_trend", metrics_sql.revenue_trend(30))(lambda r: metrics.revenue_trend(r, AS_OF, 30))
+register("category_top10", metrics_sql.category_top(10))(lambda r: metrics.category_top(r, 10))
+register("brand_top8", metrics_sql.brand_top(8))(lambda r: metrics.brand_top(r, 8))
+register("brand_top10", metrics_sql.brand_top10())(
+    lambda r: metrics.top_rows(views.focus_brand_performance(r, AS_OF, 90),
+                               [F.col("total_revenue").desc(), "brand_name", "category"], 10))
+register("executive_one", dash_sql.executive_dashboard(HV, SP, SB) + " LIMIT 1")(
+    lambda r: dashboards.executive_dashboard(r, AS_OF, fixture_anomalies(r)).limit(1))
+register("region_list", metrics_sql.region_list())(
+    lambda r: views.philippine_market_analysis(r, AS_OF, 90).orderBy(F.col("total_revenue").desc()))
+register("hour_distribution", metrics_sql.hour_distribution())(
+    lambda r: metrics.hour_distribution(dashboards.hourly_sales_patterns(r, AS_OF, 30)))
+register("dow_distribution", metrics_sql.dow_distribution())(
+    lambda r: metrics.dow_distribution(dashboards.hourly_sales_patterns(r, AS_OF, 30)))
+register("region_revenue", metrics_sql.region_revenue())(
+    lambda r: views.regional_performance(r, AS_OF, 90).select("region", "total_revenue", "revenue_rank"))
+register("top_products", metrics_sql.top_products(PRODUCT_TIERS, 10))(
+    lambda r: metrics.top_rows(views.product_performance(r, AS_OF, 90, tiers=PRODUCT_TIERS),
+                               [F.col("total_revenue").desc(), "product_id"], 10)
+    .select("product_id", "product_name", "brand_name", "total_units_sold", "total_revenue"))
+register("age_distribution", metrics_sql.age_distribution(30))(lambda r: metrics.age_distribution(r, AS_OF, 30))
+register("gender_distribution", metrics_sql.gender_distribution(30))(
+    lambda r: metrics.gender_distribution(r, AS_OF, 30))
+register("segment_table", metrics_sql.segment_table(RFM))(
+    lambda r: metrics.share_table(views.customer_segments(r, AS_OF, 365, **RFM), "customer_segment"))
+register("period_over_period", metrics_sql.period_over_period(30))(
+    lambda r: metrics.period_over_period(r, AS_OF, 30))
+register("period_over_period_quarter", metrics_sql.period_over_period(91))(
+    lambda r: metrics.period_over_period(r, AS_OF, 91))
+register("category_mix_trend", metrics_sql.category_mix_trend(90))(
+    lambda r: metrics.category_mix_trend(r, AS_OF, 90))
+register("brand_mix", metrics_sql.brand_mix(30))(lambda r: metrics.brand_mix(r, AS_OF, 30))
+register("bundle_rate", metrics_sql.bundle_rate(90))(lambda r: metrics.bundle_rate(r, AS_OF, 90))
+register("repeat_rate_30d", metrics_sql.repeat_rate(365, 30))(lambda r: metrics.repeat_rate(r, AS_OF, 365, 30))
+register("regional_affinity", metrics_sql.regional_affinity(90))(lambda r: metrics.regional_affinity(r, AS_OF, 90))
+register("cohort_retention", metrics_sql.cohort_retention())(lambda r: metrics.cohort_retention(r))
+register("focus_brand_by_region", metrics_sql.focus_brand_by_region(90, 20))(
+    lambda r: metrics.focus_brand_by_region(r, AS_OF, 90, 20))
+register("demographic_spend", metrics_sql.demographic_spend(VALUE_CUTS))(
+    lambda r: metrics.demographic_spend(dashboards.customer_analytics(r, AS_OF, 30, value_cuts=VALUE_CUTS)))
+register("category_competition", metrics_sql.category_competition())(
+    lambda r: metrics.category_competition(views.brand_competition(r, AS_OF, 30)))
+register("unit_convert", metrics_sql.unit_convert())(
+    lambda r: metrics.unit_convert(
+        r.transaction_items.join(r.raw("part").select("p_partkey", "p_size"),
+                                 F.col("product_id") == F.col("p_partkey"))
+        .withColumn("unit", F.when(F.col("p_size") % 2 == 0, "pack").otherwise("pcs"))
+        .select("interaction_id", "product_id", "quantity", "unit")))
+register("term_localize", metrics_sql.term_localize())(
+    lambda r: r.raw("part").select(F.col("p_partkey").alias("id"), metrics.term_localize("p_name").alias("name")))
+
+
+def _slices(r: Retail) -> dict[str, DataFrame]:
+    return {
+        "slice_top_stores": dashboards.store_performance_dashboard(r, AS_OF, 30, tiers=STORE_TIERS)
+        .where(F.col("performance_tier") == "Top Performer"),
+        "slice_client_brands": views.brand_competition(r, AS_OF, 30).where(F.col("brand_type") == "TBWA Client")
+        .orderBy(F.col("revenue").desc()),
+        "slice_luzon_customers": dashboards.customer_analytics(r, AS_OF, 30, value_cuts=VALUE_CUTS)
+        .where(F.col("mega_region") == "Luzon").orderBy(F.col("total_spent").desc()),
+        "slice_market_by_share": views.philippine_market_analysis(r, AS_OF, 90)
+        .orderBy(F.col("tbwa_market_share_percent").desc()),
+        "slice_active_anomalies": fixture_anomalies(r).where(F.col("status") == "active")
+        .select("type", "severity", "status").orderBy(F.col("severity").desc()),
+        "slice_monday_hours": dashboards.hourly_sales_patterns(r, AS_OF, 30).where(F.col("day_of_week") == 1),
+        "slice_business_hours": dashboards.hourly_sales_patterns(r, AS_OF, 30)
+        .where(F.col("hour_of_day").between(9, 17)),
+        "slice_recent_security": dashboards.security_dashboard(r, AUDIT_AS_OF, 7)
+        .where(F.col("audit_date") >= F.lit(AUDIT_AS_OF.date() - datetime.timedelta(days=7))),
+    }
+
+
+for _key in ("slice_top_stores", "slice_client_brands", "slice_luzon_customers", "slice_market_by_share",
+             "slice_active_anomalies", "slice_monday_hours", "slice_business_hours", "slice_recent_security"):
+    register(_key, metrics_sql.slice_sql(_key, SLICE_PARAMS))(lambda r, _k=_key: _slices(r)[_k])
+
+# --------------------------------------------------- validation / quality
+_SCORED_VIEWS_SQL = {"daily_sales": views_sql.daily_sales(90),
+                     "focus_brand_performance": views_sql.focus_brand_performance(90),
+                     "philippine_market_analysis": views_sql.philippine_market_analysis(90)}
+
+register("dq_score", metrics_sql.dq_score(DQ_NOW))(lambda r: metrics.dq_score(r, DQ_NOW))
+register("market_checks", metrics_sql.market_checks())(lambda r: metrics.market_checks(r))
+register("deployment_score", metrics_sql.deployment_score(_SCORED_VIEWS_SQL))(
+    lambda r: metrics.deployment_score(r, {"daily_sales": views.daily_sales(r, AS_OF, 90),
+                                           "focus_brand_performance": views.focus_brand_performance(r, AS_OF, 90),
+                                           "philippine_market_analysis":
+                                               views.philippine_market_analysis(r, AS_OF, 90)}))
+register("table_presence", None)(
+    lambda r: metrics.table_presence(r, ("sales_interactions", "transaction_items", "products", "brands", "stores",
+                                         "device_master", "ph_regions", "audit_log", "anomalies",
+                                         "user_store_access", "request_methods", "session_matches")))
+register("count_reconcile", metrics_sql.count_reconcile())(
+    lambda r: metrics.count_reconcile(r.interactions(), r.raw("orders")))
+
+# ------------------------------------------------------- data preparation
+register("allocate_by_weight", metrics_sql.allocate_by_weight(100))(lambda r: prep.allocate_by_weight(r, 100))
+register("backfill_totals", metrics_sql.backfill_totals())(lambda r: prep.backfill_totals(r))
+register("session_keys", metrics_sql.session_keys())(lambda r: prep.session_keys(r))
+register("dim_lookup", metrics_sql.dim_lookup())(
+    lambda r: prep.dim_lookup(r.product_dim.select("id", "name", "brand_name"), r.brands, "brand_name"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v[0] for k, v in _REGISTRY.items()}
 
