@@ -15,8 +15,11 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.oracles import access_sql, dash_sql, metrics_sql, proc_sql, views_sql
+from storelens.oracles import access_sql, dash_sql, metrics_sql, proc_sql, stream_sql, views_sql
 from storelens.operators import access, anomalies, dashboards, metrics, prep, procedures, views
+from storelens.session import scratch_path
+from storelens.sources import sinks
+from storelens.streaming import streams
 from storelens.params import FIXTURE_AS_OF, FIXTURE_AUDIT_AS_OF
 from storelens.sources.retail import Retail
 
@@ -321,6 +324,120 @@ register("dim_lookup", metrics_sql.dim_lookup())(
     lambda r: prep.dim_lookup(r.product_dim.select("id", "name", "brand_name"), r.brands, "brand_name"))
 
 
+# ------------------------------------------------------ §2.1 sources, sinks
+def _scratch(r: Retail, name: str) -> str:
+    return scratch_path(r.spark, name)
+
+
+register("load_retail", stream_sql.load_retail())(lambda r: r.interactions())
+register("table_select", stream_sql.table_select())(
+    lambda r: r.stores.where(F.col("region") == "ASIA").orderBy("name"))
+register("table_select_single", stream_sql.table_select_single())(
+    lambda r: r.products.where(F.col("id") == 5).limit(1))
+register("export_transactions", stream_sql.export_transactions())(
+    lambda r: sinks.export_transactions(
+        r.interactions().select("interaction_id", "store_id", "customer_id", "transaction_date", "total_amount"),
+        _scratch(r, "exports-transactions")))
+register("export_json", stream_sql.export_json())(
+    lambda r: sinks.export_json(views.brand_competition(r, AS_OF, 30), _scratch(r, "lake"), "brand_competition",
+                                AS_OF))
+register("export_csv", stream_sql.export_csv())(lambda r: sinks.export_csv(r.stores, _scratch(r, "csv")))
+
+
+def _raw_zone(r: Retail) -> DataFrame:
+    df, _count = sinks.raw_zone_append(r.interactions().select("interaction_id", "store_id", "total_amount"),
+                                       _scratch(r, "raw"), "transactions", datetime.datetime(2001, 8, 1))
+    return df
+
+
+def _inventory(r: Retail) -> DataFrame:
+    base = _scratch(r, "inventory")
+    sinks.export_transactions(r.interactions().select("interaction_id", "transaction_date"), base)
+    return sinks.file_inventory(r.spark, base)
+
+
+def _snapshot(r: Retail) -> DataFrame:
+    base = _scratch(r, "snapshots")
+    build = lambda: views.daily_sales(r, AS_OF, 90)
+    sinks.snapshot_refresh(r.spark, base, "daily_sales", build(), datetime.datetime(2001, 8, 1, 1))
+    return sinks.snapshot_if_stale(r.spark, base, "daily_sales", build, 600, datetime.datetime(2001, 8, 1, 1, 5))
+
+
+register("raw_zone_append", None)(_raw_zone)
+register("file_inventory", None)(_inventory)
+register("lake_lifecycle_plan", None)(
+    lambda r: sinks.lake_lifecycle_plan(_inventory(r), datetime.datetime.now()))
+register("snapshot_refresh", None)(
+    lambda r: sinks.snapshot_refresh(r.spark, _scratch(r, "snapshots"), "brand_competition",
+                                     views.brand_competition(r, AS_OF, 30)))
+register("snapshot_if_stale", None)(_snapshot)
+
+# ------------------------------------------------------------ §2.7 streams
+EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+STREAM_NOW = datetime.datetime(2024, 1, 31)
+
+
+def _events_stream(r: Retail) -> DataFrame:
+    """The events table replayed as a file stream (a file source needs a folder)."""
+    src = _scratch(r, "events-src")
+    r.raw("events").write.parquet(src)
+    return r.spark.readStream.schema(EVENT_SCHEMA).parquet(src)
+
+
+def _run_rule(r: Retail, agg: DataFrame, keys: list[str], name: str) -> DataFrame:
+    sink, ck = _scratch(r, f"{name}-sink"), _scratch(r, f"{name}-ckpt")
+    streams.run_update_stream(agg, sink, ck, f"{name}_{abs(hash(sink)) % 10**8}")
+    return streams.latest_rows(r.spark, sink, keys)
+
+
+def _live_kpis(r: Retail) -> DataFrame:
+    src = _scratch(r, "live-src")
+    r.interactions().write.parquet(src)
+    stream = r.spark.readStream.schema(r.interactions().schema).parquet(src)
+    return _run_rule(r, streams.live_kpis(stream), ["day"], "live_kpis")
+
+
+THRESHOLD = 40.0
+register("live_kpis", stream_sql.live_kpis())(_live_kpis)
+register("metric_threshold_alert", stream_sql.metric_threshold_alert(THRESHOLD))(
+    lambda r: _run_rule(r, streams.metric_threshold_alert(_events_stream(r), THRESHOLD),
+                        ["window_start", "metric"], "threshold"))
+register("error_burst_alert", stream_sql.error_burst_alert(1))(
+    lambda r: streams.error_burst_alert(_run_rule(r, streams.error_bins(_events_stream(r), 1), ["bin_start"],
+                                                  "errbins")))
+register("rate_limit_violations", stream_sql.rate_limit_violations(1))(
+    lambda r: _run_rule(r, streams.rate_limit_violations(_events_stream(r), 1), ["window_start", "client"],
+                        "ratelimit"))
+register("error_rate", stream_sql.error_rate())(lambda r: streams.error_rate(r.raw("events")))
+register("latency_p95", stream_sql.latency_p95())(lambda r: streams.latency_p95(r.raw("events")))
+register("freshness", stream_sql.freshness(STREAM_NOW))(lambda r: streams.freshness(r.raw("events"), STREAM_NOW))
+register("metric_heatmap", stream_sql.metric_heatmap())(lambda r: streams.metric_heatmap(r.raw("events")))
+register("cdc_diff", stream_sql.cdc_diff(access_sql.MODIFIED_PRODUCTS_CTE))(
+    lambda r: streams.cdc_diff(r.products, modified_products(r), "id"))
+
+
+def _stream_ingest(r: Retail) -> DataFrame:
+    src, sink, ck = _scratch(r, "ingest-src"), _scratch(r, "ingest-sink"), _scratch(r, "ingest-ckpt")
+    r.raw("events").write.json(src)
+    streams.stream_ingest_json(r.spark, src, EVENT_SCHEMA, sink, ck)
+    return r.spark.read.schema(EVENT_SCHEMA).json(sink)
+
+
+def _cdc_route(r: Retail) -> DataFrame:
+    src, base, ck = _scratch(r, "cdc-src"), _scratch(r, "cdc-out"), _scratch(r, "cdc-ckpt")
+    changes = access.audit_changes(r.products, modified_products(r), "id", "products")
+    (changes.select(F.col("table_name").alias("table"), F.col("action").alias("eventType"),
+                    F.col("new_data").alias("new"), F.col("old_data").alias("old"),
+                    F.lit(datetime.datetime(2001, 8, 1)).alias("commit_ts"))
+     .write.json(src))
+    streams.cdc_route(r.spark, src, base, ck)
+    return r.spark.read.json(f"{base}/audit-trail")
+
+
+register("stream_ingest_json", None)(_stream_ingest)
+register("cdc_route", None)(_cdc_route)
+
+
 def queries() -> dict[str, Query]:
     return {k: v[0] for k, v in _REGISTRY.items()}
 
