@@ -100,8 +100,9 @@ def share_table(df: DataFrame, group: str) -> DataFrame:
     """Count per group and its percentage of all rows (the total is a
     one-row aggregate, broadcast as a single row)."""
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("count"))
-    total = counts.agg(F.sum("count").alias("_total"))
-    return counts.crossJoin(F.broadcast(total)).select(group, "count", pct("count", "_total").alias("percent"))
+    # The grouped frame has one row per group value (a small dimension), so the
+    # total is a window over it rather than a second pass over ``df``.
+    return counts.select(group, "count", pct("count", F.sum("count").over(Window.partitionBy())).alias("percent"))
 
 
 def age_distribution(r: Retail, as_of: dt.date, days: int = 30) -> DataFrame:
@@ -146,8 +147,9 @@ def category_mix_trend(r: Retail, as_of: dt.date, days: int = 30, band: float =
     per_cat = lines.groupBy("category").agg(
         money_sum(F.when(cur, rev).otherwise(F.lit(0))).alias("current_revenue"),
         money_sum(F.when(prev, rev).otherwise(F.lit(0))).alias("previous_revenue"))
-    totals = per_cat.agg(F.sum("current_revenue").alias("_ct"), F.sum("previous_revenue").alias("_pt"))
-    j = per_cat.crossJoin(F.broadcast(totals))
+    everything = Window.partitionBy()  # over the per-category rows (bounded by the category list)
+    j = (per_cat.withColumn("_ct", F.sum("current_revenue").over(everything))
+         .withColumn("_pt", F.sum("previous_revenue").over(everything)))
     cs = as_double("current_revenue") / F.when(as_double("_ct") != 0, as_double("_ct")) * 100.0
     ps = as_double("previous_revenue") / F.when(as_double("_pt") != 0, as_double("_pt")) * 100.0
     delta = cs - ps
@@ -167,8 +169,8 @@ def brand_mix(r: Retail, as_of: dt.date, days: int = 30) -> DataFrame:
         count_distinct(F.when(cur, F.col("product_id"))).alias("sku_count"),
         money_sum(F.when(cur, rev).otherwise(F.lit(0))).alias("current_revenue"),
         money_sum(F.when(prev, rev).otherwise(F.lit(0))).alias("previous_revenue"))
-    total = per_brand.agg(F.sum("current_revenue").alias("_t"))
-    return per_brand.crossJoin(F.broadcast(total)).select(
+    # Total over the per-brand rows (bounded by the brand list): a window, not a second pass.
+    return per_brand.withColumn("_t", F.sum("current_revenue").over(Window.partitionBy())).select(
         "brand_name", "sku_count", "current_revenue", "previous_revenue",
         pct("current_revenue", "_t").alias("revenue_share_percent"),
         pct(F.col("current_revenue") - F.col("previous_revenue"), "previous_revenue").alias("growth_percent"))
@@ -246,9 +248,8 @@ def focus_brand_by_region(r: Retail, as_of: dt.date, days: int = 90, n: int = 20
     region's item revenue, top n by revenue (intent of the README sample)."""
     lines = with_store(sales_lines(r, window_start(as_of, days)), r)
     per = lines.groupBy("region", "brand_name").agg(money_sum("line_revenue").alias("revenue"))
-    region_total = per.groupBy(F.col("region").alias("_r")).agg(F.sum("revenue").alias("_rt"))
+    per = per.withColumn("_rt", F.sum("revenue").over(Window.partitionBy("region")))
     return (per.where(F.col("brand_name").isin(*focus))
-            .join(size_checked_broadcast(region_total), F.col("region") == F.col("_r"))
             .select("region", "brand_name", "revenue", pct("revenue", "_rt").alias("market_share_percent"))
             .orderBy(F.col("revenue").desc(), "region", "brand_name").limit(n))
 

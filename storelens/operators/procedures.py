@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.functions.columns import (
@@ -27,8 +27,9 @@ def _regional_sales(r: Retail, as_of: dt.date, region: str | None, days: int) ->
     if region is not None:
         lines = lines.where(F.col("region") == region)
     rs = lines.groupBy(F.col("brand_name"), "region").agg(money_sum("line_revenue").alias("total_revenue"))
-    mt = rs.groupBy(F.col("region").alias("_mt_region")).agg(F.sum("total_revenue").alias("_market"))
-    return rs.join(mt, F.col("region") == F.col("_mt_region")).drop("_mt_region")
+    # Region totals as a window over the (brand, region) rows, partitioned by
+    # region: one pass over the item join instead of a self-join of the aggregate.
+    return rs.withColumn("_market", F.sum("total_revenue").over(Window.partitionBy("region")))
 
 
 def get_market_share(r: Retail, as_of: dt.date, brand: str | None = None, region: str | None = None,

@@ -17,8 +17,8 @@ from storelens.functions.columns import (
     rank_desc, ratio, tier, ts_lit, whole_days,
 )
 from storelens.params import FIXTURE_FOCUS_BRANDS
-from storelens.plans.broadcast import size_checked_broadcast
 from storelens.plans.lines import day_bounds, sales_lines, window_start, with_mega_region, with_store
+from storelens.plans.materialize import materialize
 from storelens.sources.retail import Retail
 
 
@@ -52,8 +52,11 @@ def product_performance(r: Retail, as_of: dt.date, days: int = 90,
                         count_distinct("interaction_id").alias("transaction_count"),
                         avg_num("quantity").alias("avg_quantity_per_transaction"),
                         F.max("transaction_date").alias("_last"), F.min("transaction_date").alias("_first")))
-    # Share of the grand total: a one-row aggregate joined back (broadcast of a
-    # single row) instead of an un-partitioned SUM() OVER () window.
+    # Share of the grand total: the per-product rows (they grow with the
+    # catalogue) are materialised once, then a one-row total is joined back as
+    # a broadcast of a single row, instead of an un-partitioned SUM() OVER ()
+    # window or a second pass over the item join.
+    per_product = materialize(per_product)
     total = per_product.agg(F.sum("total_revenue").alias("_grand"))
     days_span = whole_days("_last", "_first")
     units = F.col("total_units_sold")
@@ -175,14 +178,23 @@ def philippine_market_analysis(r: Retail, as_of: dt.date, days: int = 90,
     regions = r.regions_b().select(F.col("region").alias("_rg"), "population_millions", "economic_weight")
     lines = lines.join(regions, F.col("region") == F.col("_rg")).drop("_rg")
     focus_flag = F.col("brand_name").isin(*focus)
-    m = (lines.groupBy("mega_region", "region", "population_millions", "economic_weight")
-         .agg(count_distinct("interaction_id").alias("total_transactions"),
-              money_sum("total_amount").alias("total_revenue"),
-              avg_money("total_amount").alias("avg_transaction_value"),
-              count_distinct("store_id").alias("active_stores"),
-              money_sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("tbwa_revenue"),
-              money_sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("competitor_revenue"),
-              money_sum("line_revenue").alias("_items")))
+    keys = ["mega_region", "region", "population_millions", "economic_weight"]
+    # Level 1 per store (a basket has one store): distinct baskets add up over
+    # stores and each store is one row, so no multi-distinct Expand is needed.
+    per_store = (lines.groupBy(*keys, "store_id")
+                 .agg(count_distinct("interaction_id").alias("_tx"),
+                      F.sum("total_amount").alias("_amt"), F.count("total_amount").alias("_n"),
+                      F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_tbwa"),
+                      F.sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_comp"),
+                      F.sum("line_revenue").alias("_items")))
+    m = (per_store.groupBy(*keys)
+         .agg(F.sum("_tx").cast("long").alias("total_transactions"),
+              F.sum("_amt").cast("decimal(38,2)").alias("total_revenue"),
+              fixed(F.sum("_amt") / F.sum("_n"), 6).alias("avg_transaction_value"),
+              F.count(F.lit(1)).alias("active_stores"),
+              F.sum("_tbwa").cast("decimal(38,2)").alias("tbwa_revenue"),
+              F.sum("_comp").cast("decimal(38,2)").alias("competitor_revenue"),
+              F.sum("_items").cast("decimal(38,2)").alias("_items")))
     return m.select("mega_region", "region", "population_millions", "economic_weight", "total_transactions",
                     "total_revenue", "avg_transaction_value", "active_stores", "tbwa_revenue",
                     "competitor_revenue", pct("tbwa_revenue", "_items").alias("tbwa_market_share_percent"))
@@ -193,11 +205,16 @@ def focus_brand_performance(r: Retail, as_of: dt.date, days: int = 90,
     """Client brands only, per (brand, product category): baskets, units,
     revenue, mean line quantity, regions reached, rank by revenue."""
     lines = with_store(sales_lines(r, window_start(as_of, days)).where(F.col("brand_name").isin(*focus)), r)
-    m = (lines.groupBy("brand_name", "category")
-         .agg(count_distinct("interaction_id").alias("transaction_count"),
-              F.sum("quantity").cast("long").alias("total_units_sold"),
-              money_sum("line_revenue").alias("total_revenue"),
-              avg_num("quantity").alias("avg_quantity_per_transaction"),
+    # Level 1 per (brand, category, store): basket counts add up over stores
+    # (store -> region), leaving one distinct (regions) over small rows.
+    per_store = (lines.groupBy("brand_name", "category", "store_id", "region")
+                 .agg(count_distinct("interaction_id").alias("_tx"), F.sum("quantity").alias("_units"),
+                      F.count("quantity").alias("_lines"), F.sum("line_revenue").alias("_rev")))
+    m = (per_store.groupBy("brand_name", "category")
+         .agg(F.sum("_tx").cast("long").alias("transaction_count"),
+              F.sum("_units").cast("long").alias("total_units_sold"),
+              F.sum("_rev").cast("decimal(38,2)").alias("total_revenue"),
+              fixed(as_double(F.sum("_units")) / as_double(F.sum("_lines")), 6).alias("avg_quantity_per_transaction"),
               count_distinct("region").alias("regional_presence")))
     return m.withColumn("revenue_rank", rank_desc("total_revenue"))
 
@@ -210,20 +227,31 @@ def brand_competition(r: Retail, as_of: dt.date, days: int = 30,
     category, rank in category and overall, market position on the unrounded
     revenue share (>= .25 Leader, >= .15 Strong, >= .05 Challenger, else Niche)."""
     lines = with_store(sales_lines(r, window_start(as_of, days)), r)
-    bm = (lines.groupBy("brand_name", "brand_category")
-          .agg(count_distinct("interaction_id").alias("transactions"),
-               F.sum("quantity").cast("long").alias("units_sold"),
-               money_sum("line_revenue").alias("revenue"),
-               avg_num("quantity").alias("avg_quantity_per_transaction"),
+    # Two-level aggregation instead of three COUNT(DISTINCT)s (which Catalyst
+    # would plan as an Expand tripling the item rows): a basket belongs to one
+    # store and a store to one region, so per (brand, store) the distinct
+    # basket counts add up, each store is one row, and only the region count
+    # stays distinct, over the much smaller (brand, store) rows.
+    per_store = (lines.groupBy("brand_name", "brand_category", "store_id", "region")
+                 .agg(count_distinct("interaction_id").alias("_tx"),
+                      F.sum("quantity").cast("long").alias("_units"),
+                      F.sum("line_revenue").alias("_rev"),
+                      F.count("quantity").alias("_lines")))
+    bm = (per_store.groupBy("brand_name", "brand_category")
+          .agg(F.sum("_tx").cast("long").alias("transactions"),
+               F.sum("_units").cast("long").alias("units_sold"),
+               F.sum("_rev").cast("decimal(38,2)").alias("revenue"),
+               fixed(as_double(F.sum("_units")) / as_double(F.sum("_lines")), 6).alias("avg_quantity_per_transaction"),
                count_distinct("region").alias("regional_presence"),
-               count_distinct("store_id").alias("store_presence")))
-    # Category totals: a second small aggregate joined back on the category.
-    ct = (bm.groupBy(F.col("brand_category").alias("_cat"))
-          .agg(F.sum("revenue").alias("_cat_rev"), F.sum("units_sold").alias("_cat_units")))
+               F.count(F.lit(1)).alias("store_presence")))
+    # Category totals as a window over the brand rows (bounded by the number of
+    # brands), so the item join is computed once.
+    cat = Window.partitionBy("brand_category")
+    bm = bm.withColumn("_cat_rev", F.sum("revenue").over(cat)).withColumn("_cat_units", F.sum("units_sold").over(cat))
     share = as_double("revenue") / as_double("_cat_rev")
     position = (F.when(share >= positions[0], "Market Leader").when(share >= positions[1], "Strong Player")
                 .when(share >= positions[2], "Challenger").otherwise("Niche Player"))
-    return (bm.join(size_checked_broadcast(ct), F.col("brand_category") == F.col("_cat"))
+    return (bm
             .select("brand_name", "brand_category",
                     F.when(F.col("brand_name").isin(*focus), "TBWA Client").otherwise("Competitor")
                     .alias("brand_type"),

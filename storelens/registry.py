@@ -33,7 +33,7 @@ _REGISTRY: dict[str, tuple[Query, str | None]] = {}
 def register(key: str, oracle: str | None):
     def deco(fn: Callable[[Retail], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Retail(spark, sf_dir))
+            return fn(Retail.for_dir(spark, sf_dir))
 
         run.__name__ = key
         run.__doc__ = fn.__doc__

@@ -57,23 +57,46 @@ def _case(value: Column, mapping: list[tuple[object, str]], default: str) -> Col
     return expr.otherwise(F.lit(default))
 
 
+_CATALOGS: dict[tuple[int, str], "Retail"] = {}
+
+
 class Retail:
-    """Lazy retail frames over one scale-factor directory (or injected frames)."""
+    """Lazy retail frames over one scale-factor directory (or injected frames).
+
+    ``Retail.for_dir`` returns one shared instance per (session, directory):
+    the base scans (file listing, parquet footers) and the derived dimensions
+    are built once per session and reused by every operator.
+    """
 
     def __init__(self, spark: SparkSession, base_dir: str | None = None, **frames: DataFrame):
         self.spark = spark
         self.base_dir = base_dir.rstrip("/") if base_dir else None
         self._frames = frames
+        self._raw: dict[str, DataFrame] = {}
 
     @classmethod
     def from_frames(cls, spark: SparkSession, **frames: DataFrame) -> "Retail":
         return cls(spark, None, **frames)
 
+    @classmethod
+    def for_dir(cls, spark: SparkSession, base_dir: str) -> "Retail":
+        key = (id(spark), base_dir.rstrip("/"))
+        if key not in _CATALOGS:
+            _CATALOGS[key] = cls(spark, base_dir)
+        return _CATALOGS[key]
+
+    @staticmethod
+    def clear_catalogs() -> None:
+        """Forget cached scans (e.g. after the base tables were rewritten)."""
+        _CATALOGS.clear()
+
     # ------------------------------------------------------------------ base
     def raw(self, name: str) -> DataFrame:
         if self.base_dir is None:
             raise ValueError(f"no base directory to read {name!r} from")
-        return self.spark.read.parquet(f"{self.base_dir}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.base_dir}/{name}.parquet")
+        return self._raw[name]
 
     def _injected(self, name: str) -> DataFrame | None:
         return self._frames.get(name)
@@ -172,35 +195,45 @@ class Retail:
         injected = self._injected("sales_interactions")
         if injected is not None:
             df = injected
-        else:
-            orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                               "o_orderdate", "o_orderpriority")
+            ts = F.col("transaction_date")
             if start is not None:
-                orders = orders.where(F.col("o_orderdate") >= ts_lit(start - _MAX_HOUR_OFFSET))
+                df = df.where(ts >= ts_lit(start))
             if end is not None:
-                orders = orders.where(F.col("o_orderdate") < ts_lit(end))
-            customer = self.raw("customer").select("c_custkey", "c_nationkey")
-            ck = F.col("o_custkey")
-            df = orders.join(customer, ck == F.col("c_custkey")).select(
-                F.col("o_orderkey").alias("interaction_id"),
-                F.col("c_nationkey").alias("store_id"),
-                F.when(ck % 10 == 0, F.lit(None)).otherwise(ck).alias("customer_id"),
-                (F.col("o_orderdate").cast("timestamp_ntz")
-                 + F.make_dt_interval(hours=(F.col("o_orderkey") % 14 + 7).cast("int"))).alias("transaction_date"),
-                F.col("o_totalprice").cast(MONEY).alias("total_amount"),
-                F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("is_attendant_influenced"),
-                (F.col("o_orderstatus") == "P").alias("substitution_occurred"),
-                F.when(ck % 20 < 11, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
-                (F.lit(15) + ck % 60).cast("int").alias("age"),
-                _case(ck % 4, [(0, "happy"), (1, "neutral"), (2, "satisfied")], "curious").alias("emotion"),
-                (F.lit(30) + (F.col("o_orderkey") % 12) * 30).cast("long").alias("duration_seconds"),
-            )
-        ts = F.col("transaction_date")
+                df = df.where(ts < ts_lit(end))
+            return df
+        cond = F.lit(True)
         if start is not None:
-            df = df.where(ts >= ts_lit(start))
+            cond = cond & (F.col("_order_date") >= ts_lit(start - _MAX_HOUR_OFFSET)) \
+                & (F.col("transaction_date") >= ts_lit(start))
         if end is not None:
-            df = df.where(ts < ts_lit(end))
-        return df
+            cond = cond & (F.col("_order_date") < ts_lit(end)) & (F.col("transaction_date") < ts_lit(end))
+        base = self._interactions_base
+        return (base.where(cond) if start is not None or end is not None else base).drop("_order_date")
+
+    @cached_property
+    def _interactions_base(self) -> DataFrame:
+        """Adapter projection of orders x customer, plus the stored order date
+        (``_order_date``): bounds on it are pushed through the join into the
+        orders scan, bounds on ``transaction_date`` are exact."""
+        orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                           "o_orderdate", "o_orderpriority")
+        customer = self.raw("customer").select("c_custkey", "c_nationkey")
+        ck = F.col("o_custkey")
+        return orders.join(customer, ck == F.col("c_custkey")).select(
+            F.col("o_orderkey").alias("interaction_id"),
+            F.col("c_nationkey").alias("store_id"),
+            F.when(ck % 10 == 0, F.lit(None)).otherwise(ck).alias("customer_id"),
+            (F.col("o_orderdate").cast("timestamp_ntz")
+             + F.make_dt_interval(hours=(F.col("o_orderkey") % 14 + 7).cast("int"))).alias("transaction_date"),
+            F.col("o_totalprice").cast(MONEY).alias("total_amount"),
+            F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("is_attendant_influenced"),
+            (F.col("o_orderstatus") == "P").alias("substitution_occurred"),
+            F.when(ck % 20 < 11, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
+            (F.lit(15) + ck % 60).cast("int").alias("age"),
+            _case(ck % 4, [(0, "happy"), (1, "neutral"), (2, "satisfied")], "curious").alias("emotion"),
+            (F.lit(30) + (F.col("o_orderkey") % 12) * 30).cast("long").alias("duration_seconds"),
+            F.col("o_orderdate").alias("_order_date"),
+        )
 
     @cached_property
     def transaction_items(self) -> DataFrame:
