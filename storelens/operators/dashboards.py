@@ -111,6 +111,60 @@ def store_performance_dashboard(r: Retail, as_of: dt.date, days: int = 30,
     return out.orderBy(F.col("revenue_30d").desc_nulls_last())
 
 
+def store_performance_dashboard_dedup(r: Retail, as_of: dt.date, days: int = 30,
+                                      tiers: tuple[float, float, float] = (50000, 25000, 10000),
+                                      focus: tuple[str, ...] = FIXTURE_FOCUS_BRANDS) -> DataFrame:
+    """One row per store with basket metrics counted once per basket (no item
+    or device repetition); device columns summarise the store's devices:
+    device_count, active_devices, newest last_seen."""
+    start = window_start(as_of, days)
+    si = r.interactions(start)
+    focus_flag = F.col("brand_name").isin(*focus)
+    tbwa = (sales_lines(r, interactions=si.select("interaction_id"))
+            .groupBy(F.col("interaction_id").alias("_b"))
+            .agg(F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_tbwa_b")))
+    baskets = si.join(tbwa, F.col("interaction_id") == F.col("_b"), "left")
+    per_store = (baskets.groupBy(F.col("store_id").alias("_m_store"))
+                 .agg(F.count(F.lit(1)).alias("_tx"), money_sum("total_amount").alias("_rev"),
+                      F.avg("total_amount").alias("_avg"), count_distinct("customer_id").alias("_cust"),
+                      count_if(F.col("is_attendant_influenced")).alias("_infl"),
+                      count_if(F.col("substitution_occurred")).alias("_subs"),
+                      money_sum(F.coalesce(F.col("_tbwa_b"), F.lit(0))).alias("_tbwa")))
+    devices = (r.device_master.groupBy(F.col("store_id").alias("_d_store"))
+               .agg(F.count(F.lit(1)).alias("device_count"), count_when(F.col("status") == "active")
+                    .alias("active_devices"), F.max("last_seen").alias("last_seen")))
+    stores = r.stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name"), "region",
+                             "store_type")
+    base = (stores.join(per_store, F.col("store_id") == F.col("_m_store"), "left")
+            .join(devices, F.col("store_id") == F.col("_d_store"), "left"))
+    tx = F.coalesce(F.col("_tx"), F.lit(0)).cast("long")
+    rev = F.col("_rev")
+    tb = F.coalesce(F.col("_tbwa"), F.lit(0)).cast("decimal(38,2)")
+    return base.select(
+        "store_id", "store_name", "region", "store_type", tx.alias("transactions_30d"), rev.alias("revenue_30d"),
+        fixed("_avg", 6).alias("avg_transaction_value"),
+        F.coalesce(F.col("_cust"), F.lit(0)).cast("long").alias("unique_customers_30d"),
+        pct(F.coalesce(F.col("_infl"), F.lit(0)), tx).alias("influence_rate_percent"),
+        pct(F.coalesce(F.col("_subs"), F.lit(0)), tx).alias("substitution_rate_percent"),
+        F.coalesce(F.col("device_count"), F.lit(0)).cast("long").alias("device_count"),
+        F.coalesce(F.col("active_devices"), F.lit(0)).cast("long").alias("active_devices"), "last_seen",
+        tb.alias("tbwa_revenue"), pct(tb, rev).alias("tbwa_share_percent"),
+        F.when(rev >= tiers[0], "Top Performer").when(rev >= tiers[1], "Strong Performer")
+        .when(rev >= tiers[2], "Average Performer").when(rev > 0, "Underperformer")
+        .otherwise("No Activity").alias("performance_tier"))
+
+
+def executive_dashboard_dedup(r: Retail, as_of: dt.date, anomalies: DataFrame,
+                              focus: tuple[str, ...] = FIXTURE_FOCUS_BRANDS) -> DataFrame:
+    """executive_dashboard with the 30-day basket revenue counted once per
+    basket (baskets with at least one item, as the inner join requires)."""
+    base = executive_dashboard(r, as_of, anomalies, focus)
+    lines = sales_lines(r, window_start(as_of, 30))
+    per_basket = lines.groupBy("interaction_id", "customer_id", "total_amount").agg(F.count(F.lit(1)).alias("_n"))
+    month = per_basket.agg(money_sum("total_amount").alias("revenue_30d_dedup"))
+    return base.crossJoin(month)
+
+
 def _age_group(age: F.Column) -> F.Column:
     bands = [(18, 25), (26, 35), (36, 45), (46, 55), (56, 65)]
     expr = None

@@ -200,6 +200,46 @@ def philippine_market_analysis(r: Retail, as_of: dt.date, days: int = 90,
                     "competitor_revenue", pct("tbwa_revenue", "_items").alias("tbwa_market_share_percent"))
 
 
+def philippine_market_analysis_dedup(r: Retail, as_of: dt.date, days: int = 90,
+                                     focus: tuple[str, ...] = FIXTURE_FOCUS_BRANDS) -> DataFrame:
+    """philippine_market_analysis with each basket's amount counted once
+    (items summed per basket before the region aggregate)."""
+    lines = sales_lines(r, window_start(as_of, days))
+    focus_flag = F.col("brand_name").isin(*focus)
+    per_basket = (lines.groupBy("interaction_id", "store_id", "total_amount")
+                  .agg(F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_tbwa"),
+                       F.sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_comp"),
+                       F.sum("line_revenue").alias("_items")))
+    per_basket = with_mega_region(with_store(per_basket, r), r)
+    regions = r.regions_b().select(F.col("region").alias("_rg"), "population_millions", "economic_weight")
+    per_basket = per_basket.join(regions, F.col("region") == F.col("_rg")).drop("_rg")
+    m = (per_basket.groupBy("mega_region", "region", "population_millions", "economic_weight")
+         .agg(F.count(F.lit(1)).alias("total_transactions"),
+              money_sum("total_amount").alias("total_revenue"),
+              avg_money("total_amount").alias("avg_transaction_value"),
+              count_distinct("store_id").alias("active_stores"),
+              money_sum("_tbwa").alias("tbwa_revenue"), money_sum("_comp").alias("competitor_revenue"),
+              money_sum("_items").alias("_items")))
+    return m.select("mega_region", "region", "population_millions", "economic_weight", "total_transactions",
+                    "total_revenue", "avg_transaction_value", "active_stores", "tbwa_revenue",
+                    "competitor_revenue", pct("tbwa_revenue", "_items").alias("tbwa_market_share_percent"))
+
+
+def daily_sales_summary_dedup(r: Retail, as_of: dt.date, days: int = 90) -> DataFrame:
+    """daily_sales_summary with each basket counted once per group: lines are
+    reduced to (group, basket) first, so a basket with several items of the
+    same brand and category adds its amount and influence once."""
+    lines = with_store(sales_lines(r, window_start(as_of, days)), r, ("region", "store_type"))
+    keys = [F.to_date("transaction_date").alias("sale_date"), "region", "store_type", "brand_name", "category"]
+    per_basket = (lines.groupBy(*keys, "interaction_id", "total_amount", "is_attendant_influenced")
+                  .agg(F.count(F.lit(1)).alias("_lines")))
+    return (per_basket.groupBy("sale_date", "region", "store_type", "brand_name", "category")
+            .agg(F.count(F.lit(1)).alias("transaction_count"),
+                 money_sum("total_amount").alias("daily_revenue"),
+                 avg_money("total_amount").alias("avg_transaction_value"),
+                 count_if(F.col("is_attendant_influenced")).alias("influenced_sales")))
+
+
 def focus_brand_performance(r: Retail, as_of: dt.date, days: int = 90,
                             focus: tuple[str, ...] = FIXTURE_FOCUS_BRANDS) -> DataFrame:
     """Client brands only, per (brand, product category): baskets, units,

@@ -252,3 +252,40 @@ WHERE action = 'FAILED_ACCESS' AND audit_ts >= {ts(AUDIT_AS_OF)} - INTERVAL '{in
 GROUP BY 1, 2
 HAVING COUNT(*) > {min_attempts}
 ORDER BY 3 DESC"""
+
+
+def store_performance_dashboard_dedup(days: int = 30, tiers=(50000, 25000, 10000)) -> str:
+    tx, tb = "COALESCE(ps.tx, 0)", "CAST(COALESCE(ps.tbwa, 0) AS DECIMAL(38,2))"
+    return with_adapter(f"si30 AS (SELECT * FROM sales_interactions WHERE transaction_date >= {since(days)})",
+                        f"""tb AS (
+  SELECT ti.interaction_id, SUM(CASE WHEN b.name IN {FOCUS} THEN {line_rev()} ELSE 0 END) AS tbwa_b
+  FROM transaction_items ti JOIN products p ON ti.product_id = p.id JOIN brands b ON p.brand_id = b.id
+  WHERE ti.interaction_id IN (SELECT interaction_id FROM si30) GROUP BY 1)""", f"""ps AS (
+  SELECT si.store_id, COUNT(*) AS tx, {msum('si.total_amount')} AS rev, AVG(si.total_amount) AS av,
+    COUNT(DISTINCT si.customer_id) AS cust,
+    SUM(CASE WHEN si.is_attendant_influenced THEN 1 ELSE 0 END) AS infl,
+    SUM(CASE WHEN si.substitution_occurred THEN 1 ELSE 0 END) AS subs,
+    {msum('COALESCE(tb.tbwa_b, 0)')} AS tbwa
+  FROM si30 si LEFT JOIN tb ON si.interaction_id = tb.interaction_id GROUP BY 1)""", """dv AS (
+  SELECT store_id, COUNT(*) AS device_count, COUNT(CASE WHEN status = 'active' THEN 1 END) AS active_devices,
+    MAX(last_seen) AS last_seen FROM device_master GROUP BY 1)""") + f"""
+SELECT s.id AS store_id, s.name AS store_name, s.region, s.store_type, {tx} AS transactions_30d,
+  ps.rev AS revenue_30d, {fx('ps.av', 6)} AS avg_transaction_value,
+  COALESCE(ps.cust, 0) AS unique_customers_30d,
+  {pct('COALESCE(ps.infl, 0)', tx)} AS influence_rate_percent,
+  {pct('COALESCE(ps.subs, 0)', tx)} AS substitution_rate_percent,
+  COALESCE(dv.device_count, 0) AS device_count, COALESCE(dv.active_devices, 0) AS active_devices, dv.last_seen,
+  {tb} AS tbwa_revenue, {pct(tb, 'ps.rev')} AS tbwa_share_percent,
+  CASE WHEN ps.rev >= {tiers[0]} THEN 'Top Performer' WHEN ps.rev >= {tiers[1]} THEN 'Strong Performer'
+       WHEN ps.rev >= {tiers[2]} THEN 'Average Performer' WHEN ps.rev > 0 THEN 'Underperformer'
+       ELSE 'No Activity' END AS performance_tier
+FROM stores s LEFT JOIN ps ON s.id = ps.store_id LEFT JOIN dv ON s.id = dv.store_id"""
+
+
+def executive_dashboard_dedup(hv: dict, sp: dict, sb: dict) -> str:
+    dedup = with_adapter() + f"""
+SELECT {msum('si.total_amount')} AS revenue_30d_dedup FROM sales_interactions si
+WHERE si.transaction_date >= {since(30)} AND EXISTS (
+  SELECT 1 FROM transaction_items ti JOIN products p ON ti.product_id = p.id JOIN brands b ON p.brand_id = b.id
+  WHERE ti.interaction_id = si.interaction_id)"""
+    return f"SELECT e.*, d.revenue_30d_dedup FROM ({executive_dashboard(hv, sp, sb)}) e CROSS JOIN ({dedup}) d"

@@ -67,6 +67,10 @@ register("daily_sales_summary", views_sql.daily_sales_summary(90))(
     lambda r: views.daily_sales_summary(r, AS_OF, 90))
 register("executive_kpis", views_sql.executive_kpis(30))(lambda r: views.executive_kpis(r, AS_OF, 30))
 register("daily_revenue", views_sql.daily_revenue())(lambda r: views.daily_revenue(r))
+register("philippine_market_analysis_dedup", views_sql.philippine_market_analysis_dedup(90))(
+    lambda r: views.philippine_market_analysis_dedup(r, AS_OF, 90))
+register("daily_sales_summary_dedup", views_sql.daily_sales_summary_dedup(90))(
+    lambda r: views.daily_sales_summary_dedup(r, AS_OF, 90))
 
 # ------------------------------------------------------- §2.4 anomaly rules
 HV = dict(k=1.5, base_days=30, scan_days=7)
@@ -98,6 +102,10 @@ register("executive_dashboard", dash_sql.executive_dashboard(HV, SP, SB))(
     lambda r: dashboards.executive_dashboard(r, AS_OF, fixture_anomalies(r)))
 register("store_performance_dashboard", dash_sql.store_performance_dashboard(30, STORE_TIERS))(
     lambda r: dashboards.store_performance_dashboard(r, AS_OF, 30, tiers=STORE_TIERS))
+register("store_performance_dashboard_dedup", dash_sql.store_performance_dashboard_dedup(30, STORE_TIERS))(
+    lambda r: dashboards.store_performance_dashboard_dedup(r, AS_OF, 30, tiers=STORE_TIERS))
+register("executive_dashboard_dedup", dash_sql.executive_dashboard_dedup(HV, SP, SB))(
+    lambda r: dashboards.executive_dashboard_dedup(r, AS_OF, fixture_anomalies(r)))
 register("customer_analytics", dash_sql.customer_analytics(30, VALUE_CUTS))(
     lambda r: dashboards.customer_analytics(r, AS_OF, 30, value_cuts=VALUE_CUTS))
 register("system_health", dash_sql.system_health(HV, SP, SB))(
