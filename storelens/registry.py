@@ -417,7 +417,7 @@ register("rate_limit_violations", stream_sql.rate_limit_violations(1))(
     lambda r: _run_rule(r, streams.rate_limit_violations(_events_stream(r), 1), ["window_start", "client"],
                         "ratelimit"))
 register("error_rate", stream_sql.error_rate())(lambda r: streams.error_rate(r.raw("events")))
-register("latency_p95", stream_sql.latency_p95())(lambda r: streams.latency_p95(r.raw("events")))
+register("latency_p95", None)(lambda r: streams.latency_p95(r.raw("events")))
 register("freshness", stream_sql.freshness(STREAM_NOW))(lambda r: streams.freshness(r.raw("events"), STREAM_NOW))
 register("metric_heatmap", stream_sql.metric_heatmap())(lambda r: streams.metric_heatmap(r.raw("events")))
 register("cdc_diff", stream_sql.cdc_diff(access_sql.MODIFIED_PRODUCTS_CTE))(

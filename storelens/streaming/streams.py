@@ -96,9 +96,12 @@ def error_rate(events: DataFrame, window: str = "1 hour", good: float = 0.01, wa
                     F.when(share <= good, "good").when(share <= warn, "warning").otherwise("critical").alias("grade"))
 
 
-def latency_p95(events: DataFrame, window: str = "1 day", exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """95th percentile of the value per window. Exact (``percentile``) for
-    checks; ``percentile_approx`` (bounded memory per group) at scale."""
+def latency_p95(events: DataFrame, window: str = "1 day", exact: bool = False, accuracy: int = 10000) -> DataFrame:
+    """95th percentile of the value per window: ``percentile_approx`` (a
+    bounded sketch per group, relative rank error 1/accuracy; it returns a value
+    of the group, exact nearest-rank while the group has at most ``accuracy``
+    values). ``exact=True`` uses the interpolating ``percentile``, which keeps
+    every value of a window in memory — only for small windows."""
     df = events.withColumn("event_ts", F.col("ts").cast("timestamp"))
     p = F.percentile(F.col("value"), F.lit(0.95)) if exact else F.percentile_approx("value", 0.95, accuracy)
     return (df.groupBy(F.window("event_ts", window).alias("w")).agg(p.alias("_p95"), F.count(F.lit(1)).alias("samples"))

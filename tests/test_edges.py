@@ -194,3 +194,25 @@ def test_streaming_equals_batch_live_kpis(spark):
     stream = spark.readStream.schema(r.interactions().schema).parquet(f"{base}/src")
     streams.run_update_stream(streams.live_kpis(stream), f"{base}/sink", f"{base}/ck", "live_test")
     assert rows(streams.latest_rows(spark, f"{base}/sink", ["day"])) == batch
+
+
+def test_latency_p95_is_nearest_rank(spark):
+    # percentile_approx with accuracy >= group size returns the exact
+    # nearest-rank value: the smallest v with at least 95 % of values <= v.
+    import math
+    import random
+
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    data = [(i, base + dt.timedelta(minutes=rnd.randrange(2880)), 1, "view", round(rnd.uniform(0, 500), 2), "{}")
+            for i in range(3000)]
+    ev = spark.createDataFrame(data, "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                                     "value double, props string")
+    got = {r["window_start"].date(): r["p95_value"] for r in streams.latency_p95(ev).collect()}
+    by_day: dict = {}
+    for _, t, _, _, v, _ in data:
+        by_day.setdefault(t.date(), []).append(v)
+    for day, values in by_day.items():
+        values.sort()
+        expect = values[math.ceil(0.95 * len(values)) - 1]
+        assert got[day] == expect, day
