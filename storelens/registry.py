@@ -15,6 +15,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelens import jobs
 from storelens.oracles import access_sql, dash_sql, metrics_sql, proc_sql, stream_sql, views_sql
 from storelens.operators import access, anomalies, dashboards, metrics, prep, procedures, views
 from storelens.session import scratch_path
@@ -33,6 +34,10 @@ _REGISTRY: dict[str, tuple[Query, str | None]] = {}
 def register(key: str, oracle: str | None):
     def deco(fn: Callable[[Retail], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Times are wall-clock UTC (TIMESTAMP_NTZ); day windows and epoch
+            # arithmetic assume a UTC session.
+            if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(Retail.for_dir(spark, sf_dir))
 
         run.__name__ = key
@@ -443,6 +448,16 @@ def _cdc_route(r: Retail) -> DataFrame:
 
 
 register("stream_ingest_json", None)(_stream_ingest)
+
+# ------------------------------------------------------------- refresh job
+REFRESH_PARAMS = {"product_performance": {"tiers": PRODUCT_TIERS}, "store_performance_dashboard": {"tiers": STORE_TIERS}}
+
+register("refresh_analytics", None)(
+    lambda r: jobs.refresh_analytics(r.spark, r, _scratch(r, "refresh"), AS_OF, REFRESH_PARAMS))
+register("brand_competition_shared_lines", views_sql.brand_competition(30))(
+    lambda r: views.brand_competition(jobs.with_shared_lines(r, datetime.datetime(2001, 5, 3)), AS_OF, 30))
+register("executive_kpis_shared_lines", views_sql.executive_kpis(30))(
+    lambda r: views.executive_kpis(jobs.with_shared_lines(r, datetime.datetime(2001, 5, 3)), AS_OF, 30))
 register("cdc_route", None)(_cdc_route)
 
 

@@ -119,16 +119,12 @@ def _audit(spark: SparkSession, base: str, name: str, action: str, payload: str,
      .write.mode("append").parquet(f"{base.rstrip('/')}/_audit"))
 
 
-def snapshot_refresh(spark: SparkSession, base: str, name: str, df: DataFrame,
-                     now: dt.datetime | None = None) -> DataFrame:
-    """Recompute a stored view: write a new version folder, then append a
-    manifest row pointing at it (readers switch atomically to the newest
-    complete version). START / COMPLETE / ERROR audit rows are separate
-    appends, so an error is recorded even though the refresh fails."""
-    now = now or dt.datetime.now()
+def write_version(spark: SparkSession, base: str, name: str, df: DataFrame, now: dt.datetime) -> tuple:
+    """Write ``df`` as a new version folder of ``name``; returns its manifest
+    row. On failure an ERROR audit row is appended at once (independently of
+    the failed write) and the error is re-raised."""
     version = now.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
     path = f"{base.rstrip('/')}/{name}/v={version}"
-    _audit(spark, base, name, "REFRESH_START", f'{{"view": "{name}"}}', now)
     t0 = time.time()
     obs = Observation(f"snap_{name}_{version}")
     try:
@@ -136,15 +132,29 @@ def snapshot_refresh(spark: SparkSession, base: str, name: str, df: DataFrame,
     except Exception as e:  # noqa: BLE001
         _audit(spark, base, name, "REFRESH_ERROR", f'{{"view": "{name}", "error": {str(e)[:200]!r}}}', now)
         raise
-    rows = int(obs.get["rows"])
-    took = time.time() - t0
-    manifest = spark.createDataFrame([(name, version, path, rows, now, took)], MANIFEST_SCHEMA)
+    return (name, version, path, int(obs.get["rows"]), now, time.time() - t0)
+
+
+def publish_versions(spark: SparkSession, base: str, rows: list[tuple], now: dt.datetime) -> DataFrame:
+    """Append the manifest rows of written versions (readers switch to them
+    together) and one COMPLETE audit row per view."""
+    manifest = spark.createDataFrame(rows, MANIFEST_SCHEMA)
     manifest.write.mode("append").parquet(f"{base.rstrip('/')}/_manifest")
-    _audit(spark, base, name, "REFRESH_COMPLETE",
-           f'{{"view": "{name}", "rows": {rows}, "duration_seconds": {took:.3f}}}', now)
+    audit = [("materialized_views", "REFRESH_COMPLETE",
+              f'{{"view": "{n}", "rows": {c}, "duration_seconds": {d:.3f}}}', now) for n, _v, _p, c, _t, d in rows]
+    spark.createDataFrame(audit, AUDIT_SCHEMA).write.mode("append").parquet(f"{base.rstrip('/')}/_audit")
     return manifest
 
 
+def snapshot_refresh(spark: SparkSession, base: str, name: str, df: DataFrame,
+                     now: dt.datetime | None = None) -> DataFrame:
+    """Recompute one stored view: write a new version folder, then append a
+    manifest row pointing at it (readers switch atomically to the newest
+    complete version), with COMPLETE / ERROR audit rows."""
+    now = now or dt.datetime.now()
+    return publish_versions(spark, base, [write_version(spark, base, name, df, now)], now)
+
+
 def latest_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame | None:
     """The manifest row of the newest version of ``name`` (or None)."""
     try:

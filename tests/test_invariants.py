@@ -71,3 +71,29 @@ def test_detection_state_resolves_previous_run(spark):
     n = first.count()
     assert counts.get("resolved", 0) == n and counts.get("active", 0) == n
     assert audit.count() == 1
+
+
+def test_refresh_run_equals_direct_views(spark, tmp_path):
+    from storelens import jobs
+    from storelens.registry import REFRESH_PARAMS
+
+    r = Retail.for_dir(spark, SMOKE_DIR)
+    manifest = jobs.refresh_analytics(spark, r, str(tmp_path / "refresh"), AS_OF, REFRESH_PARAMS)
+    paths = {row["name"]: row["path"] for row in manifest.collect()}
+    direct = jobs.stored_views(AS_OF, REFRESH_PARAMS)
+    for name in ("brand_competition_dashboard", "daily_sales", "mv_executive_kpis", "product_performance"):
+        stored = spark.read.parquet(paths[name])
+        fresh = direct[name](r)
+        assert stored.exceptAll(fresh.select(*stored.columns)).count() == 0, name
+        assert fresh.select(*stored.columns).exceptAll(stored).count() == 0, name
+
+
+def test_entry_under_non_utc_session(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Manila")
+    try:
+        rows = {r["day"]: r["transactions"] for r in QUERIES["daily_revenue"](spark, SMOKE_DIR)
+                .withColumnRenamed("date", "day").collect()}
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert sum(rows.values()) == Retail.for_dir(spark, SMOKE_DIR).interactions().count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
