@@ -42,12 +42,20 @@ def executive_dashboard(r: Retail, as_of: dt.date, anomalies: DataFrame,
         money_sum(amt).alias("revenue_7d"),
         count_distinct("customer_id").alias("unique_customers_7d"))
     focus_flag = F.col("brand_name").isin(*focus)
-    month = sales_lines(r, window_start(as_of, 30)).agg(
-        count_distinct("interaction_id").alias("transactions_30d"),
-        money_sum("total_amount").alias("revenue_30d"),
+    # Items reduced per basket first (the join output is already partitioned
+    # by basket): basket amounts are summed once per item row as written,
+    # and only the customer count stays distinct.
+    per_basket = (sales_lines(r, window_start(as_of, 30))
+                  .groupBy("interaction_id", "customer_id", "total_amount")
+                  .agg(F.count(F.lit(1)).alias("_n"),
+                       F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_tbwa"),
+                       F.sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_comp")))
+    month = per_basket.agg(
+        F.count(F.lit(1)).alias("transactions_30d"),
+        money_sum(F.col("total_amount") * F.col("_n")).alias("revenue_30d"),
         count_distinct("customer_id").alias("unique_customers_30d"),
-        money_sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("tbwa_revenue_30d"),
-        money_sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("competitor_revenue_30d"))
+        money_sum("_tbwa").alias("tbwa_revenue_30d"),
+        money_sum("_comp").alias("competitor_revenue_30d"))
     anom = anomalies.agg(count_when(F.col("status") == "active").alias("active_anomalies"))
     dev = r.device_master.agg(count_when(F.col("status") == "active").alias("active_devices"),
                               count_when(F.col("status") != "active").alias("inactive_devices"))
@@ -75,14 +83,22 @@ def store_performance_dashboard(r: Retail, as_of: dt.date, days: int = 30,
     """
     lines = sales_lines(r, window_start(as_of, days), how="left")
     focus_flag = F.col("brand_name").isin(*focus)
-    per_store = (lines.groupBy(F.col("store_id").alias("_m_store"))
-                 .agg(count_distinct("interaction_id").alias("_tx"),
-                      money_sum("total_amount").alias("_rev"),
-                      F.avg("total_amount").alias("_avg"),
+    # Items reduced per basket first; basket values then count once per item
+    # row (weight _n, a LEFT join keeps item-less baskets as one row).
+    per_basket = (lines.groupBy("store_id", "interaction_id", "customer_id", "total_amount",
+                                "is_attendant_influenced", "substitution_occurred")
+                  .agg(F.count(F.lit(1)).alias("_n"),
+                       F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_tb")))
+    n_rows = F.col("_n")
+    per_store = (per_basket.groupBy(F.col("store_id").alias("_m_store"))
+                 .agg(F.count(F.lit(1)).alias("_tx"),
+                      money_sum(F.col("total_amount") * n_rows).alias("_rev"),
+                      (F.sum(F.col("total_amount") * n_rows) / F.sum(F.when(F.col("total_amount").isNotNull(), n_rows)))
+                      .alias("_avg"),
                       count_distinct("customer_id").alias("_cust"),
-                      count_if(F.col("is_attendant_influenced")).alias("_infl"),
-                      count_if(F.col("substitution_occurred")).alias("_subs"),
-                      money_sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_tbwa")))
+                      F.sum(F.when(F.col("is_attendant_influenced"), n_rows).otherwise(0)).cast("long").alias("_infl"),
+                      F.sum(F.when(F.col("substitution_occurred"), n_rows).otherwise(0)).cast("long").alias("_subs"),
+                      money_sum("_tb").alias("_tbwa")))
     devices = (r.device_master.groupBy(F.col("store_id").alias("_d_store"), "status", "last_seen")
                .agg(F.count(F.lit(1)).alias("_n")))
     stores = r.stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name"), "region",

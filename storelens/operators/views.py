@@ -131,17 +131,26 @@ def regional_performance(r: Retail, as_of: dt.date, days: int = 90,
     row (rates can exceed 100 %). Four brand revenue columns (first four focus
     brands), their total and share, rank by revenue."""
     lines = with_store(sales_lines(r, window_start(as_of, days), how="left"), r)
-    brand_aggs = [money_sum(F.when(F.col("brand_name") == b, F.col("line_revenue")).otherwise(F.lit(0)))
-                  .alias(c) for b, c in zip(brands4, _REGIONAL_BRAND_COLS)]
-    m = (lines.groupBy("region")
+    # Level 1 per (region, store, customer): each basket has one store and one
+    # customer, so its distinct count adds up over these rows; the two
+    # remaining distincts (stores, customers) run over far fewer rows than the
+    # item lines.
+    per = (lines.groupBy("region", "store_id", "customer_id")
+           .agg(count_distinct("interaction_id").alias("_tx"),
+                F.sum("total_amount").alias("_amt"), F.count("total_amount").alias("_n"),
+                count_if(F.col("is_attendant_influenced")).alias("_infl"),
+                count_if(F.col("substitution_occurred")).alias("_subs"),
+                *[F.sum(F.when(F.col("brand_name") == b, F.col("line_revenue")).otherwise(F.lit(0))).alias(c)
+                  for b, c in zip(brands4, _REGIONAL_BRAND_COLS)]))
+    m = (per.groupBy("region")
          .agg(count_distinct("store_id").alias("store_count"),
-              count_distinct("interaction_id").alias("total_transactions"),
-              money_sum("total_amount").alias("total_revenue"),
-              avg_money("total_amount").alias("avg_transaction_value"),
+              F.sum("_tx").cast("long").alias("total_transactions"),
+              F.sum("_amt").cast("decimal(38,2)").alias("total_revenue"),
+              fixed(F.sum("_amt") / F.sum("_n"), 6).alias("avg_transaction_value"),
               count_distinct("customer_id").alias("unique_customers"),
-              count_if(F.col("is_attendant_influenced")).alias("influenced_sales"),
-              count_if(F.col("substitution_occurred")).alias("substitution_events"),
-              *brand_aggs))
+              F.sum("_infl").cast("long").alias("influenced_sales"),
+              F.sum("_subs").cast("long").alias("substitution_events"),
+              *[F.sum(c).cast("decimal(38,2)").alias(c) for c in _REGIONAL_BRAND_COLS]))
     return _regional_finish(m, _REGIONAL_BRAND_COLS)
 
 
