@@ -78,6 +78,23 @@ class Retail:
     def from_frames(cls, spark: SparkSession, **frames: DataFrame) -> "Retail":
         return cls(spark, None, **frames)
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str | None = None,
+                     names: dict[str, str] | None = None) -> "Retail":
+        """Retail tables stored as such in the session catalog (a metastore
+        table, a view over a JDBC source registered with ``spark.read.jdbc``
+        and partitioned options, a temp view, ...). ``names`` maps retail
+        table names to catalog names; missing tables stay unavailable."""
+        retail_tables = ("brands", "products", "ph_regions", "stores", "device_master", "sales_interactions",
+                         "transaction_items", "audit_log")
+        frames = {}
+        for t in retail_tables:
+            name = (names or {}).get(t, t)
+            full = f"{database}.{name}" if database else name
+            if spark.catalog.tableExists(full):
+                frames[t] = spark.table(full)
+        return cls(spark, None, **frames)
+
     @classmethod
     def for_dir(cls, spark: SparkSession, base_dir: str) -> "Retail":
         key = (id(spark), base_dir.rstrip("/"))

@@ -216,3 +216,19 @@ def test_latency_p95_is_nearest_rank(spark):
         values.sort()
         expect = values[math.ceil(0.95 * len(values)) - 1]
         assert got[day] == expect, day
+
+
+def test_retail_from_catalog(spark):
+    # Retail tables registered in the catalog (here temp views) feed the same operators.
+    si = [si_row(1, 1, 1, ts(1), 100), si_row(2, 3, 2, ts(2), 50)]
+    src = world(spark, si, [(1, 10, 1), (2, 30, 2)])
+    for name in ("brands", "products", "ph_regions", "stores", "transaction_items"):
+        src.table(name).createOrReplaceTempView(f"cat_{name}")
+    src.interactions().createOrReplaceTempView("cat_sales_interactions")
+    names = {t: f"cat_{t}" for t in ("brands", "products", "ph_regions", "stores", "transaction_items",
+                                      "sales_interactions")}
+    from storelens.sources.retail import Retail
+
+    r = Retail.from_catalog(spark, names=names)
+    assert rows(views.brand_competition(r, AS_OF, 30), "brand_name", "transactions") == \
+        rows(views.brand_competition(src, AS_OF, 30), "brand_name", "transactions")
