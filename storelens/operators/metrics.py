@@ -36,21 +36,24 @@ def kpi_cards(r: Retail, date_from: dt.date | None = None, date_to: dt.date | No
     si = r.interactions(start, end)
     if regions:
         si = with_store(si, r).where(F.col("region").isin(*regions))
-    lines = sales_lines(r, interactions=si.select("interaction_id", "total_amount"))
+    lines = sales_lines(r, interactions=si.select("interaction_id"))
     item_filter = F.lit(True)
     if categories:
         item_filter = item_filter & F.col("category").isin(*categories)
     if brands:
         item_filter = item_filter & F.col("brand_name").isin(*brands)
-    matching = lines.where(item_filter)
-    if categories or brands:
-        keep = matching.select(F.col("interaction_id").alias("_k"))
-        si = si.join(keep, F.col("interaction_id") == F.col("_k"), "left_semi")
-    header = si.agg(money_sum("total_amount").alias("total_revenue"),
-                    F.count(F.lit(1)).alias("transactions"),
-                    fixed(F.avg("total_amount"), 6).alias("avg_order_value"))
-    units = matching.agg(F.sum("quantity").cast("long").alias("units_sold"))
-    return header.crossJoin(units)
+    # One pass over the items: per basket, whether it holds a matching item and
+    # the matching units; baskets then join 1:1 (both sides keyed by basket).
+    per_basket = (lines.groupBy(F.col("interaction_id").alias("_b"))
+                  .agg(F.max(item_filter).alias("_hit"),
+                       F.sum(F.when(item_filter, F.col("quantity"))).alias("_units")))
+    j = si.select("interaction_id", "total_amount").join(per_basket, F.col("interaction_id") == F.col("_b"), "left")
+    keep = F.coalesce(F.col("_hit"), F.lit(False)) if (categories or brands) else F.lit(True)
+    amount = F.when(keep, F.col("total_amount"))
+    return j.agg(money_sum(amount).alias("total_revenue"),
+                 F.count(F.when(keep, F.lit(1))).alias("transactions"),
+                 fixed(F.avg(amount), 6).alias("avg_order_value"),
+                 F.sum("_units").cast("long").alias("units_sold"))
 
 
 def revenue_trend(r: Retail, as_of: dt.date, days: int = 30) -> DataFrame:
@@ -321,17 +324,21 @@ def dq_score(r: Retail, now: dt.datetime, null_pct_max: float = 5.0, avg_range:
         ("future_transactions", as_double("future_count"), ~(F.col("future_count") > 0), 15),
         ("orphaned_items", as_double("orphan_count"), ~(F.col("orphan_count") > 0), 15),
     ]
-    rows = [s.select(F.lit(name).alias("check_name"), value.cast("double").alias("value"),
-                     F.coalesce(ok, F.lit(True)).alias("passed"),
-                     F.when(F.coalesce(ok, F.lit(True)), 0).otherwise(pen).cast("long").alias("penalty"))
-            for name, value, ok, pen in checks]
-    out = rows[0]
-    for x in rows[1:]:
-        out = out.unionByName(x)
-    score = out.agg((F.lit(100) - F.sum("penalty")).cast("double").alias("value")).select(
-        F.lit("data_quality_score").alias("check_name"), "value", (F.col("value") >= 0).alias("passed"),
-        F.lit(0).cast("long").alias("penalty"))
-    return out.unionByName(score)
+    # All checks come from the one stats row: one struct per check, plus the
+    # score, exploded into rows (no union re-reading the stats branches).
+    def check(name, value, passed, penalty):
+        return F.struct(F.lit(name).alias("check_name"), value.cast("double").alias("value"),
+                        passed.alias("passed"), penalty.cast("long").alias("penalty"))
+
+    structs, penalties = [], []
+    for name, value, ok, pen in checks:
+        passed = F.coalesce(ok, F.lit(True))
+        penalty = F.when(passed, F.lit(0)).otherwise(F.lit(pen))
+        structs.append(check(name, value, passed, penalty))
+        penalties.append(penalty)
+    score = F.lit(100) - sum(penalties[1:], penalties[0])
+    structs.append(check("data_quality_score", score, score >= 0, F.lit(0)))
+    return s.select(F.explode(F.array(*structs)).alias("c")).select("c.*")
 
 
 def market_checks(r: Retail, focus: tuple[str, ...] = FIXTURE_FOCUS_BRANDS, min_regions: int = 15,
