@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from storelens.functions.columns import midnight, ts_lit
 from storelens.plans.broadcast import size_checked_broadcast
+from storelens.plans.scalars import one_row
 from storelens.sources.retail import Retail
 
 ADMIN = "db_admin"
@@ -186,7 +187,7 @@ def grant_access(grants: DataFrame, granting_user: int, user_id: int, store_id:
         (F.coalesce(F.col("_auth"), F.lit(False)) | F.lit(caller_is_db_admin)).alias("_ok"))
     new_row = spark.createDataFrame(
         [(None, user_id, store_id, access_level, granting_user, now, expires_at, True)], GRANT_SCHEMA)
-    new_row = new_row.crossJoin(auth).where("_ok").drop("_ok").withColumn("_v", F.lit(1))
+    new_row = new_row.where(one_row(auth).getField("_ok")).withColumn("_v", F.lit(1))
     combined = grants.withColumn("_v", F.lit(0)).unionByName(new_row)
     w = Window.partitionBy("user_id", "store_id").orderBy(F.col("_v").desc())
     # On conflict the existing row keeps its id, the new values replace the rest.
@@ -207,9 +208,8 @@ def revoke_access(grants: DataFrame, revoking_user: int, user_id: int, store_id:
     now = now or dt.datetime.now()
     auth = _is_store_admin(grants, revoking_user, store_id).select(
         (F.coalesce(F.col("_auth"), F.lit(False)) | F.lit(caller_is_db_admin)).alias("_ok"))
-    hit = (F.col("user_id") == user_id) & (F.col("store_id") == store_id) & F.col("_ok")
-    state = (grants.crossJoin(F.broadcast(auth))
-             .withColumn("is_active", F.when(hit, F.lit(False)).otherwise(F.col("is_active"))).drop("_ok"))
+    hit = (F.col("user_id") == user_id) & (F.col("store_id") == store_id) & one_row(auth).getField("_ok")
+    state = grants.withColumn("is_active", F.when(hit, F.lit(False)).otherwise(F.col("is_active")))
     audit = auth.where("_ok").select(
         F.lit("user_store_access").alias("table_name"), F.lit("REVOKE_ACCESS").alias("action"),
         F.to_json(F.struct(F.lit(user_id).alias("user_id"), F.lit(store_id).alias("store_id"),

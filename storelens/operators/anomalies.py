@@ -1,8 +1,8 @@
 """Sales anomaly rules and the stateful detection job.
 
 Statistics the reference keeps in PL/pgSQL variables (mean, standard deviation)
-are one-row aggregates here, cross-joined as a broadcast of a single row: no
-value ever passes through the driver.
+are one-row aggregates here, read back as scalar subqueries (computed once by
+Spark, no join): no value passes through our driver code.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from storelens.functions.columns import as_double, count_if, fixed, midnight, ratio, ts_lit
 from storelens.plans.lines import window_start
+from storelens.plans.scalars import one_row, with_scalars
 from storelens.sources.retail import Retail
 
 ANOMALY_TYPES = ("SUSPICIOUS_TRANSACTION", "UNUSUAL_PATTERN", "HIGH_SUBSTITUTION_RATE")
@@ -28,8 +29,8 @@ def anomaly_high_value(r: Retail, as_of: dt.date, k: float = 3.0, base_days: int
                   .alias("_threshold")))
     scan = r.interactions(window_start(as_of, scan_days))
     amount = as_double("total_amount")
-    th = F.col("_threshold")
-    return (scan.crossJoin(F.broadcast(stats)).where(amount > th)
+    th = one_row(stats).getField("_threshold")
+    return (scan.where(amount > th)
             .select(F.lit("SUSPICIOUS_TRANSACTION").alias("anomaly_type"), "interaction_id", "store_id",
                     F.col("total_amount").alias("amount"), fixed(th, 2).alias("threshold"),
                     F.col("transaction_date").alias("transaction_date"),
@@ -43,8 +44,9 @@ def anomaly_store_pattern(r: Retail, as_of: dt.date, k: float = 2.0, days: int =
           .agg(F.avg("total_amount").alias("avg_amount"), F.count(F.lit(1)).alias("transaction_count"))
           .where(F.col("transaction_count") >= min_txn))
     ps = sp.agg(F.avg("avg_amount").alias("_overall_avg"), F.stddev_samp(as_double("avg_amount")).alias("_std"))
+    sp = with_scalars(sp, ps)
     dev = F.abs(as_double(F.col("avg_amount") - F.col("_overall_avg")))
-    return (sp.crossJoin(F.broadcast(ps)).where(dev > F.lit(float(k)) * F.col("_std"))
+    return (sp.where(dev > F.lit(float(k)) * F.col("_std"))
             .select(F.lit("UNUSUAL_PATTERN").alias("anomaly_type"), "store_id",
                     fixed("avg_amount", 6).alias("store_avg_amount"),
                     fixed("_overall_avg", 6).alias("overall_avg_amount"),

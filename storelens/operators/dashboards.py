@@ -14,6 +14,7 @@ from storelens.functions.columns import (
 from storelens.operators.views import growth_pct
 from storelens.params import FIXTURE_FOCUS_BRANDS
 from storelens.plans.broadcast import size_checked_broadcast
+from storelens.plans.scalars import with_scalars
 from storelens.plans.lines import day_bounds, sales_lines, window_start, with_mega_region, with_store
 from storelens.sources.retail import Retail
 
@@ -60,7 +61,7 @@ def executive_dashboard(r: Retail, as_of: dt.date, anomalies: DataFrame,
     dev = r.device_master.agg(count_when(F.col("status") == "active").alias("active_devices"),
                               count_when(F.col("status") != "active").alias("inactive_devices"))
     client = F.col("tbwa_revenue_30d")
-    return (short.crossJoin(month).crossJoin(anom).crossJoin(dev)
+    return (with_scalars(short, month, anom, dev)
             .select(F.lit(as_of).alias("dashboard_date"), "total_transactions_today", "revenue_today",
                     "active_stores_today", "avg_transaction_today",
                     growth_pct("revenue_today", "revenue_yesterday").alias("revenue_growth_dod_percent"),
@@ -178,7 +179,7 @@ def executive_dashboard_dedup(r: Retail, as_of: dt.date, anomalies: DataFrame,
     lines = sales_lines(r, window_start(as_of, 30))
     per_basket = lines.groupBy("interaction_id", "customer_id", "total_amount").agg(F.count(F.lit(1)).alias("_n"))
     month = per_basket.agg(money_sum("total_amount").alias("revenue_30d_dedup"))
-    return base.crossJoin(month)
+    return with_scalars(base, month)
 
 
 def _age_group(age: F.Column) -> F.Column:
@@ -245,7 +246,7 @@ def system_health(r: Retail, as_of: dt.date, anomalies: DataFrame, active_connec
     anomaly_part = F.when(high == 0, F.lit(30.0)).otherwise(F.lit(30.0) - F.least(high * 10, F.lit(30)))
     conn_part = 30.0 if conns < 50 else 30.0 - min((conns - 50) * 2, 30)
     score = device_part + anomaly_part + F.lit(float(conn_part))
-    return (dh.crossJoin(dq).crossJoin(an)
+    return (with_scalars(dh, dq, an)
             .select(ts_lit(as_of).alias("health_check_time"), "total_devices", "active_devices",
                     "maintenance_devices", "offline_devices", "stale_devices",
                     pct("active_devices", "total_devices").alias("device_uptime_percent"),

@@ -18,6 +18,7 @@ from storelens.functions.columns import (
 from storelens.operators.dashboards import _age_group
 from storelens.params import FIXTURE_FOCUS_BRANDS
 from storelens.plans.broadcast import size_checked_broadcast
+from storelens.plans.scalars import with_scalars
 from storelens.plans.lines import sales_lines, window_start, with_mega_region, with_store
 from storelens.sources.retail import Retail
 
@@ -100,8 +101,7 @@ def dow_distribution(hourly: DataFrame) -> DataFrame:
 
 
 def share_table(df: DataFrame, group: str) -> DataFrame:
-    """Count per group and its percentage of all rows (the total is a
-    one-row aggregate, broadcast as a single row)."""
+    """Count per group and its percentage of all rows."""
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("count"))
     # The grouped frame has one row per group value (a small dimension), so the
     # total is a window over it rather than a second pass over ``df``.
@@ -315,7 +315,7 @@ def dq_score(r: Retail, now: dt.datetime, null_pct_max: float = 5.0, avg_range:
     orphans = (r.transaction_items.join(si.select(F.col("interaction_id").alias("_i")),
                                         F.col("interaction_id") == F.col("_i"), "left_anti")
                .agg(F.count(F.lit(1)).alias("orphan_count")))
-    s = stats.crossJoin(orphans)
+    s = with_scalars(stats, orphans)
     avg_ok = F.col("_avg").between(avg_range[0], avg_range[1])
     checks = [
         ("null_percentage", F.col("null_pct"), ~(F.col("null_pct") > null_pct_max), 20),
@@ -352,7 +352,7 @@ def market_checks(r: Retail, focus: tuple[str, ...] = FIXTURE_FOCUS_BRANDS, min_
                     .alias("tbwa_revenue"),
                     money_sum(F.when(~F.col("brand_name").isin(*focus), F.col("total_price")).otherwise(F.lit(0)))
                     .alias("competitor_revenue"))
-    m = regions.crossJoin(brands).crossJoin(split)
+    m = with_scalars(regions, brands, split)
     share = pct("tbwa_revenue", F.col("tbwa_revenue") + F.col("competitor_revenue"))
     return m.select("region_count", (F.col("region_count") >= min_regions).alias("regional_coverage_ok"),
                     "tbwa_brands", "competitor_brands", "tbwa_revenue", "competitor_revenue",
@@ -373,7 +373,7 @@ def deployment_score(r: Retail, views: dict[str, DataFrame], min_interactions: i
                        + F.when(F.col("total_revenue") > min_revenue, 15).otherwise(0)).alias("_score"))
     for name, df in views.items():
         present = df.limit(1).agg((F.count(F.lit(1)) > 0).alias(f"{name}_present"))
-        out = out.crossJoin(present).withColumn("_score", F.col("_score")
+        out = with_scalars(out, present).withColumn("_score", F.col("_score")
                                                 + F.when(F.col(f"{name}_present"), 15).otherwise(0))
     score = F.col("validation_score")
     return out.withColumn("validation_score", F.col("_score").cast("long")).drop("_score").withColumn(
@@ -405,4 +405,4 @@ def count_reconcile(a: DataFrame, b: DataFrame, a_name: str = "source", b_name:
     """Row counts of two frames and whether they agree."""
     ca = a.agg(F.count(F.lit(1)).alias(f"{a_name}_count"))
     cb = b.agg(F.count(F.lit(1)).alias(f"{b_name}_count"))
-    return ca.crossJoin(cb).withColumn("counts_match", F.col(f"{a_name}_count") == F.col(f"{b_name}_count"))
+    return with_scalars(ca, cb).withColumn("counts_match", F.col(f"{a_name}_count") == F.col(f"{b_name}_count"))

@@ -18,6 +18,7 @@ from storelens.functions.columns import (
 from storelens.operators.dashboards import failed_access_attempts
 from storelens.operators.views import customer_segments
 from storelens.params import FIXTURE_FOCUS_BRANDS
+from storelens.plans.scalars import with_scalars
 from storelens.plans.lines import day_bounds, sales_lines, window_start, with_store
 from storelens.sources.retail import Retail
 
@@ -119,10 +120,9 @@ def purge_old_data(r: Retail, as_of: dt.date, anomalies: DataFrame, retention_mo
     kept_anomalies = anomalies.where(~F.coalesce(anomaly_old, F.lit(False)))
     deleted_items = items.join(old_ids, F.col("interaction_id") == F.col("_old"), "left_semi") \
         .agg(F.count(F.lit(1)).alias("deleted_items"))
-    counts = (deleted_items
-              .crossJoin(si.agg(count_when(old).alias("deleted_interactions")))
-              .crossJoin(r.audit_log.agg(count_when(audit_old).alias("deleted_audit_logs")))
-              .crossJoin(anomalies.agg(count_when(anomaly_old).alias("deleted_anomalies")))
+    counts = (with_scalars(deleted_items, si.agg(count_when(old).alias("deleted_interactions")),
+                           r.audit_log.agg(count_when(audit_old).alias("deleted_audit_logs")),
+                           anomalies.agg(count_when(anomaly_old).alias("deleted_anomalies")))
               .select(cutoff.cast("date").alias("cutoff_date"), "deleted_items", "deleted_interactions",
                       "deleted_audit_logs", "deleted_anomalies"))
     kept = {"transaction_items": kept_items, "sales_interactions": kept_si, "audit_log": kept_audit,

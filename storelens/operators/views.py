@@ -19,6 +19,7 @@ from storelens.functions.columns import (
 from storelens.params import FIXTURE_FOCUS_BRANDS
 from storelens.plans.lines import day_bounds, sales_lines, window_start, with_mega_region, with_store
 from storelens.plans.materialize import materialize
+from storelens.plans.scalars import one_row, with_scalars
 from storelens.sources.retail import Retail
 
 
@@ -53,17 +54,17 @@ def product_performance(r: Retail, as_of: dt.date, days: int = 90,
                         avg_num("quantity").alias("avg_quantity_per_transaction"),
                         F.max("transaction_date").alias("_last"), F.min("transaction_date").alias("_first")))
     # Share of the grand total: the per-product rows (they grow with the
-    # catalogue) are materialised once, then a one-row total is joined back as
-    # a broadcast of a single row, instead of an un-partitioned SUM() OVER ()
+    # catalogue) are materialised once, then the total is a scalar subquery
+    # over them, instead of an un-partitioned SUM() OVER ()
     # window or a second pass over the item join.
     per_product = materialize(per_product)
-    total = per_product.agg(F.sum("total_revenue").alias("_grand"))
+    total = one_row(per_product.agg(F.sum("total_revenue").alias("_grand"))).getField("_grand")
     days_span = whole_days("_last", "_first")
     units = F.col("total_units_sold")
-    return (per_product.crossJoin(F.broadcast(total))
+    return (per_product
             .select("product_id", "product_name", "brand_name", "category", "is_fmcg", "total_units_sold",
                     "total_revenue", "transaction_count", "avg_quantity_per_transaction",
-                    ratio("total_revenue", "_grand", 100.0, 6).alias("market_share_percent"),
+                    ratio("total_revenue", total, 100.0, 6).alias("market_share_percent"),
                     rank_desc("total_units_sold", ["category"]).alias("category_rank"),
                     ratio(units, days_span, 1.0, 6).alias("daily_velocity"),
                     tier(units, [(tiers[0], "High Performer"), (tiers[1], "Medium Performer")],
@@ -376,7 +377,7 @@ def executive_kpis(r: Retail, as_of: dt.date, days: int = 30,
         money_sum(F.when(F.col("brand_name").isin(*focus), F.col("line_revenue")).otherwise(F.lit(0)))
         .alias("tbwa_revenue_30d"),
         money_sum("line_revenue").alias("total_revenue_30d"))
-    return (today.crossJoin(yesterday).crossJoin(brand)
+    return (with_scalars(today, yesterday, brand)
             .select(F.lit(as_of).alias("dashboard_date"), "transactions_today", "revenue_today",
                     "active_stores_today", "avg_transaction_today",
                     growth_pct("revenue_today", "revenue_yesterday").alias("revenue_growth_dod_percent"),

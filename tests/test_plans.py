@@ -40,6 +40,7 @@ def test_item_join_scanned_once(spark, key):
 def test_no_cartesian_product(spark, key):
     plan = plan_text(QUERIES[key](spark, SMOKE_DIR))
     assert "CartesianProduct" not in plan, key
+    assert "BroadcastNestedLoopJoin" not in plan, key
 
 
 def test_scan_prunes_columns(spark):
