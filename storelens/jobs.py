@@ -40,7 +40,7 @@ def stored_views(as_of: dt.date, params: dict | None = None) -> dict[str, Callab
         "product_performance": lambda r: views.product_performance(r, as_of, 90, **p.get("product_performance", {})),
         "regional_performance": lambda r: views.regional_performance(r, as_of, 90),
         "philippine_market_analysis": lambda r: views.philippine_market_analysis(r, as_of, 90),
-        "tbwa_brand_performance": lambda r: views.focus_brand_performance(r, as_of, 90),
+        "focus_brand_performance_view": lambda r: views.focus_brand_performance(r, as_of, 90),
         "brand_competition_dashboard": lambda r: views.brand_competition(r, as_of, 30),
         "category_performance_analytics": lambda r: views.category_performance(r, as_of, 30),
         "mv_daily_sales_summary": lambda r: views.daily_sales_summary(r, as_of, 90),

@@ -49,25 +49,25 @@ def executive_dashboard(r: Retail, as_of: dt.date, anomalies: DataFrame,
     per_basket = (sales_lines(r, window_start(as_of, 30))
                   .groupBy("interaction_id", "customer_id", "total_amount")
                   .agg(F.count(F.lit(1)).alias("_n"),
-                       F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_tbwa"),
+                       F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_client"),
                        F.sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_comp")))
     month = per_basket.agg(
         F.count(F.lit(1)).alias("transactions_30d"),
         money_sum(F.col("total_amount") * F.col("_n")).alias("revenue_30d"),
         count_distinct("customer_id").alias("unique_customers_30d"),
-        money_sum("_tbwa").alias("tbwa_revenue_30d"),
+        money_sum("_client").alias("client_revenue_30d"),
         money_sum("_comp").alias("competitor_revenue_30d"))
     anom = anomalies.agg(count_when(F.col("status") == "active").alias("active_anomalies"))
     dev = r.device_master.agg(count_when(F.col("status") == "active").alias("active_devices"),
                               count_when(F.col("status") != "active").alias("inactive_devices"))
-    client = F.col("tbwa_revenue_30d")
+    client = F.col("client_revenue_30d")
     return (with_scalars(short, month, anom, dev)
             .select(F.lit(as_of).alias("dashboard_date"), "total_transactions_today", "revenue_today",
                     "active_stores_today", "avg_transaction_today",
                     growth_pct("revenue_today", "revenue_yesterday").alias("revenue_growth_dod_percent"),
                     "transactions_7d", "revenue_7d", "unique_customers_7d", "transactions_30d", "revenue_30d",
-                    "unique_customers_30d", "tbwa_revenue_30d", "competitor_revenue_30d",
-                    pct(client, client + F.col("competitor_revenue_30d")).alias("tbwa_market_share_percent"),
+                    "unique_customers_30d", "client_revenue_30d", "competitor_revenue_30d",
+                    pct(client, client + F.col("competitor_revenue_30d")).alias("client_market_share_percent"),
                     "active_anomalies", "active_devices", "inactive_devices"))
 
 
@@ -99,7 +99,7 @@ def store_performance_dashboard(r: Retail, as_of: dt.date, days: int = 30,
                       count_distinct("customer_id").alias("_cust"),
                       F.sum(F.when(F.col("is_attendant_influenced"), n_rows).otherwise(0)).cast("long").alias("_infl"),
                       F.sum(F.when(F.col("substitution_occurred"), n_rows).otherwise(0)).cast("long").alias("_subs"),
-                      money_sum("_tb").alias("_tbwa")))
+                      money_sum("_tb").alias("_client")))
     devices = (r.device_master.groupBy(F.col("store_id").alias("_d_store"), "status", "last_seen")
                .agg(F.count(F.lit(1)).alias("_n")))
     stores = r.stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name"), "region",
@@ -111,14 +111,14 @@ def store_performance_dashboard(r: Retail, as_of: dt.date, days: int = 30,
     tx = F.coalesce(F.col("_tx"), F.lit(0)).cast("long")
     infl = F.coalesce(F.col("_infl"), F.lit(0)) * n
     subs = F.coalesce(F.col("_subs"), F.lit(0)) * n
-    tbwa = (F.coalesce(F.col("_tbwa"), F.lit(0)) * n).cast("decimal(38,2)")
+    client = (F.coalesce(F.col("_client"), F.lit(0)) * n).cast("decimal(38,2)")
     out = base.select(
         "store_id", "store_name", "region", "store_type",
         tx.alias("transactions_30d"), rev.alias("revenue_30d"), fixed("_avg", 6).alias("avg_transaction_value"),
         F.coalesce(F.col("_cust"), F.lit(0)).cast("long").alias("unique_customers_30d"),
         pct(infl, tx).alias("influence_rate_percent"), pct(subs, tx).alias("substitution_rate_percent"),
-        F.col("status").alias("device_status"), "last_seen", tbwa.alias("tbwa_revenue"),
-        pct(tbwa, rev).alias("tbwa_share_percent"),
+        F.col("status").alias("device_status"), "last_seen", client.alias("client_revenue"),
+        pct(client, rev).alias("client_share_percent"),
         F.when(rev >= tiers[0], "Top Performer").when(rev >= tiers[1], "Strong Performer")
         .when(rev >= tiers[2], "Average Performer").when(rev > 0, "Underperformer")
         .otherwise("No Activity").alias("performance_tier"),
@@ -137,16 +137,16 @@ def store_performance_dashboard_dedup(r: Retail, as_of: dt.date, days: int = 30,
     start = window_start(as_of, days)
     si = r.interactions(start)
     focus_flag = F.col("brand_name").isin(*focus)
-    tbwa = (sales_lines(r, interactions=si.select("interaction_id"))
+    client = (sales_lines(r, interactions=si.select("interaction_id"))
             .groupBy(F.col("interaction_id").alias("_b"))
-            .agg(F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_tbwa_b")))
-    baskets = si.join(tbwa, F.col("interaction_id") == F.col("_b"), "left")
+            .agg(F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_client_b")))
+    baskets = si.join(client, F.col("interaction_id") == F.col("_b"), "left")
     per_store = (baskets.groupBy(F.col("store_id").alias("_m_store"))
                  .agg(F.count(F.lit(1)).alias("_tx"), money_sum("total_amount").alias("_rev"),
                       F.avg("total_amount").alias("_avg"), count_distinct("customer_id").alias("_cust"),
                       count_if(F.col("is_attendant_influenced")).alias("_infl"),
                       count_if(F.col("substitution_occurred")).alias("_subs"),
-                      money_sum(F.coalesce(F.col("_tbwa_b"), F.lit(0))).alias("_tbwa")))
+                      money_sum(F.coalesce(F.col("_client_b"), F.lit(0))).alias("_client")))
     devices = (r.device_master.groupBy(F.col("store_id").alias("_d_store"))
                .agg(F.count(F.lit(1)).alias("device_count"), count_when(F.col("status") == "active")
                     .alias("active_devices"), F.max("last_seen").alias("last_seen")))
@@ -156,7 +156,7 @@ def store_performance_dashboard_dedup(r: Retail, as_of: dt.date, days: int = 30,
             .join(devices, F.col("store_id") == F.col("_d_store"), "left"))
     tx = F.coalesce(F.col("_tx"), F.lit(0)).cast("long")
     rev = F.col("_rev")
-    tb = F.coalesce(F.col("_tbwa"), F.lit(0)).cast("decimal(38,2)")
+    tb = F.coalesce(F.col("_client"), F.lit(0)).cast("decimal(38,2)")
     return base.select(
         "store_id", "store_name", "region", "store_type", tx.alias("transactions_30d"), rev.alias("revenue_30d"),
         fixed("_avg", 6).alias("avg_transaction_value"),
@@ -165,7 +165,7 @@ def store_performance_dashboard_dedup(r: Retail, as_of: dt.date, days: int = 30,
         pct(F.coalesce(F.col("_subs"), F.lit(0)), tx).alias("substitution_rate_percent"),
         F.coalesce(F.col("device_count"), F.lit(0)).cast("long").alias("device_count"),
         F.coalesce(F.col("active_devices"), F.lit(0)).cast("long").alias("active_devices"), "last_seen",
-        tb.alias("tbwa_revenue"), pct(tb, rev).alias("tbwa_share_percent"),
+        tb.alias("client_revenue"), pct(tb, rev).alias("client_share_percent"),
         F.when(rev >= tiers[0], "Top Performer").when(rev >= tiers[1], "Strong Performer")
         .when(rev >= tiers[2], "Average Performer").when(rev > 0, "Underperformer")
         .otherwise("No Activity").alias("performance_tier"))

@@ -224,11 +224,11 @@ def regional_affinity(r: Retail, as_of: dt.date, days: int = 90,
     lines = with_mega_region(with_store(sales_lines(r, window_start(as_of, days)), r), r)
     m = lines.groupBy("mega_region").agg(
         money_sum(F.when(F.col("brand_name").isin(*focus), F.col("line_revenue")).otherwise(F.lit(0)))
-        .alias("tbwa_revenue"), money_sum("line_revenue").alias("total_revenue"))
-    share = as_double("tbwa_revenue") / F.when(as_double("total_revenue") != 0, as_double("total_revenue")) * 100.0
+        .alias("client_revenue"), money_sum("line_revenue").alias("total_revenue"))
+    share = as_double("client_revenue") / F.when(as_double("total_revenue") != 0, as_double("total_revenue")) * 100.0
     m = m.withColumn("_share", share)
     best = F.max("_share").over(Window.partitionBy())
-    return m.select("mega_region", "tbwa_revenue", "total_revenue", fixed("_share", 2).alias("tbwa_market_share_percent"),
+    return m.select("mega_region", "client_revenue", "total_revenue", fixed("_share", 2).alias("client_market_share_percent"),
                     fixed(F.col("_share") / F.when(best != 0, best) * 100.0, 2).alias("affinity_percent_of_max"))
 
 
@@ -346,17 +346,17 @@ def market_checks(r: Retail, focus: tuple[str, ...] = FIXTURE_FOCUS_BRANDS, min_
     """Regional coverage, client / competitor brand counts, item revenue split
     and whether the client share lies in the expected range."""
     regions = r.stores.agg(count_distinct("region").alias("region_count"))
-    brands = r.brands.agg(count_when(F.col("name").isin(*focus)).alias("tbwa_brands"),
+    brands = r.brands.agg(count_when(F.col("name").isin(*focus)).alias("client_brands"),
                           count_when(~F.col("name").isin(*focus)).alias("competitor_brands"))
     split = _item_revenue(r).agg(money_sum(F.when(F.col("brand_name").isin(*focus), F.col("total_price")).otherwise(F.lit(0)))
-                    .alias("tbwa_revenue"),
+                    .alias("client_revenue"),
                     money_sum(F.when(~F.col("brand_name").isin(*focus), F.col("total_price")).otherwise(F.lit(0)))
                     .alias("competitor_revenue"))
     m = with_scalars(regions, brands, split)
-    share = pct("tbwa_revenue", F.col("tbwa_revenue") + F.col("competitor_revenue"))
+    share = pct("client_revenue", F.col("client_revenue") + F.col("competitor_revenue"))
     return m.select("region_count", (F.col("region_count") >= min_regions).alias("regional_coverage_ok"),
-                    "tbwa_brands", "competitor_brands", "tbwa_revenue", "competitor_revenue",
-                    share.alias("tbwa_market_share_percent"),
+                    "client_brands", "competitor_brands", "client_revenue", "competitor_revenue",
+                    share.alias("client_market_share_percent"),
                     share.between(share_range[0], share_range[1]).alias("share_in_range"))
 
 

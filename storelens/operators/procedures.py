@@ -63,9 +63,9 @@ def market_share_by_region(r: Retail, as_of: dt.date, days: int = 90,
     lines = with_store(sales_lines(r, window_start(as_of, days)), r)
     m = lines.groupBy("region").agg(
         money_sum(F.when(F.col("brand_name").isin(*focus), F.col("line_revenue")).otherwise(F.lit(0)))
-        .alias("tbwa_revenue"),
+        .alias("client_revenue"),
         money_sum("line_revenue").alias("total_revenue"))
-    return m.withColumn("tbwa_market_share_percent", pct("tbwa_revenue", "total_revenue"))
+    return m.withColumn("client_market_share_percent", pct("client_revenue", "total_revenue"))
 
 
 def customer_insights(r: Retail, as_of: dt.date, days: int = 30, segment_params: dict | None = None) -> DataFrame:

@@ -117,8 +117,8 @@ def _regional_finish(m: DataFrame, brand_cols: list[str]) -> DataFrame:
         pct("influenced_sales", "total_transactions").alias("influence_rate_percent"),
         pct("substitution_events", "total_transactions").alias("substitution_rate_percent"),
         *brand_cols,
-        focus_total.alias("tbwa_total_revenue"),
-        pct(focus_total, "total_revenue").alias("tbwa_market_share_percent"),
+        focus_total.alias("client_total_revenue"),
+        pct(focus_total, "total_revenue").alias("client_market_share_percent"),
         rank_desc("total_revenue").alias("revenue_rank"))
 
 
@@ -194,7 +194,7 @@ def philippine_market_analysis(r: Retail, as_of: dt.date, days: int = 90,
     per_store = (lines.groupBy(*keys, "store_id")
                  .agg(count_distinct("interaction_id").alias("_tx"),
                       F.sum("total_amount").alias("_amt"), F.count("total_amount").alias("_n"),
-                      F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_tbwa"),
+                      F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_client"),
                       F.sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_comp"),
                       F.sum("line_revenue").alias("_items")))
     m = (per_store.groupBy(*keys)
@@ -202,12 +202,12 @@ def philippine_market_analysis(r: Retail, as_of: dt.date, days: int = 90,
               F.sum("_amt").cast("decimal(38,2)").alias("total_revenue"),
               fixed(F.sum("_amt") / F.sum("_n"), 6).alias("avg_transaction_value"),
               F.count(F.lit(1)).alias("active_stores"),
-              F.sum("_tbwa").cast("decimal(38,2)").alias("tbwa_revenue"),
+              F.sum("_client").cast("decimal(38,2)").alias("client_revenue"),
               F.sum("_comp").cast("decimal(38,2)").alias("competitor_revenue"),
               F.sum("_items").cast("decimal(38,2)").alias("_items")))
     return m.select("mega_region", "region", "population_millions", "economic_weight", "total_transactions",
-                    "total_revenue", "avg_transaction_value", "active_stores", "tbwa_revenue",
-                    "competitor_revenue", pct("tbwa_revenue", "_items").alias("tbwa_market_share_percent"))
+                    "total_revenue", "avg_transaction_value", "active_stores", "client_revenue",
+                    "competitor_revenue", pct("client_revenue", "_items").alias("client_market_share_percent"))
 
 
 def philippine_market_analysis_dedup(r: Retail, as_of: dt.date, days: int = 90,
@@ -217,7 +217,7 @@ def philippine_market_analysis_dedup(r: Retail, as_of: dt.date, days: int = 90,
     lines = sales_lines(r, window_start(as_of, days))
     focus_flag = F.col("brand_name").isin(*focus)
     per_basket = (lines.groupBy("interaction_id", "store_id", "total_amount")
-                  .agg(F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_tbwa"),
+                  .agg(F.sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_client"),
                        F.sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_comp"),
                        F.sum("line_revenue").alias("_items")))
     per_basket = with_mega_region(with_store(per_basket, r), r)
@@ -228,11 +228,11 @@ def philippine_market_analysis_dedup(r: Retail, as_of: dt.date, days: int = 90,
               money_sum("total_amount").alias("total_revenue"),
               avg_money("total_amount").alias("avg_transaction_value"),
               count_distinct("store_id").alias("active_stores"),
-              money_sum("_tbwa").alias("tbwa_revenue"), money_sum("_comp").alias("competitor_revenue"),
+              money_sum("_client").alias("client_revenue"), money_sum("_comp").alias("competitor_revenue"),
               money_sum("_items").alias("_items")))
     return m.select("mega_region", "region", "population_millions", "economic_weight", "total_transactions",
-                    "total_revenue", "avg_transaction_value", "active_stores", "tbwa_revenue",
-                    "competitor_revenue", pct("tbwa_revenue", "_items").alias("tbwa_market_share_percent"))
+                    "total_revenue", "avg_transaction_value", "active_stores", "client_revenue",
+                    "competitor_revenue", pct("client_revenue", "_items").alias("client_market_share_percent"))
 
 
 def daily_sales_summary_dedup(r: Retail, as_of: dt.date, days: int = 90) -> DataFrame:
@@ -303,7 +303,7 @@ def brand_competition(r: Retail, as_of: dt.date, days: int = 30,
                 .when(share >= positions[2], "Challenger").otherwise("Niche Player"))
     return (bm
             .select("brand_name", "brand_category",
-                    F.when(F.col("brand_name").isin(*focus), "TBWA Client").otherwise("Competitor")
+                    F.when(F.col("brand_name").isin(*focus), "Client").otherwise("Competitor")
                     .alias("brand_type"),
                     "transactions", "units_sold", "revenue", "avg_quantity_per_transaction",
                     "regional_presence", "store_presence",
@@ -327,11 +327,11 @@ def category_performance(r: Retail, as_of: dt.date, days: int = 30,
               avg_money("line_revenue").alias("avg_revenue_per_transaction"),
               count_distinct("product_id").alias("product_count"),
               count_distinct("brand_id").alias("brand_count"),
-              money_sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("tbwa_revenue"),
+              money_sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("client_revenue"),
               money_sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("competitor_revenue"),
               count_distinct("region").alias("regional_presence")))
     return m.select("category", "transactions", "total_units_sold", "total_revenue", "avg_revenue_per_transaction",
-                    "product_count", "brand_count", "tbwa_revenue", "competitor_revenue",
+                    "product_count", "brand_count", "client_revenue", "competitor_revenue",
                     rank_desc("total_revenue").alias("revenue_rank"), "regional_presence")
 
 
@@ -375,14 +375,14 @@ def executive_kpis(r: Retail, as_of: dt.date, days: int = 30,
     lines = sales_lines(r, window_start(as_of, days))
     brand = lines.agg(
         money_sum(F.when(F.col("brand_name").isin(*focus), F.col("line_revenue")).otherwise(F.lit(0)))
-        .alias("tbwa_revenue_30d"),
+        .alias("client_revenue_30d"),
         money_sum("line_revenue").alias("total_revenue_30d"))
     return (with_scalars(today, yesterday, brand)
             .select(F.lit(as_of).alias("dashboard_date"), "transactions_today", "revenue_today",
                     "active_stores_today", "avg_transaction_today",
                     growth_pct("revenue_today", "revenue_yesterday").alias("revenue_growth_dod_percent"),
-                    "tbwa_revenue_30d", "total_revenue_30d",
-                    pct("tbwa_revenue_30d", "total_revenue_30d").alias("tbwa_market_share_percent"),
+                    "client_revenue_30d", "total_revenue_30d",
+                    pct("client_revenue_30d", "total_revenue_30d").alias("client_market_share_percent"),
                     F.lit(health_score).alias("system_health_score")))
 
 

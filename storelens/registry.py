@@ -290,12 +290,12 @@ def _slices(r: Retail) -> dict[str, DataFrame]:
     return {
         "slice_top_stores": dashboards.store_performance_dashboard(r, AS_OF, 30, tiers=STORE_TIERS)
         .where(F.col("performance_tier") == "Top Performer"),
-        "slice_client_brands": views.brand_competition(r, AS_OF, 30).where(F.col("brand_type") == "TBWA Client")
+        "slice_client_brands": views.brand_competition(r, AS_OF, 30).where(F.col("brand_type") == "Client")
         .orderBy(F.col("revenue").desc()),
         "slice_luzon_customers": dashboards.customer_analytics(r, AS_OF, 30, value_cuts=VALUE_CUTS)
         .where(F.col("mega_region") == "Luzon").orderBy(F.col("total_spent").desc()),
         "slice_market_by_share": views.philippine_market_analysis(r, AS_OF, 90)
-        .orderBy(F.col("tbwa_market_share_percent").desc()),
+        .orderBy(F.col("client_market_share_percent").desc()),
         "slice_active_anomalies": fixture_anomalies(r).where(F.col("status") == "active")
         .select("type", "severity", "status").orderBy(F.col("severity").desc()),
         "slice_monday_hours": dashboards.hourly_sales_patterns(r, AS_OF, 30).where(F.col("day_of_week") == 1),

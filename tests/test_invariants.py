@@ -41,7 +41,7 @@ def test_category_shares_sum_to_100(spark):
 
 def test_client_plus_competitor_is_total(spark):
     for row in QUERIES["category_performance"](spark, SMOKE_DIR).collect():
-        assert row["tbwa_revenue"] + row["competitor_revenue"] == row["total_revenue"]
+        assert row["client_revenue"] + row["competitor_revenue"] == row["total_revenue"]
 
 
 def test_dedup_revenue_is_plain_basket_sum(spark):
