@@ -1,6 +1,6 @@
 """Row-level access policies, store grants and audit trails as DataFrame operators.
 
-Policy table (reference 003). Permissive policies of one (table, role) are
+Policy table (the reference's row-level policies). Permissive policies of one (table, role) are
 OR-ed, as PostgreSQL does; ``mode`` selects how the business-hours policy and
 the grant table are read:
 

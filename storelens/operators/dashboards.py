@@ -1,4 +1,4 @@
-"""Live dashboard views (reference 005 / 003 monitoring views)."""
+"""Live dashboard and monitoring views."""
 
 from __future__ import annotations
 

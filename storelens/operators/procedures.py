@@ -1,4 +1,4 @@
-"""Parameterised functions and procedures (reference 002 / 003 / 005 functions).
+"""Parameterised functions and procedures of the reference, as DataFrame operators.
 
 Procedures that UPDATE or DELETE in the reference are frame -> frame
 transitions here: they return the new table contents (and counts), and the job
