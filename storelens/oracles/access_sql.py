@@ -116,3 +116,32 @@ SELECT n.id, o.name AS old_name, o.brand_id AS old_brand_id, o.category AS old_c
 FROM products o JOIN products_new n ON o.id = n.id
 WHERE NOT COALESCE(o.name = n.name AND o.brand_id = n.brand_id AND o.category = n.category
                    AND o.is_fmcg = n.is_fmcg, false)"""
+
+
+GRANT_COLS = "id, user_id, store_id, access_level, granted_by, granted_at, expires_at, is_active"
+
+
+def grant_access(granting_user: int, user_id: int, store_id: int, level: str, now: dt.datetime,
+                 caller_is_db_admin: bool = False) -> str:
+    admin = "true" if caller_is_db_admin else "false"
+    return with_adapter(GRANTS_CTE, f"""auth AS (
+  SELECT EXISTS (SELECT 1 FROM user_store_access WHERE user_id = {granting_user} AND store_id = {store_id}
+                 AND access_level = 'admin' AND is_active) OR {admin} AS ok)""") + f"""
+SELECT {GRANT_COLS} FROM user_store_access
+WHERE NOT ((SELECT ok FROM auth) AND user_id = {user_id} AND store_id = {store_id})
+UNION ALL
+SELECT (SELECT MAX(id) FROM user_store_access WHERE user_id = {user_id} AND store_id = {store_id}),
+  CAST({user_id} AS BIGINT), CAST({store_id} AS INT), '{level}', CAST({granting_user} AS BIGINT), {ts(now)},
+  CAST(NULL AS TIMESTAMP), true
+WHERE (SELECT ok FROM auth)"""
+
+
+def revoke_access(revoking_user: int, user_id: int, store_id: int, caller_is_db_admin: bool = False) -> str:
+    admin = "true" if caller_is_db_admin else "false"
+    return with_adapter(GRANTS_CTE, f"""auth AS (
+  SELECT EXISTS (SELECT 1 FROM user_store_access WHERE user_id = {revoking_user} AND store_id = {store_id}
+                 AND access_level = 'admin' AND is_active) OR {admin} AS ok)""") + f"""
+SELECT id, user_id, store_id, access_level, granted_by, granted_at, expires_at,
+  CASE WHEN user_id = {user_id} AND store_id = {store_id} AND (SELECT ok FROM auth) THEN false
+       ELSE is_active END AS is_active
+FROM user_store_access"""

@@ -190,12 +190,17 @@ register("policy_brands_denied", access_sql.policy_denied("id, name, category",
 register("expire_access", access_sql.expire_access(datetime.datetime.combine(AS_OF, datetime.time())))(
     lambda r: access.expire_access(access.derived_grants(r), datetime.datetime.combine(AS_OF, datetime.time()))
     .select("id", "user_id", "store_id", "access_level", "expires_at", "is_active"))
-register("grant_access", None)(
+GRANT_NOW = datetime.datetime(2001, 8, 1)
+register("grant_access", access_sql.grant_access(0, MANAGER, 3, "write", GRANT_NOW))(
     lambda r: access.grant_access(access.derived_grants(r), granting_user=0, user_id=MANAGER, store_id=3,
-                                  access_level="write", now=datetime.datetime(2001, 8, 1))[0])
-register("revoke_access", None)(
+                                  access_level="write", now=GRANT_NOW)[0])
+# user 1 holds an active admin grant on store 18 in the sf0.01 tables (device 7)
+register("grant_access_by_store_admin", access_sql.grant_access(1, 30, 18, "read", GRANT_NOW))(
+    lambda r: access.grant_access(access.derived_grants(r), granting_user=1, user_id=30, store_id=18,
+                                  access_level="read", now=GRANT_NOW)[0])
+register("revoke_access", access_sql.revoke_access(0, MANAGER, 3, caller_is_db_admin=True))(
     lambda r: access.revoke_access(access.derived_grants(r), revoking_user=0, user_id=MANAGER, store_id=3,
-                                   now=datetime.datetime(2001, 8, 1), caller_is_db_admin=True)[0])
+                                   now=GRANT_NOW, caller_is_db_admin=True)[0])
 
 
 def modified_products(r: Retail) -> DataFrame:
@@ -322,10 +327,11 @@ register("deployment_score", metrics_sql.deployment_score(_SCORED_VIEWS_SQL))(
                                            "focus_brand_performance": views.focus_brand_performance(r, AS_OF, 90),
                                            "philippine_market_analysis":
                                                views.philippine_market_analysis(r, AS_OF, 90)}))
-register("table_presence", None)(
-    lambda r: metrics.table_presence(r, ("sales_interactions", "transaction_items", "products", "brands", "stores",
-                                         "device_master", "ph_regions", "audit_log", "anomalies",
-                                         "user_store_access", "request_methods", "session_matches")))
+PRESENT_TABLES = ("sales_interactions", "transaction_items", "products", "brands", "stores", "device_master",
+                  "ph_regions", "audit_log")
+MISSING_TABLES = ("anomalies", "user_store_access", "request_methods", "session_matches")
+register("table_presence", metrics_sql.table_presence(PRESENT_TABLES, MISSING_TABLES))(
+    lambda r: metrics.table_presence(r, PRESENT_TABLES + MISSING_TABLES))
 register("count_reconcile", metrics_sql.count_reconcile())(
     lambda r: metrics.count_reconcile(r.interactions(), r.raw("orders")))
 
