@@ -118,16 +118,29 @@ class Retail:
     def _injected(self, name: str) -> DataFrame | None:
         return self._frames.get(name)
 
+    def _stored_dimension(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a derived, bounded dimension (brands, stores, regions) once per
+        catalog as a parquet table in the shared checkpoint folder and read it
+        back: later queries scan a small table (with pruning and size
+        statistics for the broadcast check) instead of re-deriving it, e.g. a
+        DISTINCT over the whole part table for the brands."""
+        from storelens.session import scratch_path
+
+        path = scratch_path(self.spark, f"dim-{name}")
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.parquet(path)
+
     # ------------------------------------------------------------ dimensions
     @cached_property
     def brands(self) -> DataFrame:
         if (df := self._injected("brands")) is not None:
             return df
         bid = F.substring(F.col("p_brand"), 7, 100).cast("int")
-        return (self.raw("part").select(bid.alias("id"), F.col("p_brand").alias("name"))
-                .distinct()
-                .withColumn("category", _case(F.col("id") % 6, [(0, "Dairy"), (1, "Snacks"), (2, "Cleaning"),
-                                                               (3, "Food"), (4, "Beverages")], "Tobacco")))
+        derived = (self.raw("part").select(bid.alias("id"), F.col("p_brand").alias("name"))
+                   .distinct()
+                   .withColumn("category", _case(F.col("id") % 6, [(0, "Dairy"), (1, "Snacks"), (2, "Cleaning"),
+                                                                  (3, "Food"), (4, "Beverages")], "Tobacco")))
+        return self._stored_dimension("brands", derived)
 
     @cached_property
     def products(self) -> DataFrame:
@@ -159,27 +172,28 @@ class Retail:
         name = F.col("r_name")
         mega = (F.when(name.isin("AFRICA", "AMERICA"), F.lit("Luzon"))
                 .when(name.isin("ASIA", "EUROPE"), F.lit("Visayas")).otherwise(F.lit("Mindanao")))
-        return self.raw("region").select(
+        return self._stored_dimension("ph_regions", self.raw("region").select(
             F.col("r_regionkey").alias("id"),
             name.alias("region"),
             mega.alias("mega_region"),
             (F.lit(5) + F.col("r_regionkey")).cast("decimal(4,2)").alias("population_millions"),
             (F.lit(0.05) * (F.col("r_regionkey") + 1)).cast("decimal(5,4)").alias("economic_weight"),
-        )
+        ))
 
     @cached_property
     def stores(self) -> DataFrame:
         if (df := self._injected("stores")) is not None:
             return df
         region = self.raw("region").select("r_regionkey", "r_name")
-        return (self.raw("nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-                .select(
-                    F.col("n_nationkey").alias("id"),
-                    F.col("n_name").alias("name"),
-                    F.col("r_name").alias("region"),
-                    _case(F.col("n_nationkey") % 4, [(0, "supermarket"), (1, "department_store"),
-                                                     (2, "convenience_store")], "sari_sari").alias("store_type"),
-                ))
+        return self._stored_dimension("stores", self.raw("nation")
+                                      .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+                                      .select(
+            F.col("n_nationkey").alias("id"),
+            F.col("n_name").alias("name"),
+            F.col("r_name").alias("region"),
+            _case(F.col("n_nationkey") % 4, [(0, "supermarket"), (1, "department_store"),
+                                             (2, "convenience_store")], "sari_sari").alias("store_type"),
+        ))
 
     def stores_b(self) -> DataFrame:
         """stores behind a size-checked broadcast (a store list is a small dimension)."""
