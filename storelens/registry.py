@@ -91,8 +91,13 @@ register("anomaly_substitution", dash_sql.anomaly_substitution(**SB))(
 
 
 def fixture_anomalies(r: Retail):
-    """The anomalies table as one detection run with the fixture parameters."""
-    return anomalies.detected_anomalies(r, AS_OF, high_value=HV, store_pattern=SP, substitution=SB)
+    """The anomalies table as one detection run with the fixture parameters
+    (a lazy frame, built once per catalog and shared by the dashboards)."""
+    cached = getattr(r, "_fixture_anomalies", None)
+    if cached is None:
+        cached = anomalies.detected_anomalies(r, AS_OF, high_value=HV, store_pattern=SP, substitution=SB)
+        r._fixture_anomalies = cached
+    return cached
 
 
 register("detect_anomalies", None)(
