@@ -122,6 +122,9 @@ def tier(value: Column, cuts: list[tuple[float, str]], default: str, strict: boo
 
 
 def rank_desc(order_col: str | Column, partition: list[str] | None = None) -> Column:
+    """RANK() by descending value. Without ``partition`` the window spans all
+    rows, so it is only applied to aggregated frames whose size is bounded by a
+    dimension (brands, categories, regions), never to fact rows."""
     from pyspark.sql import Window
 
     w = Window.orderBy(col(order_col).desc())

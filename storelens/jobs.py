@@ -55,8 +55,9 @@ def refresh_analytics(spark: SparkSession, r: Retail, out_base: str, as_of: dt.d
     """Refresh every stored view as a new snapshot version; returns the
     manifest rows of this run (name, version, path, rows, duration)."""
     now = now or dt.datetime.combine(as_of, dt.time())
+    views_to_build = stored_views(as_of, params)
+    sinks._audit(spark, out_base, "all", "REFRESH_START", '{"views": %d}' % len(views_to_build), now)
     run = with_shared_lines(r, window_start(as_of, 90)) if share_lines else r
-    written = [sinks.write_version(spark, out_base, name, build(run), now)
-               for name, build in stored_views(as_of, params).items()]
+    written = [sinks.write_version(spark, out_base, name, build(run), now) for name, build in views_to_build.items()]
     # One manifest append for the run: all views switch to the new versions together.
     return sinks.publish_versions(spark, out_base, written, now)

@@ -152,6 +152,7 @@ def snapshot_refresh(spark: SparkSession, base: str, name: str, df: DataFrame,
     manifest row pointing at it (readers switch atomically to the newest
     complete version), with COMPLETE / ERROR audit rows."""
     now = now or dt.datetime.now()
+    _audit(spark, base, name, "REFRESH_START", f'{{"views": ["{name}"]}}', now)
     return publish_versions(spark, base, [write_version(spark, base, name, df, now)], now)
 
 

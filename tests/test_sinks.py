@@ -48,7 +48,7 @@ def test_snapshot_ttl(spark, tmp_path):
     assert sinks.snapshot_if_stale(spark, base, "v", build, 300, t0 + dt.timedelta(seconds=400)).count() == 20
     assert spark.read.parquet(f"{base}/_manifest").count() == 2
     actions = {r["action"] for r in spark.read.parquet(f"{base}/_audit").collect()}
-    assert actions == {"REFRESH_COMPLETE"}
+    assert actions == {"REFRESH_START", "REFRESH_COMPLETE"}
 
 
 def test_alert_payload_json_and_null(spark):
