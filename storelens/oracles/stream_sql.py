@@ -109,3 +109,7 @@ def export_csv() -> str:
     return with_adapter() + f"""
 SELECT 'id,name,region,store_type' AS line
 UNION ALL SELECT {line} FROM stores"""
+
+
+def stream_ingest_json() -> str:
+    return "SELECT event_id, ts, user_id, event_type, value, props FROM events"

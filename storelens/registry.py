@@ -442,9 +442,9 @@ register("cdc_diff", stream_sql.cdc_diff(access_sql.MODIFIED_PRODUCTS_CTE))(
 
 def _stream_ingest(r: Retail) -> DataFrame:
     src, sink, ck = _scratch(r, "ingest-src"), _scratch(r, "ingest-sink"), _scratch(r, "ingest-ckpt")
-    r.raw("events").write.json(src)
+    r.raw("events").write.options(**sinks.JSON_OPTIONS).json(src)
     streams.stream_ingest_json(r.spark, src, EVENT_SCHEMA, sink, ck)
-    return r.spark.read.schema(EVENT_SCHEMA).json(sink)
+    return sinks.read_lake_json(r.spark, sink, EVENT_SCHEMA)
 
 
 def _cdc_route(r: Retail) -> DataFrame:
@@ -458,7 +458,7 @@ def _cdc_route(r: Retail) -> DataFrame:
     return r.spark.read.json(f"{base}/audit-trail")
 
 
-register("stream_ingest_json", None)(_stream_ingest)
+register("stream_ingest_json", stream_sql.stream_ingest_json())(_stream_ingest)
 
 # ------------------------------------------------------------- refresh job
 REFRESH_PARAMS = {"product_performance": {"tiers": PRODUCT_TIERS}, "store_performance_dashboard": {"tiers": STORE_TIERS}}

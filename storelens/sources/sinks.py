@@ -19,6 +19,17 @@ from pyspark.sql import types as T
 from pyspark.sql.observation import Observation
 
 
+# JSON keeps full microsecond precision (Spark's default JSON timestamp format
+# stops at milliseconds, which would silently truncate event times).
+JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def read_lake_json(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read JSON written by these sinks with an explicit schema."""
+    return spark.read.schema(schema).options(**JSON_OPTIONS).json(path)
+
+
 # ------------------------------------------------------------------ exports
 def export_transactions(df: DataFrame, path: str, date_col: str = "transaction_date", files_per_day: int = 4,
                         key_col: str | None = "interaction_id") -> DataFrame:
@@ -45,8 +56,8 @@ def export_json(df: DataFrame, base: str, category: str, day: dt.date) -> DataFr
     folder per category and day (partition columns), read back."""
     out = f"{base.rstrip('/')}/analytics"
     (df.withColumn("category", F.lit(category)).withColumn("dt", F.lit(day.isoformat()))
-     .write.mode("append").partitionBy("category", "dt").json(out))
-    return df.sparkSession.read.schema(df.schema).json(f"{out}/category={category}/dt={day.isoformat()}")
+     .write.mode("append").partitionBy("category", "dt").options(**JSON_OPTIONS).json(out))
+    return read_lake_json(df.sparkSession, f"{out}/category={category}/dt={day.isoformat()}", df.schema)
 
 
 def csv_lines(df: DataFrame) -> DataFrame:
@@ -85,7 +96,7 @@ def raw_zone_append(df: DataFrame, base: str, category: str, run_ts: dt.datetime
     folder = f"{base.rstrip('/')}/raw-data/{category}/{run_ts.strftime('%Y%m%dT%H%M%S')}"
     (df.observe(obs, F.count(F.lit(1)).alias("records"))
      .withColumn("_ingested_at", F.lit(run_ts.isoformat()))
-     .write.mode("append").json(folder))
+     .write.mode("append").options(**JSON_OPTIONS).json(folder))
     return df.sparkSession.read.json(folder), int(obs.get["records"])
 
 

@@ -161,7 +161,9 @@ CDC_SCHEMA = T.StructType([
 
 def read_json_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = None
                      ) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+    from storelens.sources.sinks import JSON_OPTIONS
+
+    reader = spark.readStream.schema(schema).options(**JSON_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(path)
@@ -195,9 +197,11 @@ def stream_ingest_json(spark: SparkSession, source: str, schema, sink: str, chec
     """Live rows -> JSON lake. Production: Kafka source with
     ``trigger(processingTime='5 minutes')``; here any file source. The
     checkpoint makes it at-least-once with an idempotent file sink."""
-    stream = spark.readStream.schema(schema).json(source)
-    writer = (stream.writeStream.format("json").option("path", sink).option("checkpointLocation", checkpoint)
-              .outputMode("append"))
+    from storelens.sources.sinks import JSON_OPTIONS
+
+    stream = spark.readStream.schema(schema).options(**JSON_OPTIONS).json(source)
+    writer = (stream.writeStream.format("json").options(**JSON_OPTIONS).option("path", sink)
+              .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     q = writer.start()
     if not interval:
@@ -210,12 +214,14 @@ def cdc_route_batch(batch: DataFrame, base: str, batch_id: int) -> None:
     table, customer-table changes as wrapped records with their change type,
     every UPDATE to the audit trail. Folders are per batch id (idempotent)."""
     ins = batch.where(F.col("eventType") == "INSERT")
-    ins.write.mode("overwrite").partitionBy("table").json(f"{base}/raw-data/batch_id={batch_id}")
+    from storelens.sources.sinks import JSON_OPTIONS
+
+    ins.write.mode("overwrite").partitionBy("table").options(**JSON_OPTIONS).json(f"{base}/raw-data/batch_id={batch_id}")
     cust = batch.where(F.col("table") == "customers").select(
         F.col("eventType").alias("change_type"), F.col("new").alias("record"), "commit_ts")
-    cust.write.mode("overwrite").json(f"{base}/customer-changes/batch_id={batch_id}")
+    cust.write.mode("overwrite").options(**JSON_OPTIONS).json(f"{base}/customer-changes/batch_id={batch_id}")
     upd = batch.where(F.col("eventType") == "UPDATE")
-    upd.write.mode("overwrite").json(f"{base}/audit-trail/batch_id={batch_id}")
+    upd.write.mode("overwrite").options(**JSON_OPTIONS).json(f"{base}/audit-trail/batch_id={batch_id}")
 
 
 def cdc_route(spark: SparkSession, source: str, base: str, checkpoint: str, max_files: int | None = None) -> dict:
