@@ -197,9 +197,17 @@ class Retail:
 
     def stores_b(self) -> DataFrame:
         """stores behind a size-checked broadcast (a store list is a small dimension)."""
-        return size_checked_broadcast(self.stores)
+        return self._stores_b
 
     def regions_b(self) -> DataFrame:
+        return self._regions_b
+
+    @cached_property
+    def _stores_b(self) -> DataFrame:
+        return size_checked_broadcast(self.stores)
+
+    @cached_property
+    def _regions_b(self) -> DataFrame:
         return size_checked_broadcast(self.ph_regions)
 
     @cached_property
