@@ -232,3 +232,27 @@ def test_retail_from_catalog(spark):
     r = Retail.from_catalog(spark, names=names)
     assert rows(views.brand_competition(r, AS_OF, 30), "brand_name", "transactions") == \
         rows(views.brand_competition(src, AS_OF, 30), "brand_name", "transactions")
+
+
+def test_live_kpis_drop_duplicate_delivery(spark):
+    # The same basket delivered twice in different micro-batches counts once.
+    base = tempfile.mkdtemp(prefix="dup-")
+    schema = spark.createDataFrame([si_row(1, 1, 1, ts(1), 10)], "interaction_id long, store_id int, "
+                                   "customer_id long, transaction_date timestamp_ntz, total_amount decimal(18,2), "
+                                   "is_attendant_influenced boolean, substitution_occurred boolean, gender string, "
+                                   "age int, emotion string, duration_seconds long").schema
+
+    def write(name, data):
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{base}/src/{name}")
+
+    write("a", [si_row(1, 1, 1, ts(1, 9), 10), si_row(2, 1, 2, ts(1, 10), 20)])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/src/*")
+    q = (streams.live_kpis(stream).writeStream.outputMode("update")
+         .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(f"{base}/sink/batch_id={bid}"))
+         .option("checkpointLocation", f"{base}/ck").start())
+    q.processAllAvailable()
+    write("b", [si_row(2, 1, 2, ts(1, 10), 20), si_row(3, 1, 3, ts(1, 11), 30)])  # basket 2 again
+    q.processAllAvailable()
+    q.stop()
+    got = rows(streams.latest_rows(spark, f"{base}/sink", ["day"]), "day", "transactions", "revenue")
+    assert got == [(ts(1).date(), 3, Decimal("60.00"))]
