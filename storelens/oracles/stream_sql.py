@@ -113,3 +113,8 @@ UNION ALL SELECT {line} FROM stores"""
 
 def stream_ingest_json() -> str:
     return "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
+
+def raw_zone_append(run_ts: str) -> str:
+    return with_adapter() + f"""
+SELECT interaction_id, store_id, total_amount, '{run_ts}' AS _ingested_at FROM sales_interactions"""

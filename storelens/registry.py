@@ -387,14 +387,15 @@ def _snapshot(r: Retail) -> DataFrame:
     return sinks.snapshot_if_stale(r.spark, base, "daily_sales", build, 600, datetime.datetime(2001, 8, 1, 1, 5))
 
 
-register("raw_zone_append", None)(_raw_zone)
+register("raw_zone_append", stream_sql.raw_zone_append("2001-08-01T00:00:00"))(_raw_zone)
 register("file_inventory", None)(_inventory)
 register("lake_lifecycle_plan", None)(
     lambda r: sinks.lake_lifecycle_plan(_inventory(r), datetime.datetime.now()))
 register("snapshot_refresh", None)(
     lambda r: sinks.snapshot_refresh(r.spark, _scratch(r, "snapshots"), "brand_competition",
                                      views.brand_competition(r, AS_OF, 30)))
-register("snapshot_if_stale", None)(_snapshot)
+# the stored daily_sales version read back must equal the view itself
+register("snapshot_if_stale", views_sql.daily_sales(90))(_snapshot)
 
 # ------------------------------------------------------------ §2.7 streams
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"

@@ -94,10 +94,10 @@ def raw_zone_append(df: DataFrame, base: str, category: str, run_ts: dt.datetime
     the record count comes from an ``observe`` on the write itself."""
     obs = Observation(f"raw_{category}_{uuid.uuid4().hex[:8]}")
     folder = f"{base.rstrip('/')}/raw-data/{category}/{run_ts.strftime('%Y%m%dT%H%M%S')}"
-    (df.observe(obs, F.count(F.lit(1)).alias("records"))
-     .withColumn("_ingested_at", F.lit(run_ts.isoformat()))
-     .write.mode("append").options(**JSON_OPTIONS).json(folder))
-    return df.sparkSession.read.json(folder), int(obs.get["records"])
+    stamped = df.observe(obs, F.count(F.lit(1)).alias("records")).withColumn("_ingested_at",
+                                                                              F.lit(run_ts.isoformat()))
+    stamped.write.mode("append").options(**JSON_OPTIONS).json(folder)
+    return read_lake_json(df.sparkSession, folder, stamped.schema), int(obs.get["records"])
 
 
 # -------------------------------------------------------------- inventory
