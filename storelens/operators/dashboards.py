@@ -8,12 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.columns import (
-    as_double, avg_money, avg_num, count_distinct, count_if, count_when, dow, fixed, hour, midnight, money_sum,
-    pct, ratio, tier, ts_lit,
+    as_double, avg_money, count_distinct, count_if, count_when, dow, fixed, hour, midnight, money_sum, pct, ts_lit,
 )
 from storelens.operators.views import growth_pct
 from storelens.params import FIXTURE_FOCUS_BRANDS
-from storelens.plans.broadcast import size_checked_broadcast
 from storelens.plans.scalars import with_scalars
 from storelens.plans.lines import day_bounds, sales_lines, window_start, with_mega_region, with_store
 from storelens.sources.retail import Retail

@@ -17,7 +17,6 @@ from storelens.functions.columns import (
 )
 from storelens.operators.dashboards import _age_group
 from storelens.params import FIXTURE_FOCUS_BRANDS
-from storelens.plans.broadcast import size_checked_broadcast
 from storelens.plans.scalars import with_scalars
 from storelens.plans.lines import sales_lines, window_start, with_mega_region, with_store
 from storelens.sources.retail import Retail

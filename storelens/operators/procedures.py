@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.functions.columns import (
-    avg_num, count_if, count_when, fixed, midnight, money_sum, pct, rank_desc, ts_lit,
+    avg_num, count_when, fixed, midnight, money_sum, pct, rank_desc, ts_lit,
 )
 from storelens.operators.dashboards import failed_access_attempts
 from storelens.operators.views import customer_segments

@@ -52,13 +52,6 @@ SELECT date_trunc('hour', ts) AS window_start, COUNT(*) AS requests,
 FROM events GROUP BY 1"""
 
 
-def latency_p95() -> str:
-    return f"""
-SELECT date_trunc('day', ts) AS window_start, {fx('quantile_cont(value, 0.95)', 6)} AS p95_value,
-  COUNT(*) AS samples
-FROM events GROUP BY 1"""
-
-
 def freshness(now: dt.datetime, max_seconds: int = 300) -> str:
     age = f"CAST(epoch({ts(now)}) - floor(epoch(MAX(ts))) AS BIGINT)"
     return f"""

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelens.functions.columns import as_double, count_when, fixed, money_sum, pct, ts_lit
+from storelens.functions.columns import as_double, count_when, fixed, money_sum, ts_lit
 
 WATERMARK = "10 minutes"
 

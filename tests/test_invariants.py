@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from storelens.operators import access, anomalies, views
+from storelens.operators import access, anomalies
 from storelens.registry import AS_OF, HV, SB, SP
 from storelens.sources.retail import Retail
 from tests.conftest import SMOKE_DIR
