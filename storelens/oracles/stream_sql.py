@@ -111,3 +111,29 @@ def stream_ingest_json() -> str:
 def raw_zone_append(run_ts: str) -> str:
     return with_adapter() + f"""
 SELECT interaction_id, store_id, total_amount, '{run_ts}' AS _ingested_at FROM sales_interactions"""
+
+
+def _row_json(alias: str) -> str:
+    """JSON text of a products row as Spark's to_json writes it (field order of
+    the frame, NULL fields kept, decimals with their scale)."""
+    def val(c: str, kind: str) -> str:
+        if kind == "str":
+            return f"COALESCE(to_json({alias}.{c}), 'null')"
+        if kind == "bool":
+            return f"COALESCE(CASE WHEN {alias}.{c} THEN 'true' ELSE 'false' END, 'null')"
+        return f"COALESCE(CAST({alias}.{c} AS VARCHAR), 'null')"
+
+    fields = [("id", "num"), ("name", "str"), ("brand_id", "num"), ("category", "str"), ("is_fmcg", "bool"),
+              ("unit_price", "num")]
+    parts = " || ',' || ".join(f"'\"{c}\":' || {val(c, k)}" for c, k in fields)
+    return f"('{{' || {parts} || '}}')"
+
+
+def cdc_route_updates(modified_products_cte: str, commit_ts: str) -> str:
+    changed = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}"
+                          for c in ("name", "brand_id", "category", "is_fmcg", "unit_price"))
+    return with_adapter(modified_products_cte) + f"""
+SELECT '{commit_ts}' AS commit_ts, 'UPDATE' AS eventType, {_row_json('n')} AS new, {_row_json('o')} AS old,
+  'products' AS "table"
+FROM products o JOIN products_new n ON o.id = n.id
+WHERE {changed}"""

@@ -456,7 +456,7 @@ def _cdc_route(r: Retail) -> DataFrame:
                     F.lit(datetime.datetime(2001, 8, 1)).alias("commit_ts"))
      .write.json(src))
     streams.cdc_route(r.spark, src, base, ck)
-    return r.spark.read.json(f"{base}/audit-trail")
+    return r.spark.read.json(f"{base}/audit-trail").drop("batch_id")  # batch folder = delivery metadata
 
 
 register("stream_ingest_json", stream_sql.stream_ingest_json())(_stream_ingest)
@@ -470,7 +470,8 @@ register("brand_competition_shared_lines", views_sql.brand_competition(30))(
     lambda r: views.brand_competition(jobs.with_shared_lines(r, datetime.datetime(2001, 5, 3)), AS_OF, 30))
 register("executive_kpis_shared_lines", views_sql.executive_kpis(30))(
     lambda r: views.executive_kpis(jobs.with_shared_lines(r, datetime.datetime(2001, 5, 3)), AS_OF, 30))
-register("cdc_route", None)(_cdc_route)
+register("cdc_route", stream_sql.cdc_route_updates(access_sql.MODIFIED_PRODUCTS_CTE,
+                                                "2001-08-01T00:00:00.000000Z"))(_cdc_route)
 
 
 def queries() -> dict[str, Query]:
