@@ -155,8 +155,9 @@ def system_alerts(r: Retail, as_of: dt.date, anomalies: DataFrame, min_idle_stor
 
 def alert_payload(alerts: DataFrame, as_of: dt.date) -> DataFrame:
     """One audit row holding all alerts as a JSON array (NULL when none). The
-    alert set has at most three rows, so collecting it into one value is bounded."""
-    agg = alerts.agg(F.collect_list(F.struct(*alerts.columns)).alias("_a"))
+    alert set has at most three rows, so collecting it into one value is bounded.
+    The array is sorted (by alert type first), so the payload is deterministic."""
+    agg = alerts.agg(F.array_sort(F.collect_list(F.struct(*alerts.columns))).alias("_a"))
     return agg.select(F.lit("system_alerts").alias("table_name"), F.lit("ALERT_CHECK").alias("action"),
                       F.when(F.size("_a") > 0, F.to_json("_a")).alias("new_data"),
                       ts_lit(as_of).alias("audit_ts"))

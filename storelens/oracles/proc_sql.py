@@ -140,3 +140,15 @@ SELECT 'sales_interactions' AS table_name, COUNT(*) AS row_count FROM sales_inte
 UNION ALL SELECT 'transaction_items', COUNT(*) FROM transaction_items
 UNION ALL SELECT 'daily_sales', (SELECT COUNT(*) FROM ({views_sql.daily_sales(90)}))
 UNION ALL SELECT 'daily_sales_summary', (SELECT COUNT(*) FROM ({views_sql.daily_sales_summary(90)}))"""
+
+
+def alert_payload(hv: dict, sp: dict, sb: dict) -> str:
+    alerts = system_alerts(hv, sp, sb)
+    row = ("'{\"alert_type\":' || to_json(alert_type) || ',\"severity\":' || to_json(severity) || "
+           "',\"message\":' || to_json(message) || ',\"affected_count\":' || CAST(affected_count AS VARCHAR) || '}'")
+    return f"""
+SELECT 'system_alerts' AS table_name, 'ALERT_CHECK' AS action,
+  CASE WHEN COUNT(*) > 0 THEN '[' || string_agg({row}, ',' ORDER BY alert_type, severity, message) || ']' END
+    AS new_data,
+  {ts(AS_OF)} AS audit_ts
+FROM ({alerts}) alerts"""

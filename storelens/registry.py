@@ -100,7 +100,7 @@ def fixture_anomalies(r: Retail):
     return cached
 
 
-register("detect_anomalies", None)(
+register("detect_anomalies", dash_sql.detect_anomalies(HV, SP, SB, datetime.datetime(2001, 8, 1)))(
     lambda r: anomalies.detect_anomalies(r, AS_OF, existing=fixture_anomalies(r),
                                          high_value=HV, store_pattern=SP, substitution=SB)[0])
 
@@ -148,7 +148,7 @@ register("purge_old_data", proc_sql.purge_old_data(12, AUDIT_AS_OF.date(), hv=HV
     lambda r: procedures.purge_old_data(r, AS_OF, fixture_anomalies(r), 12, audit_as_of=AUDIT_AS_OF.date())[1])
 register("system_alerts", proc_sql.system_alerts(HV, SP, SB))(
     lambda r: procedures.system_alerts(r, AS_OF, fixture_anomalies(r)))
-register("alert_payload", None)(
+register("alert_payload", proc_sql.alert_payload(HV, SP, SB))(
     lambda r: procedures.alert_payload(procedures.system_alerts(r, AS_OF, fixture_anomalies(r)), AS_OF))
 register("security_alert", proc_sql.security_alert(168, 5, 10))(
     lambda r: procedures.security_alert(r, AUDIT_AS_OF, 168, 5, 10))
