@@ -12,6 +12,15 @@ import __spark_entry__ as entry
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                  "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def spark_type(dt) -> str:
+    s = dt.simpleString()
+    return _SPARK_TO_DUCK.get(s, s.upper())
+
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
@@ -25,6 +34,10 @@ def test_query_matches_oracle(spark, duck, key):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(cols) == sorted(dcols)
+    rel = duck.sql(ORACLES[key])
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: spark_type(f.dataType) for f in df.schema.fields}
+    assert spark_types == duck_types, key
     assert len(rows) == len(drows)
     assert rows_multiset(cols, rows) == rows_multiset(dcols, drows)
 
