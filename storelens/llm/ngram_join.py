@@ -10,7 +10,7 @@ A document is its set of distinct word shingles; two documents link when
    any partner. Documents of the same size and prefix are one group, with one
    posting per prefix shingle; shingles of a single group drop out.
 3. Groups are expanded into their members (classes of equal sets). Members of a
-   shingle are first compared with a few heads of that shingle, so a large group of
+   shingle are first compared with one head of that shingle, so a large group of
    near copies is joined by a star. Then all pairs of members that share a shingle,
    pass the length and position filters and are not yet in one component are
    compared at their first shared shingle. Every comparison is exact, on whole sets.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storelens.llm.common import bounded_batches, keyed_filter, stored
+from storelens.llm.common import BROADCAST_IDS, bounded_batches, keyed_filter, stored
 from storelens.llm.components import connected_components
 from storelens.llm.shingles import shingle_sets
 
@@ -134,14 +134,22 @@ def _items(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "c long, items array<long>")
 
 
-def _verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets meet the threshold."""
-    both = (pairs.join(items.select(F.col("c").alias("a"), F.col("items").alias("x")), "a")
-            .join(items.select(F.col("c").alias("b"), F.col("items").alias("y")), "b"))
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of the stored ``pairs(c, d)`` those whose whole sets, made anew from their texts, meet the threshold.
+
+    The set of c travels to d once for each pair; no other set is moved.
+    """
+    n = pairs.count()
+
+    def sets_of(side: str) -> DataFrame:
+        return _items(keyed_filter(docs, pairs.select(F.col(side).alias("doc_id")).distinct(), "doc_id", n), size)
+
+    own = sets_of("c").join(F.broadcast(pairs) if n <= BROADCAST_IDS else pairs, "c").withColumnRenamed("items", "x")
+    other = sets_of("d").select(F.col("c").alias("d"), F.col("items").alias("y"))
     shared = F.size(F.array_intersect("x", "y")).cast("long")
-    return (both.select("a", "b", shared.alias("shared"), F.size("x").alias("n"), F.size("y").alias("m"))
+    return (own.join(other, "d").select("c", "d", shared.alias("shared"), F.size("x").alias("n"), F.size("y").alias("m"))
             .where(F.col("shared") * 100 >= (F.col("n") + F.col("m") - F.col("shared")) * percent)
-            .select("a", "b", "shared"))
+            .select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), "shared"))
 
 
 def _fits(n: str, p: str, m: str, q: str, percent: int):
@@ -152,12 +160,11 @@ def _fits(n: str, p: str, m: str, q: str, percent: int):
             & (left * (100 + percent) >= (n + m) * percent))
 
 
-def ngram_jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
-                       heads: int = 4) -> tuple[DataFrame, DataFrame]:
+def ngram_jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(classes, links) of ``docs(doc_id, text)``; other columns are not read.
 
     ``classes``: one row per input row: doc_id, n_shingles, class_id (smallest doc_id with the same set),
-    component_id (smallest doc_id reachable by links, itself included), n_members unknown to any cap.
+    component_id (smallest doc_id reachable by links, itself included).
     ``links``: verified pairs (a, b, shared) of class ids, which connect each component.
 
     Texts without words, empty or null: no shingle, linked with nothing, component_id = doc_id. Rows without a
@@ -174,38 +181,28 @@ def ngram_jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int
 
     named = digests.where("n > 0 and doc_id is not null")
     classes = stored(named.groupBy("sig", "n").agg(F.min("doc_id").alias("c"), F.min("gid").alias("gid")), "classes")
+    members = classes.select("gid", "c", "n")
+    groups = stored(members.groupBy("gid").agg(F.min("c").alias("g"), F.count("*").alias("members")), "groups")
 
     # One posting per prefix shingle and group; a shingle of one group alone joins nothing.
-    postings = (named.select("gid", "n", F.posexplode("prefix").alias("pos", "tok"))
-                .select("tok", "gid", "pos", "n").repartition("tok"))
-    shared = (postings.groupBy("tok").agg(F.min("gid").alias("g0"), F.max("gid").alias("g1"),
-                                          F.min("pos").alias("p0"), F.max("n").alias("n1"))
-              .where("g0 <> g1").select("tok"))
-    of_groups = postings.join(shared.hint("shuffle_hash"), "tok", "left_semi").distinct()
+    postings = (keyed_filter(named, groups.select(F.col("g").alias("doc_id")).distinct(), "doc_id", groups.count())
+                .select(F.col("doc_id").alias("g"), "n", F.posexplode("prefix").alias("pos", "tok"))
+                .select("tok", "g", (F.col("pos") * F.lit(1 << 32) + F.col("n")).alias("at")))
+    token = Window.partitionBy("tok")
+    of_groups = (postings.select("tok", "g", "at", F.min("g").over(token).alias("g0"), F.max("g").over(token).alias("g1"))
+                 .where("g0 <> g1").select("tok", "g", F.expr("at >> 32").alias("pos")))
     # Groups become members; a group of several classes is a posting of its own.
-    members = classes.select("gid", "c", "n")
-    several = members.groupBy("gid").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1")
-    posts = stored(
-        of_groups.join(members.select("gid", "c"), "gid").select("tok", "c", "pos", "n")
-        .unionByName(members.join(several.select("gid"), "gid", "left_semi")
-                     .select(F.col("gid").alias("tok"), "c", F.lit(0).alias("pos"), "n")), "postings")
-
-    wanted = stored(posts.select(F.col("c").alias("doc_id")).distinct(), "wanted")
-    items = stored(_items(keyed_filter(docs, wanted, "doc_id", wanted.count()), size).dropDuplicates(["c"]), "sets")
-
-    # Star round: each member against a few heads of its shingle, the least changed one first.
-    tops = [F.min(F.struct(*([F.col("pos")] if k == 0 else []), F.xxhash64("c", F.lit(k)).alias("h"), "c", "n",
-                           F.col("pos").alias("q"))) for k in range(heads)]
-    head = posts.groupBy("tok").agg(*[t.alias(f"t{k}") for k, t in enumerate(tops)])
-    head = head.select("tok", F.array_distinct(F.array(*[
-        F.struct(F.col(f"t{k}.c").alias("c"), F.col(f"t{k}.n").alias("n"), F.col(f"t{k}.q").alias("q"))
-        for k in range(heads)])).alias("heads"))
-    star = (posts.join(head, "tok")
-            .select("c", "n", "pos", F.explode(F.filter("heads", lambda t: (t.c != F.col("c")))).alias("t"))
-            .select("c", "n", "pos", F.col("t.c").alias("d"), F.col("t.n").alias("m"), F.col("t.q").alias("q"))
-            .where(_fits("n", "pos", "m", "q", percent))
-            .select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct())
-    links = stored(_verified(star, items, percent), "star-links")
+    posts = (of_groups.join(groups.select("g", "gid"), "g").join(members, "gid").select("tok", "c", "pos", "n")
+             .unionByName(members.join(groups.where("members > 1").select("gid"), "gid")
+                          .select(F.col("gid").alias("tok"), "c", F.lit(0).cast("long").alias("pos"), "n")))
+    posts = stored(posts.withColumn("first", F.min("pos").over(Window.partitionBy("c"))), "postings")
+
+    # Star round: each member against one head of its shingle, the member that was changed least.
+    head = posts.groupBy("tok").agg(F.min(F.struct("first", F.xxhash64("c").alias("h"), F.col("c").alias("d"),
+                                                   F.col("n").alias("m"), F.col("pos").alias("q"))).alias("head"))
+    star = stored(posts.join(head.select("tok", "head.*").drop("first", "h"), "tok").where("c <> d")
+                  .where(_fits("n", "pos", "m", "q", percent)).select("c", "d").distinct(), "star")
+    links = stored(_verified(star, docs, size, percent), "star-links")
     labels = stored(connected_components(links), "labels")
 
     # The rest, exactly: members of one shingle in different components, at their first shared shingle.
@@ -215,13 +212,13 @@ def ngram_jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int
     before = Window.partitionBy("c").orderBy("pos", "tok").rowsBetween(Window.unboundedPreceding, -1)
     rest = stored(at.join(mixed, "tok", "left_semi").withColumn("before", F.collect_list("tok").over(before)), "rest")
     other = rest.select("tok", *[F.col(x).alias(f"{x}_") for x in ("c", "pos", "n", "comp", "before")])
-    pairs = (rest.join(other, "tok").where("c < c_ and comp <> comp_")
-             .where(_fits("n", "pos", "n_", "pos_", percent))
-             .where(~F.arrays_overlap("before", "before_"))
-             .select(F.col("c").alias("a"), F.col("c_").alias("b")).distinct())
-    more = stored(_verified(pairs, items, percent), "rest-links")
-    links = links.unionByName(more)
+    pairs = stored(rest.join(other, "tok").where("c < c_ and comp <> comp_")
+                   .where(_fits("n", "pos", "n_", "pos_", percent))
+                   .where(~F.arrays_overlap("before", "before_"))
+                   .select("c", F.col("c_").alias("d")).distinct(), "rest-pairs")
+    more = stored(_verified(pairs, docs, size, percent), "rest-links")
     if not more.isEmpty():
+        links = links.unionByName(more)
         labels = stored(connected_components(links), "labels")
 
     of_class = (classes.join(labels.withColumnRenamed("node", "c"), "c", "left")
