@@ -40,6 +40,11 @@ SKETCH_PER_DOC, SKETCH_BITS = 16, (12, 24)
 _SEGMENT = 1 << 12
 
 
+#: Star rounds after the first, for shingles with at least CROWDED members in one component. They only save
+#: comparisons: the exact round at the end covers whatever is left, at any size.
+STAR_ROUNDS, CROWDED = 3, 32
+
+
 def sketch_bits(n_docs: int) -> int:
     low, high = SKETCH_BITS
     return min(high, max(low, (n_docs * SKETCH_PER_DOC).bit_length()))
@@ -160,6 +165,14 @@ def _fits(n: str, p: str, m: str, q: str, percent: int):
             & (left * (100 + percent) >= (n + m) * percent))
 
 
+def _between(posts: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings with their members' components, and the shingles whose members are in several."""
+    at = posts.join(labels.withColumnRenamed("node", "c"), "c", "left").select(
+        "tok", "c", "pos", "n", "first", F.coalesce("component", "c").alias("comp"))
+    mixed = at.groupBy("tok").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("tok")
+    return at, mixed
+
+
 def ngram_jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(classes, links) of ``docs(doc_id, text)``; other columns are not read.
 
@@ -205,11 +218,27 @@ def ngram_jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int
     links = stored(_verified(star, docs, size, percent), "star-links")
     labels = stored(connected_components(links), "labels")
 
-    # The rest, exactly: members of one shingle in different components, at their first shared shingle.
-    at = posts.join(labels.withColumnRenamed("node", "c"), "c", "left").select(
-        "tok", "c", "pos", "n", F.coalesce("component", "c").alias("comp"))
-    mixed = at.groupBy("tok").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("tok")
-    before = Window.partitionBy("c").orderBy("pos", "tok").rowsBetween(Window.unboundedPreceding, -1)
+    # Further star rounds for crowded shingles: who is outside the largest component there, against a head inside.
+    for salt in range(STAR_ROUNDS):
+        at, mixed = _between(posts, labels)
+        parts = at.join(mixed, "tok", "left_semi").groupBy("tok", "comp").agg(
+            F.count("*").alias("members"),
+            F.min(F.struct("first", F.xxhash64("c", F.lit(salt)).alias("h"), F.col("c").alias("d"),
+                           F.col("n").alias("m"), F.col("pos").alias("q"))).alias("head"))
+        top = (parts.groupBy("tok").agg(F.max(F.struct("members", "comp", "head")).alias("top"))
+               .where(f"top.members >= {CROWDED}")
+               .select("tok", F.col("top.comp").alias("comp_"), "top.head.d", "top.head.m", "top.head.q"))
+        star = stored(at.join(top, "tok").where("comp <> comp_").where(_fits("n", "pos", "m", "q", percent))
+                      .select("c", "d").distinct(), "star")
+        if star.isEmpty():
+            break
+        links = links.unionByName(stored(_verified(star, docs, size, percent), "star-links"))
+        labels = stored(connected_components(links), "labels")
+
+    # The rest, exactly: members of one shingle in different components, at their first shared shingle. A shared
+    # shingle is not the first if one of the few before it is shared too; a pair met more than once counts once.
+    at, mixed = _between(posts, labels)
+    before = Window.partitionBy("c").orderBy("pos", "tok").rowsBetween(-4, -1)
     rest = stored(at.join(mixed, "tok", "left_semi").withColumn("before", F.collect_list("tok").over(before)), "rest")
     other = rest.select("tok", *[F.col(x).alias(f"{x}_") for x in ("c", "pos", "n", "comp", "before")])
     pairs = stored(rest.join(other, "tok").where("c < c_ and comp <> comp_")

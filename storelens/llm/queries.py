@@ -4,7 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import common, ngram_join
+from storelens.llm import common, ngram_join, packing, sentencepiece_bpe
+
+
+def vocabulary(name: str) -> str:
+    """Where the installed tokenizer package has its file ``name``."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.sentencepiece_digests(common.table(spark, sf_dir, "documents"),
+                                                   vocabulary("piece_bpe_32k.model"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(common.table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
