@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from storelens.llm import common, ngram_join, packing, sentencepiece_bpe
+from storelens.llm import common, language_id, ngram_join, packing, sentencepiece_bpe, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -28,6 +29,24 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    held_out = language_id.remainder("doc_id", 4) == 2
+    model = language_id.fit(docs.where(~held_out))
+    rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
+    return language_id.predict(rows, model).drop("text")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    held_out = language_id.remainder("doc_id", 3) == 1
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels").where(~held_out))
+    rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
+    return toxicity.score(rows, model).select(
+        "doc_id", "held_out", F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"), F.size("toxic_passages").alias("n_passages"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
