@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import common, language_id, ngram_join, packing, sentencepiece_bpe, toxicity
+from storelens.llm import (
+    chat_format,
+    common,
+    language_id,
+    lm_score,
+    ngram_join,
+    packing,
+    sentencepiece_bpe,
+    substring_dedup,
+    toxicity,
+)
 
 
 def vocabulary(name: str) -> str:
@@ -20,6 +30,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    vocabulary("piece_bpe_32k.model"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.deduplicate_passages(docs)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -37,6 +52,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(rows, model).drop("text")
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"  # a conversation that is all control strings
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(said).alias("text"))
+    records = rows.unionByName(extra).select("conv_id", F.to_variant_object(F.struct("turn", "role", "text")).alias("record"))
+    return chat_format.digests(chat_format.format_turns(chat_format.canonical_turns(records)))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     held_out = language_id.remainder("doc_id", 3) == 1
@@ -47,9 +72,36 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxicity") >= 0.7).cast("int").alias("predicted"), F.size("toxic_passages").alias("n_passages"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = common.table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_score.cross_entropy_difference(common.table(spark, sf_dir, "documents"), good)
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
+OP7_SQL = """
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), control(s) AS (VALUES ('<|im_start|>'), ('<|im_sep|>'), ('<|im_end|>'), ('<|endoftext|>'), ('<|startoftext|>'),
+    ('<s>'), ('</s>'), ('[INST]'), ('[/INST]'), ('<<SYS>>'), ('<</SYS>>'), ('<|system|>'), ('<|user|>'),
+    ('<|assistant|>'), ('<|begin_of_text|>'), ('<|eot_id|>'), ('<start_of_turn>'), ('<end_of_turn>')
+), extra AS (  -- escaping adds a character for each backslash and each control string
+    SELECT t.*, (SELECT sum((length(x) - length(replace(x, s, ''))) // length(s)) FROM control)
+             + length(x) - length(replace(x, chr(92), '')) AS added
+    FROM (SELECT *, role || chr(0) || text AS x FROM turns) t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(role) + length(text) + added + 32)::BIGINT AS formatted_chars
+FROM extra GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_chat_format": OP7_SQL}
