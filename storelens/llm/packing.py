@@ -22,6 +22,7 @@ import zlib
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +50,13 @@ def _byte_letters() -> dict[int, str]:
     return dict(zip([*same, *sorted(set(range(256)) - set(same))], map(chr, [*same, *range(256, 324)]), strict=True))
 
 
+@lru_cache(maxsize=1)
 def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Token ids (little-endian uint32 bytes) of texts under a byte-level vocabulary that drops white space and case.
 
     White space only separates there, so a text's ids are those of its space-separated parts in order. A part is
-    looked up; else it is a Latin word and what follows it, or goes to the library as it is.
+    looked up; else it is a Latin word and what follows it, or goes to the library as it is. One encoder a worker
+    process serves all its tasks.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer

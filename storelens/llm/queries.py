@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.llm import (
+    ann_graph,
     chat_format,
     common,
+    embedding_dedup,
     language_id,
     lm_score,
     ngram_join,
@@ -15,6 +17,7 @@ from storelens.llm import (
     sentencepiece_bpe,
     substring_dedup,
     toxicity,
+    vectors,
 )
 
 
@@ -25,6 +28,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "embeddings")
+    asked = vectors.distinct_vectors(rows.where("vec_id % 100 = 0"), "vec_id", "embedding")
+    return ann_graph.search(ann_graph.build_index(rows), asked, k=10)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.sentencepiece_digests(common.table(spark, sf_dir, "documents"),
                                                    vocabulary("piece_bpe_32k.model"))
@@ -62,6 +71,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_turns(chat_format.canonical_turns(records)))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     held_out = language_id.remainder("doc_id", 3) == 1

@@ -16,6 +16,7 @@ import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ SPACE = "▁"
 _MARKS = ".,;:!?"
 
 #: Parts and token pairs that a task remembers; the memory is emptied beyond.
-REMEMBERED_PARTS, REMEMBERED_PAIRS = 300_000, 500_000
+REMEMBERED_PARTS, REMEMBERED_PAIRS = 600_000, 500_000
 
 
 class PrefixTable:
@@ -62,9 +63,11 @@ class PrefixTable:
         self.found.make_automaton()
         self.between = next(c for c in "\n\0\x1e" if c not in self.ids and not any(c in p for p in self.ids))
         self.pairs: dict[tuple[str, str], bool] = {}
-        #: A part's number of ids, their decimals, and what they decode to.
-        self.parts: dict[str, tuple[int, bytes, bytes]] = {}
-        self.tokens = {p: (1, b"%d" % i, self.bytes_of[i]) for p, i in self.ids.items()}
+        #: The decimals of a part's ids, and what the ids decode to.
+        self.decimals: dict[str, bytes] = {}
+        self.decoded: dict[str, bytes] = {}
+        self.tokens = {p: b"%d" % i for p, i in self.ids.items()}
+        self.texts = {p: self.bytes_of[i] for p, i in self.ids.items()}
         self.cut = self._cutter()
         self.found = ahocorasick.Automaton()
         for piece in self.ids:
@@ -146,29 +149,28 @@ class PrefixTable:
             start += len(part) + 1
         return out
 
-    def _token(self, piece: str) -> tuple[int, bytes, bytes]:
-        """Of a character outside the vocabulary: its bytes' ids."""
-        raw = piece.encode("utf-8", "surrogatepass")
-        return len(raw), b" ".join([b"%d" % self.byte_ids[b] for b in raw]), raw
-
     def learn(self, parts: list[str]) -> None:
-        tokens = self.tokens
         alone = [p for p in parts if self.between in p]
         parts = [p for p in parts if self.between not in p]
         found = (self.pieces(parts) if parts else []) + [self.pieces([p])[0] for p in alone]
         for part, pieces in zip(parts + alone, found, strict=True):
-            own = [tokens.get(p) or self._token(p) for p in pieces]
-            self.parts[part] = (sum([t[0] for t in own]), b" ".join([t[1] for t in own]), b"".join([t[2] for t in own]))
-
-    def encoded(self, texts: list[str | None]) -> Iterator[list[tuple[int, bytes, bytes]]]:
-        """For each text, what ``parts`` has of its parts in order."""
-        if len(self.parts) > REMEMBERED_PARTS:
-            self.parts.clear()
+            for p in pieces:
+                if p not in self.tokens:  # a character outside the vocabulary: its bytes' ids
+                    raw = p.encode("utf-8", "surrogatepass")
+                    self.tokens[p], self.texts[p] = b" ".join([b"%d" % self.byte_ids[b] for b in raw]), raw
+            self.decimals[part] = b" ".join([self.tokens[p] for p in pieces])
+            self.decoded[part] = b"".join([self.texts[p] for p in pieces])
+
+    def encoded(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
+        """For each text the decimals of its ids, joined by spaces, and what these decode to with the first space."""
+        if len(self.decimals) > REMEMBERED_PARTS:
+            self.decimals.clear()
+            self.decoded.clear()
         cut = [self.cut.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        known = self.parts
-        self.learn(list({p for c in cut for p in c if p not in known}))
+        self.learn(list(set().union(*cut).difference(self.decimals)))
+        decimals, decoded = self.decimals.__getitem__, self.decoded.__getitem__
         for c in cut:
-            yield [known[p] for p in c]
+            yield b" ".join(map(decimals, c)), b"".join(map(decoded, c))
 
     def decode(self, ids) -> str:
         """Text of ids: pieces joined, the first space dropped, bytes read as UTF-8."""
@@ -176,6 +178,12 @@ class PrefixTable:
         return raw.removeprefix(b" ").decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def prefix_table(model: str) -> PrefixTable:
+    """One table a worker process, with what it has learned, for all the tasks that it runs."""
+    return PrefixTable(model)
+
+
 def _blocks(column: pa.Array, rows: int = 64) -> Iterator[list[str | None]]:
     for at in range(0, len(column), rows):
         yield column.slice(at, rows).to_pylist()
@@ -185,11 +193,11 @@ def sentencepiece_encode(docs: DataFrame, model: str) -> DataFrame:
     """doc_id and ``ids`` (array of int, with the end id only) of ``docs(doc_id, text)``; null text: empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PrefixTable(model)
+        table = prefix_table(model)
         end = table.end_id
         for batch in batches:
-            ids = [np.array([*b" ".join([p[1] for p in parts]).split(), end], dtype=np.int32)
-                   for texts in _blocks(batch.column(1)) for parts in table.encoded(texts)]
+            ids = [np.array([*decimals.split(), end], dtype=np.int32)
+                   for texts in _blocks(batch.column(1)) for decimals, _ in table.encoded(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     bounded_batches(docs.sparkSession)
@@ -200,7 +208,7 @@ def sentencepiece_decode(encoded: DataFrame, model: str) -> DataFrame:
     """doc_id and ``text`` of ``encoded(doc_id, ids)``; null ids: null text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PrefixTable(model)
+        table = prefix_table(model)
         for batch in batches:
             texts = [None if ids is None else table.decode(ids) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
@@ -217,16 +225,16 @@ def sentencepiece_digests(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PrefixTable(model)
+        table = prefix_table(model)
         end = str(table.end_id).encode()
         for batch in batches:
             out = defaultdict(list)
             for texts in _blocks(batch.column(1)):
-                for parts in table.encoded(texts):
-                    decoded = b"".join([p[2] for p in parts]).removeprefix(b" ")
-                    out["n"].append(sum([p[0] for p in parts]) + 1)
-                    out["ids"].append(hashlib.sha256(b" ".join([*[p[1] for p in parts], end])).hexdigest())
-                    out["text"].append(hashlib.sha256(decoded).hexdigest())
+                for decimals, decoded in table.encoded(texts):
+                    ids = decimals + b" " + end if decimals else end
+                    out["n"].append(ids.count(b" ") + 1)
+                    out["ids"].append(hashlib.sha256(ids).hexdigest())
+                    out["text"].append(hashlib.sha256(decoded.removeprefix(b" ")).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(out["n"], pa.int64()), pa.array(out["ids"], pa.string()),
                  pa.array(out["text"], pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
