@@ -81,6 +81,8 @@ def _log_frequencies(rows: list, languages: list[str]) -> tuple[dict[str, int],
     counts = np.zeros((len(at), len(languages)))
     for r in rows:
         counts[at[r.item], column[r.lang]] = r.n
+    if not at:
+        return at, counts
     logs = np.log(counts + 0.5) - np.log(counts.sum(axis=0) + 0.5 * max(1, len(at)))
     return at, logs - logs.mean(axis=1, keepdims=True)
 
