@@ -25,6 +25,7 @@ from storelens.functions.columns import midnight, ts_lit
 from storelens.plans.broadcast import size_checked_broadcast
 from storelens.plans.scalars import one_row
 from storelens.sources.retail import Retail
+from storelens.sources.sinks import JSON_OPTIONS
 
 ADMIN = "db_admin"
 BUSINESS_HOURS = (8, 20)
@@ -67,23 +68,6 @@ GRANT_SCHEMA = T.StructType([
 ])
 
 
-def fixture_grants(spark: SparkSession) -> DataFrame:
-    """The user_store_access fixture: a live grant, a revoked one, an expired
-    one, an admin grant, a user with two stores and a user whose only store
-    never sold (store 99 does not exist)."""
-    t = dt.datetime
-    rows = [
-        (1, 7, 3, "read", 1, t(2001, 1, 1), None, True),
-        (2, 7, 5, "read", 1, t(2001, 1, 1), None, False),
-        (3, 7, 8, "read", 1, t(2001, 1, 1), t(2001, 6, 1), True),
-        (4, 1, 3, "admin", None, t(2000, 1, 1), None, True),
-        (5, 9, 10, "write", 1, t(2001, 2, 1), None, True),
-        (6, 9, 11, "read", 1, t(2001, 2, 1), t(2002, 1, 1), True),
-        (7, 12, 99, "read", 1, t(2001, 3, 1), None, True),
-    ]
-    return spark.createDataFrame(rows, GRANT_SCHEMA)
-
-
 def derived_grants(r: Retail) -> DataFrame:
     """A user_store_access table derived from the device table, so it grows
     with the data: device d grants user d // 4 access to the device's store;
@@ -113,7 +97,7 @@ def _granted_stores(grants: DataFrame, user_id: int, as_of: dt.datetime, strict:
 
 
 def apply_policy(df: DataFrame, table: str, role: str, *, r: Retail | None = None, user_id: int | None = None,
-                 hour: int = 12, as_of: dt.date | dt.datetime = dt.date.today(), mode: str = "as_written",
+                 as_of: dt.date | dt.datetime, hour: int = 12, mode: str = "as_written",
                  grants: DataFrame | None = None, time_col: str | None = None) -> DataFrame:
     """Rows of ``df`` (a ``table`` frame) visible to ``role`` at ``hour``."""
     if mode not in ("as_written", "restrictive", "strict"):
@@ -174,6 +158,11 @@ def _is_store_admin(grants: DataFrame, granting_user: int, store_id: int) -> Dat
                             ).alias("_auth"))
 
 
+def grant_id(user_id: Column, store_id: Column) -> Column:
+    """The id of a new grant: a number from the hash of its user and store."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", user_id.cast("string"), store_id.cast("string"))), 1, 15), 16, 10).cast("long")
+
+
 def grant_access(grants: DataFrame, granting_user: int, user_id: int, store_id: int, access_level: str = "read",
                  expires_at: dt.datetime | None = None, now: dt.datetime | None = None,
                  caller_is_db_admin: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -187,13 +176,13 @@ def grant_access(grants: DataFrame, granting_user: int, user_id: int, store_id:
         (F.coalesce(F.col("_auth"), F.lit(False)) | F.lit(caller_is_db_admin)).alias("_ok"))
     new_row = spark.createDataFrame(
         [(None, user_id, store_id, access_level, granting_user, now, expires_at, True)], GRANT_SCHEMA)
-    new_row = new_row.where(one_row(auth).getField("_ok")).withColumn("_v", F.lit(1))
+    new_row = new_row.withColumn("id", F.lit(None).cast("long")).where(one_row(auth).getField("_ok")).withColumn("_v", F.lit(1))
     combined = grants.withColumn("_v", F.lit(0)).unionByName(new_row)
     w = Window.partitionBy("user_id", "store_id").orderBy(F.col("_v").desc())
     # On conflict the existing row keeps its id, the new values replace the rest.
     ids = Window.partitionBy("user_id", "store_id")
     state = (combined.withColumn("_rn", F.row_number().over(w))
-             .withColumn("id", F.coalesce(F.col("id"), F.max("id").over(ids)))
+             .withColumn("id", F.coalesce(F.col("id"), F.max("id").over(ids), grant_id(F.col("user_id"), F.col("store_id"))))
              .where(F.col("_rn") == 1).drop("_rn", "_v"))
     audit = new_row.select(F.lit("user_store_access").alias("table_name"), F.lit("GRANT_ACCESS").alias("action"),
                            F.to_json(F.struct(F.col("user_id"), F.col("store_id"), F.col("access_level"),
@@ -230,7 +219,7 @@ def audit_changes(old: DataFrame, new: DataFrame, key: str, table_name: str, use
     changed = ~F.col("_old").eqNullSafe(F.col("_new"))
     op = (F.when(F.col("_k").isNull(), F.lit("INSERT")).when(F.col("_k2").isNull(), F.lit("DELETE"))
           .when(changed, F.lit("UPDATE")))
-    opts = {"ignoreNullFields": "false"}
+    opts = {"ignoreNullFields": "false", **JSON_OPTIONS}
     return (j.withColumn("action", op).where(F.col("action").isNotNull())
             .select(F.lit(user_id).cast("string").alias("user_id"), F.lit(table_name).alias("table_name"),
                     "action",

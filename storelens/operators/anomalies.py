@@ -16,17 +16,23 @@ from storelens.functions.columns import as_double, count_if, fixed, midnight, ra
 from storelens.plans.lines import window_start
 from storelens.plans.scalars import one_row, with_scalars
 from storelens.sources.retail import Retail
+from storelens.sources.sinks import JSON_OPTIONS
 
 ANOMALY_TYPES = ("SUSPICIOUS_TRANSACTION", "UNUSUAL_PATTERN", "HIGH_SUBSTITUTION_RATE")
 
 
+def high_value_threshold(r: Retail, as_of: dt.date, k: float = 3.0, base_days: int = 30) -> DataFrame:
+    """One row: mean + k * sample stddev of the baskets of the last ``base_days``."""
+    return (r.interactions(window_start(as_of, base_days))
+            .agg((as_double(F.avg("total_amount")) + F.lit(float(k)) * F.stddev_samp(as_double("total_amount")))
+                 .alias("_threshold")))
+
+
 def anomaly_high_value(r: Retail, as_of: dt.date, k: float = 3.0, base_days: int = 30,
                        scan_days: int = 7) -> DataFrame:
     """Baskets of the last ``scan_days`` above mean + k * sample stddev of the
     last ``base_days``; severity high above twice the threshold."""
-    stats = (r.interactions(window_start(as_of, base_days))
-             .agg((as_double(F.avg("total_amount")) + F.lit(float(k)) * F.stddev_samp(as_double("total_amount")))
-                  .alias("_threshold")))
+    stats = high_value_threshold(r, as_of, k, base_days)
     scan = r.interactions(window_start(as_of, scan_days))
     amount = as_double("total_amount")
     th = one_row(stats).getField("_threshold")
@@ -69,7 +75,7 @@ def anomaly_substitution(r: Retail, as_of: dt.date, rate: float = 25.0, days: in
 
 
 def _details(*fields: str) -> F.Column:
-    return F.to_json(F.struct(*[F.col(f) for f in fields]), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*[F.col(f) for f in fields]), {"ignoreNullFields": "false", **JSON_OPTIONS})
 
 
 def detected_anomalies(r: Retail, as_of: dt.date, run_ts: dt.datetime | None = None,
@@ -104,9 +110,10 @@ def detect_anomalies(r: Retail, as_of: dt.date, existing: DataFrame | None = Non
     """One detection run as a state transition.
 
     Active anomalies of the three rule types in ``existing`` become resolved
-    (resolved_at = run time), the new detections are appended. Returns
-    ``(new_state, audit_row)``; the caller writes the state (overwrite of a new
-    snapshot, never of the path being read) and appends the audit row.
+    (resolved_at = run time), the new detections are appended. A detection's id
+    holds the run time, so ids differ between runs; a rerun of one run (same
+    ``run_ts``) replaces its own rows. Returns ``(new_state, audit_row)``;
+    ``storelens.jobs.detection_run`` writes both.
     """
     run_ts = run_ts or midnight(as_of)
     new = detected_anomalies(r, as_of, run_ts, **rule_params)
@@ -114,7 +121,7 @@ def detect_anomalies(r: Retail, as_of: dt.date, existing: DataFrame | None = Non
         state = new
     else:
         closing = F.col("type").isin(*ANOMALY_TYPES) & (F.col("status") == "active")
-        resolved = existing.select(
+        resolved = existing.join(new.select("id"), "id", "left_anti").select(
             "id", "type", "details", "severity",
             F.when(closing, F.lit("resolved")).otherwise(F.col("status")).alias("status"),
             "created_at",
@@ -123,10 +130,14 @@ def detect_anomalies(r: Retail, as_of: dt.date, existing: DataFrame | None = Non
     summary = new.agg(
         F.sum(F.when(F.col("type") == "SUSPICIOUS_TRANSACTION", 1).otherwise(0)).alias("suspicious_transactions"),
         F.sum(F.when(F.col("type") == "UNUSUAL_PATTERN", 1).otherwise(0)).alias("unusual_patterns"))
+    hv = {k: v for k, v in (rule_params.get("high_value") or {}).items() if k in ("k", "base_days")}
+    threshold = one_row(high_value_threshold(r, as_of, **hv)).getField("_threshold")
     audit = summary.select(
         F.lit("anomalies").alias("table_name"), F.lit("DETECTION_RUN").alias("action"),
         F.to_json(F.struct(F.coalesce("suspicious_transactions", F.lit(0)).alias("suspicious_transactions"),
                            F.coalesce("unusual_patterns", F.lit(0)).alias("unusual_patterns"),
-                           F.lit(as_of.isoformat()).alias("detection_date"))).alias("new_data"),
+                           fixed(threshold, 2).alias("high_value_threshold"),
+                           F.lit(as_of.isoformat()).alias("detection_date")),
+                  {"ignoreNullFields": "false"}).alias("new_data"),
         ts_lit(run_ts).alias("audit_ts"))
     return state, audit

@@ -98,6 +98,19 @@ def flag_fmcg(r: Retail) -> DataFrame:
                          updated.alias("updated"))
 
 
+def flag_fmcg_audit(flagged: DataFrame, at: dt.datetime) -> DataFrame:
+    """The audit row of a ``flag_fmcg`` run: how many interactions it flagged."""
+    return flagged.agg(count_when(F.col("updated")).alias("updated_count")).select(
+        F.lit("sales_interactions").alias("table_name"), F.lit("FMCG_UPDATE").alias("action"),
+        F.to_json(F.struct("updated_count")).alias("new_data"), ts_lit(at).alias("audit_ts"))
+
+
+def purge_audit(counts: DataFrame, at: dt.datetime) -> DataFrame:
+    """The audit row of a ``purge_old_data`` run: its cut-off and counts."""
+    return counts.select(F.lit("data_retention").alias("table_name"), F.lit("PURGE").alias("action"),
+                         F.to_json(F.struct(*counts.columns)).alias("new_data"), ts_lit(at).alias("audit_ts"))
+
+
 def purge_old_data(r: Retail, as_of: dt.date, anomalies: DataFrame, retention_months: int = 12,
                    audit_as_of: dt.date | None = None, audit_months: int = 6,
                    anomaly_months: int = 3) -> tuple[dict[str, DataFrame], DataFrame]:

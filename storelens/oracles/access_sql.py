@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from storelens.oracles.common import AS_OF, since, ts, with_adapter
+from storelens.oracles.common import AS_OF, PRODUCT_FIELDS, row_json, since, ts, with_adapter
 from storelens.params import FIXTURE_AUDIT_AS_OF
 
 GRANTS_CTE = """user_store_access AS (
@@ -98,15 +98,16 @@ MODIFIED_PRODUCTS_CTE = """products_new AS (
   SELECT id + 10000000, name, brand_id, category, is_fmcg, unit_price FROM products WHERE id % 100 = 3)"""
 
 
-def audit_change_counts() -> str:
-    return with_adapter(MODIFIED_PRODUCTS_CTE) + """
-SELECT 'products' AS table_name, action, COUNT(*) AS change_count FROM (
-  SELECT CASE WHEN o.id IS NULL THEN 'INSERT' WHEN n.id IS NULL THEN 'DELETE'
-              WHEN (o.name IS DISTINCT FROM n.name OR o.brand_id IS DISTINCT FROM n.brand_id
-                    OR o.category IS DISTINCT FROM n.category OR o.is_fmcg IS DISTINCT FROM n.is_fmcg
-                    OR o.unit_price IS DISTINCT FROM n.unit_price) THEN 'UPDATE' END AS action
-  FROM products o FULL OUTER JOIN products_new n ON o.id = n.id)
-WHERE action IS NOT NULL GROUP BY action"""
+def audit_changes() -> str:
+    changed = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c, _ in PRODUCT_FIELDS[1:])
+    return with_adapter(MODIFIED_PRODUCTS_CTE) + f"""
+SELECT CAST(NULL AS VARCHAR) AS user_id, 'products' AS table_name, action,
+  CASE WHEN action != 'INSERT' THEN {row_json('o', PRODUCT_FIELDS)} END AS old_data,
+  CASE WHEN action != 'DELETE' THEN {row_json('n', PRODUCT_FIELDS)} END AS new_data,
+  CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS VARCHAR) AS user_agent, COALESCE(o.id, n.id) AS row_key
+FROM (SELECT o, n, CASE WHEN o.id IS NULL THEN 'INSERT' WHEN n.id IS NULL THEN 'DELETE' WHEN {changed} THEN 'UPDATE' END AS action
+      FROM products o FULL OUTER JOIN products_new n ON o.id = n.id)
+WHERE action IS NOT NULL"""
 
 
 def product_update_guard() -> str:
@@ -130,7 +131,8 @@ def grant_access(granting_user: int, user_id: int, store_id: int, level: str, no
 SELECT {GRANT_COLS} FROM user_store_access
 WHERE NOT ((SELECT ok FROM auth) AND user_id = {user_id} AND store_id = {store_id})
 UNION ALL
-SELECT (SELECT MAX(id) FROM user_store_access WHERE user_id = {user_id} AND store_id = {store_id}),
+SELECT COALESCE((SELECT MAX(id) FROM user_store_access WHERE user_id = {user_id} AND store_id = {store_id}),
+    CAST('0x' || substr(md5('{user_id}|{store_id}'), 1, 15) AS BIGINT)),
   CAST({user_id} AS BIGINT), CAST({store_id} AS INT), '{level}', CAST({granting_user} AS BIGINT), {ts(now)},
   CAST(NULL AS TIMESTAMP), true
 WHERE (SELECT ok FROM auth)"""

@@ -119,3 +119,21 @@ def in_list(values: tuple[str, ...]) -> str:
 
 
 FOCUS = in_list(FIXTURE_FOCUS_BRANDS)
+
+
+PRODUCT_FIELDS = [("id", "num"), ("name", "str"), ("brand_id", "num"), ("category", "str"), ("is_fmcg", "bool"),
+                  ("unit_price", "num")]
+
+
+def row_json(alias: str, fields: list[tuple[str, str]]) -> str:
+    """JSON text of a row as Spark's to_json writes it (field order of the frame, NULL fields kept, decimals with
+    their scale). Kinds: num, str, bool."""
+    def val(c: str, kind: str) -> str:
+        if kind == "str":
+            return f"COALESCE(to_json({alias}.{c}), 'null')"
+        if kind == "bool":
+            return f"COALESCE(CASE WHEN {alias}.{c} THEN 'true' ELSE 'false' END, 'null')"
+        return f"COALESCE(CAST({alias}.{c} AS VARCHAR), 'null')"
+
+    parts = " || ',' || ".join(f"'\"{c}\":' || {val(c, k)}" for c, k in fields)
+    return f"('{{' || {parts} || '}}')"

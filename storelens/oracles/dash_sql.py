@@ -293,32 +293,47 @@ WHERE si.transaction_date >= {since(30)} AND EXISTS (
 
 def _json(fields: list[tuple]) -> str:
     """JSON text as Spark's to_json writes these flat rows (NULLs kept;
-    timestamps in Spark's default JSON format, milliseconds). Each field is
+    timestamps with microseconds). Each field is
     (column, kind) or (json key, column, kind)."""
     def val(c: str, kind: str) -> str:
         if kind == "ts":
-            return f"COALESCE(to_json(strftime({c}, '%Y-%m-%dT%H:%M:%S.%g')), 'null')"
+            return f"COALESCE(to_json(strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')), 'null')"
         return f"COALESCE(CAST({c} AS VARCHAR), 'null')"
     norm = [f if len(f) == 3 else (f[0], f[0], f[1]) for f in fields]
     parts = " || ',' || ".join(f"'\"{key}\":' || {val(c, kind)}" for key, c, kind in norm)
     return f"('{{' || {parts} || '}}')"
 
 
-def detect_anomalies(hv: dict, sp: dict, sb: dict, run_ts: dt.datetime) -> str:
-    """State after one detection run over the previous run's rows (same rules):
-    the previous active rows resolved at the run time, the new rows active."""
+def _detected(hv: dict, sp: dict, sb: dict) -> str:
     details_hv = _json([("interaction_id", "num"), ("store_id", "num"), ("amount", "num"), ("threshold", "num"),
                         ("date", "transaction_date", "ts")])
     details_sp = _json([("store_id", "num"), ("store_avg_amount", "num"), ("overall_avg_amount", "num"),
                         ("deviation_factor", "num")])
     details_sb = _json([("store_id", "num"), ("substitution_rate", "num"), ("transaction_count", "num")])
-    run = run_ts.isoformat()
-    return with_adapter(f"""detected AS (
+    return f"""detected AS (
   SELECT anomaly_type AS type, {details_hv} AS details, severity FROM ({high_value_body(**hv)})
   UNION ALL SELECT anomaly_type, {details_sp}, severity FROM ({store_pattern_body(**sp)})
-  UNION ALL SELECT anomaly_type, {details_sb}, severity FROM ({substitution_body(**sb)}))""", f"""rows_ AS (
-  SELECT sha256(type || '|' || details || '|' || '{run}') AS id, type, details, severity FROM detected)""") + f"""
-SELECT id, type, details, severity, 'resolved' AS status, {ts(run_ts)} AS created_at, {ts(run_ts)} AS resolved_at
-FROM rows_
-UNION ALL
-SELECT id, type, details, severity, 'active', {ts(run_ts)}, CAST(NULL AS TIMESTAMP) FROM rows_"""
+  UNION ALL SELECT anomaly_type, {details_sb}, severity FROM ({substitution_body(**sb)}))"""
+
+
+def detect_anomalies(hv: dict, sp: dict, sb: dict, first_ts: dt.datetime, run_ts: dt.datetime) -> str:
+    """State after a detection run at ``run_ts`` over the rows of one at ``first_ts`` (same rules): the first run's
+    active rows resolved at the run time, the new rows active. Ids hold the run time, so all differ."""
+    def rows(at: dt.datetime, status: str, resolved: str) -> str:
+        return (f"SELECT sha256(type || '|' || details || '|' || '{at.isoformat()}') AS id, type, details, severity, "
+                f"'{status}' AS status, {ts(at)} AS created_at, {resolved} AS resolved_at FROM detected")
+
+    return (with_adapter(_detected(hv, sp, sb)) + rows(first_ts, "resolved", ts(run_ts)) + "\nUNION ALL\n"
+            + rows(run_ts, "active", "CAST(NULL AS TIMESTAMP)"))
+
+
+def detect_anomalies_audit(hv: dict, sp: dict, sb: dict, run_ts: dt.datetime) -> str:
+    threshold = fx(f"AVG(total_amount) + {float(hv['k'])!r} * STDDEV(total_amount)", 2)
+    return with_adapter(_detected(hv, sp, sb)) + f"""
+SELECT 'anomalies' AS table_name, 'DETECTION_RUN' AS action,
+  '{{"suspicious_transactions":' || CAST(COUNT(*) FILTER (type = 'SUSPICIOUS_TRANSACTION') AS VARCHAR)
+  || ',"unusual_patterns":' || CAST(COUNT(*) FILTER (type = 'UNUSUAL_PATTERN') AS VARCHAR)
+  || ',"high_value_threshold":' || CAST((SELECT {threshold} FROM sales_interactions
+       WHERE transaction_date >= {since(hv['base_days'])}) AS VARCHAR)
+  || ',"detection_date":"{AS_OF.isoformat()}"}}' AS new_data, {ts(run_ts)} AS audit_ts
+FROM detected"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from storelens.oracles import views_sql
-from storelens.oracles.common import big, fx, msum, ts, with_adapter
+from storelens.oracles.common import PRODUCT_FIELDS, big, fx, msum, row_json, ts, with_adapter
 
 
 def live_kpis() -> str:
@@ -89,7 +89,7 @@ def table_select_single() -> str:
 def export_transactions() -> str:
     return with_adapter() + """
 SELECT interaction_id, store_id, customer_id, transaction_date, total_amount,
-  CAST(date_trunc('month', transaction_date) AS DATE) AS sale_month FROM sales_interactions"""
+  CAST(transaction_date AS DATE) AS sale_date FROM sales_interactions"""
 
 
 def export_json() -> str:
@@ -97,11 +97,7 @@ def export_json() -> str:
 
 
 def export_csv() -> str:
-    line = ("CAST(id AS VARCHAR) || ',' || '\"' || replace(name, '\"', '\"\"') || '\"' || ',' || "
-            "'\"' || replace(region, '\"', '\"\"') || '\"' || ',' || '\"' || replace(store_type, '\"', '\"\"') || '\"'")
-    return with_adapter() + f"""
-SELECT 'id,name,region,store_type' AS line
-UNION ALL SELECT {line} FROM stores"""
+    return with_adapter() + "SELECT id, name, region, store_type FROM stores"
 
 
 def stream_ingest_json() -> str:
@@ -113,27 +109,60 @@ def raw_zone_append(run_ts: str) -> str:
 SELECT interaction_id, store_id, total_amount, '{run_ts}' AS _ingested_at FROM sales_interactions"""
 
 
-def _row_json(alias: str) -> str:
-    """JSON text of a products row as Spark's to_json writes it (field order of
-    the frame, NULL fields kept, decimals with their scale)."""
-    def val(c: str, kind: str) -> str:
-        if kind == "str":
-            return f"COALESCE(to_json({alias}.{c}), 'null')"
-        if kind == "bool":
-            return f"COALESCE(CASE WHEN {alias}.{c} THEN 'true' ELSE 'false' END, 'null')"
-        return f"COALESCE(CAST({alias}.{c} AS VARCHAR), 'null')"
-
-    fields = [("id", "num"), ("name", "str"), ("brand_id", "num"), ("category", "str"), ("is_fmcg", "bool"),
-              ("unit_price", "num")]
-    parts = " || ',' || ".join(f"'\"{c}\":' || {val(c, k)}" for c, k in fields)
-    return f"('{{' || {parts} || '}}')"
-
-
-def cdc_route_updates(modified_products_cte: str, commit_ts: str) -> str:
-    changed = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}"
-                          for c in ("name", "brand_id", "category", "is_fmcg", "unit_price"))
-    return with_adapter(modified_products_cte) + f"""
-SELECT '{commit_ts}' AS commit_ts, 'UPDATE' AS eventType, {_row_json('n')} AS new, {_row_json('o')} AS old,
-  'products' AS "table"
-FROM products o JOIN products_new n ON o.id = n.id
-WHERE {changed}"""
+def cdc_route(modified_products_cte: str, customers_ctes: str) -> str:
+    """All three routes of the product and customer changes."""
+    def changes(cols: list[tuple[str, str]]) -> str:
+        texts = {"bool": lambda x: f"CASE WHEN {x} THEN 'true' WHEN NOT {x} THEN 'false' END",
+                 "dec": lambda x: f"CAST(CAST({x} AS DOUBLE) AS VARCHAR)"}  # a JSON number's shortest form
+        entries = []
+        for c, kind in sorted((c, "dec" if c == "unit_price" else k) for c, k in cols):
+            o, n = (texts.get(kind, lambda x: f"CAST({x} AS VARCHAR)")(f"{a}.{c}") for a in "on")
+            entries.append(f"CASE WHEN o.{c} IS DISTINCT FROM n.{c} THEN '\"{c}\":{{\"from\":' || COALESCE(to_json({o}), 'null') "
+                           f"|| ',\"to\":' || COALESCE(to_json({n}), 'null') || '}}' END")
+        return "'{' || concat_ws(',', " + ", ".join(entries) + ") || '}'"
+
+    customer_fields = [("id", "num"), ("name", "str"), ("segment", "str"), ("updated_by", "str")]
+    differs = lambda cols: " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c, _ in cols[1:])
+    parts = []
+    for table, old, new, cols, user in (("products", "products", "products_new", PRODUCT_FIELDS, "NULL"),
+                                        ("customers", "customers", "customers_new", customer_fields, "n.updated_by")):
+        parts.append(f"SELECT 'raw-data' AS route, '{table}' AS \"table\", 'INSERT' AS change_type, "
+                     f"CAST(NULL AS VARCHAR) AS record_id, CAST(NULL AS VARCHAR) AS user_id, {row_json('n', cols)} AS payload "
+                     f"FROM {new} n WHERE id NOT IN (SELECT id FROM {old})")
+        parts.append(f"SELECT 'audit-trail', '{table}', 'UPDATE', CAST(n.id AS VARCHAR), CAST({user} AS VARCHAR), {changes(cols)} "
+                     f"FROM {old} o JOIN {new} n ON o.id = n.id WHERE {differs(cols)}")
+    parts.append(f"SELECT 'customer-changes', 'customers', CASE WHEN o.id IS NULL THEN 'INSERT' ELSE 'UPDATE' END, "
+                 f"CAST(n.id AS VARCHAR), NULL, {row_json('n', customer_fields)} FROM customers_new n "
+                 f"LEFT JOIN customers o ON o.id = n.id WHERE o.id IS NULL OR {differs(customer_fields)}")
+    return with_adapter(modified_products_cte, customers_ctes) + "\nUNION ALL\n".join(parts)
+
+
+def latency_p95() -> str:
+    """Nearest rank over sorted values: position (95 n + 99) div 100."""
+    return f"""
+SELECT window_start, {fx("MAX(CASE WHEN position = (95 * n + 99) // 100 THEN value END)", 6)} AS p95_value,
+  COUNT(*) AS samples
+FROM (SELECT date_trunc('day', ts) AS window_start, value, COUNT(value) OVER day AS n,
+        CASE WHEN value IS NOT NULL THEN ROW_NUMBER() OVER (day ORDER BY value NULLS LAST) END AS position
+      FROM events WINDOW day AS (PARTITION BY date_trunc('day', ts)))
+GROUP BY 1"""
+
+
+def row_counts(views: dict[str, str]) -> str:
+    """Name and number of rows of each view."""
+    return "\nUNION ALL\n".join(f"SELECT '{n}' AS name, (SELECT COUNT(*) FROM ({q})) AS row_count" for n, q in views.items())
+
+
+def file_inventory() -> str:
+    """A folder for each sale date."""
+    return with_adapter() + """
+SELECT DISTINCT 'sale_date=' || strftime(transaction_date, '%Y-%m-%d') AS folder FROM sales_interactions"""
+
+
+def lake_lifecycle_plan(now: dt.datetime) -> str:
+    """Ages from the order dates: one entry per order, by its date."""
+    age = f"date_diff('day', CAST(transaction_date AS DATE), CAST({ts(now)} AS DATE))"
+    return with_adapter() + f"""
+SELECT CAST(interaction_id AS VARCHAR) AS name, CAST({age} AS INTEGER) AS age_days,
+  CASE WHEN {age} > 365 THEN 'delete' WHEN {age} > 90 THEN 'archive' WHEN {age} > 30 THEN 'cool' ELSE 'hot' END AS action
+FROM sales_interactions"""

@@ -100,9 +100,16 @@ def fixture_anomalies(r: Retail):
     return cached
 
 
-register("detect_anomalies", dash_sql.detect_anomalies(HV, SP, SB, datetime.datetime(2001, 8, 1)))(
-    lambda r: anomalies.detect_anomalies(r, AS_OF, existing=fixture_anomalies(r),
-                                         high_value=HV, store_pattern=SP, substitution=SB)[0])
+FIRST_RUN, SECOND_RUN = datetime.datetime(2001, 8, 1), datetime.datetime(2001, 8, 1, 6)
+
+
+def _detection(r: Retail) -> tuple[DataFrame, DataFrame]:
+    return anomalies.detect_anomalies(r, AS_OF, existing=fixture_anomalies(r), run_ts=SECOND_RUN,
+                                      high_value=HV, store_pattern=SP, substitution=SB)
+
+
+register("detect_anomalies", dash_sql.detect_anomalies(HV, SP, SB, FIRST_RUN, SECOND_RUN))(lambda r: _detection(r)[0])
+register("detect_anomalies_audit", dash_sql.detect_anomalies_audit(HV, SP, SB, SECOND_RUN))(lambda r: _detection(r)[1])
 
 # ----------------------------------------------------------- §2.3 dashboards
 STORE_TIERS = (2500000, 1500000, 800000)
@@ -144,8 +151,26 @@ register("market_share_by_region", proc_sql.market_share_by_region(90))(
 register("customer_insights", proc_sql.customer_insights(30, RFM))(
     lambda r: procedures.customer_insights(r, AS_OF, 30, RFM))
 register("flag_fmcg", proc_sql.flag_fmcg())(lambda r: procedures.flag_fmcg(r))
-register("purge_old_data", proc_sql.purge_old_data(12, AUDIT_AS_OF.date(), hv=HV, sp=SP, sb=SB))(
-    lambda r: procedures.purge_old_data(r, AS_OF, fixture_anomalies(r), 12, audit_as_of=AUDIT_AS_OF.date())[1])
+register("flag_fmcg_audit", proc_sql.flag_fmcg_audit(FIRST_RUN))(
+    lambda r: procedures.flag_fmcg_audit(procedures.flag_fmcg(r), FIRST_RUN))
+PURGE_AUDIT_AS_OF = datetime.date(2024, 7, 20)  # audit rows from before 2024-01-20 are too old
+
+
+def _purge(r: Retail) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Low anomalies resolved long ago, medium ones lately, high ones active."""
+    day = lambda d: F.lit(d).cast("timestamp_ntz")
+    found = fixture_anomalies(r).select(
+        "id", "type", "severity", F.when(F.col("severity") == "high", "active").otherwise("resolved").alias("status"),
+        F.when(F.col("severity") == "low", day("2001-04-01")).when(F.col("severity") == "medium", day("2001-07-01"))
+        .alias("resolved_at"))
+    return procedures.purge_old_data(r, AS_OF, found, 12, audit_as_of=PURGE_AUDIT_AS_OF)
+
+
+register("purge_old_data", proc_sql.purge_old_data(12, PURGE_AUDIT_AS_OF, hv=HV, sp=SP, sb=SB))(lambda r: _purge(r)[1])
+for _table, _cols in (("sales_interactions", ["interaction_id"]), ("transaction_items", ["interaction_id", "product_id", "quantity"]),
+                      ("audit_log", ["id", "audit_ts"]), ("anomalies", ["type", "severity", "status", "resolved_at"])):
+    register(f"purge_kept_{_table}", proc_sql.purge_kept(_table, 12, PURGE_AUDIT_AS_OF, HV, SP, SB))(
+        lambda r, _t=_table, _c=_cols: _purge(r)[0][_t].select(*_c))
 register("system_alerts", proc_sql.system_alerts(HV, SP, SB))(
     lambda r: procedures.system_alerts(r, AS_OF, fixture_anomalies(r)))
 register("alert_payload", proc_sql.alert_payload(HV, SP, SB))(
@@ -224,9 +249,8 @@ def modified_products(r: Retail) -> DataFrame:
     return changed.unionByName(inserted)
 
 
-register("audit_changes", access_sql.audit_change_counts())(
-    lambda r: access.audit_changes(r.products, modified_products(r), "id", "products")
-    .groupBy("table_name", "action").agg(F.count(F.lit(1)).alias("change_count")))
+register("audit_changes", access_sql.audit_changes())(
+    lambda r: access.audit_changes(r.products, modified_products(r), "id", "products"))
 register("product_update_guard", access_sql.product_update_guard())(
     lambda r: access.product_update_guard(r.products, modified_products(r)))
 
@@ -375,9 +399,22 @@ def _raw_zone(r: Retail) -> DataFrame:
 
 
 def _inventory(r: Retail) -> DataFrame:
+    """The folders that an export made (file names differ from run to run)."""
     base = _scratch(r, "inventory")
     sinks.export_transactions(r.interactions().select("interaction_id", "transaction_date"), base)
-    return sinks.file_inventory(r.spark, base)
+    folder = F.regexp_extract("name", "(sale_date=[0-9-]+)/part-", 1)
+    return sinks.file_inventory(r.spark, base).where("content_length > 0").select(folder.alias("folder")).where(
+        "folder <> ''").distinct()
+
+
+LIFECYCLE_NOW = datetime.datetime(2001, 8, 1)
+
+
+def _lifecycle(r: Retail) -> DataFrame:
+    """Files as old as the baskets: one for each."""
+    files = r.interactions().select(F.col("interaction_id").cast("string").alias("name"),
+                                    F.col("transaction_date").alias("last_modified"), F.lit(1).alias("content_length"))
+    return sinks.lake_lifecycle_plan(files, LIFECYCLE_NOW).select("name", "age_days", "action")
 
 
 def _snapshot(r: Retail) -> DataFrame:
@@ -388,12 +425,11 @@ def _snapshot(r: Retail) -> DataFrame:
 
 
 register("raw_zone_append", stream_sql.raw_zone_append("2001-08-01T00:00:00"))(_raw_zone)
-register("file_inventory", None)(_inventory)
-register("lake_lifecycle_plan", None)(
-    lambda r: sinks.lake_lifecycle_plan(_inventory(r), datetime.datetime.now()))
-register("snapshot_refresh", None)(
+register("file_inventory", stream_sql.file_inventory())(_inventory)
+register("lake_lifecycle_plan", stream_sql.lake_lifecycle_plan(LIFECYCLE_NOW))(_lifecycle)
+register("snapshot_refresh", stream_sql.row_counts({"brand_competition": views_sql.brand_competition(30)}))(
     lambda r: sinks.snapshot_refresh(r.spark, _scratch(r, "snapshots"), "brand_competition",
-                                     views.brand_competition(r, AS_OF, 30)))
+                                     views.brand_competition(r, AS_OF, 30)).select("name", "row_count"))
 # the stored daily_sales version read back must equal the view itself
 register("snapshot_if_stale", views_sql.daily_sales(90))(_snapshot)
 
@@ -402,11 +438,15 @@ EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string
 STREAM_NOW = datetime.datetime(2024, 1, 31)
 
 
-def _events_stream(r: Retail) -> DataFrame:
-    """The events table replayed as a file stream (a file source needs a folder)."""
-    src = _scratch(r, "events-src")
-    r.raw("events").write.parquet(src)
-    return r.spark.readStream.schema(EVENT_SCHEMA).parquet(src)
+#: Several micro-batches, whose files may come in any order: the delay covers the month of the fixture's events.
+STREAM_FILES, STREAM_DELAY = 4, "40 days"
+
+
+def _replayed(r: Retail, df: DataFrame, name: str) -> DataFrame:
+    """A table replayed as a file stream, one file at a time."""
+    src = _scratch(r, name)
+    df.repartition(STREAM_FILES).write.parquet(src)
+    return r.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
 
 
 def _run_rule(r: Retail, agg: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -415,26 +455,30 @@ def _run_rule(r: Retail, agg: DataFrame, keys: list[str], name: str) -> DataFram
     return streams.latest_rows(r.spark, sink, keys)
 
 
+def _events(r: Retail) -> DataFrame:
+    return _replayed(r, r.raw("events"), "events-src")
+
+
 def _live_kpis(r: Retail) -> DataFrame:
-    src = _scratch(r, "live-src")
-    r.interactions().write.parquet(src)
-    stream = r.spark.readStream.schema(r.interactions().schema).parquet(src)
-    return _run_rule(r, streams.live_kpis(stream), ["day"], "live_kpis")
+    sink = _scratch(r, "live-sink")
+    streams.live_kpis_job(_replayed(r, r.interactions(), "live-src"), _scratch(r, "live-lake"), sink,
+                          _scratch(r, "live-ckpt"), f"live_{abs(hash(sink)) % 10**8}")
+    return streams.latest_rows(r.spark, sink, ["day"])
 
 
 THRESHOLD = 40.0
 register("live_kpis", stream_sql.live_kpis())(_live_kpis)
 register("metric_threshold_alert", stream_sql.metric_threshold_alert(THRESHOLD))(
-    lambda r: _run_rule(r, streams.metric_threshold_alert(_events_stream(r), THRESHOLD),
-                        ["window_start", "metric"], "threshold"))
+    lambda r: streams.firing(_run_rule(r, streams.metric_threshold_windows(_events(r), THRESHOLD, STREAM_DELAY),
+                                       ["window_start", "metric"], "threshold")))
 register("error_burst_alert", stream_sql.error_burst_alert(1))(
-    lambda r: streams.error_burst_alert(_run_rule(r, streams.error_bins(_events_stream(r), 1), ["bin_start"],
+    lambda r: streams.error_burst_alert(_run_rule(r, streams.error_bins(_events(r), STREAM_DELAY, 1), ["bin_start"],
                                                   "errbins")))
 register("rate_limit_violations", stream_sql.rate_limit_violations(1))(
-    lambda r: _run_rule(r, streams.rate_limit_violations(_events_stream(r), 1), ["window_start", "client"],
+    lambda r: _run_rule(r, streams.rate_limit_violations(_events(r), STREAM_DELAY, 1), ["window_start", "client"],
                         "ratelimit"))
 register("error_rate", stream_sql.error_rate())(lambda r: streams.error_rate(r.raw("events")))
-register("latency_p95", None)(lambda r: streams.latency_p95(r.raw("events")))
+register("latency_p95", stream_sql.latency_p95())(lambda r: streams.latency_p95(r.raw("events")))
 register("freshness", stream_sql.freshness(STREAM_NOW))(lambda r: streams.freshness(r.raw("events"), STREAM_NOW))
 register("metric_heatmap", stream_sql.metric_heatmap())(lambda r: streams.metric_heatmap(r.raw("events")))
 register("cdc_diff", stream_sql.cdc_diff(access_sql.MODIFIED_PRODUCTS_CTE))(
@@ -444,34 +488,83 @@ register("cdc_diff", stream_sql.cdc_diff(access_sql.MODIFIED_PRODUCTS_CTE))(
 def _stream_ingest(r: Retail) -> DataFrame:
     src, sink, ck = _scratch(r, "ingest-src"), _scratch(r, "ingest-sink"), _scratch(r, "ingest-ckpt")
     r.raw("events").write.options(**sinks.JSON_OPTIONS).json(src)
-    streams.stream_ingest_json(r.spark, src, EVENT_SCHEMA, sink, ck)
+    stream = r.spark.readStream.schema(EVENT_SCHEMA).options(**sinks.JSON_OPTIONS).json(src)
+    streams.stream_ingest_json(stream, sink, ck)
     return sinks.read_lake_json(r.spark, sink, EVENT_SCHEMA)
 
 
+def modified_customers(r: Retail) -> tuple[DataFrame, DataFrame]:
+    """Customer records, and later ones: every 40th in another segment, copies of every 100th new."""
+    now = r.raw("customer").select(F.col("c_custkey").cast("long").alias("id"), F.col("c_name").alias("name"),
+                                   F.col("c_mktsegment").alias("segment"), F.lit("load").alias("updated_by"))
+    moved = F.col("id") % 40 == 7
+    later = now.select("id", "name", F.when(moved, F.lower("segment")).otherwise(F.col("segment")).alias("segment"),
+                       F.when(moved, "clerk").otherwise(F.col("updated_by")).alias("updated_by"))
+    return now, later.unionByName(now.where(F.col("id") % 100 == 3).withColumn("id", F.col("id") + 10_000_000))
+
+
+CUSTOMERS_CTES = """customers AS (
+  SELECT CAST(c_custkey AS BIGINT) AS id, c_name AS name, c_mktsegment AS segment, 'load' AS updated_by FROM customer),
+customers_new AS (
+  SELECT id, name, CASE WHEN id % 40 = 7 THEN lower(segment) ELSE segment END AS segment,
+    CASE WHEN id % 40 = 7 THEN 'clerk' ELSE updated_by END AS updated_by FROM customers
+  UNION ALL SELECT id + 10000000, name, segment, updated_by FROM customers WHERE id % 100 = 3)"""
+
+
 def _cdc_route(r: Retail) -> DataFrame:
+    """All routes read back from the lake."""
     src, base, ck = _scratch(r, "cdc-src"), _scratch(r, "cdc-out"), _scratch(r, "cdc-ckpt")
-    changes = access.audit_changes(r.products, modified_products(r), "id", "products")
+    changes = access.audit_changes(r.products, modified_products(r), "id", "products").unionByName(
+        access.audit_changes(*modified_customers(r), "id", "customers"))
     (changes.select(F.col("table_name").alias("table"), F.col("action").alias("eventType"),
                     F.col("new_data").alias("new"), F.col("old_data").alias("old"),
                     F.lit(datetime.datetime(2001, 8, 1)).alias("commit_ts"))
-     .write.json(src))
-    streams.cdc_route(r.spark, src, base, ck)
-    return r.spark.read.json(f"{base}/audit-trail").drop("batch_id")  # batch folder = delivery metadata
+     .repartition(STREAM_FILES).write.options(**sinks.JSON_OPTIONS).json(src))
+    streams.cdc_route(r.spark, src, base, ck, max_files=1)
+    read = lambda route, schema: r.spark.read.schema(schema).json(f"{base}/{route}")
+    text = lambda c: F.col(c) if c else F.lit(None).cast("string")
+
+    def rows(route: str, schema: str, table: str | None, kind: str, record: str | None, user: str | None, payload: str) -> DataFrame:
+        return read(route, schema).select(
+            F.lit(route).alias("route"), F.col("table") if table is None else F.lit(table).alias("table"),
+            (F.col(kind) if kind in ("eventType", "change_type") else F.lit(kind)).alias("change_type"),
+            text(record).alias("record_id"), text(user).alias("user_id"), F.col(payload).alias("payload"))
+
+    return (rows("raw-data", "table string, eventType string, new string", None, "eventType", None, None, "new")
+            .unionByName(rows("customer-changes", "customerId string, change_type string, record string", "customers",
+                              "change_type", "customerId", None, "record"))
+            .unionByName(rows("audit-trail", "table string, record_id string, user_id string, changes string", None,
+                              "UPDATE", "record_id", "user_id", "changes")))
 
 
 register("stream_ingest_json", stream_sql.stream_ingest_json())(_stream_ingest)
 
 # ------------------------------------------------------------- refresh job
-REFRESH_PARAMS = {"product_performance": {"tiers": PRODUCT_TIERS}, "store_performance_dashboard": {"tiers": STORE_TIERS}}
-
-register("refresh_analytics", None)(
-    lambda r: jobs.refresh_analytics(r.spark, r, _scratch(r, "refresh"), AS_OF, REFRESH_PARAMS))
+REFRESH_PARAMS = {"product_performance": {"tiers": PRODUCT_TIERS}, "store_performance_dashboard": {"tiers": STORE_TIERS},
+                  "customer_analytics": {"value_cuts": VALUE_CUTS},
+                  "anomalies": {"high_value": HV, "store_pattern": SP, "substitution": SB}}
+
+STORED_VIEWS_SQL = {
+    "daily_sales": views_sql.daily_sales(90), "product_performance": views_sql.product_performance(90, PRODUCT_TIERS),
+    "regional_performance": views_sql.regional_performance(90),
+    "philippine_market_analysis": views_sql.philippine_market_analysis(90),
+    "focus_brand_performance_view": views_sql.focus_brand_performance(90),
+    "brand_competition_dashboard": views_sql.brand_competition(30),
+    "category_performance_analytics": views_sql.category_performance(30),
+    "mv_daily_sales_summary": views_sql.daily_sales_summary(90), "mv_executive_kpis": views_sql.executive_kpis(30),
+    "store_performance_dashboard": dash_sql.store_performance_dashboard(30, STORE_TIERS),
+    "customer_analytics_dashboard": dash_sql.customer_analytics(30, VALUE_CUTS),
+    "hourly_sales_patterns": dash_sql.hourly_sales_patterns(30),
+    "executive_dashboard": dash_sql.executive_dashboard(HV, SP, SB),
+    "system_health_dashboard": dash_sql.system_health(HV, SP, SB),
+}
+register("refresh_analytics", stream_sql.row_counts(STORED_VIEWS_SQL))(
+    lambda r: jobs.refresh_analytics(r.spark, r, _scratch(r, "refresh"), AS_OF, REFRESH_PARAMS).select("name", "row_count"))
 register("brand_competition_shared_lines", views_sql.brand_competition(30))(
     lambda r: views.brand_competition(jobs.with_shared_lines(r, datetime.datetime(2001, 5, 3)), AS_OF, 30))
 register("executive_kpis_shared_lines", views_sql.executive_kpis(30))(
     lambda r: views.executive_kpis(jobs.with_shared_lines(r, datetime.datetime(2001, 5, 3)), AS_OF, 30))
-register("cdc_route", stream_sql.cdc_route_updates(access_sql.MODIFIED_PRODUCTS_CTE,
-                                                "2001-08-01T00:00:00.000000Z"))(_cdc_route)
+register("cdc_route", stream_sql.cdc_route(access_sql.MODIFIED_PRODUCTS_CTE, CUSTOMERS_CTES))(_cdc_route)
 
 
 def queries() -> dict[str, Query]:

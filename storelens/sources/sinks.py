@@ -10,9 +10,11 @@ Overwrites always go to a new versioned folder, never to the path being read.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,33 +33,23 @@ def read_lake_json(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 # ------------------------------------------------------------------ exports
-def export_transactions(df: DataFrame, path: str, date_col: str = "transaction_date", files_per_day: int = 4,
-                        key_col: str | None = "interaction_id") -> DataFrame:
-    """Nightly export of the baskets as parquet under ``path``, then read back.
-
-    Folders per sale month (partition pruning for month reads, ~30x fewer
-    files than one folder per day); rows sorted by time inside each file, so
-    parquet min/max statistics skip row groups for day reads. Rows are shuffled
-    on (month, salt) with ``files_per_day`` salt values: a bounded number of
-    files per month, and a month holding a large share of the rows is still
-    written by several tasks."""
-    out = df.withColumn("sale_month", F.trunc(F.to_date(date_col), "month"))
-    if files_per_day > 1 and key_col:
-        salt = F.pmod(F.xxhash64(F.col(key_col)), F.lit(files_per_day))
-        out = out.repartition("sale_month", salt)
-    else:
-        out = out.repartition("sale_month")
-    out.sortWithinPartitions(date_col).write.mode("overwrite").partitionBy("sale_month").parquet(path)
+def export_transactions(df: DataFrame, path: str, date_col: str = "transaction_date",
+                        max_records: int = 5_000_000) -> DataFrame:
+    """Nightly export of the baskets as parquet, a folder per sale date, then read back.
+
+    Rows are rebalanced by sale date: small dates share a task, and AQE splits a date that is larger than its
+    advisory partition size over several tasks, at any size of the day. No file has more than ``max_records``."""
+    out = df.withColumn("sale_date", F.to_date(date_col)).hint("rebalance", "sale_date")
+    out.write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy("sale_date").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def export_json(df: DataFrame, base: str, category: str, day: dt.date) -> DataFrame:
-    """Analytics JSON under ``{base}/analytics/{category}/{yyyy-mm-dd}``, one
-    folder per category and day (partition columns), read back."""
-    out = f"{base.rstrip('/')}/analytics"
-    (df.withColumn("category", F.lit(category)).withColumn("dt", F.lit(day.isoformat()))
-     .write.mode("append").partitionBy("category", "dt").options(**JSON_OPTIONS).json(out))
-    return read_lake_json(df.sparkSession, f"{out}/category={category}/dt={day.isoformat()}", df.schema)
+    """Analytics JSON under ``{base}/analytics/category=.../dt=yyyy-mm-dd``, read back. A second run of a day
+    replaces it."""
+    out = f"{base.rstrip('/')}/analytics/category={category}/dt={day.isoformat()}"
+    df.write.mode("overwrite").options(**JSON_OPTIONS).json(out)
+    return read_lake_json(df.sparkSession, out, df.schema)
 
 
 def csv_lines(df: DataFrame) -> DataFrame:
@@ -77,26 +69,34 @@ def csv_lines(df: DataFrame) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> DataFrame:
-    """Write header + CSV rows as text. The header is the first frame of a
-    union, so it lands in the first part file; data parts are written in
-    parallel. An empty input writes only the header-less empty output."""
+    """CSV files, each with the header, read back as a CSV reader sees them.
+
+    Each task puts the header before its first row, so any file of the folder is a whole CSV. Values may hold line
+    breaks, commas and quotes. An empty input writes no row and no header."""
     spark = df.sparkSession
-    header = spark.createDataFrame([(",".join(df.columns),)], "line string")
-    lines = csv_lines(df)
-    has_rows = lines.limit(1).count() > 0  # one-row probe, not a data pull
-    out = header.unionByName(lines) if has_rows else lines
-    out.write.mode("overwrite").text(path)
-    return spark.read.text(path).withColumnRenamed("value", "line")
+    header = ",".join(df.columns)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of this task
+    lines = csv_lines(df).select(F.when(first, F.concat(F.lit(header + "\n"), "line")).otherwise(F.col("line")).alias("line"))
+    lines.write.mode("overwrite").text(path)
+    return read_csv(spark, path, df.schema)
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """CSV written by ``export_csv``."""
+    return spark.read.csv(path, schema=schema, header=True, multiLine=True, quote='"', escape='"')
 
 
-def raw_zone_append(df: DataFrame, base: str, category: str, run_ts: dt.datetime) -> tuple[DataFrame, int]:
-    """Append a batch as timestamped JSON under ``{base}/raw-data/{category}``;
-    the record count comes from an ``observe`` on the write itself."""
+def raw_zone_append(df: DataFrame, base: str, category: str, run_ts: dt.datetime, batch: str | None = None
+                    ) -> tuple[DataFrame, int]:
+    """Append a batch as timestamped JSON under ``{base}/raw-data/{category}``; the record count comes from an
+    ``observe`` on the write itself. Each batch has a folder of its own; a rerun that names the same ``batch``
+    replaces it, an unnamed one is always new."""
     obs = Observation(f"raw_{category}_{uuid.uuid4().hex[:8]}")
-    folder = f"{base.rstrip('/')}/raw-data/{category}/{run_ts.strftime('%Y%m%dT%H%M%S')}"
+    name = f"{run_ts.strftime('%Y%m%dT%H%M%S%f')}-{batch or uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/raw-data/{category}/{name}"
     stamped = df.observe(obs, F.count(F.lit(1)).alias("records")).withColumn("_ingested_at",
                                                                               F.lit(run_ts.isoformat()))
-    stamped.write.mode("append").options(**JSON_OPTIONS).json(folder)
+    stamped.write.mode("overwrite").options(**JSON_OPTIONS).json(folder)
     return read_lake_json(df.sparkSession, folder, stamped.schema), int(obs.get["records"])
 
 
@@ -141,7 +141,7 @@ def write_version(spark: SparkSession, base: str, name: str, df: DataFrame, now:
     try:
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     except Exception as e:  # noqa: BLE001
-        _audit(spark, base, name, "REFRESH_ERROR", f'{{"view": "{name}", "error": {str(e)[:200]!r}}}', now)
+        _audit(spark, base, name, "REFRESH_ERROR", json.dumps({"view": name, "error": str(e)}), now)
         raise
     return (name, version, path, int(obs.get["rows"]), now, time.time() - t0)
 
@@ -152,7 +152,7 @@ def publish_versions(spark: SparkSession, base: str, rows: list[tuple], now: dt.
     manifest = spark.createDataFrame(rows, MANIFEST_SCHEMA)
     manifest.write.mode("append").parquet(f"{base.rstrip('/')}/_manifest")
     audit = [("materialized_views", "REFRESH_COMPLETE",
-              f'{{"view": "{n}", "rows": {c}, "duration_seconds": {d:.3f}}}', now) for n, _v, _p, c, _t, d in rows]
+              json.dumps({"view": n, "rows": c, "duration_seconds": round(d, 3)}), now) for n, _v, _p, c, _t, d in rows]
     spark.createDataFrame(audit, AUDIT_SCHEMA).write.mode("append").parquet(f"{base.rstrip('/')}/_audit")
     return manifest
 
@@ -163,17 +163,20 @@ def snapshot_refresh(spark: SparkSession, base: str, name: str, df: DataFrame,
     manifest row pointing at it (readers switch atomically to the newest
     complete version), with COMPLETE / ERROR audit rows."""
     now = now or dt.datetime.now()
-    _audit(spark, base, name, "REFRESH_START", f'{{"views": ["{name}"]}}', now)
+    _audit(spark, base, name, "REFRESH_START", json.dumps({"views": [name]}), now)
     return publish_versions(spark, base, [write_version(spark, base, name, df, now)], now)
 
 
 def latest_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame | None:
-    """The manifest row of the newest version of ``name`` (or None)."""
+    """The manifest row of the newest version of ``name`` (None before the first refresh under ``base``). Any other
+    fault in reading the manifest is an error, not a missing manifest."""
     try:
-        m = spark.read.parquet(f"{base.rstrip('/')}/_manifest")
-    except Exception:  # noqa: BLE001 - no manifest yet
+        m = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{base.rstrip('/')}/_manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return m.where(F.col("name") == name).orderBy(F.col("refreshed_at").desc()).limit(1)
+    return m.where(F.col("name") == name).orderBy(F.col("refreshed_at").desc(), F.col("version").desc()).limit(1)
 
 
 def snapshot_if_stale(spark: SparkSession, base: str, name: str, build, ttl_seconds: int = 300,

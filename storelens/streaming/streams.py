@@ -3,27 +3,30 @@
 Each windowed rule is one function over a DataFrame that works on both a
 static frame (the batch twin, used for back-fills and the SQL check) and a
 streaming frame (``readStream``), so batch and stream share one definition.
-Streams use event-time watermarks (late rows beyond the watermark are dropped
-and show in the query progress) and write with ``foreachBatch`` in update
-mode: every micro-batch's changed rows go to ``{sink}/batch_id=N`` (idempotent
-on replay), and ``latest_rows`` resolves the newest value per key.
+Windowed rules take their event-time watermark delay from the caller (rows later
+than that are dropped; ``run_update_stream`` returns how many, over all batches) and
+write with ``foreachBatch`` in update mode: every micro-batch's changed rows go to
+``{sink}/batch_id=N`` (idempotent on replay), and ``latest_rows`` resolves the newest
+value per key. A rule that can turn false again (``metric_threshold_windows``) emits
+every changed window with a flag, so a later batch takes an alert back. Live day
+totals (``live_kpis_job``) keep every basket, however late: a batch recomputes the
+days that it touches.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from storelens.functions.columns import as_double, count_when, fixed, money_sum, ts_lit
 
-WATERMARK = "10 minutes"
-
-
 # ----------------------------------------------------------- rule bodies
-def live_kpis(baskets: DataFrame, watermark: str | None = WATERMARK) -> DataFrame:
+def live_kpis(baskets: DataFrame, watermark: str | None) -> DataFrame:
     """Per calendar day: baskets, revenue, mean basket, active stores.
     Duplicate deliveries of a basket (same id) are dropped first."""
     df = baskets.withColumn("event_ts", F.col("transaction_date").cast("timestamp"))
@@ -39,22 +42,33 @@ def live_kpis(baskets: DataFrame, watermark: str | None = WATERMARK) -> DataFram
 
 
 def metric_threshold_alert(events: DataFrame, threshold: float, above: bool = True, window: str = "5 minutes",
-                           slide: str = "1 minute", watermark: str | None = WATERMARK) -> DataFrame:
+                           slide: str = "1 minute") -> DataFrame:
     """Sliding windows (length ``window``, evaluated every ``slide``) per
     metric (event type) whose mean value is above (or below) the threshold."""
+    return firing(metric_threshold_windows(events, threshold, None, above, window, slide))
+
+
+def firing(windows: DataFrame) -> DataFrame:
+    """The windows whose rule holds (of a static frame, or of ``latest_rows``)."""
+    return windows.where("firing").drop("firing")
+
+
+def metric_threshold_windows(events: DataFrame, threshold: float, watermark: str | None, above: bool = True,
+                             window: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
+    """Every window of ``metric_threshold_alert`` with ``firing``: whether the rule holds. A stream must emit the
+    windows where it does not, or a sink would keep an alert that a later batch has ended."""
     df = events.withColumn("event_ts", F.col("ts").cast("timestamp"))
     if watermark:
         df = df.withWatermark("event_ts", watermark)
     m = (df.groupBy(F.window("event_ts", window, slide).alias("w"), F.col("event_type").alias("metric"))
          .agg(F.avg(F.col("value").cast("decimal(18,2)")).alias("_avg"), F.count(F.lit(1)).alias("samples")))
     cond = F.col("_avg") > threshold if above else F.col("_avg") < threshold
-    return m.where(cond).select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                                F.col("w.end").cast("timestamp_ntz").alias("window_end"), "metric",
-                                fixed("_avg", 6).alias("avg_value"), "samples")
+    return m.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "metric",
+                    fixed("_avg", 6).alias("avg_value"), "samples", F.coalesce(cond, F.lit(False)).alias("firing"))
 
 
-def error_bins(events: DataFrame, min_errors: int = 10, bin_len: str = "1 minute",
-               watermark: str | None = WATERMARK) -> DataFrame:
+def error_bins(events: DataFrame, watermark: str | None, min_errors: int = 10, bin_len: str = "1 minute") -> DataFrame:
     """Tumbling bins of error events with more than ``min_errors`` errors (the
     alert fires when any bin of the evaluation period qualifies)."""
     df = events.where(F.col("event_type") == "error").withColumn("event_ts", F.col("ts").cast("timestamp"))
@@ -72,8 +86,20 @@ def error_burst_alert(bins: DataFrame, period: str = "5 minutes") -> DataFrame:
             .select(F.col("p.start").cast("timestamp_ntz").alias("period_start"), "bins", "errors"))
 
 
-def rate_limit_violations(events: DataFrame, max_per_minute: int = 100, key: str = "user_id",
-                          watermark: str | None = WATERMARK) -> DataFrame:
+def error_bursts(events: DataFrame, watermark: str, min_errors: int = 10, bin_len: str = "1 minute",
+                 period: str = "5 minutes") -> DataFrame:
+    """The streaming side of ``error_burst_alert``: both groupings in one stream (append mode, so a period comes
+    out once, when the watermark has passed its end)."""
+    df = events.where(F.col("event_type") == "error").withColumn("event_ts", F.col("ts").cast("timestamp"))
+    bins = (df.withWatermark("event_ts", watermark).groupBy(F.window("event_ts", bin_len).alias("w"))
+            .agg(F.count(F.lit(1)).alias("error_count")).where(F.col("error_count") > min_errors))
+    return (bins.groupBy(F.window(F.window_time("w"), period).alias("p"))
+            .agg(F.count(F.lit(1)).alias("bins"), F.sum("error_count").cast("long").alias("errors"))
+            .select(F.col("p.start").cast("timestamp_ntz").alias("period_start"), "bins", "errors"))
+
+
+def rate_limit_violations(events: DataFrame, watermark: str | None, max_per_minute: int = 100,
+                          key: str = "user_id") -> DataFrame:
     """Clients with more than ``max_per_minute`` requests in a 1-minute window."""
     df = events.withColumn("event_ts", F.col("ts").cast("timestamp"))
     if watermark:
@@ -96,17 +122,29 @@ def error_rate(events: DataFrame, window: str = "1 hour", good: float = 0.01, wa
                     F.when(share <= good, "good").when(share <= warn, "warning").otherwise("critical").alias("grade"))
 
 
-def latency_p95(events: DataFrame, window: str = "1 day", exact: bool = False, accuracy: int = 10000) -> DataFrame:
-    """95th percentile of the value per window: ``percentile_approx`` (a
-    bounded sketch per group, relative rank error 1/accuracy; it returns a value
-    of the group, exact nearest-rank while the group has at most ``accuracy``
-    values). ``exact=True`` uses the interpolating ``percentile``, which keeps
-    every value of a window in memory — only for small windows."""
-    df = events.withColumn("event_ts", F.col("ts").cast("timestamp"))
-    p = F.percentile(F.col("value"), F.lit(0.95)) if exact else F.percentile_approx("value", 0.95, accuracy)
-    return (df.groupBy(F.window("event_ts", window).alias("w")).agg(p.alias("_p95"), F.count(F.lit(1)).alias("samples"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), fixed("_p95", 6).alias("p95_value"),
-                    "samples"))
+def latency_p95(events: DataFrame, window: str = "1 day", percent: int = 95) -> DataFrame:
+    """Exact nearest-rank percentile of the value per window, at any size.
+
+    Rows are counted per (window, bucket of values) before any shuffle; running counts
+    over the buckets find the one that holds the rank, and only the values of that bucket
+    are counted one by one. NULL values have no rank; ``samples`` counts all rows.
+    """
+    df = events.select(F.window(F.col("ts").cast("timestamp"), window).alias("w"), "value")
+    df = df.select(F.col("w.start").alias("start"), "value", F.floor("value").alias("bucket"))
+    per = df.groupBy("start", "bucket").agg(F.count("value").alias("n"), F.count(F.lit(1)).alias("rows"))
+    in_window = Window.partitionBy("start")
+    upto = F.sum("n").over(in_window.orderBy(F.col("bucket").asc_nulls_first()))
+    ranked = per.select("start", "bucket", "n", upto.alias("upto"), F.sum("n").over(in_window).alias("total"),
+                        F.sum("rows").over(in_window).alias("samples"))
+    rank = F.floor((F.col("total") * percent + 99) / 100).cast("long")
+    held = (ranked.withColumn("rank", rank).where("(upto >= rank and upto - n < rank) or (total = 0)")
+            .select("start", "bucket", (F.col("rank") - F.col("upto") + F.col("n")).alias("nth"), "samples"))
+    values = (df.join(held.select("start", "bucket", "nth"), ["start", "bucket"])
+              .groupBy("start", "nth", "value").agg(F.count(F.lit(1)).alias("n")))
+    at = F.sum("n").over(Window.partitionBy("start").orderBy("value"))
+    found = (values.withColumn("at", at).where("at >= nth").groupBy("start").agg(F.min("value").alias("p")))
+    return (held.select("start", "samples").join(found, "start", "left")
+            .select(F.col("start").cast("timestamp_ntz").alias("window_start"), fixed("p", 6).alias("p95_value"), "samples"))
 
 
 def freshness(events: DataFrame, now: dt.datetime, max_seconds: int = 300) -> DataFrame:
@@ -142,13 +180,6 @@ def cdc_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
             .select("row_key", "e.column_name", "e.old_value", "e.new_value"))
 
 
-def cdc_diff_map(diff: DataFrame) -> DataFrame:
-    """The reference's shape: per key a map column -> {from, to}. Built per
-    key from that key's changed columns (bounded by the table's width)."""
-    return diff.groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct(
-        "column_name", F.struct(F.col("old_value").alias("from"), F.col("new_value").alias("to"))))).alias("changes"))
-
-
 # ------------------------------------------------------------ stream jobs
 CDC_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
@@ -169,20 +200,68 @@ def read_json_stream(spark: SparkSession, path: str, schema: T.StructType | str,
     return reader.json(path)
 
 
-def run_update_stream(agg: DataFrame, sink: str, checkpoint: str, name: str) -> dict:
-    """Run an aggregating stream to completion (availableNow) in update mode;
-    each micro-batch's changed rows are written to ``{sink}/batch_id=N``
-    (overwrite of that batch folder, so a replayed batch is idempotent).
-    Returns the last progress (rows dropped by the watermark are reported
-    there as ``numRowsDroppedByWatermark``)."""
+class _DropCounter(StreamingQueryListener):
+    """Rows that a query's watermark dropped, summed over all its batches."""
+
+    def __init__(self) -> None:
+        self.dropped, self.batches, self.ended = 0, 0, False
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.batches += 1
+        self.dropped += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended = True
+
+
+def run_update_stream(agg: DataFrame, sink: str, checkpoint: str, name: str, mode: str = "update") -> dict:
+    """Run an aggregating stream to completion (availableNow) in update (or append) mode; each micro-batch's
+    changed rows are written to ``{sink}/batch_id=N`` (overwrite of that batch folder, so a replayed batch is
+    idempotent). Returns ``batches`` and ``rows_dropped_by_watermark``, both over all batches of the run."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).queryName(name).trigger(availableNow=True).start())
+    spark, counter = agg.sparkSession, _DropCounter()
+    spark.streams.addListener(counter)
+    try:
+        q = (agg.writeStream.outputMode(mode).foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint).queryName(name).trigger(availableNow=True).start())
+        q.awaitTermination()
+        for _ in range(100):  # the listener hears of the end a moment later
+            if counter.ended:
+                break
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(counter)
+    return {"batches": counter.batches, "rows_dropped_by_watermark": counter.dropped}
+
+
+def live_kpis_job(baskets: DataFrame, lake: str, sink: str, checkpoint: str, name: str) -> None:
+    """Day totals of a basket stream that stay right however late a basket is (availableNow).
+
+    Each micro-batch is stored under ``{lake}/batch_id=N``, sorted by day; then the days that it touches are
+    recomputed from all stored deliveries (a basket counts once; the files' day ranges prune the scan) and written
+    to ``{sink}/batch_id=N``. No state is kept, so nothing expires; a replayed batch overwrites its own folders.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        dated = batch.withColumn("day", F.to_date("transaction_date"))
+        dated.sortWithinPartitions("day").write.mode("overwrite").parquet(f"{lake}/batch_id={batch_id}")
+        own = spark.read.parquet(f"{lake}/batch_id={batch_id}")
+        first, last = own.agg(F.min("day"), F.max("day")).first()
+        stored = spark.read.parquet(lake).where(F.col("batch_id") <= batch_id).where(F.col("day").between(first, last))
+        touched = stored.join(own.select("day").distinct(), "day", "left_semi")
+        live_kpis(touched.drop("day", "batch_id"), None).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    q = (baskets.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName(name)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    progress = q.lastProgress or {}
-    return progress
 
 
 def latest_rows(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
@@ -192,14 +271,11 @@ def latest_rows(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "batch_id")
 
 
-def stream_ingest_json(spark: SparkSession, source: str, schema, sink: str, checkpoint: str,
-                       interval: str | None = None) -> dict:
-    """Live rows -> JSON lake. Production: Kafka source with
-    ``trigger(processingTime='5 minutes')``; here any file source. The
-    checkpoint makes it at-least-once with an idempotent file sink."""
+def stream_ingest_json(stream: DataFrame, sink: str, checkpoint: str, interval: str | None = None) -> dict:
+    """Live rows of any streaming frame -> JSON lake (``interval`` such as '5 minutes', else availableNow). The
+    file sink commits each batch once, from its checkpoint."""
     from storelens.sources.sinks import JSON_OPTIONS
 
-    stream = spark.readStream.schema(schema).options(**JSON_OPTIONS).json(source)
     writer = (stream.writeStream.format("json").options(**JSON_OPTIONS).option("path", sink)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
@@ -209,19 +285,37 @@ def stream_ingest_json(spark: SparkSession, source: str, schema, sink: str, chec
     return q.lastProgress or {}
 
 
+def change_map(old: F.Column, new: F.Column) -> F.Column:
+    """Of two JSON rows: changed column -> {from, to}, NULL-safe, over the columns of ``new``."""
+    o, n = F.from_json(old, "map<string,string>"), F.from_json(new, "map<string,string>")
+    changed = F.filter(F.array_sort(F.map_keys(n)), lambda k: ~F.try_element_at(o, k).eqNullSafe(F.try_element_at(n, k)))
+    return F.map_from_entries(F.transform(changed, lambda k: F.struct(
+        k, F.struct(F.try_element_at(o, k).alias("from"), F.try_element_at(n, k).alias("to")))))
+
+
+def cdc_routes(batch: DataFrame) -> dict[str, DataFrame]:
+    """The routes of change events: every INSERT to the raw zone; every change of a customer as a wrapped record;
+    every UPDATE to the audit trail with its record, its user and the map of changed columns."""
+    row = F.coalesce("new", "old")
+    keep = {"ignoreNullFields": "false"}
+    return {
+        "raw-data": batch.where(F.col("eventType") == "INSERT").select("table", "eventType", "new", "commit_ts"),
+        "customer-changes": batch.where(F.col("table") == "customers").select(
+            F.get_json_object(row, "$.id").alias("customerId"), F.col("eventType").alias("change_type"),
+            F.col("new").alias("record"), "commit_ts"),
+        "audit-trail": batch.where(F.col("eventType") == "UPDATE").select(
+            "table", F.get_json_object(row, "$.id").alias("record_id"), F.get_json_object(row, "$.updated_by").alias("user_id"),
+            F.to_json(change_map(F.col("old"), F.col("new")), keep).alias("changes"), "commit_ts")}
+
+
 def cdc_route_batch(batch: DataFrame, base: str, batch_id: int) -> None:
-    """Route one micro-batch of change events: INSERTs to the raw zone per
-    table, customer-table changes as wrapped records with their change type,
-    every UPDATE to the audit trail. Folders are per batch id (idempotent)."""
-    ins = batch.where(F.col("eventType") == "INSERT")
+    """Write one micro-batch's routes. Folders are per batch id (idempotent)."""
     from storelens.sources.sinks import JSON_OPTIONS
 
-    ins.write.mode("overwrite").partitionBy("table").options(**JSON_OPTIONS).json(f"{base}/raw-data/batch_id={batch_id}")
-    cust = batch.where(F.col("table") == "customers").select(
-        F.col("eventType").alias("change_type"), F.col("new").alias("record"), "commit_ts")
-    cust.write.mode("overwrite").options(**JSON_OPTIONS).json(f"{base}/customer-changes/batch_id={batch_id}")
-    upd = batch.where(F.col("eventType") == "UPDATE")
-    upd.write.mode("overwrite").options(**JSON_OPTIONS).json(f"{base}/audit-trail/batch_id={batch_id}")
+    for route, rows in cdc_routes(batch).items():
+        writer = rows.write.mode("overwrite").options(**JSON_OPTIONS)
+        writer = writer.partitionBy("table") if route == "raw-data" else writer
+        writer.json(f"{base}/{route}/batch_id={batch_id}")
 
 
 def cdc_route(spark: SparkSession, source: str, base: str, checkpoint: str, max_files: int | None = None) -> dict:

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from storelens.operators.access import GRANT_SCHEMA
 from storelens.sources.retail import Retail
 
 AS_OF = dt.date(2001, 8, 1)
@@ -59,3 +60,20 @@ def world(spark: SparkSession, interactions: list[tuple], items: list[tuple] | N
 def rows(df: DataFrame, *cols: str) -> list[tuple]:
     sel = df.select(*cols) if cols else df
     return sorted((tuple(r) for r in sel.collect()), key=lambda t: tuple(str(x) for x in t))
+
+
+def fixture_grants(spark: SparkSession) -> DataFrame:
+    """The user_store_access fixture: a live grant, a revoked one, an expired
+    one, an admin grant, a user with two stores and a user whose only store
+    never sold (store 99 does not exist)."""
+    t = dt.datetime
+    rows = [
+        (1, 7, 3, "read", 1, t(2001, 1, 1), None, True),
+        (2, 7, 5, "read", 1, t(2001, 1, 1), None, False),
+        (3, 7, 8, "read", 1, t(2001, 1, 1), t(2001, 6, 1), True),
+        (4, 1, 3, "admin", None, t(2000, 1, 1), None, True),
+        (5, 9, 10, "write", 1, t(2001, 2, 1), None, True),
+        (6, 9, 11, "read", 1, t(2001, 2, 1), t(2002, 1, 1), True),
+        (7, 12, 99, "read", 1, t(2001, 3, 1), None, True),
+    ]
+    return spark.createDataFrame(rows, GRANT_SCHEMA)

@@ -27,10 +27,43 @@ def test_raw_zone_append_counts_records(spark, tmp_path):
     df = spark.range(137).withColumnRenamed("id", "x")
     back, count = sinks.raw_zone_append(df, str(tmp_path), "t", dt.datetime(2024, 1, 1))
     assert count == 137 and back.count() == 137
+    again, count = sinks.raw_zone_append(df, str(tmp_path), "t", dt.datetime(2024, 1, 1))
+    assert count == 137 and again.count() == 137  # a batch of the same second has a folder of its own
+    for _ in range(2):  # a named batch is replaced
+        named, _ = sinks.raw_zone_append(df, str(tmp_path), "u", dt.datetime(2024, 1, 1), batch="b1")
+    assert named.count() == spark.read.json(str(tmp_path / "raw-data" / "u" / "*")).count() == 137
     inv = sinks.file_inventory(spark, str(tmp_path / "raw-data"))
     assert inv.where(F.col("name").endswith(".json")).count() >= 1
 
 
+def test_export_json_rerun_replaces_the_day(spark, tmp_path):
+    df = spark.range(5)
+    for _ in range(2):
+        assert sinks.export_json(df, str(tmp_path), "c", dt.date(2024, 1, 1)).count() == 5
+    assert sinks.export_json(df, str(tmp_path), "c", dt.date(2024, 1, 2)).count() == 5
+
+
+def test_refresh_error_is_kept_whole(spark, tmp_path):
+    import pytest
+
+    text = 'no "quotes" lost\n' + "x" * 900
+    bad = spark.range(1).select(F.raise_error(F.lit(text)))
+    with pytest.raises(Exception, match="quotes"):
+        sinks.snapshot_refresh(spark, str(tmp_path), "v", bad, dt.datetime(2024, 1, 1))
+    row = spark.read.parquet(str(tmp_path / "_audit")).where("action = 'REFRESH_ERROR'").first()
+    payload = json.loads(row["new_data"])
+    assert payload["view"] == "v" and text in payload["error"]
+
+
+def test_json_payloads_keep_microseconds(spark):
+    from storelens.operators import access
+
+    t = dt.datetime(2024, 1, 1, 1, 2, 3, 456789)
+    new = spark.createDataFrame([(1, t)], "id long, at timestamp_ntz")
+    row = access.audit_changes(new.limit(0), new, "id", "t").first()
+    assert json.loads(row["new_data"])["at"].startswith("2024-01-01T01:02:03.456789")
+
+
 def test_snapshot_ttl(spark, tmp_path):
     base = str(tmp_path)
     calls = []
@@ -75,5 +108,6 @@ def test_cdc_route_batches(spark, tmp_path):
     raw = spark.read.json(f"{out}/raw-data")
     assert raw.count() == 2 and {r["table"] for r in raw.collect()} == {"products", "customers"}
     cust = spark.read.json(f"{out}/customer-changes")
-    assert sorted(r["change_type"] for r in cust.collect()) == ["INSERT", "UPDATE"]
-    assert spark.read.json(f"{out}/audit-trail").count() == 2
+    assert sorted((r["customerId"], r["change_type"]) for r in cust.collect()) == [("10", "INSERT"), ("9", "UPDATE")]
+    trail = {r["record_id"]: json.loads(r["changes"]) for r in spark.read.json(f"{out}/audit-trail").collect()}
+    assert trail == {"2": {"p": {"from": "2", "to": "3"}}, "9": {}}
