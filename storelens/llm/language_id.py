@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import bounded_batches
+from storelens.llm.common import bounded_batches, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 
 #: Labelled rows that a model is fitted on, about; words and n-grams that it keeps at most.
-TRAINING_ROWS, KEPT = 20_000, 150_000
+TRAINING_ROWS, KEPT = 20_000, 60_000
 
 #: Character n-grams, longest first, of a word between marks of its ends.
 GRAMS = (5, 4, 3, 2, 1)
@@ -72,17 +72,14 @@ def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)) < int((1 << 30) * limit / n))
 
 
-def _log_frequencies(rows: list, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
+def _log_frequencies(table: pa.Table, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
     """Smoothed log frequencies, in each row less their mean: what the item says about the language."""
-    at: dict[str, int] = {}
-    column = {lang: k for k, lang in enumerate(languages)}
-    for r in rows:
-        at.setdefault(r.item, len(at))
+    at = {item: k for k, item in enumerate(table.column("item").to_pylist())}
     counts = np.zeros((len(at), len(languages)))
-    for r in rows:
-        counts[at[r.item], column[r.lang]] = r.n
     if not at:
         return at, counts
+    for k in range(len(languages)):
+        counts[:, k] = table.column(f"n{k}").to_numpy()
     logs = np.log(counts + 0.5) - np.log(counts.sum(axis=0) + 0.5 * max(1, len(at)))
     return at, logs - logs.mean(axis=1, keepdims=True)
 
@@ -115,19 +112,18 @@ def fit(labelled: DataFrame, key: str = "doc_id", rows: int = TRAINING_ROWS, kep
 
     schema = "lang string, item string, n long"
     words = sample.select("text", "lang").mapInArrow(count, schema).groupBy("lang", "item").agg(F.sum("n").alias("n"))
-    words = words.persist()  # the sample's words: bounded
-    grams = words.mapInArrow(cut, schema).groupBy("lang", "item").agg(F.sum("n").alias("n"))
-
-    def top(table: DataFrame) -> list:
-        best = (table.groupBy("item").agg(F.sum("n").alias("total")).where("total > 1")
-                .orderBy(F.desc("total"), "item").limit(kept))
-        return table.join(best.select("item"), "item", "left_semi").collect()  # at most kept items a language
-
-    word_rows, gram_rows = top(words), top(grams)
-    words.unpersist()
-    languages = sorted({r.lang for r in [*word_rows, *gram_rows]})
-    known, word_scores = _log_frequencies(word_rows, languages)
-    marks, gram_scores = _log_frequencies(gram_rows, languages)
+    words = stored(words, "words")  # the sample's words: bounded
+    grams = words.mapInArrow(cut, schema)
+    languages = sorted(r.lang for r in words.select("lang").distinct().collect())
+
+    def top(table: DataFrame) -> pa.Table:
+        own = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)).alias(f"n{k}")
+               for k, lang in enumerate(languages)]
+        items = table.groupBy("item").agg(F.sum("n").alias("total"), *own).where("total > 1")
+        return items.orderBy(F.desc("total"), "item").limit(kept).toArrow()  # at most ``kept`` rows
+
+    known, word_scores = _log_frequencies(top(words), languages)
+    marks, gram_scores = _log_frequencies(top(grams), languages)
     return Model(languages, known, word_scores, marks, gram_scores)
 
 

@@ -61,9 +61,9 @@ def runs(parts: list[tuple[int, int, int]], run: int = RUN, min_words: int = MIN
 
 
 def run_hashes(text: str, run: int, min_words: int) -> dict[int, list[tuple[int, int]]]:
-    """Hash of each run's words (lower case) to the (first, end) of its occurrences, in order."""
+    """Hash of each run's sentences (lower case, white space around them aside) to the (first, end) of its occurrences, in order."""
     parts = sentences(text)
-    own = [xxhash.xxh3_128_digest(" ".join(text[a:b].lower().split()).encode("utf-8", "surrogatepass")) for a, b, _ in parts]
+    own = [xxhash.xxh3_128_digest(text[a:b].strip().lower().encode("utf-8", "surrogatepass")) for a, b, _ in parts]
     found: dict[int, list[tuple[int, int]]] = {}
     for a, b in runs(parts, run, min_words):
         found.setdefault(xxhash.xxh3_64_intdigest(b"".join(own[a:b])) - (1 << 63), []).append((a, b))
@@ -71,34 +71,37 @@ def run_hashes(text: str, run: int, min_words: int) -> dict[int, list[tuple[int,
 
 
 def deduplicate_passages(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` (all its columns; doc_id and text among them) with repeats gone from ``text``, and three columns more.
+    """``docs`` (all its columns; doc_id and text among them) with repeats gone from ``text``, and two columns more.
 
-    n_sentences, n_removed, and removed: the removed character ranges (begin, end) of the original text. A text that
+    n_removed (sentences) and removed: the removed character ranges (begin, end) of the original text. A text that
     loses all its sentences becomes empty, its row stays. Null texts stay null; empty ones have no sentence. Rows
     that share a doc_id count as one document: none of them loses what only they share; rows without a doc_id
     are one, before all others. Columns of the new names in ``docs`` are replaced.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    docs = docs.drop("n_sentences", "n_removed", "removed")
+    docs = docs.drop("n_removed", "removed")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, hashes = [], []
+            at, hashes, again = [], [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
-                own = list(run_hashes(text, run, min_words)) if text else []
+                own = run_hashes(text, run, min_words) if text else {}
                 at += [k] * len(own)
                 hashes += own
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())),
-                                              pa.array(hashes, pa.int64())], ["id", "h"])
+                again += [len(places) > 1 for places in own.values()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(hashes, pa.int64()),
+                                              pa.array(again, pa.bool_())], ["id", "h", "again"])
 
     # Occurrences within one document are told apart where it is cut, below; here a run counts once for each.
-    met = stored(docs.select(key.alias("id"), "text").mapInArrow(spans, "id long, h long"), "runs")
+    met = stored(docs.select(key.alias("id"), "text").mapInArrow(spans, "id long, h long, again boolean"), "runs")
     several = stored(met.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
                      .select("h", "low"), "repeats")
     repeated = (met.join(F.broadcast(several) if several.count() <= BROADCAST_IDS // 4 else several, "h")
-                .where("id > low").groupBy("id").agg(F.collect_set("h").alias("hashes")))
+                .where("id > low").select("id", "h")
+                .unionByName(met.where("again").select("id", F.lit(None).cast("long").alias("h")).distinct())
+                .groupBy("id").agg(F.collect_set("h").alias("hashes")))
 
     names = docs.columns
     text_at = names.index("text")
@@ -109,28 +112,31 @@ def deduplicate_passages(docs: DataFrame, run: int = RUN, min_words: int = MIN_W
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, total, gone, ranges = [], [], [], []
+            texts, gone, ranges = [], [], []
             for text, hashes in zip(batch.column(text_at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
-                parts = sentences(text) if text else []
+                if not text or hashes is None:  # no run of it occurs twice anywhere
+                    texts.append(text)
+                    gone.append(0)
+                    ranges.append([])
+                    continue
+                parts = sentences(text)
                 drop = np.zeros(len(parts), dtype=bool)
-                repeats = set(hashes or ())
-                for h, places in (run_hashes(text, run, min_words) if text else {}).items():
+                repeats = set(hashes)
+                for h, places in run_hashes(text, run, min_words).items():
                     kept_to = 0 if h in repeats else places[0][1]
                     for a, b in places[0 if h in repeats else 1:]:
                         drop[max(a, kept_to):b] = True  # what overlaps the kept first occurrence stays
                 keep = np.flatnonzero(~drop).tolist()
                 texts.append(text if len(keep) == len(parts) else "".join([text[parts[k][0]:parts[k][1]] for k in keep]))
-                total.append(len(parts))
                 gone.append(len(parts) - len(keep))
                 ranges.append(_merged([parts[k] for k in np.flatnonzero(drop).tolist()]))
             columns = list(batch.columns[:-1])
             columns[text_at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(ranges, pa.list_(span))],
-                [*names, "n_sentences", "n_removed", "removed"])
+                [*columns, pa.array(gone, pa.int64()), pa.array(ranges, pa.list_(span))], [*names, "n_removed", "removed"])
 
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return joined.mapInArrow(cut, schema + ", n_sentences long, n_removed long, removed array<struct<begin: long, end: long>>")
+    return joined.mapInArrow(cut, schema + ", n_removed long, removed array<struct<begin: long, end: long>>")
 
 
 def _merged(parts: list[tuple[int, int, int]]) -> list[dict]:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from storelens.llm.common import bounded_batches
 from storelens.llm.language_id import WORD, bounded_sample
 
-TRAINING_ROWS, KEPT = 10_000, 200_000
+TRAINING_ROWS, KEPT = 10_000, 100_000
 
 #: Strength of each prior in tokens, the z value that makes log-odds significant among many items, what each token pays.
 PRIOR, SIGNIFICANT, DRIFT = 20.0, 4.3, 1.0
@@ -199,9 +199,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, kept: int
     table = (sample.mapInArrow(count, "item string, clean long, toxic long").groupBy("item")
              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     top = (table.where("clean + toxic > 1 or item = ''").orderBy(F.col("item") != "", F.desc(F.expr("clean + toxic")), "item")
-           .limit(kept).collect())  # at most ``kept`` rows
-    counts = {r.item: (r.clean, r.toxic) for r in top if r.item}
-    tokens = next(((r.clean, r.toxic) for r in top if not r.item), (0, 0))
+           .limit(kept).toArrow())  # at most ``kept`` rows
+    counts = dict(zip(top.column("item").to_pylist(),
+                      zip(top.column("clean").to_pylist(), top.column("toxic").to_pylist(), strict=True), strict=True))
+    tokens = counts.pop("", (0, 0))
     if not all(tokens):
         return Model({})
     scores = log_odds(counts, tokens)
