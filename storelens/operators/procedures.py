@@ -69,11 +69,16 @@ def market_share_by_region(r: Retail, as_of: dt.date, days: int = 90,
 
 
 def customer_insights(r: Retail, as_of: dt.date, days: int = 30, segment_params: dict | None = None) -> DataFrame:
-    """Customer segments restricted to customers active in the last ``days``
-    (semi join), per segment: customers, mean AOV, total spent, mean frequency."""
-    seg = customer_segments(r, as_of, **(segment_params or {}))
-    active = r.interactions(window_start(as_of, days)).select(F.col("customer_id").alias("_c"))
-    seg = seg.join(active, F.col("customer_id") == F.col("_c"), "left_semi")
+    """Customer segments restricted to customers active in the last ``days``,
+    per segment: customers, mean AOV, total spent, mean frequency. Within the
+    segments' own window the last visit tells who was active."""
+    params = segment_params or {}
+    seg = customer_segments(r, as_of, **params)
+    if days <= params.get("days", 365):
+        seg = seg.where(F.col("last_transaction_date") >= ts_lit(window_start(as_of, days)))
+    else:
+        active = r.interactions(window_start(as_of, days)).select(F.col("customer_id").alias("_c"))
+        seg = seg.join(active, F.col("customer_id") == F.col("_c"), "left_semi")
     return (seg.groupBy(F.col("customer_segment").alias("segment"))
             .agg(F.count(F.lit(1)).alias("customer_count"),
                  fixed(F.avg("avg_transaction_value"), 2).alias("avg_transaction_value"),

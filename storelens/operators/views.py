@@ -18,8 +18,7 @@ from storelens.functions.columns import (
 )
 from storelens.params import FIXTURE_FOCUS_BRANDS
 from storelens.plans.lines import day_bounds, sales_lines, window_start, with_mega_region, with_store
-from storelens.plans.materialize import materialize
-from storelens.plans.scalars import one_row, with_scalars
+from storelens.plans.scalars import with_scalars
 from storelens.sources.retail import Retail
 
 
@@ -53,24 +52,34 @@ def product_performance(r: Retail, as_of: dt.date, days: int = 90,
                         count_distinct("interaction_id").alias("transaction_count"),
                         avg_num("quantity").alias("avg_quantity_per_transaction"),
                         F.max("transaction_date").alias("_last"), F.min("transaction_date").alias("_first")))
-    # Share of the grand total: the per-product rows (they grow with the
-    # catalogue) are materialised once, then the total is a scalar subquery
-    # over them, instead of an un-partitioned SUM() OVER ()
-    # window or a second pass over the item join.
-    per_product = materialize(per_product)
-    total = one_row(per_product.agg(F.sum("total_revenue").alias("_grand"))).getField("_grand")
+    # How many products of the category sold how much: rows per distinct number of units, not per product. Running
+    # counts over them give each number's rank, and their revenues the grand total.
+    sold = (per_product.groupBy("category", "total_units_sold")
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum("total_revenue").alias("_revenue")))
+    better = F.sum("_n").over(Window.partitionBy("category").orderBy(F.col("total_units_sold").desc())) - F.col("_n")
+    standing = sold.select(F.col("category").alias("_category"), F.col("total_units_sold").alias("_units"),
+                           (better + 1).cast("long").alias("category_rank"),
+                           F.sum("_revenue").over(Window.partitionBy()).alias("_grand"))
     days_span = whole_days("_last", "_first")
     units = F.col("total_units_sold")
-    return (per_product
+    return (per_product.join(standing, F.col("category").eqNullSafe(F.col("_category"))
+                             & units.eqNullSafe(F.col("_units")))
             .select("product_id", "product_name", "brand_name", "category", "is_fmcg", "total_units_sold",
                     "total_revenue", "transaction_count", "avg_quantity_per_transaction",
-                    ratio("total_revenue", total, 100.0, 6).alias("market_share_percent"),
-                    rank_desc("total_units_sold", ["category"]).alias("category_rank"),
+                    ratio("total_revenue", "_grand", 100.0, 6).alias("market_share_percent"), "category_rank",
                     ratio(units, days_span, 1.0, 6).alias("daily_velocity"),
                     tier(units, [(tiers[0], "High Performer"), (tiers[1], "Medium Performer")],
                          "Low Performer", strict=True).alias("performance_tier")))
 
 
+def top_products(r: Retail, as_of: dt.date, days: int = 90, n: int = 10) -> DataFrame:
+    """The ``n`` products with the most revenue over ``days`` (ties to the smaller id): only what the list shows."""
+    lines = sales_lines(r, window_start(as_of, days))
+    return (lines.groupBy("product_id", "product_name", "brand_name")
+            .agg(F.sum("quantity").cast("long").alias("total_units_sold"), money_sum("line_revenue").alias("total_revenue"))
+            .orderBy(F.col("total_revenue").desc(), "product_id").limit(n))
+
+
 def customer_segments(r: Retail, as_of: dt.date, days: int = 365,
                       monetary: tuple[float, float] = (10000, 5000),
                       frequency: tuple[int, int] = (10, 5),
@@ -320,16 +329,24 @@ def category_performance(r: Retail, as_of: dt.date, days: int = 30,
     distinct products / brands / regions, client vs competitor revenue, rank."""
     lines = with_store(sales_lines(r, window_start(as_of, days)), r)
     focus_flag = F.col("brand_name").isin(*focus)
-    m = (lines.groupBy("category")
-         .agg(count_distinct("interaction_id").alias("transactions"),
-              F.sum("quantity").cast("long").alias("total_units_sold"),
-              money_sum("line_revenue").alias("total_revenue"),
-              avg_money("line_revenue").alias("avg_revenue_per_transaction"),
-              count_distinct("product_id").alias("product_count"),
-              count_distinct("brand_id").alias("brand_count"),
-              money_sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("client_revenue"),
-              money_sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("competitor_revenue"),
-              count_distinct("region").alias("regional_presence")))
+    # A basket belongs to one store, so distinct baskets add up over stores; products and brands come from the rows
+    # per product. Each level has one distinct at most, so the item rows are never expanded.
+    per_store = lines.groupBy("category", "store_id", "region").agg(count_distinct("interaction_id").alias("_baskets"))
+    shops = (per_store.groupBy("category").agg(F.sum("_baskets").cast("long").alias("transactions"),
+                                               count_distinct("region").alias("regional_presence"))
+             .withColumnRenamed("category", "_category"))
+    per_product = (lines.groupBy("category", "product_id", "brand_id")
+                   .agg(F.sum("quantity").alias("_units"), money_sum("line_revenue").alias("_revenue"),
+                        F.count("line_revenue").alias("_lines"),
+                        money_sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_client"),
+                        money_sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_competitor")))
+    goods = (per_product.groupBy("category")
+             .agg(F.sum("_units").cast("long").alias("total_units_sold"), money_sum("_revenue").alias("total_revenue"),
+                  F.sum("_lines").alias("_lines"), F.count(F.lit(1)).alias("product_count"),
+                  count_distinct("brand_id").alias("brand_count"), money_sum("_client").alias("client_revenue"),
+                  money_sum("_competitor").alias("competitor_revenue")))
+    m = (goods.join(shops, F.col("category").eqNullSafe(F.col("_category")))
+         .withColumn("avg_revenue_per_transaction", ratio("total_revenue", "_lines", 1.0, 6)))
     return m.select("category", "transactions", "total_units_sold", "total_revenue", "avg_revenue_per_transaction",
                     "product_count", "brand_count", "client_revenue", "competitor_revenue",
                     rank_desc("total_revenue").alias("revenue_rank"), "regional_presence")
@@ -351,7 +368,7 @@ def daily_sales_summary(r: Retail, as_of: dt.date, days: int = 90) -> DataFrame:
 def _day_metrics(r: Retail, day: dt.date, prefix: str, with_stores: bool = True) -> DataFrame:
     start, end = day_bounds(day)
     si = r.interactions(start, end)
-    aggs = [count_distinct("interaction_id").alias(f"transactions_{prefix}"),
+    aggs = [F.count(F.lit(1)).alias(f"transactions_{prefix}"),  # a basket is one row
             money_sum("total_amount").alias(f"revenue_{prefix}")]
     if with_stores:
         aggs += [count_distinct("store_id").alias(f"active_stores_{prefix}"),

@@ -285,9 +285,7 @@ register("dow_distribution", metrics_sql.dow_distribution())(
 register("region_revenue", metrics_sql.region_revenue())(
     lambda r: views.regional_performance(r, AS_OF, 90).select("region", "total_revenue", "revenue_rank"))
 register("top_products", metrics_sql.top_products(PRODUCT_TIERS, 10))(
-    lambda r: metrics.top_rows(views.product_performance(r, AS_OF, 90, tiers=PRODUCT_TIERS),
-                               [F.col("total_revenue").desc(), "product_id"], 10)
-    .select("product_id", "product_name", "brand_name", "total_units_sold", "total_revenue"))
+    lambda r: views.top_products(r, AS_OF, 90, 10))
 register("age_distribution", metrics_sql.age_distribution(30))(lambda r: metrics.age_distribution(r, AS_OF, 30))
 register("gender_distribution", metrics_sql.gender_distribution(30))(
     lambda r: metrics.gender_distribution(r, AS_OF, 30))

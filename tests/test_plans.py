@@ -26,7 +26,22 @@ def test_flagship_plan(spark):
     assert plan.count("lineitem.parquet") == 1  # the item join is computed once
 
 
-@pytest.mark.parametrize("key", ["product_performance", "get_market_share_all", "focus_brand_by_region",
+def test_product_rank_is_not_sorted_by_category(spark):
+    """Products are never dealt to tasks by category alone, and nothing runs while the plan is built."""
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    df = QUERIES["product_performance"](spark, SMOKE_DIR)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+    plan = plan_text(df)
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and not any("product_id" in w for w in windows)
+    assert "Scan ExistingRDD" not in plan
+
+
+def test_category_performance_never_expands(spark):
+    assert "Expand" not in plan_text(QUERIES["category_performance"](spark, SMOKE_DIR))
+
+
+@pytest.mark.parametrize("key", ["get_market_share_all", "focus_brand_by_region",
                                  "brand_mix", "philippine_market_analysis", "focus_brand_performance"])
 def test_item_join_scanned_once(spark, key):
     plan = plan_text(QUERIES[key](spark, SMOKE_DIR))
