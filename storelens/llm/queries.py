@@ -50,7 +50,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = ngram_join.ngram_jaccard_join(common.table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "n_shingles", "component_id", "class_id")
+    return rows.select("doc_id", "n_shingles", "component_id")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_dedup.near_duplicates(common.table(spark, sf_dir, "embeddings"))
+    return embedding_dedup.near_duplicates(common.table(spark, sf_dir, "embeddings")).drop("cell")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,5 +116,42 @@ FROM extra GROUP BY conv_id
 """
 
 
+#: All pairs that share a shingle, counted; components by closure of the links.
+OP5_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words
+), sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+single AS (SELECT doc_id, unnest(s) AS t FROM sets),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM single a JOIN single b USING (t) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 80 * (p.n + q.n - k)
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM sizes UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, (SELECT min(y) FROM reach WHERE x = doc_id) AS component_id FROM sizes
+"""
+
+#: All pairs of usable vectors by cosine in double precision.
+OP8_SQL = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, v FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+    WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+    SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), low AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT vec_id, (SELECT count(*) FROM links WHERE x = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN low ON x = vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_format": OP7_SQL}
+    return {"op5_ngram_jaccard_join": OP5_SQL, "op7_chat_format": OP7_SQL, "op8_embedding_dedup": OP8_SQL}
