@@ -7,7 +7,6 @@ from storelens.functions.columns import (  # noqa: F401
     count_distinct,
     count_if,
     count_when,
-    days_before,
     dow,
     fixed,
     hour,

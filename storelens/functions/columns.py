@@ -101,11 +101,6 @@ def ts_lit(value: dt.date | dt.datetime) -> Column:
     return F.lit(midnight(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def days_before(as_of: dt.date, days: int) -> Column:
-    """Timestamp literal ``as_of - days`` (as_of at midnight)."""
-    return ts_lit(midnight(as_of) - dt.timedelta(days=days))
-
-
 def whole_days(later: str | Column, earlier: str | Column) -> Column:
     """EXTRACT(DAY FROM later - earlier): whole 24-hour days (46 h -> 1)."""
     seconds = col(later).cast("timestamp").cast("long") - col(earlier).cast("timestamp").cast("long")

@@ -1,10 +1,6 @@
-"""Fixed values and default thresholds.
+"""Fixture parameters.
 
-Fixed values (must equal the reference for the same results):
-  focus (client) brands, in the reference order:
-    Alaska, Oishi, Peerless, Del Monte, Winston, Camel, Mevius, More
-  regional_performance uses the first four of them.
-Thresholds default to the reference values; every operator takes them as
+Thresholds default to the blueprint's values; every operator takes them as
 keyword arguments so the fixtures can use cut-offs that fit their amounts.
 """
 
@@ -12,8 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-# --- fixed values -----------------------------------------------------------
-REFERENCE_FOCUS_BRANDS = ("Alaska", "Oishi", "Peerless", "Del Monte", "Winston", "Camel", "Mevius", "More")
 # On the TPC-H-shaped fixtures the eight client brands are Brand#1 .. Brand#8.
 FIXTURE_FOCUS_BRANDS = tuple(f"Brand#{i}" for i in range(1, 9))
 

@@ -62,13 +62,3 @@ def sales_lines(r: Retail, start: dt.datetime | None = None, end: dt.datetime |
              .join(prods, F.col("product_id") == F.col("_p_id"), how)
              .drop("_ti_id", "_p_id"))
     return lines.withColumn("line_revenue", (F.col("quantity") * F.col("unit_price")).cast(MONEY))
-
-
-def item_lines(r: Retail, start: dt.datetime | None = None, end: dt.datetime | None = None) -> DataFrame:
-    """Items of interactions in the window, joined to products (no interaction
-    attributes beyond what the views use)."""
-    return sales_lines(r, start, end)
-
-
-def is_focus(brand_col: str, brands: tuple[str, ...]):
-    return F.col(brand_col).isin(*brands)

@@ -7,7 +7,9 @@ the cluster names (shuffle partitions, checkpoint directory, ...).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -51,11 +53,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we create one.
+    A cluster names it: without it, executors would write to their own disks, so that
+    is an error. Only a local master (tests) gets a temporary folder, which is removed
+    when Python ends.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="storelens-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir

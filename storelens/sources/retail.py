@@ -57,7 +57,7 @@ def _case(value: Column, mapping: list[tuple[object, str]], default: str) -> Col
     return expr.otherwise(F.lit(default))
 
 
-_CATALOGS: dict[tuple[int, str], "Retail"] = {}
+_CATALOGS: dict[tuple[str, int, str], "Retail"] = {}
 
 
 class Retail:
@@ -97,7 +97,8 @@ class Retail:
 
     @classmethod
     def for_dir(cls, spark: SparkSession, base_dir: str) -> "Retail":
-        key = (id(spark), base_dir.rstrip("/"))
+        # the application id tells a live session from a stopped one whose object number was used again
+        key = (spark.sparkContext.applicationId, id(spark), base_dir.rstrip("/"))
         if key not in _CATALOGS:
             _CATALOGS[key] = cls(spark, base_dir)
         return _CATALOGS[key]
