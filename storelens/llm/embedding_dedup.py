@@ -30,8 +30,9 @@ THRESHOLD = 0.95
 #: Vectors in a cell, about; rows of the k-means sample for a cell, and at most; its rounds.
 CELL, SAMPLE_PER_CELL, SAMPLE, ROUNDS = 2048, 64, 200_000, 8
 
-#: Members of a cell in one block: a crowded cell becomes many block pairs.
-BLOCK = 1024
+#: Members (or guests) of a cell in one block, about: a crowded cell becomes many pairs of blocks. Rows and columns
+#: of one product.
+BLOCK, SQUARE = 4096, 1024
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -163,36 +164,57 @@ def _cells(own: DataFrame, dim: int, n: int, threshold: float, cell: int) -> tup
 
     dealt = stored(own.select("id", "vector", "copies").mapInArrow(
         deal, "cell long, id long, copies long, vector array<double>, home long"), "cells")
-    # a crowded cell's members are dealt to blocks; every block meets all members of its own and later blocks, and guests
-    crowd = dealt.where("cell = home").groupBy("cell").count()
-    blocks = {r.cell: r["count"] // BLOCK + 1 for r in crowd.collect()}  # one number for each cell
-    of_cell = F.broadcast(spark.createDataFrame(list(blocks.items()), "cell long, blocks long"))
-    spread = dealt.join(of_cell, "cell").withColumn(
-        "block", F.when(F.col("cell") == F.col("home"), F.pmod(F.xxhash64("id"), "blocks")))
-    sent = spread.select("cell", "id", "copies", "vector", "home", F.col("block").alias("own"),
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("block", F.col("blocks") - 1))).alias("block"))
+    # Members and guests of a cell are dealt to blocks; a task compares two blocks, members with members or with
+    # guests, so a crowded cell is many tasks of a bounded size.
+    guest = F.col("cell") != F.col("home")
+    sizes = dealt.groupBy("cell").agg((F.sum(F.when(guest, 0).otherwise(1)) / BLOCK).cast("long").alias("last"),
+                                      F.sum(F.when(guest, 1).otherwise(0)).alias("guests"))  # a row for each cell
+    rows = dealt.join(F.broadcast(sizes), "cell").select(
+        "cell", "id", "copies", "vector", guest.alias("guest"), "last",
+        F.when(F.col("guests") > 0, (F.col("guests") / BLOCK).cast("long")).alias("last_guest"))
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("guest"), F.col("last_guest")).otherwise(F.col("last")) + 1)
+
+    def tiles(left, right, with_guests: bool, span):
+        return F.transform(span, lambda k: F.struct(F.lit(with_guests).alias("with_guests"), left(k).alias("left"),
+                                                    right(k).alias("right")))
+
+    own_block, zero = F.col("own"), F.lit(0).cast("long")
+    member_tiles = F.concat(
+        tiles(lambda k: k, lambda k: F.col("own"), False, F.sequence(zero, own_block)),
+        F.filter(tiles(lambda k: F.col("own"), lambda k: k, False, F.sequence(own_block, F.col("last"))),
+                 lambda t: t["left"] != t["right"]),
+        F.when(F.col("last_guest").isNotNull(),
+               tiles(lambda k: F.col("own"), lambda k: k, True, F.sequence(zero, F.coalesce("last_guest", zero))))
+        .otherwise(F.array().cast("array<struct<with_guests: boolean, left: bigint, right: bigint>>")))
+    guest_tiles = tiles(lambda k: k, lambda k: F.col("own"), True, F.sequence(zero, F.col("last")))
+    sent = (rows.withColumn("own", own)
+            .withColumn("tile", F.explode(F.when(F.col("guest"), guest_tiles).otherwise(member_tiles)))
+            .select("cell", "tile.with_guests", "tile.left", "tile.right", "id", "copies", "vector", "guest", "own"))
 
     def compare(part: pa.Table) -> pa.Table:
-        """Blocked products of the members whose own block this is with everything dealt here."""
-        here = part.column("block")[0].as_py()
-        own_block = part.column("own").combine_chunks().to_numpy(zero_copy_only=False)
+        """Products of two blocks, a square at a time."""
+        with_guests, left, right = (part.column(c)[0].as_py() for c in ("with_guests", "left", "right"))
+        block = part.column("own").combine_chunks().to_numpy()
+        guests = part.column("guest").combine_chunks().to_numpy(zero_copy_only=False)
         ids = part.column("id").combine_chunks().to_numpy()
         copies = part.column("copies").combine_chunks().to_numpy().astype(np.int64)
         x = unit(matrix(part.column("vector")))
-        mine = np.flatnonzero(own_block == here)
+        rows, cols = np.flatnonzero(~guests & (block == left)), np.flatnonzero((guests == with_guests) & (block == right))
+        same = not with_guests and left == right  # each pair is met from both sides
         counts = np.zeros(len(ids), dtype=np.int64)
         ends: list[np.ndarray] = [np.zeros((0, 2), dtype=np.int64)]
-        rest = np.concatenate((mine, np.setdiff1d(np.arange(len(ids)), mine)))
-        for at in range(0, len(rest), BLOCK):
-            other = rest[at:at + BLOCK]
-            hit = x[mine] @ x[other].T >= threshold
-            hit &= ids[mine][:, None] != ids[other][None, :]
-            if hit.any():
-                counts[mine] += hit @ copies[other]
-                once = own_block[other] != here  # pairs within the block are met from both sides
-                counts[other[once]] += copies[mine] @ hit[:, once]
-                for own, low in zip((ids[mine], ids[other]), _lowest(hit, ids[mine], ids[other]), strict=True):
-                    ends.append(np.stack((own, low), axis=1)[own != low])
+        for i in range(0, len(rows), SQUARE):
+            for j in range(0, len(cols), SQUARE):
+                mine, other = rows[i:i + SQUARE], cols[j:j + SQUARE]
+                hit = x[mine] @ x[other].T >= threshold
+                if same:
+                    hit &= ids[mine][:, None] != ids[other][None, :]
+                if hit.any():
+                    counts[mine] += hit @ copies[other]
+                    if not same:
+                        counts[other] += copies[mine] @ hit
+                    for at, low in zip((ids[mine], ids[other]), _lowest(hit, ids[mine], ids[other]), strict=True):
+                        ends.append(np.stack((at, low), axis=1)[at != low])
         edges = np.unique(np.concatenate(ends), axis=0)
         some = np.flatnonzero(counts)
         return pa.table({
@@ -200,6 +222,6 @@ def _cells(own: DataFrame, dim: int, n: int, threshold: float, cell: int) -> tup
             "links": pa.array(np.concatenate((counts[some], np.zeros(len(edges), dtype=np.int64)))),
             "b": pa.array([None] * len(some) + edges[:, 1].tolist(), pa.int64())})
 
-    found = stored(sent.groupBy("cell", "block").applyInArrow(compare, "id long, links long, b long"), "near")
+    found = stored(sent.groupBy("cell", "with_guests", "left", "right").applyInArrow(compare, "id long, links long, b long"), "near")
     return (dealt.where("cell = home").select("id", "cell"), found.where("b is null").select("id", "links"),
             found.where("b is not null").select(F.col("id").alias("a"), "b"))
