@@ -31,7 +31,7 @@ TRAINING_ROWS, KEPT = 20_000, 60_000
 #: Character n-grams, longest first, of a word between marks of its ends.
 GRAMS = (5, 4, 3, 2, 1)
 
-_REMEMBERED = 300_000
+_REMEMBERED = 200_000
 
 
 def words_of(text: str | None) -> list[str]:

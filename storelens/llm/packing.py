@@ -38,7 +38,7 @@ CAPACITY = 2048
 BUCKET_ROWS = 200_000
 
 #: Words whose ids a task remembers; the memory is emptied beyond.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 
 _LATIN = re.compile("[a-zß-öø-ÿ]+")

@@ -39,7 +39,7 @@ BEGINNINGS = (5, 4)
 #: Best segments whose joint chance counts; expected clean segments of that score that a passage may have at most.
 BEST, PASSAGE_E = 5, 0.01
 
-_REMEMBERED = 300_000
+_REMEMBERED = 200_000
 
 
 def items_of(word: str) -> list[str]:
