@@ -2,7 +2,7 @@
 procedures), the anomaly detection run, and the nightly export.
 
 A refresh run computes the item-level sales join once for the widest window
-any view needs, materialised with ``checkpoint()`` in the shared folder; views
+any view needs, stored as parquet in the shared folder; views
 with narrower windows filter it. Each view is then written as a new snapshot
 version with START / COMPLETE / ERROR audit rows.
 """

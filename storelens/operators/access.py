@@ -96,6 +96,19 @@ def _granted_stores(grants: DataFrame, user_id: int, as_of: dt.datetime, strict:
                                   .withColumn("_g_hit", F.lit(True)))
 
 
+def policy_start(table: str, role: str, as_of: dt.date | dt.datetime, hour: int = 12, mode: str = "as_written"
+                 ) -> dt.datetime | None:
+    """The earliest time that ``role`` can see in ``table`` (None: no bound). Passed to the source, it prunes the scan."""
+    open_hours = BUSINESS_HOURS[0] <= hour <= BUSINESS_HOURS[1] or role == ADMIN
+    days = []
+    for kind, arg in POLICIES.get((table, role)) or ():
+        if kind in ("recent", "own_stores_recent"):
+            days.append(int(arg))
+        elif kind != "hours" or (mode == "as_written" and open_hours):
+            return None
+    return midnight(as_of) - dt.timedelta(days=max(days)) if days else None
+
+
 def apply_policy(df: DataFrame, table: str, role: str, *, r: Retail | None = None, user_id: int | None = None,
                  as_of: dt.date | dt.datetime, hour: int = 12, mode: str = "as_written",
                  grants: DataFrame | None = None, time_col: str | None = None) -> DataFrame:

@@ -37,24 +37,23 @@ def kpi_cards(r: Retail, date_from: dt.date | None = None, date_to: dt.date | No
     si = r.interactions(start, end)
     if regions:
         si = with_store(si, r).where(F.col("region").isin(*regions))
-    lines = sales_lines(r, interactions=si.select("interaction_id"))
     item_filter = F.lit(True)
     if categories:
         item_filter = item_filter & F.col("category").isin(*categories)
     if brands:
         item_filter = item_filter & F.col("brand_name").isin(*brands)
-    # One pass over the items: per basket, whether it holds a matching item and
-    # the matching units; baskets then join 1:1 (both sides keyed by basket).
-    per_basket = (lines.groupBy(F.col("interaction_id").alias("_b"))
-                  .agg(F.max(item_filter).alias("_hit"),
-                       F.sum(F.when(item_filter, F.col("quantity"))).alias("_units")))
-    j = si.select("interaction_id", "total_amount").join(per_basket, F.col("interaction_id") == F.col("_b"), "left")
-    keep = F.coalesce(F.col("_hit"), F.lit(False)) if (categories or brands) else F.lit(True)
-    amount = F.when(keep, F.col("total_amount"))
-    return j.agg(money_sum(amount).alias("total_revenue"),
-                 F.count(F.when(keep, F.lit(1))).alias("transactions"),
-                 fixed(F.avg(amount), 6).alias("avg_order_value"),
-                 F.sum("_units").cast("long").alias("units_sold"))
+    # The amount travels with the basket through the item join, so baskets are read once. With an item filter only
+    # matching items (the filter reaches the product scan) and their baskets are left; without one every basket stays.
+    baskets = si.select("interaction_id", "total_amount")
+    if categories or brands:
+        lines, known = sales_lines(r, interactions=baskets).where(item_filter), F.lit(True)
+    else:
+        lines, known = sales_lines(r, interactions=baskets, how="left"), F.col("unit_price").isNotNull()
+    per_basket = lines.groupBy("interaction_id").agg(F.max("total_amount").alias("amount"),
+                                                     F.sum(F.when(known, F.col("quantity"))).alias("_units"))
+    return per_basket.agg(money_sum("amount").alias("total_revenue"), F.count(F.lit(1)).alias("transactions"),
+                          fixed(F.avg("amount"), 6).alias("avg_order_value"),
+                          F.sum("_units").cast("long").alias("units_sold"))
 
 
 def revenue_trend(r: Retail, as_of: dt.date, days: int = 30) -> DataFrame:

@@ -188,8 +188,10 @@ SI_COLS = ["interaction_id", "store_id", "customer_id", "transaction_date", "tot
 
 
 def _policy(r: Retail, table: str, role: str, cols: list[str], **kw):
-    df = r.interactions() if table == "sales_interactions" else r.table(table)
-    return access.apply_policy(df, table, role, r=r, as_of=kw.pop("as_of", AS_OF),
+    as_of = kw.pop("as_of", AS_OF)
+    start = access.policy_start(table, role, as_of, kw.get("hour", 12), kw.get("mode", "as_written"))
+    df = r.interactions(start) if table == "sales_interactions" else r.table(table)
+    return access.apply_policy(df, table, role, r=r, as_of=as_of,
                                grants=access.derived_grants(r), **kw).select(*cols)
 
 
