@@ -150,24 +150,28 @@ FROM by_kind"""
 
 
 def system_health(hv: dict, sp: dict, sb: dict, active_connections: int = 0) -> str:
-    """Score: 40 for devices in use, 30 less 10 for each high anomaly, 30 less 2 for each connection over 50."""
+    """Score: 40 for devices in use, 30 less 10 for each high anomaly (none of it without an anomaly on record, as
+    written), 30 less 2 for each connection over 50."""
     c = int(active_connections)
+
+    def n(condition: str) -> str:
+        """Rows with the condition; as written a sum, so NULL over no rows."""
+        return f"CASE WHEN COUNT(*) > 0 THEN COUNT(*) FILTER ({condition}) END"
+
     connections = 30 - min(30, 2 * max(0, c - 50))
     return with_adapter(anomalies_cte(hv, sp, sb), f"""devices AS (
-  SELECT COUNT(*) AS total_devices, {', '.join(f"COUNT(*) FILTER (status = '{x}') AS {x}_devices"
-                                               for x in ('active', 'maintenance', 'offline'))},
-    COUNT(*) FILTER (date_diff('second', last_seen, {ts(AS_OF)}) > 86400) AS stale_devices
+  SELECT COUNT(*) AS total_devices, {', '.join(n(f"status = '{x}'") + f" AS {x}_devices" for x in ('active', 'maintenance', 'offline'))},
+    {n(f"date_diff('second', last_seen, {ts(AS_OF)}) > 86400")} AS stale_devices
   FROM device_master)""", f"""sales AS (
-  SELECT COUNT(*) AS total_transactions_today, COUNT(*) FILTER (total_amount = 0) AS zero_amount_transactions,
+  SELECT COUNT(*) AS total_transactions_today, {n('total_amount = 0')} AS zero_amount_transactions,
     {fx('AVG(total_amount)', 6)} AS avg_transaction_amount
   FROM sales_interactions WHERE CAST(transaction_date AS DATE) = {date(AS_OF)})""", f"""found AS (
-  SELECT COUNT(*) AS total_anomalies, COUNT(*) FILTER (status = 'active') AS active_anomalies,
-    COUNT(*) FILTER (severity = 'high') AS high_severity_anomalies,
-    COUNT(*) FILTER (created_at >= {ts(AS_OF)}) AS todays_anomalies
+  SELECT COUNT(*) AS total_anomalies, {n("status = 'active'")} AS active_anomalies,
+    {n("severity = 'high'")} AS high_severity_anomalies, {n(f"created_at >= {ts(AS_OF)}")} AS todays_anomalies
   FROM anomalies)""") + f"""
 SELECT {ts(AS_OF)} AS health_check_time, devices.*, {pct('active_devices', 'total_devices')} AS device_uptime_percent,
   sales.*, found.*, CAST({c} AS BIGINT) AS active_connections,
-  {fx(f'40.0 * active_devices / NULLIF(total_devices, 0) + GREATEST(0, 30 - 10 * high_severity_anomalies) + {connections}', 0)}
+  {fx(f'40.0 * active_devices / NULLIF(total_devices, 0) + GREATEST(0, 30 - 10 * COALESCE(high_severity_anomalies, 3)) + {connections}', 0)}
     AS overall_health_score
 FROM devices, sales, found"""
 
