@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.llm.common import stored
-from storelens.llm.vectors import distinct_vectors, matrix
+from storelens.llm.vectors import usable_vectors, matrix
 
 #: Vectors in a shard, about; links of a vector; beam of a search while building and for a query; relaxation.
 SHARD, DEGREE, BUILD_BEAM, BEAM, ALPHA = 2048, 32, 48, 96, 1.2
@@ -141,7 +141,7 @@ def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     Every usable vector is in it; null, zero or non-finite ones and null ids are not. Equal vectors are one point
     with its ``ids_kept`` smallest ids, enough for searches of fewer neighbours than that.
     """
-    rows = distinct_vectors(vectors, id_col, vector_col)
+    rows = usable_vectors(vectors, id_col, vector_col)
     first = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     points = stored(rows.distinct().select("id", "vector", first.alias("nth")).where(f"nth <= {ids_kept}")
                     .groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")), "points")  # ids_kept at most

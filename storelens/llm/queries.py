@@ -30,7 +30,7 @@ def vocabulary(name: str) -> str:
 
 def op1_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = common.table(spark, sf_dir, "embeddings")
-    asked = vectors.distinct_vectors(rows.where("vec_id % 100 = 0"), "vec_id", "embedding")
+    asked = vectors.usable_vectors(rows.where("vec_id % 100 = 0"), "vec_id", "embedding")
     return ann_graph.search(ann_graph.build_index(rows), asked, k=10)
 
 

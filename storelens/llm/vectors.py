@@ -16,7 +16,7 @@ def usable(vector: Column) -> Column:
         & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def distinct_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+def usable_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vector) of usable rows with an id, as long and array of double."""
     return (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
             .where(F.col("id").isNotNull() & usable(F.col("vector"))))

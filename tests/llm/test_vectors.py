@@ -40,7 +40,7 @@ def test_search_against_brute_force(spark, shard):
     rows = rows_of()
     df = frame(spark, rows)
     index = ann_graph.build_index(df, shard=shard)
-    asked = vectors.distinct_vectors(df.where("vec_id % 7 = 0 or vec_id > 1000"), "vec_id", "embedding").distinct()
+    asked = vectors.usable_vectors(df.where("vec_id % 7 = 0 or vec_id > 1000"), "vec_id", "embedding").distinct()
     got = {}
     for r in ann_graph.search(index, asked, k=10).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
@@ -60,7 +60,7 @@ def test_search_against_brute_force(spark, shard):
 
 def test_search_empty(spark):
     empty = frame(spark, [])
-    assert ann_graph.search(ann_graph.build_index(empty), vectors.distinct_vectors(empty, "vec_id", "embedding")).count() == 0
+    assert ann_graph.search(ann_graph.build_index(empty), vectors.usable_vectors(empty, "vec_id", "embedding")).count() == 0
 
 
 @pytest.mark.parametrize(("cell", "threshold"), [(64, 0.95), (2048, 0.95), (64, 0.8)])
