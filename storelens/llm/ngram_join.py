@@ -157,18 +157,25 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
             .select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), "shared"))
 
 
-def _fits(n: str, p: str, m: str, q: str, percent: int):
-    """Length filter, and position filter at the first shared shingle: enough shingles are left in both sets."""
-    n, p, m, q = F.col(n), F.col(p), F.col(m), F.col(q)
-    left = F.least(n - p, m - q)
+def _fits(n: str, p: str, r: str, m: str, q: str, t: str, percent: int):
+    """Whether two sets of n and m shingles may link that first meet in one at positions p and q of their orders.
+
+    Length filter. Position filter: enough shingles are left from there on in both. Prefix filter: the shared ones
+    among the prefixes are at most the r and t shingles there that other groups have too, and behind the prefix
+    that ends first all may be shared; so shared ones <= min(r, t) + max(n - prefix of n, m - prefix of m).
+    """
+    n, p, r, m, q, t = (F.col(x) for x in (n, p, r, m, q, t))
+    behind = [F.floor((percent * x + 99) / 100).cast("long") - 1 for x in (n, m)]
+    enough = (n + m) * percent
     return ((F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-            & (left * (100 + percent) >= (n + m) * percent))
+            & (F.least(n - p, m - q) * (100 + percent) >= enough)
+            & ((F.least(r, t) + F.greatest(*behind)) * (100 + percent) >= enough))
 
 
 def _between(posts: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Postings with their members' components, and the shingles whose members are in several."""
     at = posts.join(labels.withColumnRenamed("node", "c"), "c", "left").select(
-        "tok", "c", "pos", "n", "first", F.coalesce("component", "c").alias("comp"))
+        "tok", "c", "pos", "n", "first", "r", F.coalesce("component", "c").alias("comp"))
     mixed = at.groupBy("tok").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("tok")
     return at, mixed
 
@@ -207,14 +214,17 @@ def ngram_jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int
     # Groups become members; a group of several classes is a posting of its own.
     posts = (of_groups.join(groups.select("g", "gid"), "g").join(members, "gid").select("tok", "c", "pos", "n")
              .unionByName(members.join(groups.where("members > 1").select("gid"), "gid")
-                          .select(F.col("gid").alias("tok"), "c", F.lit(0).cast("long").alias("pos"), "n")))
-    posts = stored(posts.withColumn("first", F.min("pos").over(Window.partitionBy("c"))), "postings")
+                          .select(F.col("gid").alias("tok"), "c", F.lit(-1).cast("long").alias("pos"), "n")))
+    # ``first``: where a member's shared shingles begin; ``r``: how many it has from here on (in its own group: all).
+    on = Window.partitionBy("c").orderBy("pos", "tok").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    posts = stored(posts.withColumn("first", F.min("pos").over(Window.partitionBy("c")))
+                   .withColumn("r", F.when(F.col("pos") < 0, F.col("n")).otherwise(F.count("tok").over(on))), "postings")
 
     # Star round: each member against one head of its shingle, the member that was changed least.
     head = posts.groupBy("tok").agg(F.min(F.struct("first", F.xxhash64("c").alias("h"), F.col("c").alias("d"),
-                                                   F.col("n").alias("m"), F.col("pos").alias("q"))).alias("head"))
+                                                   F.col("n").alias("m"), F.col("pos").alias("q"), F.col("r").alias("t"))).alias("head"))
     star = stored(posts.join(head.select("tok", "head.*").drop("first", "h"), "tok").where("c <> d")
-                  .where(_fits("n", "pos", "m", "q", percent)).select("c", "d").distinct(), "star")
+                  .where(_fits("n", "pos", "r", "m", "q", "t", percent)).select("c", "d").distinct(), "star")
     links = stored(_verified(star, docs, size, percent), "star-links")
     labels = stored(connected_components(links), "labels")
 
@@ -224,11 +234,11 @@ def ngram_jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int
         parts = at.join(mixed, "tok", "left_semi").groupBy("tok", "comp").agg(
             F.count("*").alias("members"),
             F.min(F.struct("first", F.xxhash64("c", F.lit(salt)).alias("h"), F.col("c").alias("d"),
-                           F.col("n").alias("m"), F.col("pos").alias("q"))).alias("head"))
+                           F.col("n").alias("m"), F.col("pos").alias("q"), F.col("r").alias("t"))).alias("head"))
         top = (parts.groupBy("tok").agg(F.max(F.struct("members", "comp", "head")).alias("top"))
                .where(f"top.members >= {CROWDED}")
-               .select("tok", F.col("top.comp").alias("comp_"), "top.head.d", "top.head.m", "top.head.q"))
-        star = stored(at.join(top, "tok").where("comp <> comp_").where(_fits("n", "pos", "m", "q", percent))
+               .select("tok", F.col("top.comp").alias("comp_"), "top.head.d", "top.head.m", "top.head.q", "top.head.t"))
+        star = stored(at.join(top, "tok").where("comp <> comp_").where(_fits("n", "pos", "r", "m", "q", "t", percent))
                       .select("c", "d").distinct(), "star")
         if star.isEmpty():
             break
@@ -240,9 +250,9 @@ def ngram_jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int
     at, mixed = _between(posts, labels)
     before = Window.partitionBy("c").orderBy("pos", "tok").rowsBetween(-4, -1)
     rest = stored(at.join(mixed, "tok", "left_semi").withColumn("before", F.collect_list("tok").over(before)), "rest")
-    other = rest.select("tok", *[F.col(x).alias(f"{x}_") for x in ("c", "pos", "n", "comp", "before")])
+    other = rest.select("tok", *[F.col(x).alias(f"{x}_") for x in ("c", "pos", "n", "r", "comp", "before")])
     pairs = stored(rest.join(other, "tok").where("c < c_ and comp <> comp_")
-                   .where(_fits("n", "pos", "n_", "pos_", percent))
+                   .where(_fits("n", "pos", "r", "n_", "pos_", "r_", percent))
                    .where(~F.arrays_overlap("before", "before_"))
                    .select("c", F.col("c_").alias("d")).distinct(), "rest-pairs")
     more = stored(_verified(pairs, docs, size, percent), "rest-links")
