@@ -156,3 +156,49 @@ def test_losses_equal_brute_force(spark):
     none = lm_score.cross_entropy_difference(frames.docs(spark, rows), targets.where(F.lit(False)), size=9)
     assert none.where("n_tokens > 0 and target_loss is null").count() == 0
     assert lm_score.cross_entropy_difference(frames.docs(spark, []), targets, size=9).count() == 0
+
+
+def test_losses_know_every_word(spark):
+    """No word is unknown: the vocabulary follows the corpus, beyond the 2046 words that it once had at most."""
+    rng = random.Random(9)
+    texts = [" ".join(f"w{min(rng.randrange(4000), rng.randrange(4000))}" for _ in range(60)) for _ in range(150)] + ["", None]
+    distinct = len({w for t in texts for w in (t or "").split()})
+    assert distinct > 2046
+    rows = list(enumerate(texts))
+    targets = spark.createDataFrame([(k,) for k in range(0, 150, 3)], "doc_id long")
+    got = {r.doc_id: r for r in lm_score.cross_entropy_difference(frames.docs(spark, rows), targets).collect()}
+    want = sparse_losses(texts, [k % 3 == 0 and k < 150 for k in range(len(texts))], distinct + 2)
+    for i, own in enumerate(want):
+        assert (got[i].target_loss is None) == (own is None)
+        if own:
+            assert math.isclose(got[i].target_loss, own[0], rel_tol=1e-9)
+            assert math.isclose(got[i].background_loss, own[1], rel_tol=1e-9)
+
+
+def sparse_losses(texts, targets, size):
+    """As brute_losses, with every word in the vocabulary."""
+    own = [["<s>", *(t or "").split()] for t in texts]
+    out = []
+    pairs = [Counter(), Counter()]
+    for words, target in zip(own, targets, strict=True):
+        for model in ([0, 1] if target else [1]):
+            pairs[model].update(zip(words, words[1:], strict=False))
+    scale = [1.0, sum(pairs[0].values()) / sum(pairs[1].values())]
+    rows, single = [{}, {}], [Counter(), Counter()]
+    for m in (0, 1):
+        for (a, b), n in pairs[m].items():
+            rows[m].setdefault(a, []).append(n * scale[m])
+            single[m][b] += n * scale[m]
+
+    def loss(m, a, b):
+        chance = (single[m][b] + 1) / (sum(single[m].values()) + size)
+        row = rows[m].get(a)
+        if not row:
+            return -math.log(chance)
+        kept = sum(max(c - lm_score.DISCOUNT, 0) for c in row) / sum(row)
+        return -math.log(max(pairs[m][a, b] * scale[m] - lm_score.DISCOUNT, 0) / sum(row) + (1 - kept) * chance)
+
+    for words in own:
+        k = len(words) - 1
+        out.append([sum(loss(m, a, b) for a, b in zip(words, words[1:], strict=False)) / k for m in (0, 1)] if k else None)
+    return out
