@@ -154,13 +154,14 @@ def _root(token_scores: np.ndarray, weights: np.ndarray) -> float:
     return high
 
 
-def _curve(evidence: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Logistic fit of the label on the evidence, with a small ridge so that separable labels stay finite."""
+def _curve(evidence: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    """Weighted logistic fit of the label on the evidence, with a small ridge so that separable labels stay finite."""
     x = np.stack([np.ones_like(evidence), evidence], axis=1)
     w, ridge = np.zeros(2), np.array([1e-3, 1e-2])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (labels - p) - ridge * w)
+        step = np.linalg.solve((x * (weights * p * (1 - p))[:, None]).T @ x + np.diag(ridge),
+                               x.T @ (weights * (labels - p)) - ridge * w)
         w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
@@ -171,7 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, kept: int
     """From ``docs(doc_id, text)`` and ``labels(doc_id, toxic)`` (0 or 1; null teaches nothing).
 
     At most about ``rows`` labels of each class are used, chosen by the hash of their doc_id; that bounds what is
-    broadcast and collected. Without labels of both classes every document scores below one half.
+    broadcast and collected. In the curve each class weighs as much as all its labels, so that the sampling does not
+    move the scores. Without labels of both classes every document scores below one half.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -179,6 +181,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, kept: int
     own = own.groupBy("doc_id").agg(F.max("y").alias("y"))
     chosen = bounded_sample(own.where("y = 1"), "doc_id", rows).unionByName(
         bounded_sample(own.where("y = 0"), "doc_id", rows))
+    counts_of = lambda df: {r.y: r["count"] for r in df.groupBy("y").count().collect()}
+    every, used = counts_of(own), counts_of(chosen)
+    weight = {y: every[y] / n for y, n in used.items()}
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")  # bounded above
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, kept: int
     mass = sum(r.n * math.exp(-min(700.0, model.rate * (r.best[0] if r.best else 0.0))) for r in clean)
     model.scale = len(clean) / mass if mass else 1.0  # the most likely K of the Gumbel law of clean maxima
     evidence = np.array([model.evidence(r.n, [(0, 0, s) for s in r.best]) if r.n else 0.0 for r in seen])
-    model.curve = _curve(evidence, np.array([r.y for r in seen], float))
+    model.curve = _curve(evidence, np.array([r.y for r in seen], float), np.array([weight[r.y] for r in seen], float))
     return model
 
 

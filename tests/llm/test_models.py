@@ -101,6 +101,23 @@ def test_toxicity_finds_passages(spark):
     assert toxicity.score(frames.docs(spark, []), model).count() == 0
 
 
+def test_toxicity_scores_survive_sampling(spark):
+    """Half of the texts with bad words are labelled toxic, 10 % of all: they score about 0.5 also where the cap binds."""
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(2000):
+        words = [f"w{rng.randrange(300)}" for _ in range(40)]
+        if i % 5 == 0:
+            words[20:20] = ["nasty", "awful"] * 3
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 10 == 0)))
+    docs, table = frames.docs(spark, rows).coalesce(2), spark.createDataFrame(labels, "doc_id long, toxic int").coalesce(2)
+    bad = docs.where("doc_id % 5 = 0").coalesce(2)
+    means = [toxicity.score(bad, toxicity.fit(docs, table, rows=n)).agg(F.avg("toxicity")).first()[0] for n in (10_000, 200, 100)]
+    assert abs(means[0] - 0.5) < 0.05
+    assert all(abs(m - means[0]) < 0.15 for m in means[1:]), means
+
+
 def test_toxicity_held_out(spark):
     from storelens.llm.queries import op9_toxicity
 
