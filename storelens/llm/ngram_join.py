@@ -9,14 +9,16 @@ A document is its set of distinct word shingles; two documents link when
 2. Each document keeps the prefix of its set that must hold a shared shingle with
    any partner. Documents of the same size and prefix are one group, with one
    posting per prefix shingle; shingles of a single group drop out.
-3. Groups are expanded into their members (classes of equal sets). Members of a
-   shingle are first compared with one head of that shingle, so a large group of
-   near copies is joined by a star. Then all pairs of members that share a shingle,
-   pass the length and position filters and are not yet in one component are
-   compared at their first shared shingle. Every comparison is exact, on whole sets.
-
-No pair of members is left out: a pair is skipped only when both already are in one
-component, so components are those of the full link graph.
+3. Groups that share a prefix shingle meet in one cell each (``_group_cells``).
+   Pairs of groups pass the length and prefix filters there; groups without a
+   possible partner drop out.
+4. The other groups are expanded into their members, classes of equal sets, and all
+   members of a cell are compared exactly, on whole sets.
+
+A crowded cell is compared in bounded pairs of blocks (``tiles``), as products of
+incidence matrices; a pair of blocks hands on at most one link a row, a forest that
+connects what its links connect. So nothing grows with the pairs of a group but the
+products themselves, and no pair is left out.
 """
 
 from __future__ import annotations
@@ -25,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.common import BROADCAST_IDS, bounded_batches, keyed_filter, stored
 from storelens.llm.components import connected_components
 from storelens.llm.shingles import shingle_sets
+from storelens.llm.tiles import Items, comparisons, compared, dealt, forest
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -40,11 +43,6 @@ SKETCH_PER_DOC, SKETCH_BITS = 16, (12, 24)
 _SEGMENT = 1 << 12
 
 
-#: Star rounds after the first, for shingles with at least CROWDED members in one component. They only save
-#: comparisons: the exact round at the end covers whatever is left, at any size.
-STAR_ROUNDS, CROWDED = 3, 32
-
-
 def sketch_bits(n_docs: int) -> int:
     low, high = SKETCH_BITS
     return min(high, max(low, (n_docs * SKETCH_PER_DOC).bit_length()))
@@ -128,143 +126,153 @@ def _digests(docs: DataFrame, order, bits: int, size: int, percent: int) -> Data
 
 
 def _items(docs: DataFrame, size: int) -> DataFrame:
+    """(sig, items): digest and shingle hashes of each text."""
+    import xxhash
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.view(np.int64) for s in shingle_sets(batch.column(1).to_pylist(), size)]
+            sets = list(shingle_sets(batch.column(0).to_pylist(), size))
             ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["c", "items"])
+                [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["sig", "items"])
+
+    return docs.select("text").mapInArrow(run, "sig binary, items array<long>")
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "c long, items array<long>")
 
+def _few(df: DataFrame, n: int) -> DataFrame:
+    """``df`` (n rows of up to some 100 bytes) as a broadcast side while it is small, else as it is."""
+    return F.broadcast(df) if n <= BROADCAST_IDS // 8 else df
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of the stored ``pairs(c, d)`` those whose whole sets, made anew from their texts, meet the threshold.
 
-    The set of c travels to d once for each pair; no other set is moved.
+def _group_cells(digests: DataFrame, groups: DataFrame) -> DataFrame:
+    """(cell, key, guest, items, n, members): groups in the cells where they are compared; key is the group's gid.
+
+    A group's home cell is the most crowded shingle of its prefix. Of two groups that share a shingle either both have
+    one home, or their homes differ; then the groups of the less crowded home are guests in the other's cell. So every
+    pair of groups that share a prefix shingle meets in exactly one cell.
+    """
+    reps = groups.select(F.col("g").alias("doc_id"), "gid")
+    own = digests.where("n > 0 and doc_id is not null").join(_few(reps, groups.count()), ["doc_id", "gid"], "left_semi")
+    postings = stored(own.select("gid", F.explode("prefix").alias("tok")), "postings")
+    crowd = postings.groupBy("tok").agg(F.count("*").alias("crowd")).where("crowd > 1")  # one group alone joins nothing
+    at = (postings.join(crowd, "tok")
+          .unionByName(groups.where("members > 1").select("gid", F.col("gid").alias("tok"), F.lit(0).cast("long").alias("crowd")))
+          .groupBy("gid").agg(F.max(F.struct("crowd", "tok")).alias("home"), F.collect_set("tok").alias("items")))
+    at = stored(at.join(groups.select("gid", "n", "members"), "gid"), "homes")
+    homes = (at.select("home", F.explode("items").alias("tok")).distinct()
+             .groupBy("tok").agg(F.sort_array(F.collect_set("home"), asc=False).alias("homes")).where("size(homes) > 1"))
+    visits = (homes.select(F.posexplode("homes").alias("place", "host"), "homes")
+              .select("host", F.explode(F.slice("homes", F.col("place") + 2, F.size("homes"))).alias("home")).distinct())
+    return (at.select(F.col("home.tok").alias("cell"), F.col("gid").alias("key"), F.lit(False).alias("guest"), "items", "n", "members")
+            .unionByName(at.join(visits, "home").select(F.col("host.tok").alias("cell"), F.col("gid").alias("key"),
+                                                        F.lit(True).alias("guest"), "items", "n", "members")))
+
+
+def _passing_groups(cells: DataFrame, percent: int) -> DataFrame:
+    """(cell, gid, guest) of groups that some group of their cell may link with, or that have several members.
+
+    Length filter: 100 min(n, m) >= percent max(n, m). Prefix filter: two sets share at most the shingles that their
+    prefixes share, and as many as stand behind the prefix that ends first.
     """
-    n = pairs.count()
 
-    def sets_of(side: str) -> DataFrame:
-        return _items(keyed_filter(docs, pairs.select(F.col(side).alias("doc_id")).distinct(), "doc_id", n), size)
+    def compare(part: pa.Table) -> pa.Table:
+        items, n = Items(part.column("items")), part.column("n").to_numpy().astype(np.int64)
+        behind = (percent * n + 99) // 100 - 1
+        passing = (part.column("members").to_numpy() > 1) & ~part.column("guest").to_numpy()
+        for rows, others, same in comparisons(part, part.column("key").to_numpy()):
+            x, y = n[rows][:, None], n[others][None, :]
+            most = items.shared(rows, others, same) + np.maximum(behind[rows][:, None], behind[others][None, :])
+            ok = (np.minimum(x, y) * 100 >= np.maximum(x, y) * percent) & (most * (100 + percent) >= (x + y) * percent)
+            if same:
+                np.fill_diagonal(ok, False)
+            passing[rows[ok.any(axis=1)]] = True
+            passing[others[ok.any(axis=0)]] = True
+        return part.select(["cell", "key", "guest"]).filter(pa.array(passing)).rename_columns(["cell", "gid", "guest"])
 
-    own = sets_of("c").join(F.broadcast(pairs) if n <= BROADCAST_IDS else pairs, "c").withColumnRenamed("items", "x")
-    other = sets_of("d").select(F.col("c").alias("d"), F.col("items").alias("y"))
-    shared = F.size(F.array_intersect("x", "y")).cast("long")
-    return (own.join(other, "d").select("c", "d", shared.alias("shared"), F.size("x").alias("n"), F.size("y").alias("m"))
-            .where(F.col("shared") * 100 >= (F.col("n") + F.col("m") - F.col("shared")) * percent)
-            .select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), "shared"))
+    return compared(dealt(cells, "members > 1"), ["key", "items", "n", "members"], compare,
+                    "cell long, gid long, guest boolean").distinct()
 
 
-def _fits(n: str, p: str, r: str, m: str, q: str, t: str, percent: int):
-    """Whether two sets of n and m shingles may link that first meet in one at positions p and q of their orders.
+def _links(cells: DataFrame, percent: int) -> DataFrame:
+    """Of ``cells(cell, key, guest, items, c, copies)``, exactly compared: (sig, n_links) in parts, and links (a, b, shared).
 
-    Length filter. Position filter: enough shingles are left from there on in both. Prefix filter: the shared ones
-    among the prefixes are at most the r and t shingles there that other groups have too, and behind the prefix
-    that ends first all may be shared; so shared ones <= min(r, t) + max(n - prefix of n, m - prefix of m).
+    The links are verified pairs that connect all that the links of a tile connect, at most as many as it has rows.
     """
-    n, p, r, m, q, t = (F.col(x) for x in (n, p, r, m, q, t))
-    behind = [F.floor((percent * x + 99) / 100).cast("long") - 1 for x in (n, m)]
-    enough = (n + m) * percent
-    return ((F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-            & (F.least(n - p, m - q) * (100 + percent) >= enough)
-            & ((F.least(r, t) + F.greatest(*behind)) * (100 + percent) >= enough))
 
-
-def _between(posts: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings with their members' components, and the shingles whose members are in several."""
-    at = posts.join(labels.withColumnRenamed("node", "c"), "c", "left").select(
-        "tok", "c", "pos", "n", "first", "r", F.coalesce("component", "c").alias("comp"))
-    mixed = at.groupBy("tok").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("tok")
-    return at, mixed
+    def compare(part: pa.Table) -> pa.Table:
+        items, c, copies = Items(part.column("items")), part.column("c").to_numpy(), part.column("copies").to_numpy()
+        n, counts = np.diff(items.first), np.zeros(len(part), dtype=np.int64)
+        a, b, k = [], [], []
+        keys = np.array(part.column("key").to_pylist(), dtype="S16")
+        for rows, others, same in comparisons(part, keys):
+            shared = items.shared(rows, others, same)
+            hit = shared * 100 >= (n[rows][:, None] + n[others][None, :] - shared) * percent
+            if same:
+                np.fill_diagonal(hit, False)
+            if hit.any():
+                counts[rows] += hit @ copies[others]
+                if not same:
+                    counts[others] += copies[rows] @ hit
+                for r, o in forest(hit, same):
+                    a.append(c[rows[r]])
+                    b.append(c[others[o]])
+                    k.append(shared[r, o])
+        some, none = np.flatnonzero(counts), [None] * len(a)
+        return pa.table({
+            "sig": pa.array(part.column("key").take(pa.array(some)).to_pylist() + none, pa.binary()),
+            "n_links": pa.array(counts[some].tolist() + none, pa.int64()),
+            "a": pa.array([None] * len(some) + [min(x) for x in zip(a, b, strict=True)], pa.int64()),
+            "b": pa.array([None] * len(some) + [max(x) for x in zip(a, b, strict=True)], pa.int64()),
+            "shared": pa.array([None] * len(some) + k, pa.int64())})
+
+    return compared(dealt(cells), ["key", "items", "c", "copies"], compare,
+                    "sig binary, n_links long, a long, b long, shared long")
 
 
 def ngram_jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(classes, links) of ``docs(doc_id, text)``; other columns are not read.
+    """(classes, links) of ``docs(doc_id, text)``; other columns, whatever their names, are not read.
 
-    ``classes``: one row per input row: doc_id, n_shingles, class_id (smallest doc_id with the same set),
-    component_id (smallest doc_id reachable by links, itself included).
+    ``classes``: one row per input row: doc_id, n_shingles, class_id (smallest doc_id with the same set), n_links (other
+    rows linked directly), component_id (smallest doc_id reachable by links, itself included).
     ``links``: verified pairs (a, b, shared) of class ids, which connect each component.
 
     Texts without words, empty or null: no shingle, linked with nothing, component_id = doc_id. Rows without a
     doc_id stay, with null class and component. Rows that share a doc_id are one document with several texts:
-    their links meet in that id. Repeated rows are equal sets and link. An empty table gives empty results.
+    their links meet in that id. Repeated rows are equal sets and link. Very long texts are taken whole; an empty
+    table gives empty results.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
     n_docs = docs.count()
     bits = sketch_bits(n_docs)
     order = spark.sparkContext.broadcast(shingle_order(docs, n_docs, size))
     digests = stored(_digests(docs, order, bits, size, percent), "digests")
 
-    named = digests.where("n > 0 and doc_id is not null")
-    classes = stored(named.groupBy("sig", "n").agg(F.min("doc_id").alias("c"), F.min("gid").alias("gid")), "classes")
-    members = classes.select("gid", "c", "n")
-    groups = stored(members.groupBy("gid").agg(F.min("c").alias("g"), F.count("*").alias("members")), "groups")
-
-    # One posting per prefix shingle and group; a shingle of one group alone joins nothing.
-    postings = (keyed_filter(named, groups.select(F.col("g").alias("doc_id")).distinct(), "doc_id", groups.count())
-                .select(F.col("doc_id").alias("g"), "n", F.posexplode("prefix").alias("pos", "tok"))
-                .select("tok", "g", (F.col("pos") * F.lit(1 << 32) + F.col("n")).alias("at")))
-    token = Window.partitionBy("tok")
-    of_groups = (postings.select("tok", "g", "at", F.min("g").over(token).alias("g0"), F.max("g").over(token).alias("g1"))
-                 .where("g0 <> g1").select("tok", "g", F.expr("at >> 32").alias("pos")))
-    # Groups become members; a group of several classes is a posting of its own.
-    posts = (of_groups.join(groups.select("g", "gid"), "g").join(members, "gid").select("tok", "c", "pos", "n")
-             .unionByName(members.join(groups.where("members > 1").select("gid"), "gid")
-                          .select(F.col("gid").alias("tok"), "c", F.lit(-1).cast("long").alias("pos"), "n")))
-    # ``first``: where a member's shared shingles begin; ``r``: how many it has from here on (in its own group: all).
-    on = Window.partitionBy("c").orderBy("pos", "tok").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    posts = stored(posts.withColumn("first", F.min("pos").over(Window.partitionBy("c")))
-                   .withColumn("r", F.when(F.col("pos") < 0, F.col("n")).otherwise(F.count("tok").over(on))), "postings")
-
-    # Star round: each member against one head of its shingle, the member that was changed least.
-    head = posts.groupBy("tok").agg(F.min(F.struct("first", F.xxhash64("c").alias("h"), F.col("c").alias("d"),
-                                                   F.col("n").alias("m"), F.col("pos").alias("q"), F.col("r").alias("t"))).alias("head"))
-    star = stored(posts.join(head.select("tok", "head.*").drop("first", "h"), "tok").where("c <> d")
-                  .where(_fits("n", "pos", "r", "m", "q", "t", percent)).select("c", "d").distinct(), "star")
-    links = stored(_verified(star, docs, size, percent), "star-links")
+    classes = stored(digests.where("n > 0 and doc_id is not null").groupBy("sig", "n").agg(
+        F.min("doc_id").alias("c"), F.min("gid").alias("gid"), F.count("*").alias("copies")), "classes")
+    groups = stored(classes.groupBy("gid", "n").agg(F.min("c").alias("g"), F.count("*").alias("members")), "groups")
+    passing = stored(_passing_groups(stored(_group_cells(digests, groups), "group-cells"), percent), "passing")
+
+    # Only groups with a possible partner are expanded; their members' sets are made anew, once.
+    expanded = stored(passing.join(classes.select("gid", "sig", "c", "copies"), "gid").drop("gid"), "members")
+    wanted = expanded.select(F.col("c").alias("doc_id")).distinct()
+    sets = _items(keyed_filter(docs, wanted, "doc_id", wanted.count()), size)
+    cells = (sets.join(_few(expanded, expanded.count()), "sig")
+             .select("cell", F.col("sig").alias("key"), "guest", "items", "c", "copies"))
+    found = stored(_links(stored(cells, "cells"), percent), "links")
+    links = found.where("a is not null").select("a", "b", "shared")
     labels = stored(connected_components(links), "labels")
 
-    # Further star rounds for crowded shingles: who is outside the largest component there, against a head inside.
-    for salt in range(STAR_ROUNDS):
-        at, mixed = _between(posts, labels)
-        parts = at.join(mixed, "tok", "left_semi").groupBy("tok", "comp").agg(
-            F.count("*").alias("members"),
-            F.min(F.struct("first", F.xxhash64("c", F.lit(salt)).alias("h"), F.col("c").alias("d"),
-                           F.col("n").alias("m"), F.col("pos").alias("q"), F.col("r").alias("t"))).alias("head"))
-        top = (parts.groupBy("tok").agg(F.max(F.struct("members", "comp", "head")).alias("top"))
-               .where(f"top.members >= {CROWDED}")
-               .select("tok", F.col("top.comp").alias("comp_"), "top.head.d", "top.head.m", "top.head.q", "top.head.t"))
-        star = stored(at.join(top, "tok").where("comp <> comp_").where(_fits("n", "pos", "r", "m", "q", "t", percent))
-                      .select("c", "d").distinct(), "star")
-        if star.isEmpty():
-            break
-        links = links.unionByName(stored(_verified(star, docs, size, percent), "star-links"))
-        labels = stored(connected_components(links), "labels")
-
-    # The rest, exactly: members of one shingle in different components, at their first shared shingle. A shared
-    # shingle is not the first if one of the few before it is shared too; a pair met more than once counts once.
-    at, mixed = _between(posts, labels)
-    before = Window.partitionBy("c").orderBy("pos", "tok").rowsBetween(-4, -1)
-    rest = stored(at.join(mixed, "tok", "left_semi").withColumn("before", F.collect_list("tok").over(before)), "rest")
-    other = rest.select("tok", *[F.col(x).alias(f"{x}_") for x in ("c", "pos", "n", "r", "comp", "before")])
-    pairs = stored(rest.join(other, "tok").where("c < c_ and comp <> comp_")
-                   .where(_fits("n", "pos", "r", "n_", "pos_", "r_", percent))
-                   .where(~F.arrays_overlap("before", "before_"))
-                   .select("c", F.col("c_").alias("d")).distinct(), "rest-pairs")
-    more = stored(_verified(pairs, docs, size, percent), "rest-links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = stored(connected_components(links), "labels")
-
     of_class = (classes.join(labels.withColumnRenamed("node", "c"), "c", "left")
-                .select("sig", "n", F.col("c").alias("class_id"), F.coalesce("component", "c").alias("component_id")))
-    rows = digests.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(
-        of_class.drop("n"), "sig", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+                .join(found.where("sig is not null").groupBy("sig").agg(F.sum("n_links").alias("n_links")), "sig", "left")
+                .select("sig", F.col("c").alias("class_id"), F.coalesce("component", "c").alias("component_id"),
+                        (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    named = F.col("doc_id").isNotNull()
+    rows = digests.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(of_class, "sig", "left").select(
+        "doc_id", "n_shingles", F.when(named, F.coalesce("class_id", "doc_id")).alias("class_id"),
+        F.when(named, F.coalesce("n_links", F.lit(0))).alias("n_links"),
+        F.when(named, F.coalesce("component_id", "doc_id")).alias("component_id"))
     return rows, links
