@@ -48,10 +48,18 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not space[0]:
         edge = np.concatenate(([0], edge))
     start, end = edge[0::2], edge[1::2]
-    table = np.concatenate((np.zeros(1, np.uint64),
-                            np.cumsum(_BYTE[_LOWER[data]] * _power(_P, "up", len(data)), dtype=np.uint64)))
-    words = mix((table[end] - table[start]) * _power(_P_INV, "down", len(data))[start])
-    return words, np.concatenate(([0], np.searchsorted(start, ends_of)))
+    return span_hashes(_BYTE[_LOWER[data]], start, end), np.concatenate(([0], np.searchsorted(start, ends_of)))
+
+
+def span_hashes(numbers: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of a sequence of 64-bit numbers, the same wherever the span stands."""
+    table = np.concatenate((np.zeros(1, np.uint64), np.cumsum(numbers * _power(_P, "up", len(numbers)), dtype=np.uint64)))
+    return mix((table[end] - table[start]) * _power(_P_INV, "down", len(numbers) + 1)[start])
+
+
+def byte_numbers(data: np.ndarray) -> np.ndarray:
+    """A fixed random number for each byte, the same for A-Z and a-z."""
+    return _BYTE[_LOWER[data]]
 
 
 def shingle_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
