@@ -26,7 +26,7 @@ from storelens.llm.common import BROADCAST_IDS, bounded_batches, stored
 from storelens.llm.shingles import byte_numbers, mix, span_hashes
 
 #: Sentences in a run and words that it must have.
-RUN, MIN_WORDS = 3, 16
+RUN, MIN_WORDS = 3, 20
 
 #: One pair of words in so many ends a part of a sentence; words after which a part ends in any case.
 CUT_ONE_IN, LONGEST = 4, 32
