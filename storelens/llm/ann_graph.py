@@ -134,40 +134,55 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alp
     return links, entry
 
 
+def _scale(x: np.ndarray) -> float:
+    """A power of two near the largest component: divided by it, products fit into single precision."""
+    return float(2.0 ** np.frexp(np.abs(x).max(initial=0))[1])
+
+
 def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD,
                 ids_kept: int = 11) -> DataFrame:
     """The stored index: a row for each shard (shard, dim, n, vectors, ids, links, entry).
 
     Every usable vector is in it; null, zero or non-finite ones and null ids are not. Equal vectors are one point
-    with its ``ids_kept`` smallest ids, enough for searches of fewer neighbours than that.
+    with its ``ids_kept`` smallest ids, enough for searches of fewer neighbours than that. Repeated rows are one, an
+    empty table gives an empty index.
     """
     rows = usable_vectors(vectors, id_col, vector_col)
     first = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     points = stored(rows.distinct().select("id", "vector", first.alias("nth")).where(f"nth <= {ids_kept}")
                     .groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")), "points")  # ids_kept at most
+    if ids_kept < 2:
+        raise ValueError("at least two ids of equal vectors must be kept")
     shards = points.count() // shard + 1
     dealt = points.select(F.size("vector").alias("dim"), F.pmod(F.xxhash64("vector"), F.lit(shards)).alias("shard"),
                           "vector", "ids")
 
     def build(part: pa.Table) -> pa.Table:
         x = matrix(part.column("vector"))
-        links, entry = build_graph(x.astype(np.float32))
+        links, entry = build_graph((x / _scale(x)).astype(np.float32))
         return pa.table({
             "shard": part.column("shard").slice(0, 1), "dim": pa.array([x.shape[1]], pa.int64()),
-            "n": pa.array([len(x)], pa.int64()), "vectors": pa.array([x.tobytes()], pa.binary()),
+            "n": pa.array([len(x)], pa.int64()), "ids_kept": pa.array([ids_kept], pa.int64()), "vectors": pa.array([x.tobytes()], pa.binary()),
             "ids": pa.array([part.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64()))),
             "links": pa.array([links.astype(np.int32).tobytes()], pa.binary()), "entry": pa.array([entry], pa.int64())})
 
     return stored(dealt.groupBy("shard", "dim").applyInArrow(
-        build, "shard long, dim long, n long, vectors binary, ids array<array<long>>, links binary, entry long"), "graphs")
+        build, "shard long, dim long, n long, ids_kept long, vectors binary, ids array<array<long>>, links binary, entry long"), "graphs")
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean distance) of the k nearest found of each ``queries(id, vector)``.
 
     ``queries`` has usable vectors; a query's own id is no result for it. Ties go to the smaller id. Fewer than k
-    other vectors of its length: all of them. Each block of queries goes to every shard of its length once.
+    other vectors of its length: all of them. Each block of queries goes to every shard of its length once. Repeated
+    queries are one; several vectors of one id are one query for what is nearest to any of them. Without queries, or
+    with an empty index, there is no row. An index keeps a bounded number of ids of equal vectors: a k for which they
+    may not do is an error (build the index with ``ids_kept`` above k).
     """
+    least = index.agg(F.min("ids_kept")).first()[0]
+    if least is not None and k >= least:
+        raise ValueError(f"the index keeps {least} ids of equal vectors, too few for the {k} nearest")
+    queries = queries.select("id", "vector").distinct()
     groups = queries.count() // block + 1
     blocks = (queries.select(F.size("vector").cast("long").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(groups)).alias("block"),
                              "id", "vector")
@@ -183,9 +198,10 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM,
                 links = np.frombuffer(row["links"], np.int32).reshape(-1, DEGREE).astype(np.int64)
                 ids = row["ids"]
                 q = np.array([r["vector"] for r in row["queries"]], dtype=np.float64)
-                near32 = x.astype(np.float32)
-                found, _ = beam_search(near32, (near32 * near32).sum(axis=1), links, row["entry"], q.astype(np.float32),
-                                       max(beam, k + 1))
+                scale = max(_scale(x), _scale(q))
+                near32 = (x / scale).astype(np.float32)
+                found, _ = beam_search(near32, (near32 * near32).sum(axis=1), links, row["entry"],
+                                       (q / scale).astype(np.float32), max(beam, k + 1))
                 out = ([], [], [])
                 for r, points in zip(row["queries"], found, strict=True):
                     own = points[points >= 0]
@@ -199,6 +215,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM,
                                                   pa.array(out[2], pa.float64())], ["query_id", "vec_id", "score"])
 
     found = (asked.join(index, ["shard", "dim"])
-             .mapInArrow(run, "query_id long, vec_id long, score double"))
+             .mapInArrow(run, "query_id long, vec_id long, score double")
+             .groupBy("query_id", "vec_id").agg(F.min("score").alias("score")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)

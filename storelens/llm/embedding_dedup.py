@@ -27,9 +27,13 @@ from storelens.llm.vectors import matrix, usable
 
 THRESHOLD = 0.95
 
-#: Vectors in a cell, about; rows of the k-means sample for a cell, and at most; its rounds.
+#: Vectors in a cell, about; rows of the k-means sample: for a cell, and in all unless there are more cells; its rounds.
 CELL, SAMPLE_PER_CELL, SAMPLE, ROUNDS = 2048, 64, 200_000, 8
 
+#: Bytes of all cells' centres, which the driver and the tasks hold: what bounds the number of cells. Cosines with
+#: centres that a task holds at once.
+CENTRE_BYTES, NEAR = 256_000_000, 4_000_000
+
 #: Members (or guests) of a cell in one block, about: a crowded cell becomes many pairs of blocks. Rows and columns
 #: of one product.
 BLOCK, SQUARE = 4096, 1024
@@ -39,6 +43,33 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _slices(rows: int, cells: int) -> list[slice]:
+    """Rows whose cosines with all cells are held at once."""
+    step = max(1, NEAR // max(1, cells))
+    return [slice(at, at + step) for at in range(0, rows, step)]
+
+
+def guests(x: np.ndarray, centres: np.ndarray, slack: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(home of each unit vector, row and cell of each guest): cells of smaller number whose border is near enough.
+
+    The border's distance is what the home centre is nearer by, over the centres' distance. That comes from the cosine of
+    the two centres, for the homes that occur, so no table of all pairs of cells is held anywhere.
+    """
+    homes, rows, cells = [], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for part in _slices(len(x), len(centres)):
+        near = x[part] @ centres.T
+        home = near.argmax(axis=1)
+        own, at = np.unique(home, return_inverse=True)
+        gap = np.sqrt(np.maximum(0, 2 - 2 * (centres[own] @ centres.T)) + 1e-14)[at]  # rounding of near centres
+        ok = near[np.arange(len(home)), home][:, None] - near <= slack * gap + 1e-12
+        ok &= np.arange(len(centres)) < home[:, None]
+        r, c = np.nonzero(ok)
+        homes.append(home)
+        rows.append(r + part.start)
+        cells.append(c)
+    return np.concatenate([np.zeros(0, dtype=np.int64), *homes]), np.concatenate(rows), np.concatenate(cells)
+
+
 def spherical_kmeans(sample: DataFrame, cells: int, dim: int, rounds: int = ROUNDS) -> np.ndarray:
     """Unit centres (cells, dim) fitted on ``sample(vector)``: assignments in tasks, sums of one row per cell back."""
     spark = sample.sparkSession
@@ -51,7 +82,8 @@ def spherical_kmeans(sample: DataFrame, cells: int, dim: int, rounds: int = ROUN
             sums = np.zeros_like(shared.value)
             for batch in batches:
                 x = unit(matrix(batch.column(0)))
-                np.add.at(sums, (x @ shared.value.T).argmax(axis=1), x)
+                for part in _slices(len(x), len(sums)):
+                    np.add.at(sums, (x[part] @ shared.value.T).argmax(axis=1), x[part])
             yield pa.RecordBatch.from_pydict({"cell": list(range(len(sums))), "total": [s.tobytes() for s in sums]})
 
         def add(parts: pa.Table) -> pa.Table:
@@ -90,7 +122,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     n_links: other vectors linked directly (cosine of at least ``threshold``, in double precision). component_id:
     smallest vec_id reachable by links, itself included; kept: vec_id = component_id. Null, empty, zero or non-finite
     vectors link with nothing and have no cell; vectors of different lengths never link. Rows with a null id stay,
-    with null component and kept = false, and link with nothing. Repeated rows of one id count as one vector.
+    with null component and kept = false, and link with nothing. Repeated rows of one id count as one vector. The cells
+    grow in number with the vectors, up to CENTRE_BYTES of centres; an empty table gives an empty one.
     """
     spark = vectors.sparkSession
     bounded_batches(spark)
@@ -131,31 +164,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 def _cells(own: DataFrame, dim: int, n: int, threshold: float, cell: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Members (id, cell), link counts (id, links) in parts, and (vector, smallest id linked to it) pairs (a, b) of one length's classes."""
     spark = own.sparkSession
-    cells = max(1, min(n // cell, SAMPLE // SAMPLE_PER_CELL))
-    part = min(1.0, cells * SAMPLE_PER_CELL / max(1, n))
+    cells = max(1, min(n // cell, CENTRE_BYTES // (8 * dim)))
+    part = min(1.0, max(cells, min(SAMPLE, cells * SAMPLE_PER_CELL)) / max(1, n))
     sample = own.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(part * (1 << 30)) + 1) if part < 1 else own
     centres = spherical_kmeans(sample, cells, dim) if cells > 1 else np.eye(1, dim)
-    borders = np.linalg.norm(centres[:, None] - centres[None], axis=2) if len(centres) <= 2048 else None
     slack = math.sqrt(max(0.0, 1 - threshold * threshold)) + 1e-9  # sine of the threshold's angle
-    shared = spark.sparkContext.broadcast((centres, borders))
+    shared = spark.sparkContext.broadcast(centres)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(cell, id, copies, vector, home): every vector in its cell, and as a guest in others that it may link with."""
-        centres, borders = shared.value
         for batch in batches:
-            x = unit(matrix(batch.column(1)))
-            near = x @ centres.T
-            home = near.argmax(axis=1)
-            rows, at = [np.arange(len(x))], [home]
-            for i in range(len(x)):
-                gap = borders[home[i]] if borders is not None else np.linalg.norm(centres - centres[home[i]], axis=1)
-                if home[i]:
-                    # the border's distance: what the home centre is nearer by, over the centres' distance
-                    ok = near[i, home[i]] - near[i, :home[i]] <= slack * gap[:home[i]]
-                    guests = np.flatnonzero(ok)
-                    rows.append(np.full(len(guests), i))
-                    at.append(guests)
-            rows, at = np.concatenate(rows), np.concatenate(at)
+            home, rows, at = guests(unit(matrix(batch.column(1))), shared.value, slack)
+            rows, at = np.concatenate((np.arange(len(home)), rows)), np.concatenate((home, at))
             pick = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at.astype(np.int64)), batch.column(0).take(pick), batch.column(2).take(pick),

@@ -2,10 +2,12 @@
 
 A known word scores by its log frequency in each language. A word that was never seen
 falls back to its character n-grams, the longest length of which any is known; so down
-to single letters. A text's language has the largest sum over its words.
+to single letters. A text's language has the largest sum over its words. How familiar a
+text is, the share of its words that are known or whose n-grams are, tells texts of a
+learned language from others.
 
-The model is fitted on a bounded sample of labelled rows (TRAINING_ROWS) and keeps at
-most KEPT words and KEPT n-grams, the most frequent; other words back off.
+The model is fitted on a bounded sample of labelled rows (TRAINING_ROWS), which bounds it;
+it keeps every word and every n-gram of them.
 """
 
 from __future__ import annotations
@@ -25,17 +27,24 @@ from storelens.llm.common import bounded_batches, stored
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 
-#: Labelled rows that a model is fitted on, about; words and n-grams that it keeps at most.
-TRAINING_ROWS, KEPT = 20_000, 60_000
+#: Labelled rows that a model is fitted on, about.
+TRAINING_ROWS = 10_000
 
 #: Character n-grams, longest first, of a word between marks of its ends.
 GRAMS = (5, 4, 3, 2, 1)
 
+#: Length of the n-grams by which an unknown word is more or less familiar.
+FAMILIAR_GRAM = 4
+
 _REMEMBERED = 200_000
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """Runs of letters, in lower case: numerals of any script are none, and marks part words."""
+    words = WORD.findall(text.lower()) if text else []
+    if text and not text.isascii() and not all(map(str.isalpha, words)):  # numerals such as a half or a circled two
+        words = "".join([c if c.isalpha() else " " for c in " ".join(words)]).split()
+    return words
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -63,6 +72,13 @@ class Model:
                 return self.gram_scores[rows].mean(axis=0)
         return np.zeros(len(self.languages))
 
+    def familiarity(self, word: str) -> float:
+        """1 for a known word, else the share of its n-grams of FAMILIAR_GRAM letters (or all of them) that are known."""
+        if word in self.words:
+            return 1.0
+        own = grams_of(word, min(FAMILIAR_GRAM, len(word) + 2))
+        return sum(g in self.grams for g in own) / len(own)
+
 
 def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
     """All rows, or, if there are more than ``limit``, about that many chosen by the hash of ``key``."""
@@ -84,8 +100,12 @@ def _log_frequencies(table: pa.Table, languages: list[str]) -> tuple[dict[str, i
     return at, logs - logs.mean(axis=1, keepdims=True)
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", rows: int = TRAINING_ROWS, kept: int = KEPT) -> Model:
-    """From ``labelled(text, lang)``; ``key`` only chooses the sample. Null or empty lang or text teaches nothing."""
+def fit(labelled: DataFrame, key: str = "doc_id", rows: int = TRAINING_ROWS) -> Model:
+    """From ``labelled(text, lang)``; ``key`` only chooses the sample of about ``rows`` rows, which bounds what is collected.
+
+    Null or empty lang or text teaches nothing; repeated rows teach as often as they stand there. Without any labelled
+    row the model has no language.
+    """
     bounded_batches(labelled.sparkSession)
     sample = bounded_sample(labelled.where("text is not null and lang is not null and lang <> ''"), key, rows)
 
@@ -116,64 +136,73 @@ def fit(labelled: DataFrame, key: str = "doc_id", rows: int = TRAINING_ROWS, kep
     grams = words.mapInArrow(cut, schema)
     languages = sorted(r.lang for r in words.select("lang").distinct().collect())
 
-    def top(table: DataFrame) -> pa.Table:
+    def all_of(table: DataFrame) -> pa.Table:
         own = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)).alias(f"n{k}")
                for k, lang in enumerate(languages)]
-        items = table.groupBy("item").agg(F.sum("n").alias("total"), *own).where("total > 1")
-        return items.orderBy(F.desc("total"), "item").limit(kept).toArrow()  # at most ``kept`` rows
+        return table.groupBy("item").agg(F.sum("n").alias("total"), *own).toArrow()  # the sample's items: bounded
 
-    known, word_scores = _log_frequencies(top(words), languages)
-    marks, gram_scores = _log_frequencies(top(grams), languages)
+    known, word_scores = _log_frequencies(all_of(words), languages)
+    marks, gram_scores = _log_frequencies(all_of(grams), languages)
     return Model(languages, known, word_scores, marks, gram_scores)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` (all its columns, one of them ``text``) with lang_pred and score added.
+def predict(docs: DataFrame, model: Model, with_familiarity: bool = False) -> DataFrame:
+    """``docs`` (all its columns, one of them ``text``) with lang_pred and score, and on demand familiarity, added.
 
-    score: the predicted language's share (0 to 1) after all words. ``und`` with score 0: null texts, texts without a
-    letter, or a model without a language. Columns of these names in ``docs`` are replaced. Ties go to the
-    language that sorts first.
+    score: the predicted language's share (0 to 1) after all words. familiarity: the mean over its words of how familiar
+    they are (0 to 1). ``und`` with both 0: null and empty texts, texts without a letter, or a model without a language.
+    Very long texts are read whole, repeated rows each, an empty table gives an empty one. Columns of these names in
+    ``docs`` are replaced. Ties go to the language that sorts first.
     """
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("lang_pred", "score")
+    added = ["lang_pred", "score", *(["familiarity"] if with_familiarity else [])]
+    docs = docs.drop(*added)
     text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         known: dict[str, int] = dict(model.words)
-        extra: list[np.ndarray] = []
+        extra: list[np.ndarray] = []  # of words that the model doesn't know, as they are met
+        familiar: list[float] = []
+        forgotten: list[str] = []
         table, base = model.word_scores, len(model.words)
         for batch in batches:
-            langs, scores = [], []
+            langs, scores, met = [], [], []
             for text in batch.column(text_at).to_pylist():
                 words = words_of(text)
                 if not words or not model.languages:
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
+                    met.append(0.0)
                     continue
                 if len(extra) > _REMEMBERED:
-                    known, extra = dict(model.words), []
-                total, at = np.zeros(len(model.languages)), []
+                    for w in forgotten:
+                        del known[w]
+                    extra, familiar, forgotten = [], [], []
+                total, at, mean = np.zeros(len(model.languages)), [], 0.0
                 for w in words:
                     k = known.get(w)
                     if k is None:
                         k = known[w] = base + len(extra)
                         extra.append(model.scores(w))
+                        familiar.append(model.familiarity(w))
+                        forgotten.append(w)
                     if k < base:
                         at.append(k)
                     else:
                         total = total + extra[k - base]
+                        mean += familiar[k - base]
                 total = total + table[at].sum(axis=0)
                 best = int(np.argmax(total))
                 langs.append(model.languages[best])
                 scores.append(float(1 / np.exp(np.maximum(total - total[best], -700)).sum()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"])
+                met.append((len(at) + mean) / len(words))
+            found = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(met, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found[:len(added)]], [*batch.schema.names, *added])
 
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInArrow(run, schema + ", lang_pred string, score double")
+    return docs.mapInArrow(run, schema + ", lang_pred string, score double" + ", familiarity double" * with_familiarity)
 
 
 def remainder(key: str, modulus: int) -> Column:

@@ -1,9 +1,11 @@
 """Cross-entropy difference of two n-gram models with one vocabulary.
 
 The target model counts the bigrams of chosen documents, the background model those of
-all documents, scaled to the target's size; both use the same vocabulary (every word of
-all documents, or on demand the most frequent ones, any other word then being one unknown
-word), the same order and the same smoothing. A document's score is its mean loss per token under the target model
+all documents; both use the same vocabulary (every word of all documents, or on demand the
+most frequent ones, any other word then being one unknown word), the same order and the
+same smoothing: absolute discounting takes a part of each observed count, whatever the
+model, and gives it to single words, whose counts the background scales to the target's
+size. So every observed bigram keeps a chance of its own in either model. A document's score is its mean loss per token under the target model
 less that under the background model: the lower, the more it is like the target.
 
 Counts cover all documents and stay distributed: documents fall into blocks, a block sends
@@ -33,7 +35,7 @@ WORD = re.compile(r"\w+")
 #: Numbers of the unknown word and of the text begin, the two entries of the vocabulary that are no words.
 UNKNOWN, BEGIN = 0, 1
 
-#: What absolute discounting takes off each count.
+#: What absolute discounting takes off each count: less than one, so that something is left of any.
 DISCOUNT = 0.75
 
 #: Characters of text in a block and, of all blocks' texts, in a bucket (about; more blocks and buckets on small inputs).
@@ -328,7 +330,7 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, size: int |
     matched = (1.0, n_tokens[0] / n_tokens[1] if n_tokens[0] else 1.0)
 
     def tell(parts: pa.Table) -> pa.Table:
-        """Each block's words with their counts as next word, as first word, and the sum and number of counts that discounting leaves."""
+        """Each block's words with their counts as next word, as first word, and the sum and number of their bigrams' counts."""
         rows = sorted(parts.select(["kind", "at", "part", "x", "y"]).to_pylist(), key=lambda r: (r["kind"], r["part"]))
         words = np.frombuffer(_unzip(rows[0]["x"]), np.int64)
         stats = np.zeros((8, len(words)), dtype=np.int64)
@@ -338,9 +340,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, size: int |
                 model = r["part"] % 2
                 seen, times = np.frombuffer(_unzip(r["y"]), np.int64).reshape(2, -1)
                 at = np.searchsorted(words, np.frombuffer(_unzip(r["x"]), np.int64))
-                more = seen * matched[model] > DISCOUNT
-                np.add.at(stats[4 + model], at[more], (seen * times)[more])
-                np.add.at(stats[6 + model], at[more], times[more])
+                np.add.at(stats[4 + model], at, seen * times)
+                np.add.at(stats[6 + model], at, times)
         return _table([(r["part"], WORDS, r["at"], _zip(stats[:, np.frombuffer(_unzip(r["x"]), np.uint32)]), b"")
                        for r in rows if r["kind"] == ASKED], _ANSWER)
 
@@ -365,11 +366,11 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, size: int |
             counts[block.pair_order] = _joined(pairs.column(name), np.int64)
             scale = matched[model]
             single = (stats[model] * scale + 1) / (n_tokens[model] * scale + entries)
-            total = stats[2 + model][block.first] * scale
+            total = stats[2 + model][block.first]
             some = np.where(total > 0, total, 1.0)
-            kept = stats[4 + model] * scale - stats[6 + model] * DISCOUNT
+            kept = stats[4 + model] - stats[6 + model] * DISCOUNT
             left = np.where(total > 0, 1 - kept[block.first] / some, 1.0)
-            loss = -np.log(np.maximum(counts * scale - DISCOUNT, 0) / some + left * single[block.second])
+            loss = -np.log(np.maximum(counts - DISCOUNT, 0) / some + left * single[block.second])
             sums = np.bincount(block.doc, loss[block.pair], minlength=rows.num_rows)
             means.append([s / n if n else None for s, n in zip(sums.tolist(), block.n_tokens.tolist(), strict=True)])
         score = [None if t is None else t - b for t, b in zip(*means, strict=True)]

@@ -11,8 +11,8 @@
   smallest chance, over its r best segments, of r segments that good; a one-variable
   logistic fit on the labelled sample turns it into a score between 0 and 1.
 
-The labelled sample is bounded (TRAINING_ROWS a class), and the token table keeps at
-most KEPT entries, the most frequent; others speak by their beginnings.
+The labelled sample is bounded (TRAINING_ROWS a class), which bounds the token table; it
+holds every token of the sample. The model keeps those that are significant.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from storelens.llm.common import bounded_batches
 from storelens.llm.language_id import WORD, bounded_sample
 
-TRAINING_ROWS, KEPT = 10_000, 100_000
+TRAINING_ROWS = 10_000
 
 #: Strength of each prior in tokens, the z value that makes log-odds significant among many items, what each token pays.
 PRIOR, SIGNIFICANT, DRIFT = 20.0, 4.3, 1.0
@@ -82,6 +82,15 @@ def log_odds(counts: dict[str, tuple[int, int]], tokens: tuple[int, int]) -> dic
     return out
 
 
+def _telling(scores: dict[str, float]) -> dict[str, float]:
+    """The items whose score isn't that of the item above them: all that a token's score needs."""
+    def above(item: str) -> float:
+        stem = item.rstrip("*")
+        return next((scores[f"{stem[:n]}*"] for n in BEGINNINGS if n < len(stem) and f"{stem[:n]}*" in scores), 0.0)
+
+    return {item: s for item, s in scores.items() if s != above(item)}
+
+
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, end, score), in one scan: Ruzzo and Tompa's rules."""
     sums = np.concatenate(([0.0], np.cumsum(scores)))
@@ -168,7 +177,7 @@ def _curve(evidence: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tup
     return float(w[0]), max(0.0, float(w[1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, kept: int = KEPT) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     """From ``docs(doc_id, text)`` and ``labels(doc_id, toxic)`` (0 or 1; null teaches nothing).
 
     At most about ``rows`` labels of each class are used, chosen by the hash of their doc_id; that bounds what is
@@ -182,8 +191,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, kept: int
     chosen = bounded_sample(own.where("y = 1"), "doc_id", rows).unionByName(
         bounded_sample(own.where("y = 0"), "doc_id", rows))
     counts_of = lambda df: {r.y: r["count"] for r in df.groupBy("y").count().collect()}
-    every, used = counts_of(own), counts_of(chosen)
-    weight = {y: every[y] / n for y, n in used.items()}
+    labels_of, used = counts_of(own), counts_of(chosen)
+    weight = {y: labels_of[y] / n for y, n in used.items()}
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")  # bounded above
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,15 +212,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, kept: int
 
     table = (sample.mapInArrow(count, "item string, clean long, toxic long").groupBy("item")
              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    top = (table.where("clean + toxic > 1 or item = ''").orderBy(F.col("item") != "", F.desc(F.expr("clean + toxic")), "item")
-           .limit(kept).toArrow())  # at most ``kept`` rows
-    counts = dict(zip(top.column("item").to_pylist(),
-                      zip(top.column("clean").to_pylist(), top.column("toxic").to_pylist(), strict=True), strict=True))
+    every = table.toArrow()  # the sample's items: bounded
+    counts = dict(zip(every.column("item").to_pylist(),
+                      zip(every.column("clean").to_pylist(), every.column("toxic").to_pylist(), strict=True), strict=True))
     tokens = counts.pop("", (0, 0))
     if not all(tokens):
         return Model({})
     scores = log_odds(counts, tokens)
-    model = Model({i: s for i, s in scores.items() if s or not i.endswith("*")})
+    model = Model(_telling(scores))
     words = [i for i in counts if not i.endswith("*")]
     model.rate = _root(np.array([scores[w] - DRIFT for w in words]), np.array([counts[w][0] for w in words], float) + 1e-9)
     shared = spark.sparkContext.broadcast(model)
@@ -240,7 +248,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     toxicity: 0 to 1. toxic_passages: the significant segments as character ranges (begin, end) of the text, with
     their score and the number of such segments to expect in clean text of that length. Texts without words, empty
-    or null: the lowest score, no passage. Columns of these names in ``docs`` are replaced.
+    or null: the lowest score, no passage. Very long texts are read whole, repeated rows each, an empty table gives an
+    empty one. Columns of these names in ``docs`` are replaced.
     """
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -58,6 +58,39 @@ def test_search_against_brute_force(spark, shard):
     assert hits >= 0.97 * total
 
 
+def test_search_over_many_shards(spark):
+    """Twelve shards or more: recall stays, repeated queries are asked once."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 16))
+    x = (centres[rng.integers(0, 40, 2600)] + rng.normal(scale=0.4, size=(2600, 16))).astype(np.float32)
+    df = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    index = ann_graph.build_index(df, shard=200)
+    assert index.count() >= 12
+    asked = vectors.usable_vectors(df.where("vec_id % 20 = 0"), "vec_id", "embedding")
+    got = {}
+    for r in ann_graph.search(index, asked.unionByName(asked), k=10).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    wide, hits = x.astype(np.float64), 0
+    for q in range(0, 2600, 20):
+        d = ((wide - wide[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        assert len(got[q]) == len(set(got[q])) == 10
+        hits += len(set(got[q]) & set(np.argsort(d, kind="stable")[:10].tolist()))
+    assert hits >= 0.9 * 10 * len(got)
+
+
+def test_search_of_huge_components_and_too_many_neighbours(spark):
+    rows = [(i, [v, 1.0]) for i, v in enumerate([1e30, 2e30, 3e30, 5e30, -1e30])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = ann_graph.build_index(df)
+    asked = vectors.usable_vectors(df.where("vec_id = 0"), "vec_id", "embedding")
+    got = ann_graph.search(index, asked, k=3).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [1, 2, 4]
+    with pytest.raises(ValueError):
+        ann_graph.search(index, asked, k=11)
+    assert ann_graph.search(ann_graph.build_index(df, ids_kept=12), asked, k=11).count() == 4
+
+
 def test_search_empty(spark):
     empty = frame(spark, [])
     assert ann_graph.search(ann_graph.build_index(empty), vectors.usable_vectors(empty, "vec_id", "embedding")).count() == 0
@@ -86,5 +119,23 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, cell, threshold):
             assert (r.n_links, r.component_id, r.kept) == (len(links.get(r.vec_id, ())), own, own == r.vec_id), r.vec_id
 
 
+@pytest.mark.parametrize("cells", [7, 4096])
+def test_guests_by_definition(cells, monkeypatch):
+    """Every cell of smaller number whose border is near enough, however many cells there are, some rows at a time."""
+    monkeypatch.setattr(embedding_dedup, "NEAR", 40 * cells)
+    rng = np.random.default_rng(cells)
+    centres, x = (embedding_dedup.unit(rng.normal(size=(n, 6))) for n in (cells, 150))
+    home, rows, at = embedding_dedup.guests(x, centres, 0.05)
+    found = set(zip(rows.tolist(), at.tolist(), strict=True))
+    for i, v in enumerate(x):
+        near = centres @ v
+        assert home[i] == near.argmax()
+        gap = np.sqrt(((centres - centres[home[i]]) ** 2).sum(axis=1))
+        sure = {k for k in range(home[i]) if near[home[i]] - near[k] <= 0.05 * gap[k] - 1e-9}
+        never = {k for k in range(home[i]) if near[home[i]] - near[k] > 0.05 * gap[k] + 1e-7}
+        own = {k for r, k in found if r == i}
+        assert sure <= own and not own & never and max(own, default=-1) < home[i]
+
+
 def test_near_duplicates_empty(spark):
     assert embedding_dedup.near_duplicates(frame(spark, [])).count() == 0
