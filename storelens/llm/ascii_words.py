@@ -11,7 +11,7 @@ import pyarrow as pa
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 #: Bytes of text that are taken together, and documents.
-BLOCK_BYTES, BLOCK_TEXTS = 1 << 22, 4096
+BLOCK_BYTES, BLOCK_TEXTS = 1 << 20, 4096
 
 
 def words_of(text: bytes | None) -> list[bytes]:

@@ -3,10 +3,9 @@
 A text is cut into sentences: at sentence ends of any script, at line ends, and inside a
 sentence where a hash of the last two words meets a condition, so that a passage is cut
 alike wherever it stands and however it is fused with the text around it. Every run of
-RUN consecutive sentences, extended until it has MIN_WORDS words, is hashed; so is, for
-each sentence, the shortest such run that ends with it. Runs meet by hash over all
-documents. All but the first occurrence (smallest doc_id, then position) of a run are
-repeats, and sentences that a repeat covers go.
+RUN consecutive sentences, extended until it has MIN_WORDS words, is hashed. Runs meet by
+hash over all documents. All but the first occurrence (smallest doc_id, then position) of
+a run are repeats, and sentences that a repeat covers go.
 
 Words are separated by white space; in scripts written without spaces every character is
 a word. Blocks of texts are cut and hashed together, as arrays.
@@ -122,15 +121,11 @@ class Sentences:
         return np.append(np.repeat(word[:-1], pieces) + nth * LONGEST, word[-1])
 
     def runs(self, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first part, end, hash) of every run: the shortest from each part, and the shortest to each; by first part."""
-        k = np.arange(self.n_parts)
-        stop, begin = self.first[self.text + 1], self.first[self.text]
-        end = np.maximum(k + run, np.searchsorted(self.word, self.word[:-1] + min_words))
-        start = np.minimum(k + 1 - run, np.searchsorted(self.word, self.word[1:] - min_words, side="right") - 1)
-        a = np.concatenate((k[end <= stop], start[start >= begin]))
-        b = np.concatenate((end[end <= stop], k[start >= begin] + 1))
-        both = np.unique(a * (self.n_parts + 1) + b)
-        a, b = both // (self.n_parts + 1), both % (self.n_parts + 1)
+        """(first part, end, hash) of every run, the shortest from each part; by first part."""
+        a = np.arange(self.n_parts)
+        b = np.maximum(a + run, np.searchsorted(self.word, self.word[:-1] + min_words))
+        whole = b <= self.first[self.text + 1]
+        a, b = a[whole], b[whole]
         return a, b, span_hashes(self.hashes, self.word[a], self.word[b]).view(np.int64)
 
     def bounds(self, text: int, length: int) -> np.ndarray:
@@ -184,10 +179,10 @@ def deduplicate_passages(docs: DataFrame, run: int = RUN, min_words: int = MIN_W
 
     # Occurrences within one document are told apart where it is cut, below; here a run counts once for each.
     met = stored(docs.select(key.alias("id"), "text").mapInArrow(spans, "id long, h long, again boolean"), "runs")
-    several = stored(met.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    # Both steps shuffle the runs by hash at any size; partial counts and split partitions spare a run met very often.
+    several = stored(met.groupBy("h").agg(F.min("id").alias("low"), F.count("*").alias("times")).where("times > 1")
                      .select("h", "low"), "repeats")
-    repeated = stored(met.join(F.broadcast(several) if several.count() <= BROADCAST_IDS else several, "h")
-                      .where("id > low").select("id", "h")
+    repeated = stored(met.join(several.hint("shuffle_hash"), "h").where("id > low").select("id", "h")
                       .unionByName(met.where("again").select("id", F.lit(None).cast("long").alias("h")).distinct())
                       .groupBy("id").agg(F.collect_set("h").alias("hashes")), "repeated")
 
