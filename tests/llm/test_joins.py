@@ -189,9 +189,6 @@ def brute_passages(rows):
         for a in range(len(parts)):
             b = next((b for b in range(a + substring_dedup.RUN, len(parts) + 1) if sum(sizes[a:b]) >= substring_dedup.MIN_WORDS), None)
             runs |= {(a, b)} if b else set()
-            a0 = next((c for c in range(a + 1 - substring_dedup.RUN, -1, -1)
-                       if sum(sizes[c:a + 1]) >= substring_dedup.MIN_WORDS), None)
-            runs |= {(a0, a + 1)} if a0 is not None else set()
         drop, first = set(), {}
         for a, b in sorted(runs):
             key = tuple(w.lower() for _, _, own in parts[a:b] for w in own)
