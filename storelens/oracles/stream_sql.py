@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from storelens.oracles import views_sql
-from storelens.oracles.common import PRODUCT_FIELDS, big, fx, msum, row_json, ts, with_adapter
+from storelens.oracles.common import PRODUCT_FIELDS, big, fx, msum, row_json, since, ts, with_adapter
 
 
 def live_kpis() -> str:
@@ -159,10 +159,93 @@ def file_inventory() -> str:
 SELECT DISTINCT 'sale_date=' || strftime(transaction_date, '%Y-%m-%d') AS folder FROM sales_interactions"""
 
 
-def lake_lifecycle_plan(now: dt.datetime) -> str:
-    """Ages from the order dates: one entry per order, by its date."""
-    age = f"date_diff('day', CAST(transaction_date AS DATE), CAST({ts(now)} AS DATE))"
+def latency_p95_stream() -> str:
+    """The windows with all their rows, and that every one's sketch answers within two in a hundred ranks."""
+    return "SELECT date_trunc('day', ts) AS window_start, COUNT(*) AS samples, true AS within_two_percent FROM events GROUP BY 1"
+
+
+def stream_ingest_records() -> str:
+    return """
+SELECT event_id, CASE WHEN event_id % 50 IN (7, 9, 11) THEN 'quarantined' ELSE 'stored' END AS fate,
+  CASE event_id % 50 WHEN 7 THEN 'not a record of the schema' WHEN 9 THEN 'ts is missing'
+    WHEN 11 THEN 'not a record of the schema' END AS reason,
+  CASE WHEN event_id % 50 NOT IN (7, 9, 11) THEN ts END AS ts, CASE WHEN event_id % 50 NOT IN (7, 9, 11) THEN event_type END AS event_type,
+  CASE WHEN event_id % 50 NOT IN (7, 9, 11) THEN value END AS value
+FROM events"""
+
+
+def lake_files(parts: int, age_days: int) -> str:
+    """What a lake written in ``parts`` appends holds a month, all of one age: files, those worth joining, and after that."""
     return with_adapter() + f"""
-SELECT CAST(interaction_id AS VARCHAR) AS name, CAST({age} AS INTEGER) AS age_days,
-  CASE WHEN {age} > 365 THEN 'delete' WHEN {age} > 90 THEN 'archive' WHEN {age} > 30 THEN 'cool' ELSE 'hot' END AS action
-FROM sales_interactions"""
+SELECT strftime(transaction_date, '%Y-%m') AS sale_month, COUNT(DISTINCT interaction_id % {parts}) AS files, {age_days} AS age_days,
+  'cool' AS action, CASE WHEN COUNT(DISTINCT interaction_id % {parts}) > 1 THEN COUNT(DISTINCT interaction_id % {parts}) ELSE 0 END AS to_join,
+  COUNT(*) AS rows_kept, CAST(1 AS BIGINT) AS files_left
+FROM sales_interactions GROUP BY 1"""
+
+
+def changed_day(day: dt.date) -> str:
+    return (f"(SELECT * FROM sales_interactions WHERE NOT (CAST(transaction_date AS DATE) = DATE '{day.isoformat()}' "
+            "AND interaction_id % 3 = 0))")
+
+
+def incremental_daily_sales(day: dt.date) -> str:
+    """The view over baskets of which one day has lost a third."""
+    sql = views_sql.daily_sales(90)
+    assert sql.count("FROM sales_interactions si") == 1
+    return sql.replace("FROM sales_interactions si", f"FROM {changed_day(day)} si")
+
+
+def region_windows(day: dt.date, windows: tuple[int, ...] = (7, 30, 90)) -> str:
+    return with_adapter() + "\nUNION ALL\n".join(f"""
+SELECT s.region, {w} AS days, COUNT(DISTINCT s.id) AS store_count, COUNT(*) AS transactions, {msum('si.total_amount')} AS revenue,
+  {fx('AVG(si.total_amount)', 6)} AS avg_transaction_value, COUNT(DISTINCT si.customer_id) AS unique_customers
+FROM {changed_day(day)} si JOIN stores s ON s.id = si.store_id
+WHERE si.transaction_date >= {since(w)} GROUP BY s.region""" for w in windows)
+
+
+# How raw feeds are damaged: table, key, column, when, what stands there then, and what the loader says.
+DAMAGE = (
+    ("brands", "id", "name", "id % 7 = 3", "NULL", "name is missing"),
+    ("products", "id", "unit_price", "id % 97 = 5", "'n/a'", "unit_price is no decimal(10,2)"),
+    ("products", "id", "unit_price", "id % 89 = 3 AND NOT id % 97 = 5", "'-1.50'", "unit_price is negative"),
+    ("products", "id", "brand_id", "id % 83 = 2", "NULL", "brand_id is missing"),
+    ("ph_regions", "id", "mega_region", "id % 5 = 4", "'Atlantis'", "mega_region is unknown"),
+    ("stores", "id", "store_type", "id % 11 = 7", "'kiosk'", "store_type is unknown"),
+    ("device_master", "device_id", "status", "device_id % 13 = 6", "'lost'", "status is unknown"),
+    ("sales_interactions", "interaction_id", "total_amount", "interaction_id % 101 = 7", "'-5'", "total_amount is negative"),
+    ("sales_interactions", "interaction_id", "transaction_date", "interaction_id % 103 = 9", "'yesterday'",
+     "transaction_date is no timestamp_ntz"),
+    ("sales_interactions", "interaction_id", "age", "interaction_id % 107 = 11", "'400'", "age is out of range"),
+    ("transaction_items", "interaction_id", "quantity", "interaction_id % 113 = 12", "'0'", "quantity is not positive"),
+    ("audit_log", "id", "audit_ts", "id % 127 = 13", "''", "audit_ts is missing"),
+)
+
+#: For each table its key and a typed column whose sum shows that values came through.
+MEASURES = {"brands": ("id", "id"), "products": ("id", "unit_price"), "ph_regions": ("id", "economic_weight"),
+            "stores": ("id", "id"), "device_master": ("device_id", "store_id"),
+            "sales_interactions": ("interaction_id", "total_amount"), "transaction_items": ("interaction_id", "quantity"),
+            "audit_log": ("id", "user_id")}
+
+
+def load_retail_tables() -> str:
+    """Each table's rows that no damage touches: their number, the sum of their keys, and of a typed column."""
+    def one(table: str) -> str:
+        key, measure = MEASURES[table]
+        bad = " OR ".join(f"({when})" for t, _, _, when, _, _ in DAMAGE if t == table)
+        return (f"SELECT '{table}' AS table_name, COUNT(*) FILTER (NOT ({bad})) AS loaded, COUNT(*) FILTER ({bad}) AS rejected, "
+                f"CAST(SUM({key}) FILTER (NOT ({bad})) AS DECIMAL(38,4)) AS key_sum, "
+                f"CAST(SUM({measure}) FILTER (NOT ({bad})) AS DECIMAL(38,4)) AS measure_sum FROM {table}")
+
+    return with_adapter() + "\nUNION ALL\n".join(one(t) for t in MEASURES)
+
+
+def load_retail_rejected(columns: dict[str, list[str]]) -> str:
+    """Every damaged row with all that is wrong with it, in the order of the table's columns."""
+    def one(table: str) -> str:
+        own = sorted((x for x in DAMAGE if x[0] == table), key=lambda x: columns[table].index(x[2]))
+        says = ", ".join(f"CASE WHEN {when} THEN '{text}' END" for _, _, _, when, _, text in own)
+        bad = " OR ".join(f"({when})" for _, _, _, when, _, _ in own)
+        return (f"SELECT '{table}' AS table_name, CAST({own[0][1]} AS VARCHAR) AS row_key, "
+                f"array_to_string(list_filter([{says}], lambda x: x IS NOT NULL), '; ') AS reasons FROM {table} WHERE {bad}")
+
+    return with_adapter() + "\nUNION ALL\n".join(one(t) for t in MEASURES)

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 
 from storelens import jobs
 from storelens.oracles import access_sql, dash_sql, metrics_sql, proc_sql, stream_sql, views_sql
-from storelens.operators import access, anomalies, dashboards, metrics, prep, procedures, views
+from storelens.operators import access, anomalies, dashboards, diff, incremental, metrics, prep, procedures, views
+from storelens.plans.scalars import with_scalars
 from storelens.session import scratch_path
-from storelens.sources import sinks
+from storelens.sources import contract, sinks
 from storelens.streaming import streams
 from storelens.params import FIXTURE_AS_OF, FIXTURE_AUDIT_AS_OF
+from storelens.sources.record_log import RecordLog
 from storelens.sources.retail import Retail
 
 AS_OF = FIXTURE_AS_OF
@@ -253,6 +255,9 @@ def modified_products(r: Retail) -> DataFrame:
 
 register("audit_changes", access_sql.audit_changes())(
     lambda r: access.audit_changes(r.products, modified_products(r), "id", "products"))
+# the same changes, of which only the key ranges that differ are joined
+register("audit_changes_by_ranges", access_sql.audit_changes())(
+    lambda r: access.audit_changes(*diff.differing(r.products, modified_products(r), "id"), "id", "products"))
 register("product_update_guard", access_sql.product_update_guard())(
     lambda r: access.product_update_guard(r.products, modified_products(r)))
 
@@ -378,6 +383,41 @@ def _scratch(r: Retail, name: str) -> str:
 
 
 register("load_retail", stream_sql.load_retail())(lambda r: r.interactions())
+
+
+def damaged_feed(r: Retail, table: str) -> DataFrame:
+    """A table as a raw feed in which some values are wrong."""
+    feed = contract.raw_feed(r.table(table))
+    own = [(column, when, value) for t, _, column, when, value, _ in stream_sql.DAMAGE if t == table]
+    out = {c: F.col(c) for c in feed.columns}
+    for column, when, value in own:
+        out[column] = F.when(F.expr(when), F.expr(value)).otherwise(out[column])
+    return feed.select(*[out[c].cast("string").alias(c) for c in feed.columns])
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _load_tables(r: Retail) -> DataFrame:
+    def one(table: str) -> DataFrame:
+        key, measure = stream_sql.MEASURES[table]
+        loaded, rejected = contract.load(damaged_feed(r, table), table)
+        good = loaded.agg(F.count(F.lit(1)).alias("loaded"), F.sum(key).cast("decimal(38,4)").alias("key_sum"),
+                          F.sum(measure).cast("decimal(38,4)").alias("measure_sum"))
+        bad = rejected.agg(F.count(F.lit(1)).alias("rejected"))
+        return with_scalars(good, bad).select(F.lit(table).alias("table_name"), "loaded", "rejected", "key_sum", "measure_sum")
+
+    return _union([one(t) for t in contract.CONTRACTS])
+
+
+register("load_retail_tables", stream_sql.load_retail_tables())(_load_tables)
+register("load_retail_rejected", stream_sql.load_retail_rejected({t: [c.name for c in x] for t, x in contract.CONTRACTS.items()}))(
+    lambda r: _union([contract.load(damaged_feed(r, t), t)[1] for t in contract.CONTRACTS]).select(
+        "table_name", "row_key", F.concat_ws("; ", "reasons").alias("reasons")))
 register("table_select", stream_sql.table_select())(
     lambda r: r.stores.where(F.col("region") == "ASIA").orderBy("name"))
 register("table_select_single", stream_sql.table_select_single())(
@@ -407,14 +447,27 @@ def _inventory(r: Retail) -> DataFrame:
         "folder <> ''").distinct()
 
 
-LIFECYCLE_NOW = datetime.datetime(2001, 8, 1)
+LAKE_PARTS, LAKE_AGE = 3, 40
 
 
 def _lifecycle(r: Retail) -> DataFrame:
-    """Files as old as the baskets: one for each."""
-    files = r.interactions().select(F.col("interaction_id").cast("string").alias("name"),
-                                    F.col("transaction_date").alias("last_modified"), F.lit(1).alias("content_length"))
-    return sinks.lake_lifecycle_plan(files, LIFECYCLE_NOW).select("name", "age_days", "action")
+    """A lake of baskets written in three appends, its files' ages and tiers, and the same lake with its small files joined.
+
+    The inventory's clock is set ``LAKE_AGE`` days after the files were written."""
+    base, out = _scratch(r, "lake-files"), _scratch(r, "lake-joined")
+    baskets = r.interactions().select("interaction_id", "total_amount", F.date_format("transaction_date", "yyyy-MM").alias("sale_month"))
+    for k in range(LAKE_PARTS):
+        (baskets.where(F.col("interaction_id") % LAKE_PARTS == k).hint("rebalance", "sale_month")
+         .write.mode("append").partitionBy("sale_month").parquet(base))
+    inventory = sinks.file_inventory(r.spark, base).where("content_length > 0").where(F.col("name").endswith(".parquet"))
+    written = inventory.agg(F.max("last_modified")).first()[0]
+    plan = sinks.compaction_plan(sinks.lake_lifecycle_plan(inventory, written + datetime.timedelta(days=LAKE_AGE)), base)
+    month = F.regexp_extract("folder", "sale_month=(.*)", 1).alias("sale_month")
+    files = plan.groupBy(month, F.col("age_days"), F.col("action")).agg(F.count(F.lit(1)).alias("files"), F.count("bin").alias("to_join"))
+    joined = sinks.compact_lake(r.spark, base, out, plan)
+    kept = joined.groupBy(F.date_format("sale_month", "yyyy-MM").alias("_month")).agg(
+        F.count(F.lit(1)).alias("rows_kept"), F.count_distinct(F.col("_metadata.file_name")).alias("files_left"))
+    return files.join(kept, F.col("sale_month") == F.col("_month")).drop("_month")
 
 
 def _snapshot(r: Retail) -> DataFrame:
@@ -426,20 +479,45 @@ def _snapshot(r: Retail) -> DataFrame:
 
 register("raw_zone_append", stream_sql.raw_zone_append("2001-08-01T00:00:00"))(_raw_zone)
 register("file_inventory", stream_sql.file_inventory())(_inventory)
-register("lake_lifecycle_plan", stream_sql.lake_lifecycle_plan(LIFECYCLE_NOW))(_lifecycle)
+register("lake_lifecycle_plan", stream_sql.lake_files(LAKE_PARTS, LAKE_AGE))(_lifecycle)
 register("snapshot_refresh", stream_sql.row_counts({"brand_competition": views_sql.brand_competition(30)}))(
     lambda r: sinks.snapshot_refresh(r.spark, _scratch(r, "snapshots"), "brand_competition",
                                      views.brand_competition(r, AS_OF, 30)).select("name", "row_count"))
 # the stored daily_sales version read back must equal the view itself
 register("snapshot_if_stale", views_sql.daily_sales(90))(_snapshot)
 
+CHANGED_DAY = datetime.date(2001, 7, 15)
+
+
+def _maintained(r: Retail) -> str:
+    """Day aggregates of a lake of baskets, refreshed after one of its days has lost a third of its baskets (made once)."""
+    if done := getattr(r, "_day_aggregates", None):
+        return done
+    lake, base = _scratch(r, "basket-lake"), _scratch(r, "day-aggregates")
+    columns = ["interaction_id", "store_id", "customer_id", "transaction_date", "total_amount", "is_attendant_influenced",
+               "substitution_occurred"]
+    baskets = r.interactions().select(*columns)
+    sinks.export_transactions(baskets, lake)
+    incremental.refresh(r.spark, lake, base)
+    day = F.to_date("transaction_date") == F.lit(CHANGED_DAY)
+    baskets.where(day & (F.col("interaction_id") % 3 != 0)).write.mode("overwrite").parquet(f"{lake}/sale_date={CHANGED_DAY.isoformat()}")
+    incremental.refresh(r.spark, lake, base)
+    r._day_aggregates = base
+    return base
+
+
+register("incremental_daily_sales", stream_sql.incremental_daily_sales(CHANGED_DAY))(
+    lambda r: incremental.daily_sales(r.spark, _maintained(r), r.stores, AS_OF, 90))
+register("region_customer_windows", stream_sql.region_windows(CHANGED_DAY))(
+    lambda r: incremental.region_windows(r.spark, _maintained(r), r.stores, AS_OF))
+
 # ------------------------------------------------------------ §2.7 streams
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 STREAM_NOW = datetime.datetime(2024, 1, 31)
 
 
-#: Several micro-batches, whose files may come in any order: the delay covers the month of the fixture's events.
-STREAM_FILES, STREAM_DELAY = 4, "40 days"
+#: Several micro-batches, whose files may come in any order.
+STREAM_FILES = 4
 
 
 def _replayed(r: Retail, df: DataFrame, name: str) -> DataFrame:
@@ -449,9 +527,18 @@ def _replayed(r: Retail, df: DataFrame, name: str) -> DataFrame:
     return r.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
 
 
+def _delay(r: Retail) -> str:
+    """As long as the table's own time span: files may come in any order, and no row is late."""
+    span = r.raw("events").agg(F.datediff(F.max("ts"), F.min("ts"))).first()[0] or 0
+    return f"{span + 1} days"
+
+
 def _run_rule(r: Retail, agg: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The resolved sink of a stream over all files; rows that the watermark dropped are an error."""
     sink, ck = _scratch(r, f"{name}-sink"), _scratch(r, f"{name}-ckpt")
-    streams.run_update_stream(agg, sink, ck, f"{name}_{abs(hash(sink)) % 10**8}")
+    told = streams.run_update_stream(agg, sink, ck, f"{name}_{abs(hash(sink)) % 10**8}")
+    if told["rows_dropped_by_watermark"]:
+        raise RuntimeError(f"{name}: {told['rows_dropped_by_watermark']} rows came later than the watermark's delay")
     return streams.latest_rows(r.spark, sink, keys)
 
 
@@ -469,20 +556,42 @@ def _live_kpis(r: Retail) -> DataFrame:
 THRESHOLD = 40.0
 register("live_kpis", stream_sql.live_kpis())(_live_kpis)
 register("metric_threshold_alert", stream_sql.metric_threshold_alert(THRESHOLD))(
-    lambda r: streams.firing(_run_rule(r, streams.metric_threshold_windows(_events(r), THRESHOLD, STREAM_DELAY),
+    lambda r: streams.firing(_run_rule(r, streams.metric_threshold_windows(_events(r), THRESHOLD, _delay(r)),
                                        ["window_start", "metric"], "threshold")))
 register("error_burst_alert", stream_sql.error_burst_alert(1))(
-    lambda r: streams.error_burst_alert(_run_rule(r, streams.error_bins(_events(r), STREAM_DELAY, 1), ["bin_start"],
+    lambda r: streams.error_burst_alert(_run_rule(r, streams.error_bins(_events(r), _delay(r), 1), ["bin_start"],
                                                   "errbins")))
 register("rate_limit_violations", stream_sql.rate_limit_violations(1))(
-    lambda r: _run_rule(r, streams.rate_limit_violations(_events(r), STREAM_DELAY, 1), ["window_start", "client"],
+    lambda r: _run_rule(r, streams.rate_limit_violations(_events(r), _delay(r), 1), ["window_start", "client"],
                         "ratelimit"))
-register("error_rate", stream_sql.error_rate())(lambda r: streams.error_rate(r.raw("events")))
+register("error_rate", stream_sql.error_rate())(
+    lambda r: _run_rule(r, streams.error_rate(_events(r), watermark=_delay(r)), ["window_start"], "errorrate"))
 register("latency_p95", stream_sql.latency_p95())(lambda r: streams.latency_p95(r.raw("events")))
-register("freshness", stream_sql.freshness(STREAM_NOW))(lambda r: streams.freshness(r.raw("events"), STREAM_NOW))
-register("metric_heatmap", stream_sql.metric_heatmap())(lambda r: streams.metric_heatmap(r.raw("events")))
+register("freshness", stream_sql.freshness(STREAM_NOW))(
+    lambda r: streams.freshness(_run_rule(r, streams.newest_event(_events(r)), ["one"], "newest"), STREAM_NOW))
+register("metric_heatmap", stream_sql.metric_heatmap())(
+    lambda r: _run_rule(r, streams.metric_heatmap(_events(r), watermark=_delay(r)), ["bucket_start", "component"], "heatmap"))
+
+
+def _latency_stream(r: Retail) -> DataFrame:
+    """Sketches of a stream, merged, held against the ranks that their answers have among all values."""
+    sink = _scratch(r, "sketch-sink")
+    streams.latency_sketch_job(_events(r), sink, _scratch(r, "sketch-ckpt"), f"sketch_{abs(hash(sink)) % 10**8}")
+    found = streams.latency_from_sketches(r.spark.read.parquet(sink))
+    start = F.window(F.col("ts").cast("timestamp"), "1 day").getField("start").cast("timestamp_ntz")
+    values = r.raw("events").where("value is not null").select(start.alias("_start"), F.round("value", 6).alias("_value"))
+    ranks = (found.join(values, F.col("window_start") == F.col("_start")).groupBy("window_start", "samples")
+             .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_value") < F.col("p95_value"), 1)).alias("below"),
+                  F.count(F.when(F.col("_value") <= F.col("p95_value"), 1)).alias("upto")))
+    rank, slack = F.ceil(F.col("n") * 0.95), F.col("n") * 0.02
+    return ranks.select("window_start", "samples", ((F.col("below") < rank + slack) & (F.col("upto") >= rank - slack)).alias("within_two_percent"))
+
+
+register("latency_p95_stream", stream_sql.latency_p95_stream())(_latency_stream)
 register("cdc_diff", stream_sql.cdc_diff(access_sql.MODIFIED_PRODUCTS_CTE))(
     lambda r: streams.cdc_diff(r.products, modified_products(r), "id"))
+register("cdc_diff_by_ranges", stream_sql.cdc_diff(access_sql.MODIFIED_PRODUCTS_CTE))(
+    lambda r: streams.cdc_diff(*diff.differing(r.products, modified_products(r), "id"), "id"))
 
 
 def _stream_ingest(r: Retail) -> DataFrame:
@@ -539,6 +648,32 @@ def _cdc_route(r: Retail) -> DataFrame:
 
 register("stream_ingest_json", stream_sql.stream_ingest_json())(_stream_ingest)
 
+
+def _ingest_records(r: Retail) -> DataFrame:
+    """A record log that grows between two runs of one query, some records broken: all of them, stored or quarantined."""
+    log, sink, bad, ck = (_scratch(r, f"log-{x}") for x in ("records", "sink", "quarantine", "ckpt"))
+    kind = F.col("event_id") % 50
+    whole = F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value", "props"), {**sinks.JSON_OPTIONS, "ignoreNullFields": "false"})
+    timeless = F.to_json(F.struct("event_id", "user_id", "event_type", "value", "props"))
+    text = (F.when(kind == 7, F.concat(F.lit("#"), F.col("event_id").cast("string"), F.lit(" {broken")))
+            .when(kind == 9, timeless).when(kind == 11, F.concat(F.lit('{"event_id":"#'), F.col("event_id").cast("string"), F.lit('"}')))
+            .otherwise(whole))
+    r.spark.dataSource.register(RecordLog)
+    for half in (0, 1):
+        (r.raw("events").where(F.col("event_id") % 2 == half).select(text.alias("value")).write.mode("append")
+         .option("compression", "none").text(log))
+        lines = r.spark.readStream.format("record_log").option("suffix", ".txt").option("chunkBytes", 200_000).load(log)
+        streams.ingest_records(lines, EVENT_SCHEMA, sink, bad, ck, required=("event_id", "ts"), name=f"log_{half}_{abs(hash(sink)) % 10**8}")
+    good = sinks.read_lake_json(r.spark, sink, EVENT_SCHEMA).select(
+        "event_id", F.lit("stored").alias("fate"), F.lit(None).cast("string").alias("reason"), "ts", "event_type", "value")
+    number = F.regexp_extract("value", '(?:^#|"event_id":"?#?)([0-9]+)', 1).cast("long").alias("event_id")
+    none = r.spark.read.parquet(bad).select(number, F.lit("quarantined").alias("fate"), "reason", F.lit(None).cast("timestamp_ntz").alias("ts"),
+                                            F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("double").alias("value"))
+    return good.unionByName(none)
+
+
+register("stream_ingest_records", stream_sql.stream_ingest_records())(_ingest_records)
+
 # ------------------------------------------------------------- refresh job
 REFRESH_PARAMS = {"product_performance": {"tiers": PRODUCT_TIERS}, "store_performance_dashboard": {"tiers": STORE_TIERS},
                   "customer_analytics": {"value_cuts": VALUE_CUTS},

@@ -13,13 +13,15 @@ import datetime as dt
 import json
 import time
 import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.observation import Observation
 
+from storelens.sources.commits import CommitLog, State
+from storelens.sources.files import Files
 
 # JSON keeps full microsecond precision (Spark's default JSON timestamp format
 # stops at milliseconds, which would silently truncate event times).
@@ -109,6 +111,52 @@ def file_inventory(spark: SparkSession, prefix: str) -> DataFrame:
                     F.col("length").alias("content_length")))
 
 
+#: Files that a compacted one should have about, in bytes, and up to what share of that a file counts as small.
+TARGET_BYTES, SMALL = 128 << 20, 0.75
+
+
+def compaction_plan(inventory: DataFrame, base: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """``inventory`` (files under ``base``) with folder, and bin: which new file of its folder a file's rows go to.
+
+    Small files of a folder are filled into bins of about ``target_bytes`` in the order of their names; large files, empty
+    ones, and a small file that would be alone in its bin have none (null), for there is nothing to gain. Files of the
+    lake's own bookkeeping (names or folders that begin with _ or .) are left out."""
+    root = F.regexp_replace(F.lit(base.rstrip("/")), "^file:/*", "/")
+    below = F.expr("substring(path, length(root) + 2)")
+    files = (inventory.withColumn("root", root).withColumn("path", F.regexp_replace("name", "^file:/*", "/"))
+             .where(F.col("path").startswith(F.concat("root", F.lit("/")))).withColumn("below", below)
+             .where(~F.col("below").rlike("(^|/)[._]")).withColumn("folder", F.regexp_extract("below", "^(.*)/[^/]*$", 1)))
+    small = (F.col("content_length") > 0) & (F.col("content_length") < int(SMALL * target_bytes))
+    upto = F.sum("content_length").over(Window.partitionBy("folder", "small").orderBy("name"))
+    binned = (files.withColumn("small", small).withColumn("upto", upto)
+              .withColumn("bin", F.when(F.col("small"), F.floor((F.col("upto") - 1) / target_bytes).cast("long"))))
+    together = F.count("bin").over(Window.partitionBy("folder", "bin")) > 1
+    return (binned.withColumn("bin", F.when(together, F.col("bin")))
+            .drop("root", "path", "below", "small", "upto"))
+
+
+def compact_lake(spark: SparkSession, base: str, out: str, plan: DataFrame) -> DataFrame:
+    """Write the parquet lake ``base`` anew to ``out`` by a compaction plan: one file a bin, every row kept; read back.
+
+    Rows of files without a bin keep their files apart. The source is left as it is: readers go over to ``out`` (by a
+    commit, for instance), and a crash in between harms nothing."""
+    data = spark.read.parquet(base)
+    parts = [c for c in data.columns if c not in _file_columns(spark, data, plan)]
+    target = plan.select(F.regexp_replace("name", "^file:/*", "/").alias("_file"), "folder",
+                         F.coalesce(F.col("bin").cast("string"), F.col("name")).alias("_bin"))
+    rows = (data.withColumn("_file", F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/"))
+            .join(target, "_file").withColumn("_to", F.xxhash64("folder", "_bin")).drop("_file", "folder", "_bin"))
+    writer = rows.repartition("_to").sortWithinPartitions("_to").drop("_to").write.mode("errorifexists")
+    (writer.partitionBy(*parts) if parts else writer).parquet(out)
+    return spark.read.schema(data.schema).parquet(out)
+
+
+def _file_columns(spark: SparkSession, data: DataFrame, plan: DataFrame) -> set[str]:
+    """The columns that stand in the files themselves, not in their folders' names."""
+    one = plan.where("content_length > 0").select("name").first()
+    return set(spark.read.parquet(one["name"]).columns) if one else set(data.columns)
+
+
 def lake_lifecycle_plan(inventory: DataFrame, now: dt.datetime, cool_days: int = 30, archive_days: int = 90,
                         delete_days: int = 365) -> DataFrame:
     """Tier per file by age: > delete_days delete, > archive_days archive,
@@ -125,15 +173,19 @@ MANIFEST_SCHEMA = "name string, version string, path string, row_count long, ref
 AUDIT_SCHEMA = "table_name string, action string, new_data string, audit_ts timestamp"
 
 
+def _append(spark: SparkSession, base: str, table: str, rows: list[tuple], schema: str) -> None:
+    """History rows of a run as one small file (``compaction_plan`` and ``compact_lake`` join them)."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/{table}")
+
+
 def _audit(spark: SparkSession, base: str, name: str, action: str, payload: str, at: dt.datetime) -> None:
-    (spark.createDataFrame([("materialized_views", action, payload, at)], AUDIT_SCHEMA)
-     .write.mode("append").parquet(f"{base.rstrip('/')}/_audit"))
+    _append(spark, base, "_audit", [("materialized_views", action, payload, at)], AUDIT_SCHEMA)
 
 
 def write_version(spark: SparkSession, base: str, name: str, df: DataFrame, now: dt.datetime) -> tuple:
     """Write ``df`` as a new version folder of ``name``; returns its manifest
     row. On failure an ERROR audit row is appended at once (independently of
-    the failed write) and the error is re-raised."""
+    the failed write) and the error is re-raised. Nobody reads the version before it is published."""
     version = now.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
     path = f"{base.rstrip('/')}/{name}/v={version}"
     t0 = time.time()
@@ -146,48 +198,62 @@ def write_version(spark: SparkSession, base: str, name: str, df: DataFrame, now:
     return (name, version, path, int(obs.get["rows"]), now, time.time() - t0)
 
 
-def publish_versions(spark: SparkSession, base: str, rows: list[tuple], now: dt.datetime) -> DataFrame:
-    """Append the manifest rows of written versions (readers switch to them
-    together) and one COMPLETE audit row per view."""
-    manifest = spark.createDataFrame(rows, MANIFEST_SCHEMA)
-    manifest.write.mode("append").parquet(f"{base.rstrip('/')}/_manifest")
-    audit = [("materialized_views", "REFRESH_COMPLETE",
-              json.dumps({"view": n, "rows": c, "duration_seconds": round(d, 3)}), now) for n, _v, _p, c, _t, d in rows]
-    spark.createDataFrame(audit, AUDIT_SCHEMA).write.mode("append").parquet(f"{base.rstrip('/')}/_audit")
-    return manifest
+def _entry(row: tuple) -> dict:
+    name, version, path, count, at, seconds = row
+    return {"version": version, "path": path, "row_count": count, "refreshed_at": at.isoformat(), "duration_seconds": seconds}
+
+
+def publish_versions(spark: SparkSession, base: str, rows: list[tuple], now: dt.datetime,
+                     unless: Callable[[State], bool] | None = None) -> DataFrame:
+    """Publish written versions in one commit (readers switch to them together), and append the manifest's history and
+    one COMPLETE audit row per view. Where ``unless`` holds of the newest state nothing is published: then another
+    writer was first, and the versions are removed. Returns the manifest rows published."""
+    def change(tables: State) -> State | None:
+        if unless is not None and unless(tables):
+            return None
+        return tables | {row[0]: _entry(row) for row in rows}
+
+    _, state = CommitLog(spark, base).commit(change, now)
+    if any(state.get(row[0], {}).get("version") != row[1] for row in rows):
+        for row in rows:
+            Files(spark).delete(row[2])
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    _append(spark, base, "_manifest", rows, MANIFEST_SCHEMA)
+    _append(spark, base, "_audit", [
+        ("materialized_views", "REFRESH_COMPLETE", json.dumps({"view": n, "rows": c, "duration_seconds": round(d, 3)}), now)
+        for n, _v, _p, c, _t, d in rows], AUDIT_SCHEMA)
+    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 
 def snapshot_refresh(spark: SparkSession, base: str, name: str, df: DataFrame,
                      now: dt.datetime | None = None) -> DataFrame:
-    """Recompute one stored view: write a new version folder, then append a
-    manifest row pointing at it (readers switch atomically to the newest
-    complete version), with COMPLETE / ERROR audit rows."""
+    """Recompute one stored view: write a new version folder, then publish it in the commit log under ``base`` (readers
+    see the newest commit, whole), with START, COMPLETE and ERROR audit rows."""
     now = now or dt.datetime.now()
     _audit(spark, base, name, "REFRESH_START", json.dumps({"views": [name]}), now)
     return publish_versions(spark, base, [write_version(spark, base, name, df, now)], now)
 
 
 def latest_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame | None:
-    """The manifest row of the newest version of ``name`` (None before the first refresh under ``base``). Any other
-    fault in reading the manifest is an error, not a missing manifest."""
-    try:
-        m = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{base.rstrip('/')}/_manifest")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """The manifest row of the current version of ``name`` (None before its first refresh under ``base``)."""
+    entry = CommitLog(spark, base).latest()[1].get(name)
+    if entry is None:
         return None
-    return m.where(F.col("name") == name).orderBy(F.col("refreshed_at").desc(), F.col("version").desc()).limit(1)
+    row = (name, entry["version"], entry["path"], entry["row_count"], dt.datetime.fromisoformat(entry["refreshed_at"]),
+           entry["duration_seconds"])
+    return spark.createDataFrame([row], MANIFEST_SCHEMA)
 
 
 def snapshot_if_stale(spark: SparkSession, base: str, name: str, build, ttl_seconds: int = 300,
                       now: dt.datetime | None = None) -> DataFrame:
-    """Read the stored view if its newest version is younger than the TTL,
-    else recompute it with ``build()`` and store a new version. Only the
-    one-row manifest entry is inspected on the driver."""
+    """Read the stored view if its current version is younger than the TTL, else recompute it with ``build()`` and
+    store a new version. Of two callers that find it stale at once, the first to publish wins: the other removes what it
+    wrote and reads the published version."""
     now = now or dt.datetime.now()
-    latest = latest_snapshot(spark, base, name)
-    row = latest.first() if latest is not None else None
-    if row is not None and (now - row["refreshed_at"]).total_seconds() < ttl_seconds:
-        return spark.read.parquet(row["path"])
-    snapshot_refresh(spark, base, name, build(), now)
-    return spark.read.parquet(latest_snapshot(spark, base, name).first()["path"])
+    fresh = lambda e: e is not None and (now - dt.datetime.fromisoformat(e["refreshed_at"])).total_seconds() < ttl_seconds
+    log = CommitLog(spark, base)
+    if not fresh(log.latest()[1].get(name)):
+        _audit(spark, base, name, "REFRESH_START", json.dumps({"views": [name]}), now)
+        written = write_version(spark, base, name, build(), now)
+        publish_versions(spark, base, [written], now, unless=lambda tables: fresh(tables.get(name)))
+    return spark.read.parquet(log.latest()[1][name]["path"])
