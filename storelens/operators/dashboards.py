@@ -18,11 +18,12 @@ from storelens.sources.retail import Retail
 
 
 def executive_dashboard(r: Retail, as_of: dt.date, anomalies: DataFrame,
-                        focus: tuple[str, ...] = FIXTURE_FOCUS_BRANDS) -> DataFrame:
+                        focus: tuple[str, ...] = FIXTURE_FOCUS_BRANDS, dedup: bool = False) -> DataFrame:
     """One row: today / yesterday / 7-day blocks from one conditional pass over
     the baskets of the last 7 days; the 30-day block over item rows (basket sums
     fanned out per item as written); client share of item revenue; counts of
-    active anomalies and of active / non-active devices (NULL status in neither)."""
+    active anomalies and of active / non-active devices (NULL status in neither).
+    With ``dedup`` also the 30-day revenue with each basket's amount once."""
     t0, t1 = day_bounds(as_of)
     y0 = t0 - dt.timedelta(days=1)
     week = r.interactions(window_start(as_of, 7))
@@ -54,7 +55,8 @@ def executive_dashboard(r: Retail, as_of: dt.date, anomalies: DataFrame,
         money_sum(F.col("total_amount") * F.col("_n")).alias("revenue_30d"),
         count_distinct("customer_id").alias("unique_customers_30d"),
         money_sum("_client").alias("client_revenue_30d"),
-        money_sum("_comp").alias("competitor_revenue_30d"))
+        money_sum("_comp").alias("competitor_revenue_30d"),
+        *([money_sum("total_amount").alias("revenue_30d_dedup")] if dedup else []))
     anom = anomalies.agg(count_when(F.col("status") == "active").alias("active_anomalies"))
     dev = r.device_master.agg(count_when(F.col("status") == "active").alias("active_devices"),
                               count_when(F.col("status") != "active").alias("inactive_devices"))
@@ -66,7 +68,8 @@ def executive_dashboard(r: Retail, as_of: dt.date, anomalies: DataFrame,
                     "transactions_7d", "revenue_7d", "unique_customers_7d", "transactions_30d", "revenue_30d",
                     "unique_customers_30d", "client_revenue_30d", "competitor_revenue_30d",
                     pct(client, client + F.col("competitor_revenue_30d")).alias("client_market_share_percent"),
-                    "active_anomalies", "active_devices", "inactive_devices"))
+                    "active_anomalies", "active_devices", "inactive_devices",
+                    *(["revenue_30d_dedup"] if dedup else [])))
 
 
 def store_performance_dashboard(r: Retail, as_of: dt.date, days: int = 30,
@@ -173,11 +176,7 @@ def executive_dashboard_dedup(r: Retail, as_of: dt.date, anomalies: DataFrame,
                               focus: tuple[str, ...] = FIXTURE_FOCUS_BRANDS) -> DataFrame:
     """executive_dashboard with the 30-day basket revenue counted once per
     basket (baskets with at least one item, as the inner join requires)."""
-    base = executive_dashboard(r, as_of, anomalies, focus)
-    lines = sales_lines(r, window_start(as_of, 30))
-    per_basket = lines.groupBy("interaction_id", "customer_id", "total_amount").agg(F.count(F.lit(1)).alias("_n"))
-    month = per_basket.agg(money_sum("total_amount").alias("revenue_30d_dedup"))
-    return with_scalars(base, month)
+    return executive_dashboard(r, as_of, anomalies, focus, dedup=True)
 
 
 def _age_group(age: F.Column) -> F.Column:

@@ -53,20 +53,22 @@ def product_performance(r: Retail, as_of: dt.date, days: int = 90,
                         avg_num("quantity").alias("avg_quantity_per_transaction"),
                         F.max("transaction_date").alias("_last"), F.min("transaction_date").alias("_first")))
     # How many products of the category sold how much: rows per distinct number of units, not per product. Running
-    # counts over them give each number's rank, and their revenues the grand total.
+    # counts over them give each number's rank; their revenues add up to the grand total, a one-row aggregate.
     sold = (per_product.groupBy("category", "total_units_sold")
             .agg(F.count(F.lit(1)).alias("_n"), F.sum("total_revenue").alias("_revenue")))
-    better = F.sum("_n").over(Window.partitionBy("category").orderBy(F.col("total_units_sold").desc())) - F.col("_n")
-    standing = sold.select(F.col("category").alias("_category"), F.col("total_units_sold").alias("_units"),
-                           (better + 1).cast("long").alias("category_rank"),
-                           F.sum("_revenue").over(Window.partitionBy()).alias("_grand"))
+    # Both uses of ``sold`` read both of its sums (here as an order that never decides), so that Spark computes it once.
+    better = F.sum("_n").over(Window.partitionBy("category").orderBy(F.col("total_units_sold").desc(), "_revenue")) - F.col("_n")
+    total = sold.agg(F.sum("_revenue").alias("_grand"), F.sum("_n").alias("_products"))
+    standing = with_scalars(sold.select(F.col("category").alias("_category"), F.col("total_units_sold").alias("_units"),
+                                        (better + 1).cast("long").alias("category_rank")), total)
     days_span = whole_days("_last", "_first")
     units = F.col("total_units_sold")
     return (per_product.join(standing, F.col("category").eqNullSafe(F.col("_category"))
                              & units.eqNullSafe(F.col("_units")))
             .select("product_id", "product_name", "brand_name", "category", "is_fmcg", "total_units_sold",
                     "total_revenue", "transaction_count", "avg_quantity_per_transaction",
-                    ratio("total_revenue", "_grand", 100.0, 6).alias("market_share_percent"), "category_rank",
+                    ratio("total_revenue", F.when(F.col("_products") > 0, F.col("_grand")), 100.0, 6).alias("market_share_percent"),
+                    "category_rank",
                     ratio(units, days_span, 1.0, 6).alias("daily_velocity"),
                     tier(units, [(tiers[0], "High Performer"), (tiers[1], "Medium Performer")],
                          "Low Performer", strict=True).alias("performance_tier")))
@@ -141,10 +143,9 @@ def regional_performance(r: Retail, as_of: dt.date, days: int = 90,
     row (rates can exceed 100 %). Four brand revenue columns (first four focus
     brands), their total and share, rank by revenue."""
     lines = with_store(sales_lines(r, window_start(as_of, days), how="left"), r)
-    # Level 1 per (region, store, customer): each basket has one store and one
-    # customer, so its distinct count adds up over these rows; the two
-    # remaining distincts (stores, customers) run over far fewer rows than the
-    # item lines.
+    # Level 1 per (region, store, customer): each basket has one store and one customer, so its distinct count adds up
+    # over these rows. Level 2 per store and bucket of customer ids keeps the customers as a bitmap; the first bucket of
+    # a store counts the store. So customers and stores are distinct without any Expand.
     per = (lines.groupBy("region", "store_id", "customer_id")
            .agg(count_distinct("interaction_id").alias("_tx"),
                 F.sum("total_amount").alias("_amt"), F.count("total_amount").alias("_n"),
@@ -152,12 +153,20 @@ def regional_performance(r: Retail, as_of: dt.date, days: int = 90,
                 count_if(F.col("substitution_occurred")).alias("_subs"),
                 *[F.sum(F.when(F.col("brand_name") == b, F.col("line_revenue")).otherwise(F.lit(0))).alias(c)
                   for b, c in zip(brands4, _REGIONAL_BRAND_COLS)]))
-    m = (per.groupBy("region")
-         .agg(count_distinct("store_id").alias("store_count"),
+    sums = ["_tx", "_amt", "_n", "_infl", "_subs", *_REGIONAL_BRAND_COLS]
+    customer = F.col("customer_id").cast("long")
+    stores = (per.groupBy("region", "store_id", F.bitmap_bucket_number(customer).alias("_bucket"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(customer)).alias("_seen"), *[F.sum(c).alias(c) for c in sums]))
+    first = F.row_number().over(Window.partitionBy("region", "store_id").orderBy("_bucket")) == 1
+    buckets = (stores.withColumn("_store", F.when(first, F.lit(1)).otherwise(F.lit(0))).groupBy("region", "_bucket")
+               .agg(F.bitmap_count(F.bitmap_or_agg("_seen")).alias("_customers"), F.sum("_store").alias("_stores"),
+                    *[F.sum(c).alias(c) for c in sums]))
+    m = (buckets.groupBy("region")
+         .agg(F.sum("_stores").cast("long").alias("store_count"),
               F.sum("_tx").cast("long").alias("total_transactions"),
               F.sum("_amt").cast("decimal(38,2)").alias("total_revenue"),
               fixed(F.sum("_amt") / F.sum("_n"), 6).alias("avg_transaction_value"),
-              count_distinct("customer_id").alias("unique_customers"),
+              F.sum("_customers").cast("long").alias("unique_customers"),
               F.sum("_infl").cast("long").alias("influenced_sales"),
               F.sum("_subs").cast("long").alias("substitution_events"),
               *[F.sum(c).cast("decimal(38,2)").alias(c) for c in _REGIONAL_BRAND_COLS]))
@@ -329,23 +338,27 @@ def category_performance(r: Retail, as_of: dt.date, days: int = 30,
     distinct products / brands / regions, client vs competitor revenue, rank."""
     lines = with_store(sales_lines(r, window_start(as_of, days)), r)
     focus_flag = F.col("brand_name").isin(*focus)
-    # A basket belongs to one store, so distinct baskets add up over stores; products and brands come from the rows
-    # per product. Each level has one distinct at most, so the item rows are never expanded.
-    per_store = lines.groupBy("category", "store_id", "region").agg(count_distinct("interaction_id").alias("_baskets"))
-    shops = (per_store.groupBy("category").agg(F.sum("_baskets").cast("long").alias("transactions"),
-                                               count_distinct("region").alias("regional_presence"))
-             .withColumnRenamed("category", "_category"))
-    per_product = (lines.groupBy("category", "product_id", "brand_id")
+    # One pass over the item rows: the first of a basket's products of a category (smallest id) counts the basket, so
+    # the distinct baskets add up over products; a product's row carries its brand and the few regions it was sold in.
+    of_basket = Window.partitionBy("category", "interaction_id").orderBy("product_id")
+    counted = lines.withColumn("_first", F.when(F.row_number().over(of_basket) == 1, F.lit(1)).otherwise(F.lit(0)))
+    per_product = (counted.groupBy("category", "product_id", "brand_id")
                    .agg(F.sum("quantity").alias("_units"), money_sum("line_revenue").alias("_revenue"),
-                        F.count("line_revenue").alias("_lines"),
+                        F.count("line_revenue").alias("_lines"), F.sum("_first").alias("_baskets"),
+                        F.sort_array(F.collect_set("region")).alias("_regions"),
                         money_sum(F.when(focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_client"),
                         money_sum(F.when(~focus_flag, F.col("line_revenue")).otherwise(F.lit(0))).alias("_competitor")))
-    goods = (per_product.groupBy("category")
-             .agg(F.sum("_units").cast("long").alias("total_units_sold"), money_sum("_revenue").alias("total_revenue"),
-                  F.sum("_lines").alias("_lines"), F.count(F.lit(1)).alias("product_count"),
-                  count_distinct("brand_id").alias("brand_count"), money_sum("_client").alias("client_revenue"),
-                  money_sum("_competitor").alias("competitor_revenue")))
-    m = (goods.join(shops, F.col("category").eqNullSafe(F.col("_category")))
+    per_brand = (per_product.groupBy("category", "brand_id")
+                 .agg(F.sum("_units").alias("_units"), F.sum("_revenue").alias("_revenue"), F.sum("_lines").alias("_lines"),
+                      F.sum("_baskets").alias("_baskets"), F.count(F.lit(1)).alias("_products"),
+                      F.array_distinct(F.flatten(F.collect_set("_regions"))).alias("_regions"),
+                      F.sum("_client").alias("_client"), F.sum("_competitor").alias("_competitor")))
+    m = (per_brand.groupBy("category")
+         .agg(F.sum("_baskets").cast("long").alias("transactions"), F.sum("_units").cast("long").alias("total_units_sold"),
+              money_sum("_revenue").alias("total_revenue"), F.sum("_lines").alias("_lines"),
+              F.sum("_products").cast("long").alias("product_count"), F.count("brand_id").alias("brand_count"),
+              money_sum("_client").alias("client_revenue"), money_sum("_competitor").alias("competitor_revenue"),
+              F.size(F.array_distinct(F.flatten(F.collect_set("_regions")))).cast("long").alias("regional_presence"))
          .withColumn("avg_revenue_per_transaction", ratio("total_revenue", "_lines", 1.0, 6)))
     return m.select("category", "transactions", "total_units_sold", "total_revenue", "avg_revenue_per_transaction",
                     "product_count", "brand_count", "client_revenue", "competitor_revenue",
