@@ -86,8 +86,8 @@ def detection_run(spark: SparkSession, r: Retail, base: str, as_of: dt.date, run
     state, audit = anomalies.detect_anomalies(r, as_of, existing=existing, run_ts=now, **rule_params)
     written = sinks.write_version(spark, base, "anomalies", state, now)
     sinks.publish_versions(spark, base, [written], now)
-    (audit.select("table_name", "action", "new_data", F.col("audit_ts").cast("timestamp").alias("audit_ts"))
-     .write.mode("append").parquet(f"{base.rstrip('/')}/_audit"))
+    sinks.append_history(audit.select("table_name", "action", "new_data", F.col("audit_ts").cast("timestamp").alias("audit_ts")),
+                         base, "_audit")
     return spark.read.parquet(written[2])
 
 

@@ -59,6 +59,14 @@ class Files:
         fs, where = self._at(path)
         return fs.delete(where, True)
 
+    def move(self, path: str, to: str) -> None:
+        """Give a file another, free name; folders on the way are made."""
+        fs, where = self._at(path)
+        target = self._jvm.org.apache.hadoop.fs.Path(to)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(where, target):
+            raise OSError(f"{path} can't be moved to {to}")
+
     def create_new(self, path: str, text: str) -> bool:
         """Write ``text`` as the new file ``path``; False if the name is taken, by whoever was first."""
         fs, target = self._at(path)

@@ -142,11 +142,14 @@ def compact_lake(spark: SparkSession, base: str, out: str, plan: DataFrame) -> D
     commit, for instance), and a crash in between harms nothing."""
     data = spark.read.parquet(base)
     parts = [c for c in data.columns if c not in _file_columns(spark, data, plan)]
+    # one row a file; the new files are numbered, so that each is a task of its own
     target = plan.select(F.regexp_replace("name", "^file:/*", "/").alias("_file"), "folder",
                          F.coalesce(F.col("bin").cast("string"), F.col("name")).alias("_bin"))
+    new = target.select("folder", "_bin").distinct()
+    numbered = new.withColumn("_to", (F.row_number().over(Window.orderBy("folder", "_bin")) - 1).cast("int"))
     rows = (data.withColumn("_file", F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/"))
-            .join(target, "_file").withColumn("_to", F.xxhash64("folder", "_bin")).drop("_file", "folder", "_bin"))
-    writer = rows.repartition("_to").sortWithinPartitions("_to").drop("_to").write.mode("errorifexists")
+            .join(target.join(numbered, ["folder", "_bin"]).select("_file", "_to"), "_file").drop("_file"))
+    writer = rows.repartitionById(max(1, new.count()), "_to").drop("_to").write.mode("errorifexists")
     (writer.partitionBy(*parts) if parts else writer).parquet(out)
     return spark.read.schema(data.schema).parquet(out)
 
@@ -173,9 +176,22 @@ MANIFEST_SCHEMA = "name string, version string, path string, row_count long, ref
 AUDIT_SCHEMA = "table_name string, action string, new_data string, audit_ts timestamp"
 
 
+def append_history(rows: DataFrame, base: str, table: str) -> None:
+    """Add the few rows of a run to ``{base}/{table}`` as one file (``compaction_plan`` and ``compact_lake`` join them).
+
+    The file is written aside and then moved, so that runs at the same time don't disturb each other."""
+    files, root = Files(rows.sparkSession), base.rstrip("/")
+    name = uuid.uuid4().hex
+    draft = f"{root}/_drafts/{name}"
+    rows.coalesce(1).write.parquet(draft)
+    for part in files.entries(draft):
+        if part.name.endswith(".parquet"):
+            files.move(part.path, f"{root}/{table}/{name}-{part.name}")
+    files.delete(draft)
+
+
 def _append(spark: SparkSession, base: str, table: str, rows: list[tuple], schema: str) -> None:
-    """History rows of a run as one small file (``compaction_plan`` and ``compact_lake`` join them)."""
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/{table}")
+    append_history(spark.createDataFrame(rows, schema), base, table)
 
 
 def _audit(spark: SparkSession, base: str, name: str, action: str, payload: str, at: dt.datetime) -> None:
