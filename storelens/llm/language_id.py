@@ -162,11 +162,10 @@ def predict(docs: DataFrame, model: Model, with_familiarity: bool = False) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        known: dict[str, int] = dict(model.words)
-        extra: list[np.ndarray] = []  # of words that the model doesn't know, as they are met
+        more: dict[str, int] = {}  # words that the model doesn't know, as they are met: their places in the two lists
+        extra: list[np.ndarray] = []
         familiar: list[float] = []
-        forgotten: list[str] = []
-        table, base = model.word_scores, len(model.words)
+        table, known = model.word_scores, model.words
         for batch in batches:
             langs, scores, met = [], [], []
             for text in batch.column(text_at).to_pylist():
@@ -177,22 +176,20 @@ def predict(docs: DataFrame, model: Model, with_familiarity: bool = False) -> Da
                     met.append(0.0)
                     continue
                 if len(extra) > _REMEMBERED:
-                    for w in forgotten:
-                        del known[w]
-                    extra, familiar, forgotten = [], [], []
+                    more, extra, familiar = {}, [], []
                 total, at, mean = np.zeros(len(model.languages)), [], 0.0
                 for w in words:
                     k = known.get(w)
+                    if k is not None:
+                        at.append(k)
+                        continue
+                    k = more.get(w)
                     if k is None:
-                        k = known[w] = base + len(extra)
+                        k = more[w] = len(extra)
                         extra.append(model.scores(w))
                         familiar.append(model.familiarity(w))
-                        forgotten.append(w)
-                    if k < base:
-                        at.append(k)
-                    else:
-                        total = total + extra[k - base]
-                        mean += familiar[k - base]
+                    total = total + extra[k]
+                    mean += familiar[k]
                 total = total + table[at].sum(axis=0)
                 best = int(np.argmax(total))
                 langs.append(model.languages[best])

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows and bytes of items in a block, about; bytes of small cells in a task, about.
-BLOCK_ROWS, BLOCK_BYTES, TASK_BYTES = 2048, 16_000_000, 16_000_000
+BLOCK_ROWS, BLOCK_BYTES, TASK_BYTES = 1024, 8_000_000, 8_000_000
 
 #: Columns of one product of incidence matrices.
 _COLUMNS = 2048
