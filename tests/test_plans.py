@@ -41,7 +41,26 @@ def test_category_performance_never_expands(spark):
     assert "Expand" not in plan_text(QUERIES["category_performance"](spark, SMOKE_DIR))
 
 
-@pytest.mark.parametrize("key", ["get_market_share_all", "focus_brand_by_region",
+def test_product_total_is_no_window_over_all_rows(spark):
+    df = QUERIES["product_performance"](spark, SMOKE_DIR)
+    plan = plan_text(df)
+    assert all("[category" in line.split("], ")[1] for line in plan.splitlines() if "Window [" in line)
+    df.collect()
+    assert "ReusedExchange" in plan_text(df)  # the total is summed from the counts' shuffle
+
+
+def test_regional_customers_are_bitmaps(spark):
+    plan = plan_text(QUERIES["regional_performance"](spark, SMOKE_DIR))
+    assert "Expand" not in plan and "bitmap" in plan and plan.count("lineitem.parquet") == 1
+
+
+def test_dedup_dashboard_joins_the_items_once(spark):
+    plain, dedup = (plan_text(QUERIES[k](spark, SMOKE_DIR)) for k in ("executive_dashboard", "executive_dashboard_dedup"))
+    # a subquery is shown once for each of its columns: one column more, no other join of the items
+    assert dedup.count("lineitem.parquet") == plain.count("lineitem.parquet") + 1
+
+
+@pytest.mark.parametrize("key", ["category_performance", "get_market_share_all", "focus_brand_by_region",
                                  "brand_mix", "philippine_market_analysis", "focus_brand_performance"])
 def test_item_join_scanned_once(spark, key):
     plan = plan_text(QUERIES[key](spark, SMOKE_DIR))
