@@ -53,22 +53,22 @@ def product_performance(r: Retail, as_of: dt.date, days: int = 90,
                         avg_num("quantity").alias("avg_quantity_per_transaction"),
                         F.max("transaction_date").alias("_last"), F.min("transaction_date").alias("_first")))
     # How many products of the category sold how much: rows per distinct number of units, not per product. Running
-    # counts over them give each number's rank; their revenues add up to the grand total, a one-row aggregate.
+    # counts over them give each number's rank. One row per category adds up to the grand total.
     sold = (per_product.groupBy("category", "total_units_sold")
             .agg(F.count(F.lit(1)).alias("_n"), F.sum("total_revenue").alias("_revenue")))
-    # Both uses of ``sold`` read both of its sums (here as an order that never decides), so that Spark computes it once.
-    better = F.sum("_n").over(Window.partitionBy("category").orderBy(F.col("total_units_sold").desc(), "_revenue")) - F.col("_n")
-    total = sold.agg(F.sum("_revenue").alias("_grand"), F.sum("_n").alias("_products"))
-    standing = with_scalars(sold.select(F.col("category").alias("_category"), F.col("total_units_sold").alias("_units"),
-                                        (better + 1).cast("long").alias("category_rank")), total)
+    better = F.sum("_n").over(Window.partitionBy("category").orderBy(F.col("total_units_sold").desc())) - F.col("_n")
+    placed = sold.withColumn("_place", F.struct(F.col("total_units_sold").alias("_units"),
+                                                (better + 1).cast("long").alias("category_rank")))
+    categories = placed.groupBy("category").agg(F.sum("_revenue").alias("_of_category"), F.collect_list("_place").alias("_places"))
+    standing = (categories.withColumn("_grand", F.sum("_of_category").over(Window.partitionBy()))
+                .select(F.col("category").alias("_category"), "_grand", F.inline("_places")))
     days_span = whole_days("_last", "_first")
     units = F.col("total_units_sold")
     return (per_product.join(standing, F.col("category").eqNullSafe(F.col("_category"))
                              & units.eqNullSafe(F.col("_units")))
             .select("product_id", "product_name", "brand_name", "category", "is_fmcg", "total_units_sold",
                     "total_revenue", "transaction_count", "avg_quantity_per_transaction",
-                    ratio("total_revenue", F.when(F.col("_products") > 0, F.col("_grand")), 100.0, 6).alias("market_share_percent"),
-                    "category_rank",
+                    ratio("total_revenue", "_grand", 100.0, 6).alias("market_share_percent"), "category_rank",
                     ratio(units, days_span, 1.0, 6).alias("daily_velocity"),
                     tier(units, [(tiers[0], "High Performer"), (tiers[1], "Medium Performer")],
                          "Low Performer", strict=True).alias("performance_tier")))
@@ -144,8 +144,8 @@ def regional_performance(r: Retail, as_of: dt.date, days: int = 90,
     brands), their total and share, rank by revenue."""
     lines = with_store(sales_lines(r, window_start(as_of, days), how="left"), r)
     # Level 1 per (region, store, customer): each basket has one store and one customer, so its distinct count adds up
-    # over these rows. Level 2 per store and bucket of customer ids keeps the customers as a bitmap; the first bucket of
-    # a store counts the store. So customers and stores are distinct without any Expand.
+    # over these rows. Level 2 per region and bucket of customer ids keeps the customers as a bitmap and the stores, a
+    # dimension, as a set. So customers and stores are distinct without any Expand.
     per = (lines.groupBy("region", "store_id", "customer_id")
            .agg(count_distinct("interaction_id").alias("_tx"),
                 F.sum("total_amount").alias("_amt"), F.count("total_amount").alias("_n"),
@@ -155,14 +155,11 @@ def regional_performance(r: Retail, as_of: dt.date, days: int = 90,
                   for b, c in zip(brands4, _REGIONAL_BRAND_COLS)]))
     sums = ["_tx", "_amt", "_n", "_infl", "_subs", *_REGIONAL_BRAND_COLS]
     customer = F.col("customer_id").cast("long")
-    stores = (per.groupBy("region", "store_id", F.bitmap_bucket_number(customer).alias("_bucket"))
-              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(customer)).alias("_seen"), *[F.sum(c).alias(c) for c in sums]))
-    first = F.row_number().over(Window.partitionBy("region", "store_id").orderBy("_bucket")) == 1
-    buckets = (stores.withColumn("_store", F.when(first, F.lit(1)).otherwise(F.lit(0))).groupBy("region", "_bucket")
-               .agg(F.bitmap_count(F.bitmap_or_agg("_seen")).alias("_customers"), F.sum("_store").alias("_stores"),
-                    *[F.sum(c).alias(c) for c in sums]))
+    buckets = (per.groupBy("region", F.bitmap_bucket_number(customer).alias("_bucket"))
+               .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(customer))).alias("_customers"),
+                    F.collect_set("store_id").alias("_stores"), *[F.sum(c).alias(c) for c in sums]))
     m = (buckets.groupBy("region")
-         .agg(F.sum("_stores").cast("long").alias("store_count"),
+         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("_stores")))).cast("long").alias("store_count"),
               F.sum("_tx").cast("long").alias("total_transactions"),
               F.sum("_amt").cast("decimal(38,2)").alias("total_revenue"),
               fixed(F.sum("_amt") / F.sum("_n"), 6).alias("avg_transaction_value"),
